@@ -12,12 +12,11 @@ from pyspark.sql import functions as F
 from kymora.functions import kernels as kn
 from kymora.operators.windows import neighbours
 from kymora.plans.blocks import BLK, BLOCK_ROWS, index_blocks, running
+from kymora.plans.grouped import grouped_map
 from kymora.session import durable
 
 
-def local_extrema(
-    signal: DataFrame, keys: Sequence[str], value: str, rows: int = BLOCK_ROWS
-) -> DataFrame:
+def local_extrema(signal: DataFrame, keys: Sequence[str], value: str, rows: int = BLOCK_ROWS) -> DataFrame:
     """(keys, i, v, kind): ``max``/``min`` per plateau (at its middle sample) and the two ``end`` samples."""
     s = neighbours(signal.select(*keys, "i", F.col(value).alias("v")), keys, ["v"], rows)
     starts = F.col("v_prev").isNull() | (F.col("v_prev") != F.col("v"))
@@ -40,34 +39,25 @@ def local_extrema(
     return turning.unionByName(ends)
 
 
-def _verdicts(keys: list[str], distance: int, height: float | None, prominence: float | None, rows: int, halo: int):
-    def verdict(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("i", kind="stable")
-        pos, val = pdf["i"].to_numpy(), pdf["v"].to_numpy()
-        kinds = pdf["kind"].to_numpy()
-        blk = int(pdf[BLK].iloc[0])
+def _verdicts(distance: int, prominent: bool, rows: int, halo: int):
+    def verdict(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        pos, val, kinds = g["i"], g["v"], g["kind"]
+        blk = int(g["_at"][0])
         has_first, has_last = (kinds == "first").any(), (kinds == "last").any()
         seen_from = -np.inf if has_first else blk * rows - halo
         seen_to = np.inf if has_last else (blk + 1) * rows + halo - 1
-        top = np.flatnonzero(kinds == "max")
-        if height is not None:
-            top = top[val[top] >= height]
+        top = np.flatnonzero(g["_cand"])
         if distance > 1:
-            spaced = kn.thin_by_distance(pos[top], val[top], distance, seen_from, seen_to)
+            final = kn.thin_by_distance(pos[top], val[top], distance, seen_from, seen_to)
         else:
-            spaced = np.full(len(top), kn.KEEP, dtype=np.int8)
-        final = spaced.copy()
-        if prominence is not None:
-            alive = np.flatnonzero(spaced != kn.DROP)
-            stands = kn.reaches_prominence(pos, val, top[alive], prominence, has_first, has_last)
-            final[alive] = np.where(
-                stands == kn.DROP, kn.DROP,
-                np.where((stands == kn.OPEN) | (spaced[alive] == kn.OPEN), kn.OPEN, kn.KEEP),
-            )
+            final = np.full(len(top), kn.KEEP, dtype=np.int8)
+        if prominent:
+            alive = np.flatnonzero(final != kn.DROP)
+            stands = kn.reaches_prominence(pos, val, top[alive], float(g["_need"][0]), has_first, has_last)
+            both = np.where((stands == kn.OPEN) | (final[alive] == kn.OPEN), kn.OPEN, kn.KEEP)
+            final[alive] = np.where(stands == kn.DROP, kn.DROP, both)
         own = pos[top] // rows == blk
-        out = pdf.iloc[top[own]][[*keys, "i", "v"]].copy()
-        out["verdict"] = final[own].astype("int32")
-        return out
+        return {"i": pos[top][own], "v": val[top][own], "verdict": final[own].astype("int32")}
 
     return verdict
 
@@ -81,9 +71,12 @@ def find_peaks(
     prominence: float | None = None,
     negate: bool = False,
     rows: int = BLOCK_ROWS,
+    per_key: DataFrame | None = None,
 ) -> DataFrame:
     """Peaks (keys, i, v) by height, then highest-first spacing, then prominence.
 
+    ``per_key`` may give (keys, height and/or prominence) where the limits differ from key to key.
+
     Each block judges its own peaks from the extrema it can see. A peak whose verdict would need rows
     further away stays open, and only the open ones are judged again with four times the view, until
     none is left; a series that fits the first view never takes a second step.
@@ -92,14 +85,21 @@ def find_peaks(
     gap = max(int(np.ceil(distance)), 1) if distance is not None else 1
     src = signal.withColumn(value, -F.col(value)) if negate else signal
     extrema = local_extrema(src, keys, value, rows)
-    key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in signal.select(*keys).schema)
-    schema = f"{key_schema}, i bigint, v double, verdict int"
     flip = -F.col("v") if negate else F.col("v")
-    plain = gap <= 1 and prominence is None
-    if plain:
-        tops = extrema.filter("kind = 'max'")
-        tops = tops.filter(F.col("v") >= height) if height is not None else tops
-        return tops.select(*keys, "i", flip.alias("v"))
+    own_limits = [c for c in ("height", "prominence") if per_key is not None and c in per_key.columns]
+    if own_limits:
+        extrema = extrema.join(per_key.select(*keys, *own_limits), keys)
+    floor = F.col("height") if "height" in own_limits else F.lit(height)
+    need = F.col("prominence") if "prominence" in own_limits else F.lit(prominence)
+    candidate = F.col("kind") == "max"
+    if height is not None or "height" in own_limits:
+        candidate = candidate & (F.col("v") >= floor)
+    extrema = extrema.select(
+        *keys, "i", "v", "kind", F.coalesce(candidate, F.lit(False)).alias("_cand"), need.cast("double").alias("_need")
+    )
+    prominent = prominence is not None or "prominence" in own_limits
+    if gap <= 1 and not prominent:
+        return extrema.filter("_cand").select(*keys, "i", flip.alias("v"))
     extrema = durable(extrema)
     view = max(rows, 4 * gap)
     wanted: DataFrame | None = None
@@ -113,9 +113,10 @@ def find_peaks(
         if wanted is not None:
             todo = wanted.select(*keys, own(F.col("i")).alias(BLK)).distinct()
             spread = spread.join(todo, [*keys, BLK], "left_semi")
-        judged = spread.groupBy(*keys, BLK).applyInPandas(
-            _verdicts(keys, gap, height, prominence, view, halo), schema
-        )
+        judged = grouped_map(
+            spread.withColumn("_at", F.col(BLK)), [*keys, BLK], ["i"], ["i", "v", "kind", "_cand", "_need", "_at"],
+            "i bigint, v double, verdict int", _verdicts(gap, prominent, view, halo),
+        ).drop(BLK)
         if wanted is not None:
             judged = judged.join(wanted.select(*keys, "i"), [*keys, "i"], "left_semi")
         judged = durable(judged)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kymora.functions import kernels as kn
 from kymora.plans.blocks import BLOCK_ROWS, index_blocks, range_blocks, running
+from kymora.plans.grouped import grouped_map
 from kymora.session import durable
 
 
@@ -37,10 +37,6 @@ RATE_LADDER = (0.05, 0.04, 0.03, 0.025)
 RATE_SPLITS = (0.03, 0.02, 0.015)
 
 
-def _key_schema(df: DataFrame, keys: Sequence[str]) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema)
-
-
 def rate_segments(events: DataFrame, keys: Sequence[str], least: int = 6, tolerance: float = 0.06) -> DataFrame:
     """Spans of steady event rate: a new span starts where the rate leaves the span's first rate.
 
@@ -62,22 +58,23 @@ def rate_segments(events: DataFrame, keys: Sequence[str], least: int = 6, tolera
     breaks = F.when((ratio > cut) | (ratio < 1 / cut), 1).otherwise(0)
     runs = running(prev, keys, ["i"], {"_run": ("sum", breaks)}).select(*keys, "_run", "_t0", "t")
 
-    def spans(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t", kind="stable")
-        times = np.append(pdf["_t0"].to_numpy(), pdf["t"].to_numpy()[-1])
-        rows = []
+    def spans(g: dict[str, np.ndarray]) -> dict[str, list]:
+        times = np.append(g["_t0"], g["t"][-1])
+        out: dict[str, list] = {"rank": [], "start": [], "end": [], "parts": []}
+        if len(times) < least:
+            return out
         for rank, tol in enumerate(ladder):
             for a, b in kn.cluster_times(times, tol, least):
                 inner = times[(times >= a) & (times <= b)]
                 parts = next((p for p in (kn.cluster_times(inner, s, least) for s in RATE_SPLITS) if len(p) > 1), [])
-                rows.append({"rank": rank, "start": a, "end": b, "parts": [{"start": x, "end": y} for x, y in parts]})
-        out = pd.DataFrame(rows, columns=["rank", "start", "end", "parts"])
-        for k in reversed(keys):
-            out.insert(0, k, pdf[k].iloc[0])
+                out["rank"].append(rank)
+                out["start"].append(a)
+                out["end"].append(b)
+                out["parts"].append([{"start": x, "end": y} for x, y in parts])
         return out
 
-    schema = f"{_key_schema(events, keys)}, rank int, start double, end double, parts array<struct<start:double,end:double>>"
-    found = durable(runs.groupBy(*keys, "_run").applyInPandas(spans, schema))
+    schema = "rank int, start double, end double, parts array<struct<start:double,end:double>>"
+    found = durable(grouped_map(runs, [*keys, "_run"], ["t"], ["_t0", "t"], schema, spans).drop("_run"))
     tally = found.groupBy(*keys, "rank").agg(F.count(F.lit(1)).alias("n"))
     enough = F.col("n") >= 3
     choice = F.struct(F.when(enough, 0).otherwise(1).alias("a"), F.when(enough, F.col("rank")).otherwise(-F.col("n")).alias("b"), "rank")
@@ -109,18 +106,16 @@ def speed_groups(passes: DataFrame, keys: Sequence[str], tolerance: float = 0.06
     jump = F.when(F.col("gait_cycle_hz") > F.col("_was") * (1 + tolerance), 1).otherwise(0)
     runs = running(prev, keys, order, {"_run": ("sum", jump)})
 
-    def starts(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("gait_cycle_hz", kind="stable")
+    def starts(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         total, count, flags = 0.0, 0, []
-        for hz, n in zip(pdf["gait_cycle_hz"], pdf["n"]):
+        for hz, n in zip(g["gait_cycle_hz"], g["n"]):
             begin = count == 0 or abs(hz - total / count) / (total / count) > tolerance
             total, count = (hz * n, n) if begin else (total + hz * n, count + n)
             flags.append(int(begin))
-        return pdf[[*keys, "gait_cycle_hz"]].assign(begins=flags)
+        return {"hz": g["gait_cycle_hz"], "begins": np.array(flags, dtype="int32")}
 
-    flagged = runs.groupBy(*keys, "_run").applyInPandas(
-        starts, f"{_key_schema(passes, keys)}, gait_cycle_hz double, begins int"
-    )
+    flagged = grouped_map(runs, [*keys, "_run"], order, ["gait_cycle_hz", "n"], "hz double, begins int", starts)
+    flagged = flagged.drop("_run").withColumnRenamed("hz", "gait_cycle_hz")
     marked = runs.join(flagged, [*keys, "gait_cycle_hz"])
     labelled = running(durable(marked), keys, order, {"speed_group": ("sum", F.col("begins"))})
     n = F.sum("n")

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from kymora.functions import kernels as kn
 from kymora.operators import intervals as iv
+from kymora.operators.peaks import find_peaks
 from kymora.plans.blocks import BLK, BLOCK_ROWS, CORE, with_halo
+from kymora.plans.grouped import grouped_map
+from kymora.session import durable
 
 
 def frames(
@@ -130,21 +133,17 @@ def decimate(
     half = len(taps) // 2
     rows = max(rows, factor * 1024) // factor * factor
     spread = with_halo(samples.select(*keys, "i", "t", *columns), half, half, rows=rows)
-    keys = list(keys)
-    head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in samples.select(*keys).schema)
 
-    def fir(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("i", kind="stable")
-        keep = pdf[CORE].to_numpy() & (pdf["i"].to_numpy() % factor == 0)
-        out = pdf.loc[keep, [*keys, "i", "t"]].copy()
-        out["i"] //= factor
+    def fir(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        keep = g[CORE].astype(bool) & (g["i"] % factor == 0)
+        out = {"i": g["i"][keep] // factor, "t": g["t"][keep]}
         for c in columns:
-            y = np.convolve(np.nan_to_num(pdf[c].to_numpy(dtype=float)), taps, mode="full")[half : half + len(pdf)]
+            y = np.convolve(np.nan_to_num(g[c].astype(float)), taps, mode="full")[half : half + len(keep)]
             out[c] = y[keep]
         return out
 
-    schema = f"{head}, i bigint, t double, " + ", ".join(f"{c} double" for c in columns)
-    return spread.groupBy(*keys, BLK).applyInPandas(fir, schema)
+    schema = "i bigint, t double, " + ", ".join(f"{c} double" for c in columns)
+    return grouped_map(spread, [*keys, BLK], ["i"], ["i", "t", CORE, *columns], schema, fir).drop(BLK)
 
 
 def instantaneous_frequency(
@@ -159,26 +158,24 @@ def instantaneous_frequency(
     keys = list(keys)
     halo = max(int(fs * halo_s), 1)
     rows = rows or max(int(fs * 8), BLOCK_ROWS)
-    spread = with_halo(samples, halo, halo, rows=rows)
+    spread = with_halo(samples.select(*keys, "i", *columns), halo, halo, rows=rows)
 
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("i", kind="stable")
-        core = pdf[CORE].to_numpy()
-        out = pdf.loc[core, list(samples.columns)].copy()
+    def kernel(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        core = g[CORE].astype(bool)
+        out = {"i": g["i"][core]}
         for c in columns:
-            y = pdf[c].to_numpy(dtype=float)
+            y = g[c].astype(float)
             known = np.isfinite(y)
             if known.sum() < 4:
-                out[f"f_{c}"] = np.nan
-                continue
-            y = np.where(known, y, 0.0) if not known.all() else y
-            out[f"f_{c}"] = kn.instantaneous_frequency(y, fs, low, high, order)[core]
+                out[f"f_{c}"] = np.full(core.sum(), np.nan)
+            else:
+                out[f"f_{c}"] = kn.instantaneous_frequency(np.where(known, y, 0.0), fs, low, high, order)[core]
         return out
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in samples.schema)
-    schema += ", " + ", ".join(f"f_{c} double" for c in columns)
-    done = spread.groupBy(*keys, BLK).applyInPandas(kernel, schema)
-    return done.select(*samples.columns, *[F.when(~F.isnan(f"f_{c}"), F.col(f"f_{c}")).alias(f"f_{c}") for c in columns])
+    schema = "i bigint, " + ", ".join(f"f_{c} double" for c in columns)
+    done = grouped_map(spread, [*keys, BLK], ["i"], ["i", CORE, *columns], schema, kernel).drop(BLK)
+    done = done.select(*keys, "i", *[F.when(~F.isnan(f"f_{c}"), F.col(f"f_{c}")).alias(f"f_{c}") for c in columns])
+    return samples.join(done, [*keys, "i"])
 
 
 def savgol(samples: DataFrame, keys: Sequence[str], value: str, out: str, window: int = 51, poly: int = 3, rows: int = BLOCK_ROWS) -> DataFrame:
@@ -188,15 +185,13 @@ def savgol(samples: DataFrame, keys: Sequence[str], value: str, out: str, window
     # the edge fit needs a whole window next to the series end, so the halo is a full window
     spread = with_halo(samples.join(totals, keys), window, window, rows=rows)
 
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("i", kind="stable")
-        x = pdf[value].to_numpy(dtype=float)
-        smooth = x if pdf["_total"].iloc[0] <= window or len(x) < window else kn.savgol(x, window, poly)
-        core = pdf[CORE].to_numpy()
-        return pdf.loc[core, list(samples.columns)].assign(**{out: smooth[core]})
+    def kernel(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        x, core = g[value].astype(float), g[CORE].astype(bool)
+        smooth = x if g["_total"][0] <= window or len(x) < window else kn.savgol(x, window, poly)
+        return {"i": g["i"][core], out: smooth[core]}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in samples.schema) + f", {out} double"
-    return spread.groupBy(*keys, BLK).applyInPandas(kernel, schema)
+    done = grouped_map(spread, [*keys, BLK], ["i"], ["i", value, CORE, "_total"], f"i bigint, {out} double", kernel).drop(BLK)
+    return samples.join(done, [*keys, "i"])
 
 
 def stomp_band_energy(
@@ -218,46 +213,54 @@ def stomp_band_energy(
 
 
 def movement_frequency(
-    motion: DataFrame, keys: Sequence[str], angle: str, fs: float, max_fs: float = 50.0, max_lag_s: float = 30.0
+    motion: DataFrame, keys: Sequence[str], angle: str, fs: float, max_fs: float = 50.0, first_lag_s: float = 30.0
 ) -> DataFrame:
     """Dominant movement rate (Hz) per recording from the autocorrelation of the thinned angle.
 
-    Lagged products are summed by a shuffle over (lag, block), so no recording is one task.
+    Lagged products are summed by a shuffle over (block, lag), so no recording is one task. The first
+    lags usually hold the answer; recordings still without a peak are tried with four times as many
+    until their lags cover the whole series. A peak that stands out among fewer lags also does so
+    among all, so the early answer is the final one.
     """
-    from kymora.operators.peaks import find_peaks
-
+    keys = list(keys)
     ds = max(int(fs / max_fs), 1)
     eff = fs / ds
-    thin = motion.filter(F.col("i") % ds == 0).select(
-        *keys, F.floor(F.col("i") / ds).cast("long").alias("i"), F.coalesce(F.nanvl(F.col(angle).cast("double"), F.lit(0.0)), F.lit(0.0)).alias("x")
-    )
+    low = max(int(eff * 0.5), 1)
+    x = F.coalesce(F.nanvl(F.col(angle).cast("double"), F.lit(0.0)), F.lit(0.0))
+    thin = motion.filter(F.col("i") % ds == 0).select(*keys, F.floor(F.col("i") / ds).cast("long").alias("i"), x.alias("x"))
     mean = thin.groupBy(*keys).agg(F.avg("x").alias("_m"), F.count(F.lit(1)).alias("_n"))
     mean = mean.filter(F.col("_n") * ds >= 100)
-    c = thin.join(mean, list(keys)).select(*keys, "i", (F.col("x") - F.col("_m")).alias("x"))
-    lags = int(max_lag_s * eff)
-    spread = with_halo(c, 0, lags, rows=max(4 * lags, 1024))
-    keys = list(keys)
-    head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in c.select(*keys).schema)
-
-    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("i", kind="stable")
-        x, core = pdf["x"].to_numpy(), pdf[CORE].to_numpy()
-        start = np.where(core, x, 0.0)
+    c = durable(thin.join(mean, keys).select(*keys, "i", (F.col("x") - F.col("_m")).alias("x"), "_n"))
+    lags = max(int(first_lag_s * eff), low + 2)
+    found: DataFrame | None = None
+    while True:
+        acf = durable(_autocorrelation(c, keys, lags))
+        zero = acf.filter("i = 0").select(*keys, F.col("s").alias("_s0")).filter("_s0 > 0")
+        norm = acf.join(zero, keys).filter(F.col("i") >= low).select(
+            *keys, (F.col("i") - low).alias("i"), (F.col("s") / F.col("_s0")).alias("r")
+        )
+        first = find_peaks(norm, keys, "r", prominence=0.1).groupBy(*keys).agg(F.min("i").alias("i"))
+        got = durable(first.select(*keys, (F.lit(eff) / (F.col("i") + low)).alias("movement_hz")))
+        found = got if found is None else found.unionByName(got)
+        c = durable(c.filter(F.col("_n") > lags + 1).join(got, keys, "left_anti"))
+        if c.isEmpty():
+            return found
+        lags *= 4
+
+
+def _autocorrelation(c: DataFrame, keys: list[str], lags: int) -> DataFrame:
+    """(keys, i = lag, s): sums of x[k] * x[k + lag]."""
+    def partial(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        x = g["x"]
+        start = np.where(g[CORE].astype(bool), x, 0.0)
+        size = 1 << int(np.ceil(np.log2(2 * len(x))))
+        corr = np.fft.irfft(np.fft.rfft(x, size) * np.conj(np.fft.rfft(start, size)), size)
         top = min(lags, len(x) - 1)
-        acc = np.array([start[: len(x) - k] @ x[k:] for k in range(top + 1)])
-        out = pd.DataFrame({"i": np.arange(top + 1), "s": acc})
-        for k in reversed(keys):
-            out.insert(0, k, pdf[k].iloc[0])
-        return out
+        return {"i": np.arange(top + 1), "s": corr[: top + 1]}
 
-    acf = spread.groupBy(*keys, BLK).applyInPandas(partial, f"{head}, i bigint, s double")
-    acf = acf.groupBy(*keys, "i").agg(F.sum("s").alias("s"))
-    zero = acf.filter("i = 0").select(*keys, F.col("s").alias("_s0")).filter("_s0 > 0")
-    low = max(int(eff * 0.5), 1)
-    norm = acf.join(zero, keys).filter(F.col("i") >= low).select(*keys, (F.col("i") - low).alias("i"), (F.col("s") / F.col("_s0")).alias("r"))
-    tops = find_peaks(norm, keys, "r", prominence=0.1)
-    first = tops.groupBy(*keys).agg(F.min("i").alias("i"))
-    return first.select(*keys, (F.lit(eff) / (F.col("i") + low)).alias("movement_hz"))
+    spread = with_halo(c.select(*keys, "i", "x"), 0, lags, rows=max(4 * lags, 1024))
+    parts = grouped_map(spread, [*keys, BLK], ["i"], ["i", "x", CORE], "i bigint, s double", partial)
+    return parts.groupBy(*keys, "i").agg(F.sum("s").alias("s"))
 
 
 def periodic_artifacts(

@@ -9,6 +9,7 @@ from kymora.plans.blocks import with_sample_index
 from kymora.session import durable
 
 SIGNAL_FS = 100.0
+EVENTS_ORIGIN = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"  # zero of the event clock
 CHANNELS = ("ch1", "ch2", "ch3", "ch4")
 
 _built: dict[tuple, DataFrame] = {}
@@ -63,7 +64,7 @@ def signal_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         ev = table(spark, sf_dir, "events").select(
             F.col("user_id").alias("recording_id"),
-            (F.unix_micros("ts") / F.lit(1e6) - F.lit(EVENTS_EPOCH)).alias("t"),
+            (F.expr(f"timestampdiff(MICROSECOND, {EVENTS_ORIGIN}, ts)") / F.lit(1e6)).alias("t"),
             F.col("value").alias("v"), F.col("event_type").alias("event"), "event_id",
         )
         return with_sample_index(ev, ["recording_id"], ["t", "event_id"])
@@ -71,9 +72,6 @@ def signal_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stage(spark, sf_dir, "signal_irregular", "events", build)
 
 
-EVENTS_EPOCH = 1704067200.0  # 2024-01-01T00:00:00Z, the origin of the event clock
-
-
 def waveform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short fixed-length waveforms: (recording_id, label, x ARRAY<DOUBLE>)."""
     return table(spark, sf_dir, "embeddings").select(
