@@ -42,7 +42,10 @@ def grouped_map(
             sizes.append(len(got[names[0]]))
         out = {g: np.repeat(pdf[g].to_numpy()[starts], sizes) for g in group}
         for n in names:
-            out[n] = [x for p in pieces for x in p[n]] if any(_ragged(p[n]) for p in pieces) else np.concatenate([p[n] for p in pieces])
+            if any(isinstance(p[n], list) for p in pieces):
+                out[n] = pd.Series([x for p in pieces for x in p[n]], dtype=object)
+            else:
+                out[n] = np.concatenate([p[n] for p in pieces])
         return pd.DataFrame(out)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -68,10 +71,6 @@ def grouped_map(
     return src.mapInPandas(run, f"{head}, {schema}")
 
 
-def _ragged(x) -> bool:
-    return isinstance(x, list)
-
-
 def _split_top(schema: str) -> list[str]:
     """Split a DDL list at its outer commas."""
     parts, depth, current = [], 0, ""
