@@ -81,10 +81,9 @@ def upsert(
 
 def assign_ids(fresh: DataFrame, current: DataFrame, order: Sequence[str], id_column: str = "id") -> DataFrame:
     """Ids after the largest one in use, in key order, numbered without a global sort in one task."""
-    top = current.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
+    top = current.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top")).withColumn("_all", F.lit(0))
     numbered = with_sample_index(fresh.drop(id_column).withColumn("_all", F.lit(0)), ["_all"], list(order), "_pos")
-    # one row against the new rows: the offset is a scalar
-    return numbered.crossJoin(F.broadcast(top)).withColumn(
+    return numbered.join(F.broadcast(top), "_all").withColumn(
         id_column, (F.col("_top") + F.col("_pos") + 1).cast(dict(current.dtypes)[id_column])
     ).drop("_pos", "_top", "_all")
 

@@ -17,6 +17,9 @@ from kymora.plans.blocks import range_blocks, running
 
 def quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: dict[str, float]) -> DataFrame:
     """(keys, one column per entry of ``probs``), linearly interpolated between order statistics."""
+    wanted, keys = list(keys), list(keys)
+    if not keys:
+        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
     counted = (
         df.filter(F.col(column).isNotNull() & ~F.isnan(column))
         .groupBy(*keys, F.col(column).alias("_v"))
@@ -25,7 +28,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: dict[str,
     cut = range_blocks(counted, keys, ["_v"])
     ranked = running(cut, keys, ["_v"], {"_hi": ("sum", F.col("_n"))})
     totals = cut.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranked = ranked.join(totals, list(keys)) if keys else ranked.crossJoin(totals)
+    ranked = ranked.join(totals, keys)
     picks = []
     for name, p in probs.items():
         pos = F.lit(p) * (F.col("_total") - 1)
@@ -36,7 +39,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: dict[str,
         picks.append(F.max(pos - lo).alias(f"_f_{name}"))
     out = ranked.groupBy(*keys).agg(*picks)
     return out.select(
-        *keys,
+        *wanted,
         *[
             (F.col(f"_a_{n}") + (F.col(f"_b_{n}") - F.col(f"_a_{n}")) * F.col(f"_f_{n}")).alias(n)
             for n in probs
