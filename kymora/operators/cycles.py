@@ -14,6 +14,7 @@ from kymora.functions import kernels as kn
 from kymora.operators import intervals as iv
 from kymora.operators import spectral as sp
 from kymora.operators.align import proximity_score
+from kymora.operators.features import correlation
 from kymora.operators.peaks import find_peaks
 from kymora.operators.windows import envelope, neighbours, sliding_stats
 from kymora.plans.blocks import BLK, BLOCK_ROWS, index_blocks, running
@@ -475,18 +476,18 @@ def template_match(
     ck = list(ck)
     y = resample_cycles(env, ck, value, length).join(templates, "k")
     g = y.groupBy(*ck, "template").agg(
-        F.corr("y", "ref").alias("r"),
+        correlation(F.col("y"), F.col("ref")).alias("r"),
         F.array_sort(F.collect_list(F.struct("k", "y", "ref"))).alias("_s"),
     )
     if max_dtw is None:
-        return g.select(*ck, "template", "r", (F.col("r") >= min_r).alias("match"))
+        return g.select(*ck, "template", "r", F.coalesce(F.col("r") >= min_r, F.lit(False)).alias("match"))
 
     @F.pandas_udf("double")
     def warped(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([kn.dtw(kn.znorm(np.asarray(p, float)), kn.znorm(np.asarray(q, float))) for p, q in zip(a, b)])
 
     d = g.select(*ck, "template", "r", warped(F.col("_s.y"), F.col("_s.ref")).alias("dtw"))
-    return d.withColumn("match", (F.col("r") >= min_r) & (F.col("dtw") <= max_dtw))
+    return d.withColumn("match", F.coalesce((F.col("r") >= min_r) & (F.col("dtw") <= max_dtw), F.lit(False)))
 
 
 def periodic_noise(samples: DataFrame, ck: Sequence[str], fs: float, channels: Sequence[str] = CHANNELS, threshold: float = 0.3) -> DataFrame:

@@ -14,15 +14,20 @@ from kymora.sources.adapters import CHANNELS
 
 
 def sample_kurtosis(x: Column) -> Column:
-    """Bias-adjusted excess kurtosis (null below four values)."""
+    """Bias-adjusted excess kurtosis (null below four values, zero for a constant)."""
     n, g = F.count(x), F.kurtosis(x)
-    return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g + 6))
+    return F.when((n > 3) & (F.stddev_pop(x) == 0), 0.0).when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g + 6))
 
 
 def sample_skewness(x: Column) -> Column:
-    """Bias-adjusted skewness (null below three values)."""
+    """Bias-adjusted skewness (null below three values, zero for a constant)."""
     n, g = F.count(x), F.skewness(x)
-    return F.when(n > 2, g * F.sqrt(n * (n - 1)) / (n - 2))
+    return F.when((n > 2) & (F.stddev_pop(x) == 0), 0.0).when(n > 2, g * F.sqrt(n * (n - 1)) / (n - 2))
+
+
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation; null when either side is constant."""
+    return F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
 
 
 def moments(x: Column, prefix: str) -> list[Column]:
@@ -43,7 +48,7 @@ def channel_features(samples: DataFrame, keys: Sequence[str], channels: Sequence
     mean = sum((F.col(c) for c in channels[1:]), F.col(channels[0])) / len(channels)
     aggs = [a for c in channels for a in moments(F.col(c), c)]
     aggs += moments(mean, "avg")
-    aggs += [F.corr(a, b).alias(f"corr_{a}_{b}") for k, a in enumerate(channels) for b in channels[k + 1 :]]
+    aggs += [correlation(F.col(a), F.col(b)).alias(f"corr_{a}_{b}") for k, a in enumerate(channels) for b in channels[k + 1 :]]
     return samples.groupBy(*keys).agg(*aggs)
 
 

@@ -271,7 +271,7 @@ ORACLES = {
       {r('max(angle)', 'knee_angle_max')}, {r('max(angle) - min(angle)', 'knee_angle_range')} FROM bl GROUP BY 1""",
     "temporal_features": f"""WITH {_BL}, g AS (SELECT recording_id, cycle_index, max(t) - min(t) AS d, count(*) AS num_samples FROM bl GROUP BY 1, 2)
       SELECT recording_id, cycle_index, {r('d', 'duration')}, num_samples, {r('CASE WHEN d > 0 THEN num_samples / d END', 'sample_rate')} FROM g""",
-    "participant_features": f"""WITH {_BL}, f AS (SELECT recording_id, cycle_index, sqrt(avg(ch1 * ch1)) AS a, stddev_pop(ch2) AS b, corr(ch1, ch2) AS c FROM bl GROUP BY 1, 2)
+    "participant_features": f"""WITH {_BL}, f AS (SELECT recording_id, cycle_index, sqrt(avg(ch1 * ch1)) AS a, stddev_pop(ch2) AS b, CASE WHEN stddev_pop(ch1) > 0 AND stddev_pop(ch2) > 0 THEN corr(ch1, ch2) END AS c FROM bl GROUP BY 1, 2)
       SELECT recording_id, {', '.join(r(fn.format(x=x), f'{n}_{s}') for s, fn in (('mean', 'avg({x})'), ('median', 'quantile_cont({x}, 0.5)'), ('max', 'max({x})'), ('min', 'min({x})'))
         for n, x in (('ch1_rms', 'a'), ('ch2_std', 'b'), ('corr_ch1_ch2', 'c')))} FROM f GROUP BY 1""",
 }

@@ -161,6 +161,6 @@ def cycle_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("audio_processing_id"),
         F.when(F.col("l_linenumber") < 7, F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("synchronization_id"),
         F.lit(None).cast("int").alias("pass_number"), F.lit(None).cast("string").alias("speed"),
-        F.col("l_partkey").cast("int").alias("cycle_index"), F.col("q").alias("start_time_s"), (F.col("q") + F.col("p") / 1000).alias("end_time_s"),
-        (F.col("p") / 1000).alias("duration"), (F.col("d") > 0.07).alias("is_outlier"), (F.col("d") < 0.09).alias("is_active"),
+        F.col("l_partkey").cast("int").alias("cycle_index"), F.col("q").alias("start_time_s"), (F.col("q") + F.col("p") / 997).alias("end_time_s"),
+        (F.col("p") / 997).alias("duration"), (F.col("d") > 0.07).alias("is_outlier"), (F.col("d") < 0.09).alias("is_active"),
     )
