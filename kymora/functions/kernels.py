@@ -60,7 +60,7 @@ def reaches_prominence(
             higher = np.flatnonzero(side > val[p])
             stop = higher[0] if len(higher) else len(side)
             deep = side[:stop].min() if stop else np.inf
-            if min(deep, val[p]) <= val[p] - need:
+            if val[p] - min(deep, val[p]) >= need:
                 continue
             if len(higher) or known:
                 verdict = DROP
@@ -200,8 +200,15 @@ def analytic_phase(x: np.ndarray) -> np.ndarray:
     return np.unwrap(np.angle(np.fft.ifft(np.fft.fft(x) * gain)))
 
 
-def instantaneous_frequency(x: np.ndarray, fs: float, low: float = 10.0, high: float = 5000.0, order: int = 4) -> np.ndarray:
+def instantaneous_frequency(
+    x: np.ndarray, fs: float, low: float = 10.0, high: float = 5000.0, order: int = 4, fade_in: int = 0, fade_out: int = 0
+) -> np.ndarray:
+    """Hz per sample. A side cut out of a longer series fades over its outer samples before the transform."""
     y = bandpass_zero_phase(x - np.nanmean(x), fs, low, high, order)
+    for n, edge in ((fade_in, slice(0, fade_in)), (fade_out, slice(len(y) - fade_out, len(y)))):
+        if n:
+            ramp = 0.5 - 0.5 * np.cos(np.pi * (np.arange(n) + 0.5) / n)
+            y[edge] *= ramp if edge.start == 0 else ramp[::-1]
     return np.gradient(analytic_phase(y), 1 / fs) / (2 * np.pi)
 
 

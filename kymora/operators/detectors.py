@@ -56,7 +56,8 @@ def dropout_rule(silence: float = SILENCE_RMS, flatline: float = FLATLINE_VAR):
 
 def spike_rule(sigma: float = SPIKE_SIGMA, two_sided: bool = False):
     def rule(c: str) -> Column:
-        reach = sigma * F.col(f"{c}_std")
+        # a flat stretch has no deviation: rounding of its mean must not count as one
+        reach = sigma * F.col(f"{c}_std") + F.abs(F.col(f"{c}_mean")) * 1e-9
         if two_sided:
             return F.abs(F.col(c) - F.col(f"{c}_mean")) > reach
         return F.abs(F.col(c)) > F.col(f"{c}_mean") + reach

@@ -33,7 +33,7 @@ def asof_interpolate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resample_uniform(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(al.resample_uniform(ad.signal_irregular(spark, sf), K, "v", 1 / 14400.0))
+    return rounded(al.resample_uniform(ad.signal_irregular(spark, sf), K, "v", 1 / 14400.0).drop("t"))
 
 
 def resample_waveform(spark: SparkSession, sf: str) -> DataFrame:
@@ -259,7 +259,7 @@ ORACLES = {
       s AS (SELECT *, last_value(CASE WHEN side = 0 THEN t END IGNORE NULLS) OVER w AS pt, last_value(v IGNORE NULLS) OVER w AS pv,
         first_value(CASE WHEN side = 0 THEN t END IGNORE NULLS) OVER x AS nt, first_value(v IGNORE NULLS) OVER x AS nv FROM un
         WINDOW w AS (PARTITION BY recording_id ORDER BY t, side, k ROWS UNBOUNDED PRECEDING), x AS (PARTITION BY recording_id ORDER BY t, side, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-      SELECT recording_id, i, {r('t', 't')}, {r('CASE WHEN nt IS NULL THEN pv ELSE pv + (nv - pv) * (t - pt) / (nt - pt) END', 'v')} FROM s WHERE side = 1""",
+      SELECT recording_id, i, {r('CASE WHEN nt IS NULL THEN pv ELSE pv + (nv - pv) * (t - pt) / (nt - pt) END', 'v')} FROM s WHERE side = 1""",
     "resample_waveform": f"""WITH p AS (SELECT vec_id AS recording_id, k, embedding AS x, k * (len(embedding) - 1) / 24.0::DOUBLE AS pos FROM embeddings, range(0, 25) AS u(k)),
       q AS (SELECT recording_id, k, pos - floor(pos) AS w, CAST(x[CAST(floor(pos) AS INTEGER) + 1] AS DOUBLE) AS a, CAST(x[least(CAST(floor(pos) AS INTEGER) + 2, len(x))] AS DOUBLE) AS b FROM p)
       SELECT recording_id, CAST(k AS INTEGER) AS k, {r('a + (b - a) * w', 'y')} FROM q""",
