@@ -12,7 +12,7 @@ from kymora.operators.align import resample_uniform
 from kymora.operators.peaks import find_peaks, heel_strikes
 from kymora.operators.segments import gap_sessions, rate_segments
 from kymora.operators.windows import moving_average
-from kymora.plans.blocks import BLOCK_ROWS, index_blocks, range_blocks, running
+from kymora.plans.blocks import BLOCK_ROWS, index_blocks, running, time_blocks
 from kymora.plans.quantiles import quantiles
 from kymora.session import durable
 from kymora.sources.adapters import CHANNELS
@@ -45,12 +45,12 @@ def numbered(events: DataFrame, keys: Sequence[str], rows: int = BLOCK_ROWS) ->
     return n.select(*keys, (F.col("_k") - 1).alias("i"), "t")
 
 
-def strikes_in_passes(strikes: DataFrame, passes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def strikes_in_passes(strikes: DataFrame, passes: DataFrame, keys: Sequence[str], hz: float) -> DataFrame:
     """Heel strikes with the pass they fall in (both ends count): the latest pass begun is carried along."""
     keys = list(keys)
     data = strikes.select(*keys, "t", F.lit(1).alias("_side"), F.lit(None).cast("struct<start:double,end:double>").alias("_p"))
     marks = passes.select(*keys, F.col("start").alias("t"), F.lit(0).alias("_side"), F.struct("start", "end").alias("_p"))
-    cut = range_blocks(data.unionByName(marks), keys, ["t", "_side"])
+    cut = time_blocks(data.unionByName(marks), hz)
     seen = running(cut, keys, ["t", "_side"], {"_in": ("last", F.col("_p"))})
     return seen.filter((F.col("_side") == 1) & (F.col("t") <= F.col("_in.end"))).select(
         *keys, F.col("_in.start").alias("start"), F.col("_in.end").alias("end"), "t"
@@ -58,14 +58,13 @@ def strikes_in_passes(strikes: DataFrame, passes: DataFrame, keys: Sequence[str]
 
 
 def evaluate_passes(
-    strikes: DataFrame, passes: DataFrame, keys: Sequence[str], min_step_hz: float, max_step_hz: float,
+    strikes: DataFrame, passes: DataFrame, keys: Sequence[str], hz: float, min_step_hz: float, max_step_hz: float,
     period_tolerance: float, min_coverage: float,
 ) -> DataFrame:
     """Cadence, coverage by regular steps and verdict of every pass with at least two strikes."""
     pk = [*keys, "start", "end"]
-    s = strikes_in_passes(strikes, passes, keys)
-    cut = range_blocks(s, pk, ["t"])
-    p = running(cut, pk, ["t"], {"_t0": ("last", F.col("t"))}, exclusive=True).withColumn("period", F.col("t") - F.col("_t0"))
+    s = strikes_in_passes(strikes, passes, keys, hz)
+    p = running(time_blocks(s, hz), pk, ["t"], {"_t0": ("last", F.col("t"))}, exclusive=True).withColumn("period", F.col("t") - F.col("_t0"))
     mid = quantiles(p.filter("period IS NOT NULL"), pk, "period", {"median": 0.5}).filter("median > 0")
     lo, hi = F.col("median") * (1 - period_tolerance), F.col("median") * (1 + period_tolerance)
     regular = F.col("period").between(lo, hi)
@@ -73,8 +72,7 @@ def evaluate_passes(
         F.count(F.lit(1)).alias("heel_strike_count"), F.coalesce(F.sum(F.when(regular, F.col("period"))), F.lit(0.0)).alias("_valid"),
         F.count_if(regular).alias("_n_valid"),
     )
-    hz = 1 / F.col("median")
-    g = g.withColumn("gait_cycle_hz", hz).filter(F.col("gait_cycle_hz").between(min_step_hz, max_step_hz))
+    g = g.withColumn("gait_cycle_hz", 1 / F.col("median")).filter(F.col("gait_cycle_hz").between(min_step_hz, max_step_hz))
     cover = F.col("_valid") / (F.col("end") - F.col("start"))
     return g.filter("end > start").select(
         *pk, "heel_strike_count", "gait_cycle_hz", cover.alias("coverage_frac"),
@@ -96,7 +94,7 @@ def segment_bandpower(
                           F.lit(None).cast("struct<span_id:bigint,end:double>").alias("_p"))
     marks = spans.select(*base_keys, F.col("start").alias("t"), F.lit(0).alias("_side"), F.lit(None).cast("long").alias("_i"),
                          F.lit(None).cast("double").alias("_v"), F.struct(F.col("span_id").cast("long").alias("span_id"), "end").alias("_p"))
-    cut = range_blocks(data.unionByName(marks), base_keys, ["t", "_side", "_i"])
+    cut = time_blocks(data.unionByName(marks), hz)
     seen = running(cut, base_keys, ["t", "_side", "_i"], {"_in": ("last", F.col("_p"))})
     inside = seen.filter((F.col("_side") == 1) & (F.col("t") <= F.col("_in.end"))).select(
         *base_keys, F.col("_in.span_id").alias("span_id"), F.col("_i").alias("i"), F.col("_v").alias("v")
@@ -148,7 +146,7 @@ def walk_qc(
         passes = gaps
     named = [c for c in passes.columns if c not in (*keys, "start", "end")]
     passes = durable(passes)
-    res = evaluate_passes(strikes, passes.select(*keys, "start", "end"), keys, d["min_step_hz"], d["max_step_hz"],
+    res = evaluate_passes(strikes, passes.select(*keys, "start", "end"), keys, d["hz"], d["min_step_hz"], d["max_step_hz"],
                           d["period_tolerance"], d["min_coverage"])
     res = durable(res)
     spans = res.select(*keys, (F.col("start") * 1e6).cast("long").alias("span_id"), "start", "end", F.col("gait_cycle_hz").alias("target_hz"))

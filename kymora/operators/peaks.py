@@ -100,7 +100,6 @@ def find_peaks(
     prominent = prominence is not None or "prominence" in own_limits
     if gap <= 1 and not prominent:
         return extrema.filter("_cand").select(*keys, "i", flip.alias("v"))
-    extrema = durable(extrema)
     view = max(rows, 4 * gap)
     wanted: DataFrame | None = None
     settled: DataFrame | None = None
@@ -121,9 +120,12 @@ def find_peaks(
             judged = judged.join(wanted.select(*keys, "i"), [*keys, "i"], "left_semi")
         judged = durable(judged)
         settled = judged.filter("verdict = 1") if settled is None else settled.unionByName(judged.filter("verdict = 1"))
+        first_look = wanted is None
         wanted = judged.filter("verdict = -1")
         if wanted.isEmpty():
             return settled.select(*keys, "i", flip.alias("v"))
+        if first_look:
+            extrema = durable(extrema)
         view *= 4
 
 

@@ -1,8 +1,9 @@
 """Block-wise processing of ordered rows, so that no recording is ever one task.
 
-Three ways to cut an ordered series, all keyed by (recording, block):
+Ways to cut an ordered series, all keyed by (recording, block):
 
 * ``index_blocks``  - the row carries its sample index, so the block is ``i div rows``; no pass needed.
+* ``time_blocks``   - rows picked from an evenly sampled series, cut by time; no pass needed either.
 * ``range_blocks``  - the row only has ordering columns; a range shuffle cuts at row-count quantiles,
   wherever they fall, so one hot recording is spread over as many partitions as its share of rows.
 * ``with_halo``     - index blocks plus the neighbouring rows a sliding operator has to see.
@@ -29,6 +30,11 @@ def index_blocks(df: DataFrame, i: str = "i", rows: int = BLOCK_ROWS) -> DataFra
     return df.withColumn(BLK, F.floor(F.col(i) / F.lit(rows)).cast("long"))
 
 
+def time_blocks(df: DataFrame, hz: float, t: str = "t", rows: int = BLOCK_ROWS) -> DataFrame:
+    """Blocks of rows drawn from an evenly sampled series: a stretch of time holds at most ``rows`` of it."""
+    return df.withColumn(BLK, F.floor(F.col(t) * F.lit(hz / rows)).cast("long"))
+
+
 def range_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Assign each row the range partition it falls in; bounds are fixed once by the checkpoint."""
     n = partitions(df.sparkSession)
@@ -117,7 +123,8 @@ def running(
     )
     edge = -1 if exclusive else 0
     fwd = block_window(keys, order).rowsBetween(Window.unboundedPreceding, edge)
-    rev = block_window(keys, order).rowsBetween(-edge, Window.unboundedFollowing)
+    # looking ahead is looking back in descending order: a growing frame, not one rebuilt per row
+    rev = block_window(keys, [F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, edge)
 
     def inside(name: str) -> Column:
         kind, x, c = specs[name][0], F.col(f"_x_{name}"), F.col(f"_c_{name}")
@@ -127,7 +134,7 @@ def running(
             return F.greatest(c, F.max(x).over(fwd))
         if kind == "last":
             return F.coalesce(F.last(x, ignorenulls=True).over(fwd), c)
-        return F.coalesce(F.first(x, ignorenulls=True).over(rev), c)
+        return F.coalesce(F.last(x, ignorenulls=True).over(rev), c)
 
     joined = work.join(carried, [*keys, BLK])
     return joined.select(*df.columns, *[inside(n).alias(n) for n in names])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kymora.operators import cycles as cy
 from kymora.operators import features as ft
 from kymora.operators import intervals as iv
-from kymora.queries.common import SIG, r, rounded
+from kymora.queries.common import SIG, merged, r, rounded
 from kymora.session import durable
 from kymora.sources import adapters as ad
 
@@ -265,6 +265,10 @@ ORACLES = {
       c AS (SELECT recording_id, cycle_index, template, corr(y, ref) AS r FROM y JOIN t USING (k) GROUP BY 1, 2, 3)
       SELECT recording_id, cycle_index, template, {r('r', 'r')}, r >= 0.1 AS match FROM c""",
     "intermittent_artifacts": f"WITH {_BURST} SELECT recording_id, cycle_index, channel, {r('s', 'start')}, {r('e', chr(34) + 'end' + chr(34))} FROM bi",
+    "cycle_artifact_table": f"""WITH {_BURST}, ct AS (SELECT recording_id, cycle_index, 'ch2' AS channel, min(t) AS s, min(t) + 0.25 AS e FROM bl WHERE recording_id % 3 = 0 GROUP BY 1, 2),
+      u AS (SELECT * FROM bi UNION ALL SELECT * FROM ct), al AS (SELECT *, 'intermittent' AS kind FROM bi UNION ALL SELECT *, 'continuous' FROM ct
+        UNION ALL SELECT *, 'all' FROM ({merged('u', 'recording_id, cycle_index, channel', 0.0)}))
+      SELECT recording_id, cycle_index, channel, kind, {r('s', 'start')}, {r('e', chr(34) + 'end' + chr(34))} FROM al""",
     "channel_features": f"""WITH {SIG}, s AS (SELECT *, (ch1 + ch2) / 2 AS avg FROM sig) SELECT recording_id, {_moments('ch1')}, {_moments('ch2')}, {_moments('avg').replace('avg(avg)', 'avg(s.avg)')},
       {r('corr(ch1, ch2)', 'corr_ch1_ch2')} FROM s GROUP BY 1""",
     "angle_features": f"""WITH {_BL} SELECT recording_id, {r('avg(angle)', 'knee_angle_mean')}, {r('stddev_pop(angle)', 'knee_angle_std')}, {r('min(angle)', 'knee_angle_min')},
