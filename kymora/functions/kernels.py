@@ -28,45 +28,56 @@ def thin_by_distance(pos: np.ndarray, val: np.ndarray, distance: int, seen_from:
     A peak goes when a kept higher peak lies closer than ``distance``. Where the reach of a peak leaves
     the visible span [seen_from, seen_to], or depends on a neighbour that is itself open, it stays open.
     """
-    verdict = np.full(len(pos), OPEN, dtype=np.int8)
-    rank = np.lexsort((pos, val))[::-1]
-    done = np.zeros(len(pos), dtype=bool)
-    for k in rank:
-        lo = np.searchsorted(pos, pos[k] - distance, side="right")
-        hi = np.searchsorted(pos, pos[k] + distance, side="left")
-        near = verdict[lo:hi][done[lo:hi]]
-        if (near == KEEP).any():
-            verdict[k] = DROP
-        elif (near == OPEN).any() or pos[k] - distance + 1 < seen_from or pos[k] + distance - 1 > seen_to:
+    waiting = -2
+    verdict = np.full(len(pos), waiting, dtype=np.int8)
+    shadow = np.zeros(len(pos), dtype=bool)
+    low = np.searchsorted(pos, pos - distance, side="right")
+    high = np.searchsorted(pos, pos + distance, side="left")
+    cut_off = (pos - distance + 1 < seen_from) | (pos + distance - 1 > seen_to)
+    for k in np.lexsort((pos, val))[::-1]:
+        if verdict[k] != waiting:
+            continue
+        reach = slice(low[k], high[k])
+        if cut_off[k] or shadow[k]:
             verdict[k] = OPEN
+            shadow[reach] = True
         else:
+            near = verdict[reach]
+            near[near == waiting] = DROP
             verdict[k] = KEEP
-        done[k] = True
     return verdict
 
 
+def _side_verdict(side: np.ndarray, top: float, need: float, known: bool) -> int:
+    """Walk away from a peak in growing steps until it is deep enough, overtopped, or out of view."""
+    low, a, size = top, 0, 32
+    while a < len(side):
+        part = side[a : a + size]
+        over = np.flatnonzero(part > top)
+        seen = part[: over[0]] if len(over) else part
+        if len(seen):
+            low = min(low, seen.min())
+        if top - low >= need:
+            return KEEP
+        if len(over):
+            return DROP
+        a, size = a + size, size * 4
+    return DROP if known else OPEN
+
+
 def reaches_prominence(
     pos: np.ndarray, val: np.ndarray, peaks: np.ndarray, need: float, left_known: bool, right_known: bool
 ) -> np.ndarray:
     """Three-valued test that each peak (row number in the extrema list) stands out by ``need``.
 
     ``pos``/``val`` list extrema and series ends. On each side the lowest value before a higher one
-    counts; the search may stop as soon as it is low enough.
+    counts; the search stops as soon as it is low enough.
     """
     out = np.empty(len(peaks), dtype=np.int8)
     for a, p in enumerate(peaks):
-        verdict = KEEP
-        for side, known in ((val[:p][::-1], left_known), (val[p + 1 :], right_known)):
-            higher = np.flatnonzero(side > val[p])
-            stop = higher[0] if len(higher) else len(side)
-            deep = side[:stop].min() if stop else np.inf
-            if val[p] - min(deep, val[p]) >= need:
-                continue
-            if len(higher) or known:
-                verdict = DROP
-                break
-            verdict = OPEN
-        out[a] = verdict
+        left = _side_verdict(val[:p][::-1], val[p], need, left_known)
+        right = DROP if left == DROP else _side_verdict(val[p + 1 :], val[p], need, right_known)
+        out[a] = DROP if right == DROP else OPEN if OPEN in (left, right) else KEEP
     return out
 
 

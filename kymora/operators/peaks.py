@@ -41,9 +41,9 @@ def local_extrema(signal: DataFrame, keys: Sequence[str], value: str, rows: int
 
 def _verdicts(distance: int, prominent: bool, rows: int, halo: int):
     def verdict(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        pos, val, kinds = g["i"], g["v"], g["kind"]
+        pos, val = g["i"], g["v"]
         blk = int(g["_at"][0])
-        has_first, has_last = (kinds == "first").any(), (kinds == "last").any()
+        has_first, has_last = (g["_end"] < 0).any(), (g["_end"] > 0).any()
         seen_from = -np.inf if has_first else blk * rows - halo
         seen_to = np.inf if has_last else (blk + 1) * rows + halo - 1
         top = np.flatnonzero(g["_cand"])
@@ -95,16 +95,17 @@ def find_peaks(
     if height is not None or "height" in own_limits:
         candidate = candidate & (F.col("v") >= floor)
     extrema = extrema.select(
-        *keys, "i", "v", "kind", F.coalesce(candidate, F.lit(False)).alias("_cand"), need.cast("double").alias("_need")
+        *keys, "i", "v", F.coalesce(candidate, F.lit(False)).alias("_cand"), need.cast("double").alias("_need"),
+        F.when(F.col("kind") == "first", -1).when(F.col("kind") == "last", 1).otherwise(0).cast("tinyint").alias("_end"),
     )
     prominent = prominence is not None or "prominence" in own_limits
     if gap <= 1 and not prominent:
         return extrema.filter("_cand").select(*keys, "i", flip.alias("v"))
-    view = max(rows, 4 * gap)
+    view = max(4 * rows, 8 * gap)
     wanted: DataFrame | None = None
     settled: DataFrame | None = None
     while True:
-        halo = max(view // 2, 2 * gap)
+        halo = view // 8 + 2 * gap
         own = lambda x: F.floor(x / F.lit(view)).cast("long")
         spread = extrema.withColumn(
             BLK, F.explode(F.sequence(F.greatest(own(F.col("i") - halo), F.lit(0)), own(F.col("i") + halo)))
@@ -113,12 +114,11 @@ def find_peaks(
             todo = wanted.select(*keys, own(F.col("i")).alias(BLK)).distinct()
             spread = spread.join(todo, [*keys, BLK], "left_semi")
         judged = grouped_map(
-            spread.withColumn("_at", F.col(BLK)), [*keys, BLK], ["i"], ["i", "v", "kind", "_cand", "_need", "_at"],
+            spread.withColumn("_at", F.col(BLK)), [*keys, BLK], ["i"], ["i", "v", "_end", "_cand", "_need", "_at"],
             "i bigint, v double, verdict int", _verdicts(gap, prominent, view, halo),
         ).drop(BLK)
         if wanted is not None:
             judged = judged.join(wanted.select(*keys, "i"), [*keys, "i"], "left_semi")
-        judged = durable(judged)
         settled = judged.filter("verdict = 1") if settled is None else settled.unionByName(judged.filter("verdict = 1"))
         first_look = wanted is None
         wanted = judged.filter("verdict = -1")

@@ -74,7 +74,7 @@ def rate_segments(events: DataFrame, keys: Sequence[str], least: int = 6, tolera
         return out
 
     schema = "rank int, start double, end double, parts array<struct<start:double,end:double>>"
-    found = durable(grouped_map(runs, [*keys, "_run"], ["t"], ["_t0", "t"], schema, spans).drop("_run"))
+    found = grouped_map(runs, [*keys, "_run"], ["t"], ["_t0", "t"], schema, spans).drop("_run")
     tally = found.groupBy(*keys, "rank").agg(F.count(F.lit(1)).alias("n"))
     enough = F.col("n") >= 3
     choice = F.struct(F.when(enough, 0).otherwise(1).alias("a"), F.when(enough, F.col("rank")).otherwise(-F.col("n")).alias("b"), "rank")

@@ -70,9 +70,10 @@ def with_halo(
 ) -> DataFrame:
     """Give every block ``before`` rows ahead of it and ``after`` rows behind it.
 
-    A row goes to each block whose reach covers it; ``_core`` marks the one block that owns it.
+    A row goes to each block whose reach covers it; ``_core`` marks the one block that owns it. Blocks
+    are at least four times the reach, so at most a quarter of the rows is copied.
     """
-    rows = max(rows, before + after + 1)
+    rows = max(rows, 4 * (before + after), 1)
     own = F.floor(F.col(i) / F.lit(rows)).cast("long")
     first = F.floor((F.col(i) - F.lit(after)) / F.lit(rows)).cast("long")
     last = F.floor((F.col(i) + F.lit(before)) / F.lit(rows)).cast("long")

@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from kymora.session import partitions
+from kymora.session import durable, partitions
 
 
 def grouped_map(
@@ -68,7 +68,8 @@ def grouped_map(
         if rest is not None and len(rest):
             yield work(rest, np.array([0]))
 
-    return src.mapInPandas(run, f"{head}, {schema}")
+    # written before anything is joined to it, so the helper runs once and its rows are final
+    return durable(src.mapInPandas(run, f"{head}, {schema}"))
 
 
 def _split_top(schema: str) -> list[str]:
