@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kymora.llm import bpe, packing, token_blocks, token_counts
+from kymora.llm import bpe, classlm, packing, phrases, quality, secrets, simhash, token_blocks, token_counts
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -26,15 +26,42 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(BYTES), limit=512)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by way of a ledger of blobs."""
+    return secrets.span_digest(secrets.scan(documents(spark, sf_dir)))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4,096 tokens."""
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path(WORDS), end_id=1, capacity=4096)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition rules for every document."""
+    got = quality.quality(documents(spark, sf_dir))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "longest_repeat")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the group of near-duplicates that it is in."""
+    got = simhash.near_duplicates(documents(spark, sf_dir), width=3, tau=2)
+    return got.select("doc_id", simhash.hex_print(got["fp"]).alias("fingerprint"), "component_id")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Own BPE encoding of every document, and its decoding."""
     return bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path(WORDS))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op4_packing, op8_bpe)}
-ORACLES: dict[str, str] = {}
+def op9_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return phrases.phrase_fingerprints(documents(spark, sf_dir))
+
+
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability in a class-based bigram model."""
+    return classlm.score(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_secrets, op4_packing, op6_quality, op7_simhash, op8_bpe, op9_phrases, op10_class_lm)}
+ORACLES: dict[str, str] = {"op3_secrets": secrets.ORACLE}
