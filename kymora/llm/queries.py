@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kymora.llm import bpe, classlm, packing, phrases, quality, secrets, simhash, token_blocks, token_counts
+from kymora.llm import bpe, classlm, packing, phrases, quality, secrets, simhash, substrings, token_blocks, token_counts
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -36,6 +36,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path(WORDS), end_id=1, capacity=4096)
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in 20-word windows that occurred before, removed from every document."""
+    return substrings.remove_repeats(documents(spark, sf_dir))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition rules for every document."""
     got = quality.quality(documents(spark, sf_dir))
@@ -63,5 +68,5 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classlm.score(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_secrets, op4_packing, op6_quality, op7_simhash, op8_bpe, op9_phrases, op10_class_lm)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_secrets, op4_packing, op5_substrings, op6_quality, op7_simhash, op8_bpe, op9_phrases, op10_class_lm)}
 ORACLES: dict[str, str] = {"op3_secrets": secrets.ORACLE}
