@@ -16,15 +16,10 @@ WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns and no others; an exact spelling wins over one that differs in case only."""
-    at = []
-    for name in names:
-        exact = [i for i, c in enumerate(df.columns) if c == name]
-        loose = [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
-        if not exact and not loose:
-            raise ValueError(f"column {name} is missing; there are {df.columns}")
-        at.append((exact or loose)[0])
-    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return plain.select(*[F.col(f"c{i}").alias(n) for i, n in zip(at, names)])
+    at = [place_of(df.columns, name) for name in names]
+    if -1 in at:
+        raise ValueError(f"column {names[at.index(-1)]} is missing; there are {df.columns}")
+    return plain(df)[0].select(*[F.col(f"c{i}").alias(n) for i, n in zip(at, names)])
 
 
 def texts(docs: DataFrame, *more: Column) -> DataFrame:
@@ -60,7 +55,19 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def plain(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns called c0, c1, ..., and their names: no name of ours can clash with them."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), df.columns
+
+
+def place_of(names: list[str], name: str) -> int:
+    """Where a column stands; an exact spelling wins over one that differs in case only; -1 if nowhere."""
+    exact = [i for i, c in enumerate(names) if c == name]
+    loose = [i for i, c in enumerate(names) if c.lower() == name.lower()]
+    return (exact or loose or [-1])[0]
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str | int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about equal bytes of ``column``; a longer row stands alone."""
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
@@ -74,6 +81,20 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             yield batch.slice(first)
 
 
+def with_text(df: DataFrame, names: list[str], text: Column, changed: Column) -> DataFrame:
+    """The columns c0, c1, ... under their names, with a new text, and its length where it changed."""
+    t, n = place_of(names, "text"), place_of(names, "n_chars")
+    out = []
+    for i, name in enumerate(names):
+        c = F.col(f"c{i}")
+        if i == t:
+            c = F.when(changed, text).otherwise(c)
+        elif i == n:
+            c = F.when(changed, F.length(text).cast(df.schema[f"c{i}"].dataType)).otherwise(c)
+        out.append(c)
+    return df.select(*out).toDF(*names)
+
+
 def batch_of(columns: dict[str, Sequence], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, schema.field(n).type) for n, c in columns.items()], schema=schema

@@ -22,10 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from kymora.llm.common import batch_of, slices, texts
+from kymora.llm.common import batch_of, place_of, plain, slices, texts
 from kymora.llm.words import IS_SPACE, Words, per_text, raw_bytes, split_words
 
 SYMBOLS = np.zeros(256, bool)
@@ -123,7 +123,27 @@ def repeated_lines(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.bincount(text, minlength=n_texts) - np.bincount(text[first], minlength=n_texts)
 
 
-def quality(docs: DataFrame, limits: Limits = Limits(), *carry: str) -> DataFrame:
+def judge(raw: pa.Array, limits: Limits) -> dict[str, np.ndarray]:
+    """What ``quality`` returns of each text, without its doc_id."""
+    data, bounds = raw_bytes(raw)
+    words = split_words(raw)
+    n = words.counts
+    longest = longest_repeats(words)
+    in_window = per_text(covered(longest, WINDOW), words.bounds)
+    share = per_text(covered(longest, limits.min_repeat), words.bounds) / np.maximum(n, 1)
+    top = np.zeros(len(n), np.int64)
+    if len(longest):
+        top[n > 0] = np.maximum.reduceat(longest, words.bounds[:-1][n > 0])
+    failed = (n < MIN_WORDS) | (100 * in_window > MAX_REPEATED * n)
+    kept = ~failed & (share <= limits.max_covered) & (top <= np.maximum(limits.max_longest, limits.max_longest_share * n))
+    chars = per_text(~IS_SPACE[data] & ((data & 0xC0) != 0x80), bounds)
+    return {
+        "n_words": n, "word_chars": chars, "n_symbols": per_text(SYMBOLS[data], bounds), "n_dup_lines": repeated_lines(data, bounds),
+        "n_repeat_words": in_window, "covered": share, "longest_repeat": top, "base_failed": failed, "kept": kept,
+    }
+
+
+def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered, longest_repeat, base_failed, kept).
 
     ``covered`` is the fraction of words in maximal repeats of ``limits.min_repeat`` words or more.
@@ -133,22 +153,19 @@ def quality(docs: DataFrame, limits: Limits = Limits(), *carry: str) -> DataFram
         longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
         schema = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in longs], ("covered", pa.float64()), ("longest_repeat", pa.int64()), ("base_failed", pa.bool_()), ("kept", pa.bool_())])
         for batch in slices(batches, "raw", 4 << 20):
-            raw = batch.column("raw")
-            data, bounds = raw_bytes(raw)
-            words = split_words(raw)
-            n = words.counts
-            longest = longest_repeats(words)
-            in_window = per_text(covered(longest, WINDOW), words.bounds)
-            share = per_text(covered(longest, limits.min_repeat), words.bounds) / np.maximum(n, 1)
-            top = np.zeros(len(n), np.int64)
-            if len(longest):
-                top[n > 0] = np.maximum.reduceat(longest, words.bounds[:-1][n > 0])
-            failed = (n < MIN_WORDS) | (100 * in_window > MAX_REPEATED * n)
-            kept = ~failed & (share <= limits.max_covered) & (top <= np.maximum(limits.max_longest, limits.max_longest_share * n))
-            chars = per_text(~IS_SPACE[data] & ((data & 0xC0) != 0x80), bounds)
-            yield batch_of({
-                "doc_id": batch.column("doc_id"), "n_words": n, "word_chars": chars, "n_symbols": per_text(SYMBOLS[data], bounds), "n_dup_lines": repeated_lines(data, bounds),
-                "n_repeat_words": in_window, "covered": share, "longest_repeat": top, "base_failed": failed, "kept": kept,
-            }, schema)
+            yield batch_of({"doc_id": batch.column("doc_id"), **judge(batch.column("raw"), limits)}, schema)
 
     return texts(docs).mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, covered double, longest_repeat long, base_failed boolean, kept boolean")
+
+
+def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns; rows never leave their task."""
+    named, names = plain(docs)
+    t = place_of(names, "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, t, 4 << 20):
+            raw = pa.compute.fill_null(batch.column(t).cast(pa.large_binary()), b"")
+            yield batch.filter(pa.array(judge(raw, limits)["kept"]))
+
+    return named.mapInArrow(run, named.schema).toDF(*names)

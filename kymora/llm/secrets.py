@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kymora.llm.common import pick, shared_folder
+from kymora.llm.common import pick, place_of, plain, shared_folder, with_text
 
 
 @dataclass(frozen=True)
@@ -151,6 +151,16 @@ def redact(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, cleaned).otherwise(text)
 
 
+def redact_documents(docs: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """All rows and columns of ``docs``, with the spans found in a text replaced and n_chars set anew there."""
+    ledger = ledger or Ledger(docs.sparkSession)
+    ledger.update(docs, rules)
+    named, names = plain(docs)
+    text = F.coalesce(F.col(f"c{place_of(names, 'text')}"), F.lit(""))
+    joined = named.withColumn("blob", F.unhex(F.sha2(text, 256))).join(ledger.findings(rules), "blob", "left").withColumn("spans", in_order(F.coalesce("spans", F.array().cast(SPAN)), rules))
+    return with_text(joined, names, redact(text, F.col("spans")), F.size("spans") > 0)
+
+
 def span_digest(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc_id, n_<kind>, base_sha256, spans) with spans as kind:start:end joined by commas."""
     joined = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -27,6 +27,7 @@ text whose result each of them gets; other columns are ignored; an empty table g
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +35,15 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from kymora.llm.common import batch_of, pick, slices, stage, texts
+from kymora.llm.common import batch_of, pick, place_of, plain, slices, stage, texts, with_text
 from kymora.llm.phrases import _seeds, mix
 from kymora.llm.words import IS_SPACE, raw_bytes
 
 WINDOW, GRAM, SHARD = 20, 8, 4096
 LEAST_ID = -(1 << 63)
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def word_hashes(raw: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -317,13 +320,45 @@ def _candidates(docs: DataFrame) -> DataFrame:
     return kept.groupBy("ord", "tie").agg(F.collect_set(F.struct("anchor", "pack")).alias("found"))
 
 
+def has_ties(docs: DataFrame) -> bool:
+    """Whether rows share a doc_id; where none do, hashes of texts need not travel with the rows."""
+    return not pick(docs, "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, raw, ord, tie): ord orders the rows, tie tells rows of equal doc_id apart."""
-    ids = pick(docs, "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    tie = F.lit(0).cast("long") if ids.isEmpty() else F.xxhash64("text")
+    tie = F.xxhash64(F.coalesce("text", F.lit(""))) if has_ties(docs) else F.lit(0).cast("long")
     return texts(docs, tie.alias("tie")).withColumn("ord", F.coalesce("doc_id", F.lit(LEAST_ID)))
 
 
+def cut_out(docs: DataFrame, shard: int = SHARD) -> DataFrame:
+    """All rows and columns of ``docs``, without the removed words and the white space after them."""
+    runs = remove_repeats(docs, shard, with_spans=True).filter("n_removed > 0").select("ord", "tie", "removed").dropDuplicates(["ord", "tie"])
+    named, names = plain(docs)
+    t = place_of(names, "text")
+    text = F.coalesce(F.col(f"c{t}"), F.lit(""))
+    ord_ = F.coalesce(F.col(f"c{place_of(names, 'doc_id')}").cast("long"), F.lit(LEAST_ID))
+    tie = F.xxhash64(text) if has_ties(docs) else F.lit(0).cast("long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            out = []
+            for raw, removed in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist()):
+                if removed:
+                    at = [m.start() for m in WORD.finditer(raw)] + [len(raw)]
+                    bounds = [0, *[x for r in removed for x in (at[r["start"]], at[r["stop"]])], len(raw)]
+                    raw = b"".join(raw[a:b] for a, b in zip(bounds[::2], bounds[1::2]))
+                out.append(raw)
+            kept = [batch.column(f"c{i}") for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array([x.decode("utf-8", "replace") for x in out], pa.string()), pa.array([bool(x) for x in batch.column("removed").to_pylist()])], [*[f"c{i}" for i in range(len(names))], "text", "changed"])
+
+    joined = named.withColumn("ord", ord_).withColumn("tie", tie).join(runs, ["ord", "tie"], "left")
+    cols = [F.col(f"c{i}") for i in range(len(names))]
+    schema = StructType([*named.schema.fields, StructField("text", StringType()), StructField("changed", BooleanType())])
+    edited = joined.select(*cols, F.encode(text, "UTF-8").alias("text"), "removed").mapInArrow(run, schema)
+    return with_text(edited, names, F.col("text"), F.col("changed"))
+
+
 def _mask(n: int, spans) -> np.ndarray:
     edge = np.zeros(n + 1, np.int64)
     for s in spans or ():
