@@ -30,6 +30,12 @@ def look_up(key: Column, table: dict[str, str]) -> Column:
     return out
 
 
+def maneuver_name(x: Column) -> Column:
+    """The long name of a maneuver from its code or name; null for any other text."""
+    plain = F.regexp_replace(F.lower(F.trim(x)), r"[\s-]+", "_")
+    return look_up(plain, {"fe": "flexion_extension", "sts": "sit_to_stand", "walk": "walk", "sit_to_stand": "sit_to_stand", "flexion_extension": "flexion_extension"})
+
+
 def to_seconds(x: Column) -> Column:
     """Seconds from a number, or from text as a number or [d days] [hh:]mm:ss[.f]."""
     s = F.trim(x.cast("string"))

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kymora.functions import scalars as sc
 from kymora.operators import spectral as sp
 from kymora.operators.align import resample_uniform
+from kymora.operators.intervals import by_bucket
 from kymora.operators.peaks import find_peaks, heel_strikes
 from kymora.operators.segments import gap_sessions, rate_segments
 from kymora.operators.windows import moving_average
-from kymora.plans.blocks import BLOCK_ROWS, index_blocks, running, time_blocks
+from kymora.plans.blocks import BLOCK_ROWS, KEY, index_blocks, running, time_blocks, with_key
 from kymora.plans.quantiles import quantiles
 from kymora.session import durable
 from kymora.sources.adapters import CHANNELS
@@ -45,16 +48,19 @@ def numbered(events: DataFrame, keys: Sequence[str], rows: int = BLOCK_ROWS) ->
     return n.select(*keys, (F.col("_k") - 1).alias("i"), "t")
 
 
-def strikes_in_passes(strikes: DataFrame, passes: DataFrame, keys: Sequence[str], hz: float) -> DataFrame:
-    """Heel strikes with the pass they fall in (both ends count): the latest pass begun is carried along."""
-    keys = list(keys)
-    data = strikes.select(*keys, "t", F.lit(1).alias("_side"), F.lit(None).cast("struct<start:double,end:double>").alias("_p"))
-    marks = passes.select(*keys, F.col("start").alias("t"), F.lit(0).alias("_side"), F.struct("start", "end").alias("_p"))
-    cut = time_blocks(data.unionByName(marks), hz)
-    seen = running(cut, keys, ["t", "_side"], {"_in": ("last", F.col("_p"))})
-    return seen.filter((F.col("_side") == 1) & (F.col("t") <= F.col("_in.end"))).select(
-        *keys, F.col("_in.start").alias("start"), F.col("_in.end").alias("end"), "t"
-    )
+def points_in_spans(points: DataFrame, spans: DataFrame, keys: Sequence[str], bucket_s: float = 60.0) -> DataFrame:
+    """Every pair of a point ``t`` and a span that holds it, both ends included: an equi-join on time buckets.
+
+    A point on the common edge of two spans is in both, and spans may overlap.
+    """
+    cut = with_key(by_bucket(spans, "start", "end", bucket_s), keys).drop(*keys)
+    at = with_key(points.withColumn("_bucket", F.floor(F.col("t") / F.lit(bucket_s)).cast("long")), keys)
+    return at.join(cut, [KEY, "_bucket"]).filter(F.col("t").between(F.col("start"), F.col("end"))).drop(KEY, "_bucket")
+
+
+def strikes_in_passes(strikes: DataFrame, passes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Heel strikes with each pass they fall in."""
+    return points_in_spans(strikes.select(*keys, "t"), passes.select(*keys, "start", "end"), keys)
 
 
 def evaluate_passes(
@@ -63,7 +69,7 @@ def evaluate_passes(
 ) -> DataFrame:
     """Cadence, coverage by regular steps and verdict of every pass with at least two strikes."""
     pk = [*keys, "start", "end"]
-    s = strikes_in_passes(strikes, passes, keys, hz)
+    s = strikes_in_passes(strikes, passes, keys)
     p = running(time_blocks(s, hz), pk, ["t"], {"_t0": ("last", F.col("t"))}, exclusive=True).withColumn("period", F.col("t") - F.col("_t0"))
     mid = quantiles(p.filter("period IS NOT NULL"), pk, "period", {"median": 0.5}).filter("median > 0")
     lo, hi = F.col("median") * (1 - period_tolerance), F.col("median") * (1 + period_tolerance)
@@ -90,15 +96,8 @@ def segment_bandpower(
     keys = [*keys, "span_id"]
     base_keys = keys[:-1]
     full = max(int(hz * seconds), 256)
-    data = uniform.select(*base_keys, "t", F.lit(1).alias("_side"), F.col("i").alias("_i"), F.col("v").alias("_v"),
-                          F.lit(None).cast("struct<span_id:bigint,end:double>").alias("_p"))
-    marks = spans.select(*base_keys, F.col("start").alias("t"), F.lit(0).alias("_side"), F.lit(None).cast("long").alias("_i"),
-                         F.lit(None).cast("double").alias("_v"), F.struct(F.col("span_id").cast("long").alias("span_id"), "end").alias("_p"))
-    cut = time_blocks(data.unionByName(marks), hz)
-    seen = running(cut, base_keys, ["t", "_side", "_i"], {"_in": ("last", F.col("_p"))})
-    inside = seen.filter((F.col("_side") == 1) & (F.col("t") <= F.col("_in.end"))).select(
-        *base_keys, F.col("_in.span_id").alias("span_id"), F.col("_i").alias("i"), F.col("_v").alias("v")
-    )
+    marks = spans.select(*base_keys, F.col("span_id").cast("long").alias("span_id"), "start", "end")
+    inside = points_in_spans(uniform.select(*base_keys, "t", "i", "v"), marks, base_keys).select(*keys, "i", "v")
     size = inside.groupBy(*keys).agg(F.min("i").alias("_f"), F.count(F.lit(1)).alias("_n"), F.avg("v").alias("_m")).filter("_n >= 4")
     rel = inside.join(size, keys).select(*keys, (F.col("i") - F.col("_f")).alias("i"), (F.col("v") - F.col("_m")).alias("v"), "_n")
     long = sp.frames(rel.filter(F.col("_n") >= full), keys, "v", full, full - full // 2, None).select(*keys, "x")
@@ -199,9 +198,14 @@ def periodic_qc(
 
 
 def batch_qc(signal: DataFrame, maneuvers: DataFrame, keys: Sequence[str], target_hz: float = 0.25, tail_s: float = 5.0) -> DataFrame:
-    """One result table for all recordings, each judged by the rule set of its maneuver."""
+    """One result table for all recordings, each judged by the rule set of its maneuver.
+
+    Short codes and long names of maneuvers count alike; a recording with any other name fails.
+    """
     keys = list(keys)
-    parts = []
+    maneuvers = maneuvers.withColumn("maneuver", sc.maneuver_name(F.col("maneuver")))
+    odd = maneuvers.filter(F.col("maneuver").isNull()).select(*keys)
+    parts = [odd.select(*keys, F.lit(False).alias("passed"), F.lit(0.0).alias("coverage_frac"), F.lit(0.0).alias("bandpower_ratio"), F.lit(None).cast("string").alias("maneuver"))]
     for name in ("walk", "sit_to_stand", "flexion_extension"):
         s = signal.join(maneuvers.filter(F.col("maneuver") == name).select(*keys), keys, "left_semi")
         if name == "walk":
@@ -215,4 +219,4 @@ def batch_qc(signal: DataFrame, maneuvers: DataFrame, keys: Sequence[str], targe
         else:
             r = periodic_qc(s, keys, name, target_hz, tail_s)
         parts.append(r.withColumn("maneuver", F.lit(name)))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts[1:], parts[0])

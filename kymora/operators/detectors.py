@@ -23,6 +23,10 @@ SPIKE_SIGMA = 5.0
 SPIKE_WINDOW_S = 0.01
 SPIKE_MIN_S = 0.01
 
+# A sample that lies exactly on the limit is no spike. Series of few distinct values meet the limit exactly,
+# and there the rounding of a mean would decide; so the limit is raised by this share of the local mean.
+TIE_MARGIN = 1e-9
+
 RECORDING = ("recording_id",)
 
 
@@ -54,10 +58,9 @@ def dropout_rule(silence: float = SILENCE_RMS, flatline: float = FLATLINE_VAR):
     return rule
 
 
-def spike_rule(sigma: float = SPIKE_SIGMA, two_sided: bool = False):
+def spike_rule(sigma: float = SPIKE_SIGMA, two_sided: bool = False, tie_margin: float = TIE_MARGIN):
     def rule(c: str) -> Column:
-        # a flat stretch has no deviation: rounding of its mean must not count as one
-        reach = sigma * F.col(f"{c}_std") + F.abs(F.col(f"{c}_mean")) * 1e-9
+        reach = sigma * F.col(f"{c}_std") + F.abs(F.col(f"{c}_mean")) * tie_margin
         if two_sided:
             return F.abs(F.col(c) - F.col(f"{c}_mean")) > reach
         return F.abs(F.col(c)) > F.col(f"{c}_mean") + reach
@@ -79,11 +82,14 @@ def detect_dropout(
 def detect_spikes(
     signal: DataFrame, fs: float, channels: Sequence[str] = CHANNELS, keys: Sequence[str] = RECORDING,
     sigma: float = SPIKE_SIGMA, window_s: float = SPIKE_WINDOW_S, min_s: float = SPIKE_MIN_S,
-    per_channel: bool = True, two_sided: bool = False, rows: int = BLOCK_ROWS,
+    per_channel: bool = True, two_sided: bool = False, rows: int = BLOCK_ROWS, tie_margin: float = TIE_MARGIN,
 ) -> DataFrame:
-    """Intervals where a sample exceeds its local mean by ``sigma`` local deviations, typed by length."""
+    """Intervals where a sample exceeds its local mean by ``sigma`` local deviations, typed by length.
+
+    A sample within ``tie_margin`` of the limit, relative to the local mean, is a tie and no spike.
+    """
     w = window_length(fs, window_s, 5)
-    flagged = _flagged(signal, keys, channels, w, ("mean", "std"), spike_rule(sigma, two_sided), rows)
+    flagged = _flagged(signal, keys, channels, w, ("mean", "std"), spike_rule(sigma, two_sided, tie_margin), rows)
     found = _collect(flagged, keys, channels, min_s, per_channel, rows)
     return found.withColumn("artifact_type", iv.artifact_type(F.col("end") - F.col("start")))
 

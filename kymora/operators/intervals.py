@@ -59,7 +59,7 @@ def drop_samples_inside(
     s = samples.withColumn("_bucket", F.floor(F.col(t) / F.lit(bucket_s)).cast("long"))
     on = F.col("_bucket") == F.col("_b_bucket")
     for k in keys:
-        on = on & (F.col(k) == F.col(f"_b_{k}"))
+        on = on & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
     on = on & (F.col(t) >= F.col("start")) & (F.col(t) <= F.col("end"))
     return s.join(bad, on, "left_anti").drop("_bucket")
 

@@ -1,4 +1,8 @@
-"""Labelled matrices, leakage guards and logistic regression on spark.ml."""
+"""Labelled matrices, leakage guards and logistic regression on spark.ml.
+
+Rows with a missing feature (null or NaN) take no part: they are set aside before folds are dealt, every
+count and the penalty come from the rows really used, and the number set aside is reported.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kymora.functions import scalars as sc
 from kymora.operators.features import participant_features
-from kymora.plans.blocks import with_sample_index
+from kymora.plans.blocks import KEY, with_key, with_sample_index
 from kymora.session import durable
 
 SMALL = 5
@@ -63,17 +67,26 @@ def exclude_contralateral(train: DataFrame, test: DataFrame) -> DataFrame:
     return train.join(held, ["study_id", "knee"], "left_anti")
 
 
+def complete_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows in which every feature has a value."""
+    known = F.lit(True)
+    for n in names:
+        known = known & F.col(n).isNotNull() & ~F.isnan(F.col(n).cast("double"))
+    return df.filter(known)
+
+
 def assign_folds(df: DataFrame, k: int, unit: Sequence[str], seed: int = 42) -> DataFrame:
     """Stratified fold per unit (a participant's knee, or a row key): the label's units in hashed order, dealt round."""
     unit = list(unit)
     units = df.groupBy(*unit).agg(F.max("label").alias("_label"))
-    hashed = units.withColumn("_h", F.xxhash64(F.lit(seed), *unit))
+    hashed = with_key(units.withColumn("_h", F.xxhash64(F.lit(seed), *unit)), unit).withColumnRenamed(KEY, "_unit")
     dealt = with_sample_index(hashed, ["_label"], ["_h", *unit], "_pos")
-    return df.join(dealt.select(*unit, (F.col("_pos") % k).cast("int").alias("fold")), unit)
+    fold = dealt.select(F.col("_unit").alias(KEY), (F.col("_pos") % k).cast("int").alias("fold"))
+    return with_key(df, unit).join(fold, KEY).drop(KEY)
 
 
 def _vectors(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="error").transform(df)
 
 
 def scale(train: DataFrame, frames: Sequence[DataFrame], names: Sequence[str]) -> list[DataFrame]:
@@ -91,13 +104,18 @@ def scale(train: DataFrame, frames: Sequence[DataFrame], names: Sequence[str]) -
     return [scaled(f) for f in frames]
 
 
-def fit(train: DataFrame, names: Sequence[str], test: DataFrame | None = None, scaled: bool = True):
-    """Ridge logistic regression of strength 1; returns (model, scored test rows)."""
-    train, test = (scale(train, [train, test if test is not None else train], names) if scaled else (train, test if test is not None else train))
-    n = train.count()
-    model = LogisticRegression(regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-8).fit(_vectors(train, names))
-    scored = model.transform(_vectors(test, names)).withColumn("probability_1", vector_to_array("probability")[1])
-    return model, scored.drop("features", "rawPrediction", "probability")
+def fit(train: DataFrame, names: Sequence[str], *tests: DataFrame, scaled: bool = True):
+    """Ridge logistic regression of strength 1; returns (model, scored rows of each test set, or of the training rows).
+
+    Only complete rows are fitted and scored; the penalty is one over their number.
+    """
+    train = complete_rows(train, names)
+    frames = [train, *[complete_rows(t, names) for t in tests or (train,)]]
+    frames = scale(train, frames, names) if scaled else frames
+    n = frames[0].count()
+    model = LogisticRegression(regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-8).fit(_vectors(frames[0], names))
+    scored = [model.transform(_vectors(t, names)).withColumn("probability_1", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability") for t in frames[1:]]
+    return model, *scored
 
 
 def confusion(scored: DataFrame) -> DataFrame:
@@ -128,18 +146,19 @@ def train_test(
 ) -> dict:
     """Stratified 80/20 fit. Whole knees are held out by default; ``group_split=False`` splits by row."""
     keys = list(unit) if group_split or not row_key else list(row_key)
-    folds = durable(assign_folds(df, 5, keys))
+    used = durable(complete_rows(df, names))
+    missing = df.count() - used.count()
+    folds = durable(assign_folds(used, 5, keys))
     test, train = folds.filter("fold = 0"), folds.filter("fold <> 0")
     kept = exclude_contralateral(train, test) if by_knee else train
     n_train, n_kept = train.count(), kept.count()
     if n_kept == 0:
         raise ValueError("no training rows remain after excluding contralateral knees")
-    model, scored = fit(kept, names, test)
-    _, on_train = fit(kept, names)
+    model, scored, on_train = fit(kept, names, test, kept)
     scored = durable(scored)
     return {
         "model": model, "scored": scored, "test": scores(scored), "train": scores(on_train), "confusion": confusion(scored),
-        "report": class_report(scored), "training_samples": n_kept, "excluded_contralateral": n_train - n_kept,
+        "report": class_report(scored), "training_samples": n_kept, "excluded_contralateral": n_train - n_kept, "missing_features": missing,
     }
 
 
@@ -152,8 +171,11 @@ def coefficients(model, names: Sequence[str], spark, top: int | None = None) ->
 
 
 def cross_validate(df: DataFrame, names: Sequence[str], k: int, unit: Sequence[str], spark, by_knee: bool = False, seed: int = 42) -> DataFrame:
-    """(fold, accuracy, auc, n_train, n_test): one fit per fold, scaled on that fold's training rows."""
-    folds = durable(assign_folds(df, k, unit, seed))
+    """(fold, accuracy, auc, n_train, n_test): one fit per fold, scaled on that fold's training rows.
+
+    Folds are dealt over the complete rows, so n_train and n_test are the rows fitted and scored.
+    """
+    folds = durable(assign_folds(complete_rows(df, names), k, unit, seed))
     rows = []
     for f in range(k):
         test, train = folds.filter(F.col("fold") == f), folds.filter(F.col("fold") != f)
@@ -172,14 +194,16 @@ def cross_validation_summary(folds: DataFrame) -> DataFrame:
 
 
 def train_with_fallback(df: DataFrame, names: Sequence[str], unit: Sequence[str], row_key: Sequence[str], by_knee: bool = False) -> dict:
-    """Leave-one-out for at most five rows, a split otherwise. A fold that cannot be fitted is not scored."""
+    """Leave-one-out for at most ``SMALL`` complete rows, a split otherwise. A fold that cannot be fitted is not scored."""
+    whole, df = df, durable(complete_rows(df, names))
+    missing = whole.count() - df.count()
     shape = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("classes")).first()
     if shape["classes"] < 2:
         raise ValueError("outcome has fewer than two classes")
     if shape["n"] > SMALL:
         out = train_test(df, names, unit, by_knee)
         return {"mode": "train_test_split", "accuracy": out["test"]["accuracy"], "samples": shape["n"],
-                "training_samples": out["training_samples"], "excluded_contralateral": out["excluded_contralateral"]}
+                "training_samples": out["training_samples"], "excluded_contralateral": out["excluded_contralateral"], "missing_features": missing}
     numbered = durable(with_sample_index(df.withColumn("_all", F.lit(0)), ["_all"], list(row_key), "fold"))
     hits, scored_rows, excluded = 0, 0, 0
     for f in range(shape["n"]):
@@ -192,7 +216,7 @@ def train_with_fallback(df: DataFrame, names: Sequence[str], unit: Sequence[str]
         hits += s.filter("label = prediction").count()
         scored_rows += 1
     return {"mode": "loocv", "accuracy": hits / scored_rows if scored_rows else float("nan"), "samples": shape["n"],
-            "scored": scored_rows, "excluded_contralateral": excluded}
+            "scored": scored_rows, "excluded_contralateral": excluded, "missing_features": missing}
 
 
 def participant_pipeline(features: DataFrame, outcome: DataFrame, names: Sequence[str], label: str, statistic: str = "mean") -> dict:

@@ -62,19 +62,19 @@ def stomp_by_energy(signal: DataFrame, keys: Sequence[str], channels: Sequence[s
     return _strongest(e, keys, "energy", "rms_time", "rms_energy")
 
 
-def stomp_by_onset(signal: DataFrame, keys: Sequence[str], channels: Sequence[str], fs: float, rows: int = BLOCK_ROWS) -> DataFrame:
-    """Steepest change of the smoothed envelope."""
+def stomp_by_onset(signal: DataFrame, keys: Sequence[str], channels: Sequence[str], fs: float, rows: int = BLOCK_ROWS, search_s: float = SEARCH_S) -> DataFrame:
+    """Steepest change of the smoothed envelope in the first ``search_s`` seconds."""
     m = max(1, int(0.01 * fs))
-    s = signal.filter(F.col("t") <= SEARCH_S).select(*keys, "i", "t", envelope(list(channels)).alias("e"))
+    s = signal.filter(F.col("t") <= search_s).select(*keys, "i", "t", envelope(list(channels)).alias("e"))
     s = moving_average(s, keys, "e", m, "sm", rows) if m > 1 else s.withColumn("sm", F.col("e"))
     g = gradient(s, keys, "sm", "g", rows).withColumn("g", F.abs("g"))
     return _strongest(g.filter(F.col("g").isNotNull()), keys, "g", "onset_time", "onset_magnitude")
 
 
-def stomp_by_frequency(signal: DataFrame, keys: Sequence[str], channels: Sequence[str], fs: float) -> DataFrame:
-    """Frame with most power between 100 and 1000 Hz."""
-    e = stomp_band_energy(signal, keys, channels, fs, SEARCH_S)
-    timed = e.join(signal.filter(F.col("t") <= SEARCH_S).select(*keys, "i", "t"), [*keys, "i"])
+def stomp_by_frequency(signal: DataFrame, keys: Sequence[str], channels: Sequence[str], fs: float, search_s: float = SEARCH_S) -> DataFrame:
+    """Frame with most power between 100 and 1000 Hz in the first ``search_s`` seconds."""
+    e = stomp_band_energy(signal, keys, channels, fs, search_s)
+    timed = e.join(signal.filter(F.col("t") <= search_s).select(*keys, "i", "t"), [*keys, "i"])
     return _strongest(timed.withColumn("i", F.col("frame")), keys, "energy", "freq_time", "freq_energy")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kymora.plans.blocks import BLK, BLOCK_ROWS, block_window, core_only, index_blocks, running, with_halo
+from kymora.plans.blocks import BLK, BLOCK_ROWS, KEY, block_window, core_only, index_blocks, running, with_halo, with_key
 from kymora.plans.quantiles import quantiles
 
 SMALL_WINDOW = 64
@@ -42,25 +42,27 @@ def sliding_stats(
     src = with_halo(src, h, h, rows=rows)
     w = block_window(keys, ["i"])
     whole = Window.partitionBy(*keys, BLK)
+    # both forms work on distances from the block's mean, so squares of a large offset do not cancel
+    src = src.select("*", *[F.avg(f"_z_{c}").over(whole).alias(f"_m_{c}") for c in columns])
     if window <= SMALL_WINDOW:
         frame = w.rowsBetween(-h, h)
 
         # two cheap averages per column serve all four statistics
         src = src.select(
             "*",
-            *[F.avg(f"_z_{c}").over(frame).alias(f"_a1_{c}") for c in columns],
-            *[F.avg(F.col(f"_z_{c}") * F.col(f"_z_{c}")).over(frame).alias(f"_a2_{c}") for c in columns],
+            *[F.avg(F.col(f"_z_{c}") - F.col(f"_m_{c}")).over(frame).alias(f"_a1_{c}") for c in columns],
+            *[F.avg((F.col(f"_z_{c}") - F.col(f"_m_{c}")) * (F.col(f"_z_{c}") - F.col(f"_m_{c}"))).over(frame).alias(f"_a2_{c}") for c in columns],
         )
 
         def framed(c: str, stat: str) -> Column:
-            m, q = F.col(f"_a1_{c}"), F.col(f"_a2_{c}")
-            var = F.greatest(q - m * m, F.lit(0.0))
-            return {"rms": F.sqrt(q), "mean": m, "var": var, "std": F.sqrt(var)}[stat]
+            m, d, q = F.col(f"_m_{c}"), F.col(f"_a1_{c}"), F.col(f"_a2_{c}")
+            var = F.greatest(q - d * d, F.lit(0.0))
+            rms = F.sqrt(F.greatest(q + 2 * m * d + m * m, F.lit(0.0)))
+            return {"rms": rms, "mean": m + d, "var": var, "std": F.sqrt(var)}[stat]
 
         out = src.select("*", *[framed(c, s).alias(f"{c}_{s}") for c in columns for s in stats])
     else:
         frame = w.rowsBetween(Window.unboundedPreceding, 0)
-        src = src.select("*", *[F.avg(f"_z_{c}").over(whole).alias(f"_m_{c}") for c in columns])
         n = F.row_number().over(w)
         sums = [n.alias("_n"), F.count(F.lit(1)).over(whole).alias("_t_n")]
         for c in columns:
@@ -144,7 +146,7 @@ def unwrap_phase(signal: DataFrame, keys: Sequence[str], column: str, out: str,
 
 
 def unwrap_counter(
-    words: DataFrame, keys: Sequence[str], column: str, out: str, modulus: int = 2**32 - 1, rows: int = BLOCK_ROWS
+    words: DataFrame, keys: Sequence[str], column: str, out: str, modulus: int = 2**32, rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Running counter from one that rolls over at ``modulus``."""
     d = F.col("step")
@@ -163,7 +165,8 @@ def envelope(columns: Sequence[str]) -> Column:
 
 def with_key_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """Join per-key aggregates (combined map-side) back to the rows."""
-    return df.join(df.groupBy(*keys).agg(*aggs), list(keys))
+    keyed = with_key(df, keys)
+    return keyed.join(keyed.groupBy(KEY).agg(*aggs), KEY).drop(KEY)
 
 
 def zscore(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:

@@ -23,6 +23,7 @@ from kymora.session import durable, partitions
 
 BLK = "_blk"
 CORE = "_core"
+KEY = "_key"
 BLOCK_ROWS = 16384
 
 
@@ -42,6 +43,14 @@ def range_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return durable(cut)
 
 
+def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All key parts in one struct column. A struct is never null and its null parts compare equal, in
+    joins too, so a key with a null pass or speed keeps its rows."""
+    if list(keys) == [KEY]:
+        return df
+    return df.withColumn(KEY, F.struct(*[F.col(k) for k in keys]) if len(keys) else F.struct(F.lit(0)))
+
+
 def block_window(keys: Sequence[str], order: Sequence[str | Column]) -> WindowSpec:
     return Window.partitionBy(*keys, BLK).orderBy(*order)
 
@@ -50,18 +59,18 @@ def with_sample_index(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "i"
 ) -> DataFrame:
     """Zero-based position of every row within ``keys``, without a window over the whole key."""
-    cut = range_blocks(df, keys, order)
-    before = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    cut = with_key(range_blocks(df, keys, order), keys)
+    before = Window.partitionBy(KEY).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        cut.groupBy(*keys, BLK)
+        cut.groupBy(KEY, BLK)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
     return (
-        cut.join(offsets, [*keys, BLK])
-        .withColumn(out, F.row_number().over(block_window(keys, order)) - 1 + F.col("_off"))
-        .drop("_off", BLK)
+        cut.join(offsets, [KEY, BLK])
+        .withColumn(out, F.row_number().over(block_window([KEY], order)) - 1 + F.col("_off"))
+        .drop("_off", BLK, KEY)
     )
 
 
@@ -100,7 +109,7 @@ def running(
     current row is left out.
     """
     names = list(specs)
-    work = df.select("*", *[expr.alias(f"_x_{n}") for n, (_, expr) in specs.items()])
+    work = with_key(df, keys).select("*", *[expr.alias(f"_x_{n}") for n, (_, expr) in specs.items()])
     position = F.struct(*[F.col(c) for c in order])
     summary = {
         "sum": lambda c: F.sum(c),
@@ -108,11 +117,11 @@ def running(
         "last": lambda c: F.max_by(c, F.when(c.isNotNull(), position)),
         "next": lambda c: F.min_by(c, F.when(c.isNotNull(), position)),
     }
-    per_block = work.groupBy(*keys, BLK).agg(
+    per_block = work.groupBy(KEY, BLK).agg(
         *[summary[kind](F.col(f"_x_{n}")).alias(f"_s_{n}") for n, (kind, _) in specs.items()]
     )
-    ahead = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    behind = Window.partitionBy(*keys).orderBy(F.col(BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(KEY).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy(KEY).orderBy(F.col(BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     over_blocks = {
         "sum": lambda c: F.sum(c).over(ahead),
         "max": lambda c: F.max(c).over(ahead),
@@ -120,12 +129,12 @@ def running(
         "next": lambda c: F.last(c, ignorenulls=True).over(behind),
     }
     carried = per_block.select(
-        *keys, BLK, *[over_blocks[specs[n][0]](F.col(f"_s_{n}")).alias(f"_c_{n}") for n in names]
+        KEY, BLK, *[over_blocks[specs[n][0]](F.col(f"_s_{n}")).alias(f"_c_{n}") for n in names]
     )
     edge = -1 if exclusive else 0
-    fwd = block_window(keys, order).rowsBetween(Window.unboundedPreceding, edge)
+    fwd = block_window([KEY], order).rowsBetween(Window.unboundedPreceding, edge)
     # looking ahead is looking back in descending order: a growing frame, not one rebuilt per row
-    rev = block_window(keys, [F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, edge)
+    rev = block_window([KEY], [F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, edge)
 
     def inside(name: str) -> Column:
         kind, x, c = specs[name][0], F.col(f"_x_{name}"), F.col(f"_c_{name}")
@@ -137,7 +146,7 @@ def running(
             return F.coalesce(F.last(x, ignorenulls=True).over(fwd), c)
         return F.coalesce(F.last(x, ignorenulls=True).over(rev), c)
 
-    joined = work.join(carried, [*keys, BLK])
+    joined = work.join(carried, [KEY, BLK])
     return joined.select(*df.columns, *[inside(n).alias(n) for n in names])
 
 

@@ -48,25 +48,34 @@ def grouped_map(
                 out[n] = np.concatenate([p[n] for p in pieces])
         return pd.DataFrame(out)
 
+    def changes(pdf: pd.DataFrame, before: pd.DataFrame | None) -> np.ndarray:
+        """Where a group begins; nulls are equal to each other and to nothing else."""
+        new = np.zeros(len(pdf), dtype=bool)
+        new[0] = before is None
+        for g in group:
+            v = pdf[g] if before is None else pd.concat([before[g], pdf[g]])
+            here, gone = v.to_numpy(), pd.isna(v).to_numpy()
+            differ = (gone[1:] != gone[:-1]) | (~gone[1:] & ~gone[:-1] & (here[1:] != here[:-1]))
+            new[1 if before is None else 0 :] |= differ
+        return np.flatnonzero(new)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: pd.DataFrame | None = None
+        rest: list[pd.DataFrame] = []  # the group that is still open; joined once, when it ends
         for pdf in batches:
-            if rest is not None:
-                pdf = pd.concat([rest, pdf], ignore_index=True)
             if pdf.empty:
                 continue
-            new = np.zeros(len(pdf), dtype=bool)
-            new[0] = True
-            for g in group:
-                v = pdf[g].to_numpy()
-                new[1:] |= v[1:] != v[:-1]
-            starts = np.flatnonzero(new)
-            last = int(starts[-1])
-            if last:
-                yield work(pdf.iloc[:last], starts[:-1])
-            rest = pdf.iloc[last:].reset_index(drop=True)
-        if rest is not None and len(rest):
-            yield work(rest, np.array([0]))
+            starts = changes(pdf, rest[-1].tail(1) if rest else None)
+            if not len(starts):
+                rest.append(pdf)
+                continue
+            first, last = int(starts[0]), int(starts[-1])
+            if rest:
+                yield work(pd.concat([*rest, pdf.iloc[:first]], ignore_index=True), np.array([0]))
+            if last > first:
+                yield work(pdf.iloc[first:last].reset_index(drop=True), starts[:-1] - first)
+            rest = [pdf.iloc[last:]]
+        if rest:
+            yield work(pd.concat(rest, ignore_index=True), np.array([0]))
 
     # written before anything is joined to it, so the helper runs once and its rows are final
     return durable(src.mapInPandas(run, f"{head}, {schema}"))

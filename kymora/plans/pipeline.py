@@ -7,13 +7,16 @@ the final tables leave out every participant with a failed recording.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kymora.functions import scalars as sc
 from kymora.operators import align as al
 from kymora.operators import cycles as cy
 from kymora.operators import detectors as dt
@@ -30,19 +33,64 @@ CYCLE = ["recording_id", "cycle_index"]
 STAGES = ("bin", "sync", "cycles")
 
 
-@dataclass(frozen=True)
+@dataclass
 class StageStore:
-    """Named stage tables below one folder."""
+    """Named stage tables below one folder, published all at once.
+
+    A run writes each table to a folder of its own and reads its own tables back. ``publish`` then makes
+    all of them current by one commit to the list of current folders: a run that fails changes nothing. A
+    run over some recordings (``only``) reads and replaces the rows of these; all other rows stay.
+    """
 
     spark: SparkSession
     root: str
+    only: tuple | None = None
+    fresh: dict[str, str] = field(default_factory=dict)
+
+    def current(self) -> dict[str, tuple[str, int]]:
+        """Folder and version of each published table."""
+        try:
+            rows = self.spark.read.schema("name string, path string, version long").parquet(f"{self.root}/_current").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        latest = max((r["version"] for r in rows), default=0)
+        return {r["name"]: (r["path"], r["version"]) for r in rows if r["version"] == latest}
+
+    def _new(self, name: str, df: DataFrame) -> str:
+        path = f"{self.root}/{name}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return path
+
+    def _mine(self, df: DataFrame, mine: bool = True) -> DataFrame:
+        if self.only is None or "recording_id" not in df.columns:
+            return df
+        own = F.coalesce(F.col("recording_id").isin(*self.only), F.lit(False))
+        return df.filter(own if mine else ~own)
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        self.fresh[name] = self._new(name, df)
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        if name in self.fresh:
+            return self.spark.read.parquet(self.fresh[name])
+        return self._mine(self.spark.read.parquet(self.current()[name][0]))
+
+    def publish(self) -> None:
+        """Make this run's tables current, together with the rows of recordings that it left alone."""
+        old = self.current()
+        paths = {name: path for name, (path, _) in old.items()}
+        for name, path in self.fresh.items():
+            if self.only is not None and name in old:
+                rest = self._mine(self.spark.read.parquet(old[name][0]), mine=False)
+                path = self._new(name, rest.unionByName(self.spark.read.parquet(path), allowMissingColumns=True))
+            paths[name] = path
+        version = 1 + max((v for _, v in old.values()), default=0)
+        rows = [(name, path, version) for name, path in paths.items()]
+        self.spark.createDataFrame(rows, "name string, path string, version long").coalesce(1).write.mode("append").parquet(f"{self.root}/_current")
+        self.fresh.clear()
 
 
 @dataclass(frozen=True)
@@ -93,7 +141,9 @@ def sync_stage(store: StageStore, motion: DataFrame, recordings: DataFrame, s: S
     whole = status.join(checked, KEYS, "left").withColumn(
         "ok", F.col("status").isin("ok", "partial") & F.coalesce(F.col("_check").isin("ok", "low_coverage"), F.lit(False))
     )
-    store.write("sync_status", whole.join(recordings.select("recording_id", "participant"), KEYS, "left").drop("_check"))
+    named = whole.join(recordings.select("recording_id", "participant", F.col("maneuver").isNull().alias("_odd")), KEYS, "left")
+    odd = F.coalesce("_odd", F.lit(False))
+    store.write("sync_status", named.withColumn("status", F.when(odd, "unknown_maneuver").otherwise(F.col("status"))).withColumn("ok", F.col("ok") & ~odd).drop("_check", "_odd"))
 
 
 def _renumber(synced: DataFrame) -> DataFrame:
@@ -150,7 +200,13 @@ def run(
     store: StageStore, settings: Settings, recordings: DataFrame, signal: DataFrame | None = None, motion: DataFrame | None = None,
     start: str = "bin", only: Sequence | None = None,
 ) -> DataFrame:
-    """Run from ``start`` to the end; ``only`` restricts the run to some recordings."""
+    """Run from ``start`` to the end and publish; ``only`` restricts the run to some recordings.
+
+    Maneuvers may be given by code (fe, sts, walk) or name; any other becomes a failed status row. The
+    result has the cycles of the recordings of this run.
+    """
+    store = StageStore(store.spark, store.root, tuple(only) if only is not None else None)
+    recordings = recordings.withColumn("maneuver", sc.maneuver_name(F.col("maneuver")))
     if only is not None:
         recordings = recordings.filter(F.col("recording_id").isin(*only))
         signal = signal.filter(F.col("recording_id").isin(*only)) if signal is not None else None
@@ -161,4 +217,6 @@ def run(
     if at <= 1:
         sync_stage(store, motion, recordings, settings)
     cycles_stage(store, recordings, settings)
-    return store.read("cycle")
+    out = store.read("cycle")
+    store.publish()
+    return out

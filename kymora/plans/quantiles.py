@@ -12,16 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kymora.plans.blocks import range_blocks, running
+from kymora.plans.blocks import KEY, range_blocks, running, with_key
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: dict[str, float]) -> DataFrame:
-    """(keys, one column per entry of ``probs``), linearly interpolated between order statistics."""
-    wanted, keys = list(keys), list(keys)
-    if not keys:
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
+    """(keys, one column per entry of ``probs``), linearly interpolated between order statistics.
+
+    Null key parts compare equal.
+    """
+    wanted, keys = list(keys), [KEY]
     counted = (
-        df.filter(F.col(column).isNotNull() & ~F.isnan(column))
+        with_key(df, wanted).filter(F.col(column).isNotNull() & ~F.isnan(column))
         .groupBy(*keys, F.col(column).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -39,7 +40,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: dict[str,
         picks.append(F.max(pos - lo).alias(f"_f_{name}"))
     out = ranked.groupBy(*keys).agg(*picks)
     return out.select(
-        *wanted,
+        *[F.col(f"{KEY}.{k}").alias(k) for k in wanted],
         *[
             (F.col(f"_a_{n}") + (F.col(f"_b_{n}") - F.col(f"_a_{n}")) * F.col(f"_f_{n}")).alias(n)
             for n in probs

@@ -195,7 +195,7 @@ def _dropout(silence: float, flat: float, h: int) -> str:
 
 def _spikes(sigma: float) -> str:
     fr = _FR.format(h=2)
-    return _long(f"SELECT recording_id, '{{c}}' AS channel, i, t, (abs({{c}}) > avg({{c}}) {fr} + {sigma} * sqrt(greatest(avg({{c}}*{{c}}) {fr} - (avg({{c}}) {fr}) * (avg({{c}}) {fr}), 0))) AS bad FROM sig")
+    return _long(f"SELECT recording_id, '{{c}}' AS channel, i, t, (abs({{c}}) > avg({{c}}) {fr} + {sigma} * sqrt(greatest(avg({{c}}*{{c}}) {fr} - (avg({{c}}) {fr}) * (avg({{c}}) {fr}), 0)) + 1e-9::DOUBLE * abs(avg({{c}}) {fr})) AS bad FROM sig")
 
 
 _KC = "recording_id, channel"

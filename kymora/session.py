@@ -24,12 +24,18 @@ def build_session(app: str = "kymora", master: str | None = None, **conf: str) -
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named."""
+    """The cluster's shared checkpoint folder.
+
+    Where none is named, a local session gets a temporary one. On a cluster that is an error: executors
+    would write to their own disks and read back a part of the rows.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="kymora-checkpoint-"))
     return sc.getCheckpointDir()
 
@@ -43,12 +49,30 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    _stages.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_stages: list[str] = []
+
+
+def drop_stages() -> int:
+    """Delete every stage that this process has written; frames that still read one can't be used after."""
+    from pyarrow import fs
+
+    dropped = 0
+    while _stages:
+        path = _stages.pop()
+        store, at = fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else "/" + path.removeprefix("file:").lstrip("/"))
+        if store.get_file_info(at).type == fs.FileType.Directory:
+            store.delete_dir(at)
+            dropped += 1
+    return dropped
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-__all__ = ["build_session", "checkpoint_dir", "durable", "partitions"]
+__all__ = ["build_session", "checkpoint_dir", "drop_stages", "durable", "partitions"]

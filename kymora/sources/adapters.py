@@ -21,14 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _signature(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of the files behind a path, so a changed source is never served stale."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    listing = root.getFileSystem(conf).listFiles(root, True)
-    files = []
-    while listing.hasNext():
-        status = listing.next()
-        files.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
-    return tuple(sorted(files))
+    of = "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+    return tuple(sorted(map(tuple, spark.read.parquet(path).select(*of).distinct().collect())))
 
 
 def _stage(spark: SparkSession, sf_dir: str, name: str, source: str, build) -> DataFrame:

@@ -65,12 +65,14 @@ class DumpReader(DataSourceReader):
         splits = []
         for path in self.paths:
             system, name = _open(path)
+            # what from_uri took off the front; listed files need it again to be opened on an executor
+            scheme = path.rstrip("/").removesuffix(name.rstrip("/")) if "://" in path else ""
             info = system.get_file_info(name)
             files = system.get_file_info(fs.FileSelector(name, recursive=True)) if info.type == fs.FileType.Directory else [info]
             for f in files:
                 if f.type == fs.FileType.File and f.path.endswith(".bin"):
                     packets = max((f.size - HEADER_BYTES - BLOCK_BYTES) // PACKET_BYTES, 0)
-                    full = path if len(files) == 1 and f.path == name else f.path
+                    full = path if len(files) == 1 and f.path == name else f"{scheme}{f.path}"
                     splits += [PacketRange(full, f.size, k, min(k + self.step, packets)) for k in range(0, packets, self.step)]
         return splits
 

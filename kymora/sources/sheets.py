@@ -125,8 +125,9 @@ def fill_down(cells: DataFrame, keys: Sequence[str], column: Column, out: str, o
 LEGEND_COLUMNS = {0: "file_name", 1: "maneuver_label", 2: "mic", 3: "patellar", 4: "laterality", 5: "notes"}
 
 
-def legend(cells: DataFrame, keys: Sequence[str], columns: dict[int, str] = LEGEND_COLUMNS) -> DataFrame:
-    """Microphone legend rows (keys, knee, maneuver, mic, file_name, patellar, laterality, notes).
+def legend_rows(cells: DataFrame, keys: Sequence[str], columns: dict[int, str] = LEGEND_COLUMNS) -> DataFrame:
+    """Microphone legend rows (keys, knee, maneuver, mic, file_name, patellar, laterality, notes, maneuver_label)
+    with a null maneuver where the label names none.
 
     A block starts at a cell "L Knee" or "R Knee"; below its header lie twelve rows, whose maneuver
     label stands only on the first of four.
@@ -147,8 +148,19 @@ def legend(cells: DataFrame, keys: Sequence[str], columns: dict[int, str] = LEGE
     )
     return filled.select(
         *keys, "knee", maneuver.alias("maneuver"), sc.to_number(F.col("mic")).cast("int").alias("mic"),
-        "file_name", "patellar", "laterality", "notes",
-    ).filter("maneuver IS NOT NULL")
+        "file_name", "patellar", "laterality", "notes", F.col("_label").alias("maneuver_label"),
+    )
+
+
+def legend(cells: DataFrame, keys: Sequence[str], columns: dict[int, str] = LEGEND_COLUMNS) -> DataFrame:
+    """Legend rows whose maneuver is known; the others are in ``legend_problems``."""
+    return legend_rows(cells, keys, columns).filter("maneuver IS NOT NULL").drop("maneuver_label")
+
+
+def legend_problems(cells: DataFrame, keys: Sequence[str], columns: dict[int, str] = LEGEND_COLUMNS) -> DataFrame:
+    """(keys, knee, mic, file_name, maneuver_label, problem): filled legend rows that name no known maneuver."""
+    rows = legend_rows(cells, keys, columns).filter("maneuver IS NULL AND coalesce(file_name, patellar, laterality) IS NOT NULL")
+    return rows.select(*keys, "knee", "mic", "file_name", "maneuver_label", F.lit("unknown_maneuver").alias("problem"))
 
 
 def fixed_legend(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -180,7 +192,8 @@ def fixed_legend(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
         sc.to_number(F.col("c1")).alias("file_size_mb"), F.coalesce("c2", F.lit("unknown")).alias("serial_number"),
         F.col("c3").alias("timestamp"), F.col("c5").alias("notes"),
     ).filter("maneuver IS NOT NULL")
-    return files.join(positions, [*keys, "knee"])
+    # a file whose knee has no positions stays, without a microphone
+    return files.join(positions, [*keys, "knee"], "left")
 
 
 def reconcile_legends(primary: DataFrame, fallback: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
