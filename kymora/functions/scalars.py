@@ -30,6 +30,43 @@ def look_up(key: Column, table: dict[str, str]) -> Column:
     return out
 
 
+def device_from_name(name: Column) -> Column:
+    """STRUCT(serial, firmware, recorded_on) from labelled parts of a file name, wherever they stand.
+
+    Serials follow "sn" or "serial", firmware numbers "fw" or "firmware"; a date is yyyy[-_]mm[-_]dd. Missing
+    parts are "unknown", 0 and null.
+    """
+    stem = F.regexp_replace(F.regexp_extract(name, r"([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
+    serial = F.regexp_extract(stem, r"(?i)(?:serial|sn)[-_]?(\d+)", 1)
+    firmware = F.regexp_extract(stem, r"(?i)(?:firmware|fw)[-_]?(\d+)", 1)
+    day = F.regexp_replace(F.regexp_extract(stem, r"20\d{2}[-_]?[01]\d[-_]?[0-3]\d", 0), "[-_]", "")
+    return F.struct(
+        F.coalesce(F.nullif(serial, F.lit("")), F.lit("unknown")).alias("serial"),
+        F.coalesce(firmware.try_cast("int"), F.lit(0)).alias("firmware"),
+        F.try_to_timestamp(F.nullif(day, F.lit("")), F.lit("yyyyMMdd")).cast("date").alias("recorded_on"),
+    )
+
+
+def recording_identity(meta_serial: Column, raw_serial: Column, name_serial: Column, firmware: Column, file_time: Column, recording_date: Column, recording_time: Column, name_time: Column, default_time: Column) -> Column:
+    """STRUCT(serial, firmware, file_time, recording_date, recording_time), each from the best source that has it.
+
+    Serial: sidecar, raw header, file name, "UNKNOWN". Recording date: its own, the name's, the file's; recording
+    time: its own, the file's, the name's; file time: its own, the recording time. Where all are missing the
+    default stands for all; one that is still missing takes another's.
+    """
+    given = lambda c: F.nullif(F.trim(c), F.lit(""))
+    date0 = F.coalesce(recording_date, name_time, file_time)
+    time0 = F.coalesce(recording_time, file_time, name_time)
+    file0 = F.coalesce(file_time, time0)
+    return F.struct(
+        F.coalesce(given(meta_serial), given(raw_serial), given(name_serial), F.lit("UNKNOWN")).alias("serial"),
+        F.coalesce(firmware.try_cast("double").cast("int"), F.lit(0)).alias("firmware"),
+        F.coalesce(file0, date0, time0, default_time).alias("file_time"),
+        F.coalesce(date0, file0, time0, default_time).alias("recording_date"),
+        F.coalesce(time0, file0, date0, default_time).alias("recording_time"),
+    )
+
+
 def maneuver_name(x: Column) -> Column:
     """The long name of a maneuver from its code or name; null for any other text."""
     plain = F.regexp_replace(F.lower(F.trim(x)), r"[\s-]+", "_")

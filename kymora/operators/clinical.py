@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kymora.functions import scalars as sc
 
+# Item columns of the knee score sheet.
 KOOS_ITEMS = (
     [f"s{k}" for k in range(1, 8)] + [f"p{k}" for k in range(1, 10)] + [f"a{k}" for k in range(1, 18)]
     + [f"sp{k}" for k in range(1, 6)] + [f"q{k}" for k in range(1, 5)] + ["Symptoms", "Pain", "ADL", "Sports/Rec", "QOL"]

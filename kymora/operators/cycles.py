@@ -17,7 +17,7 @@ from kymora.operators.align import proximity_score
 from kymora.operators.features import correlation
 from kymora.operators.peaks import find_peaks
 from kymora.operators.windows import envelope, neighbours, sliding_stats
-from kymora.plans.blocks import BLK, BLOCK_ROWS, index_blocks, running
+from kymora.plans.blocks import BLK, BLOCK_ROWS, KEY, index_blocks, running, with_key
 from kymora.plans.quantiles import quantiles
 from kymora.sources.adapters import CHANNELS
 
@@ -156,12 +156,20 @@ def _valid_angle(samples: DataFrame, ck: Sequence[str], angle: str, rows: int) -
     return n.select(*ck, (F.col("_k") - 1).alias("i"), "a")
 
 
-def _degrees(fmt: str, *cols: Column) -> Column:
-    return F.format_string(fmt, *cols)
+Rule = tuple[Column, str, Column]  # when it fails, its code, the value that was judged
+
+
+def first_failure(rules: list[Rule], name: str) -> list[Column]:
+    """<name>_ok, and the code and judged value of the first rule that fails (null where all hold)."""
+    code, value = F.lit(None).cast("string"), F.lit(None).cast("double")
+    for cond, reason, judged in reversed(rules):
+        code = F.when(cond, F.lit(reason)).otherwise(code)
+        value = F.when(cond, judged.cast("double")).otherwise(value)
+    return [code.isNull().alias(f"{name}_ok"), code.alias(f"{name}_reason"), value.alias(f"{name}_value")]
 
 
 def shape_rules(samples: DataFrame, ck: Sequence[str], angle: str, maneuver: str, min_rom: float | None = None, rows: int = BLOCK_ROWS) -> DataFrame:
-    """Verdict and reason of the knee-angle shape per cycle: (cycle keys, shape_ok, shape_reason, rom)."""
+    """Verdict on the knee-angle shape per cycle: (cycle keys, shape_ok, shape_reason, shape_value, rom)."""
     ck = list(ck)
     least = MIN_ROM.get(maneuver, 20.0) if min_rom is None else min_rom
     pre = range_of_motion(samples, ck, angle)
@@ -181,75 +189,39 @@ def shape_rules(samples: DataFrame, ck: Sequence[str], angle: str, maneuver: str
     )
     d = info.join(p, ck, "left").withColumn("n_peaks", F.coalesce("n_peaks", F.lit(0)))
     diff = F.abs(F.col("a1") - F.col("a0"))
-    pct = lambda pos: F.round(pos * 100, 0).cast("int")
     best = F.col("best.i") / F.col("n")
-    rule: list[tuple[Column, bool, Column]] = [
-        (F.col("n_rows") < 10, False, F.lit("insufficient data points")),
-        (F.col("n_valid") == 0, False, F.lit("all values are NaN")),
-        (
-            F.col("n_valid") / F.col("n_rows") < MIN_VALID_FRACTION, False,
-            F.format_string("too many NaN values in cycle (valid=%d%%)", pct(F.col("n_valid") / F.col("n_rows"))),
-        ),
-        (F.col("n_valid") < 10, False, F.lit("insufficient valid data points after NaN removal")),
-        (rom < least, False, _degrees("ROM=%.1f° below threshold %.1f°", rom, F.lit(float(least)))),
+    filled = F.col("n_valid") / F.col("n_rows")
+    first = F.col("first_peak") / F.col("n")
+    rule: list[Rule] = [
+        (F.col("n_rows") < 10, "few_samples", F.col("n_rows")),
+        (F.col("n_valid") == 0, "no_values", F.col("n_valid")),
+        (filled < MIN_VALID_FRACTION, "low_valid_share", filled),
+        (F.col("n_valid") < 10, "few_values", F.col("n_valid")),
+        (rom < least, "small_range", rom),
     ]
     if maneuver == "walk":
-        first = F.col("first_peak") / F.col("n")
         rule += [
-            (diff > 10.0, False, _degrees("start/end angle mismatch: %.1f° > 10.0°", diff)),
-            (F.col("n_peaks") == 0, False, F.lit("no flexion peak detected")),
-            (F.col("n_peaks") > 2, False, F.format_string("too many peaks detected (%d)", "n_peaks")),
-            (~first.between(0.2, 0.8), False, F.format_string("peak at %d%% of cycle (expected 20-80%%)", pct(first))),
-            (F.lit(True), True, _degrees("ROM=%.1f°, valid gait pattern", rom)),
+            (diff > 10.0, "open_ends", diff),
+            (F.col("n_peaks") == 0, "no_peak", F.col("n_peaks")),
+            (F.col("n_peaks") > 2, "extra_peaks", F.col("n_peaks")),
+            (~first.between(0.2, 0.8), "peak_position", first),
         ]
     elif maneuver == "flexion_extension":
         rule += [
-            (diff > 15.0, False, _degrees("start/end angle mismatch: %.1f° > 15.0°", diff)),
-            (F.col("n_peaks") == 0, False, F.lit("no flexion peak detected")),
-            (F.col("n_peaks") > 3, False, F.format_string("too many peaks detected (%d)", "n_peaks")),
-            (~best.between(0.25, 0.75), False, F.format_string("peak at %d%% of cycle (expected 25-75%%)", pct(best))),
-            (F.lit(True), True, _degrees("ROM=%.1f°, valid flexion-extension pattern", rom)),
+            (diff > 15.0, "open_ends", diff),
+            (F.col("n_peaks") == 0, "no_peak", F.col("n_peaks")),
+            (F.col("n_peaks") > 3, "extra_peaks", F.col("n_peaks")),
+            (~best.between(0.25, 0.75), "peak_position", best),
         ]
     elif maneuver == "sit_to_stand":
         depth = F.when(seated, F.col("a0") + F.col("best.v")).otherwise(F.col("best.v") - F.col("a0"))
-        floor = rom * 0.5
         rule += [
-            (
-                diff > 20.0, False,
-                _degrees("start/end angle mismatch: %.1f° > 20.0° (start=%.1f°, end=%.1f°)", diff, F.col("a0"), F.col("a1")),
-            ),
-            (
-                F.col("n_peaks") == 0, False,
-                F.when(seated, "no standing trough detected (sit→stand→sit pattern)").otherwise(
-                    "no sitting peak detected (stand→sit→stand pattern)"
-                ),
-            ),
-            (
-                ~best.between(0.15, 0.85), False,
-                F.when(seated, F.format_string("standing trough at %d%% of cycle (expected 15-85%%)", pct(best))).otherwise(
-                    F.format_string("sitting peak at %d%% of cycle (expected 15-85%%)", pct(best))
-                ),
-            ),
-            (
-                depth < floor, False,
-                F.when(seated, _degrees("insufficient trough depth: %.1f° < %.1f°", depth, floor)).otherwise(
-                    _degrees("insufficient peak height: %.1f° < %.1f°", depth, floor)
-                ),
-            ),
-            (
-                F.lit(True), True,
-                F.when(seated, _degrees("ROM=%.1f°, valid sit→stand→sit pattern (seated start)", rom)).otherwise(
-                    _degrees("ROM=%.1f°, valid stand→sit→stand pattern (standing start)", rom)
-                ),
-            ),
+            (diff > 20.0, "open_ends", diff),
+            (F.col("n_peaks") == 0, "no_peak", F.col("n_peaks")),
+            (~best.between(0.15, 0.85), "peak_position", best),
+            (depth < rom * 0.5, "small_depth", depth),
         ]
-    else:
-        rule += [(F.lit(True), True, _degrees("ROM=%.1f°", rom))]
-    ok, reason = F.lit(None).cast("boolean"), F.lit(None).cast("string")
-    for cond, verdict, text in reversed(rule):
-        ok = F.when(cond, F.lit(verdict)).otherwise(ok)
-        reason = F.when(cond, text).otherwise(reason)
-    return d.select(*ck, ok.alias("shape_ok"), reason.alias("shape_reason"), "rom")
+    return d.select(*ck, *first_failure(rule, "shape"), "rom")
 
 
 def two_stage(energy: DataFrame, shape: DataFrame, ck: Sequence[str], threshold: float = ENERGY_THRESHOLD) -> DataFrame:
@@ -283,14 +255,12 @@ def _envelope_stats(env: DataFrame, ck: Sequence[str]) -> DataFrame:
 
 
 def sound_rules(samples: DataFrame, ck: Sequence[str], maneuver: str, channels: Sequence[str] = CHANNELS, min_rms: float = 0.001, rows: int = BLOCK_ROWS) -> DataFrame:
-    """Verdict on the acoustic envelope per cycle: (cycle keys, sound_ok, sound_reason)."""
+    """Verdict on the acoustic envelope per cycle: (cycle keys, sound_ok, sound_reason, sound_value)."""
     ck = list(ck)
     env = _envelope(samples, ck, channels)
     st = _envelope_stats(env, ck)
     cv = F.col("s") / F.col("m")
-    rule: list[tuple[Column, bool, Column]] = [
-        (F.col("hi") < min_rms, False, F.format_string("insufficient acoustic signal (max RMS: %.4f)", "hi")),
-    ]
+    rule: list[Rule] = [(F.col("hi") < min_rms, "quiet", F.col("hi"))]
     if maneuver in ("walk", "flexion_extension"):
         need = st.select(*ck, F.greatest((F.col("hi") - F.col("lo")) * 0.2, F.col("m") * 0.5).alias("prominence"))
         tops = find_peaks(env.select(*ck, "i", "env"), ck, "env", per_key=need, rows=rows)
@@ -300,40 +270,28 @@ def sound_rules(samples: DataFrame, ck: Sequence[str], maneuver: str, channels:
             F.count_if(F.col("pos").between(0.3, 0.7)).alias("n_mid"),
         )
         st = st.join(p, ck, "left").withColumn("n_peaks", F.coalesce("n_peaks", F.lit(0)))
-    rule.append((F.col("n") < 10, False, F.lit("insufficient data points for waveform validation")))
-    rule.append((F.col("m") == 0, False, F.lit("zero mean signal")))
-    pct = F.round(F.col("main") * 100, 0).cast("int") if maneuver in ("walk", "flexion_extension") else None
+    checked = maneuver in ("walk", "flexion_extension", "sit_to_stand")
+    if checked:
+        rule += [(F.col("n") < 10, "few_samples", F.col("n")), (F.col("m") == 0, "zero_mean", F.col("m"))]
     if maneuver == "walk":
         rule += [
-            (cv < 0.1, False, F.format_string("insufficient waveform variation (CV: %.2f)", cv)),
-            (F.col("n_peaks") == 0, False, F.lit("no acoustic peaks detected")),
-            (F.col("main") > 0.8, False, F.format_string("acoustic peak too late in cycle (%d%%)", pct)),
-            (F.lit(True), True, F.format_string("valid walking acoustic pattern (%d peak(s), dominant at %d%%)", F.col("n_peaks"), pct)),
+            (cv < 0.1, "flat", cv),
+            (F.col("n_peaks") == 0, "no_peak", F.col("n_peaks")),
+            (F.col("main") > 0.8, "peak_position", F.col("main")),
         ]
     elif maneuver == "flexion_extension":
         rule += [
-            (cv < 0.15, False, F.format_string("insufficient waveform variation for flexion-extension (CV: %.2f)", cv)),
-            (F.col("n_peaks") == 0, False, F.lit("no acoustic peaks detected")),
-            (F.col("n_mid") == 0, False, F.lit("no acoustic peaks detected in middle portion of cycle")),
-            (F.lit(True), True, F.format_string("valid flexion-extension acoustic pattern (%d peak(s))", "n_peaks")),
+            (cv < 0.15, "flat", cv),
+            (F.col("n_peaks") == 0, "no_peak", F.col("n_peaks")),
+            (F.col("n_mid") == 0, "no_middle_peak", F.col("n_mid")),
         ]
     elif maneuver == "sit_to_stand":
         ratio = F.col("m2") / F.greatest("m1", "m3")
         rule += [
-            (
-                (F.col("m2") < F.col("m1")) | (F.col("m2") < F.col("m3")), False,
-                F.lit("transition phase does not show increased acoustic energy"),
-            ),
-            (ratio < 1.2, False, F.format_string("insufficient energy increase during transition (ratio: %.2f)", ratio)),
-            (F.lit(True), True, F.format_string("valid sit-to-stand acoustic pattern (transition energy %.2fx higher)", ratio)),
+            ((F.col("m2") < F.col("m1")) | (F.col("m2") < F.col("m3")), "no_middle_rise", ratio),
+            (ratio < 1.2, "small_middle_rise", ratio),
         ]
-    else:
-        rule = [rule[0], (F.lit(True), True, F.format_string("sufficient signal present (max RMS: %.4f)", "hi"))]
-    ok, reason = F.lit(None).cast("boolean"), F.lit(None).cast("string")
-    for cond, verdict, text in reversed(rule):
-        ok = F.when(cond, F.lit(verdict)).otherwise(ok)
-        reason = F.when(cond, text).otherwise(reason)
-    return st.select(*ck, ok.alias("sound_ok"), reason.alias("sound_reason"))
+    return st.select(*ck, *first_failure(rule, "sound"))
 
 
 def sync_quality(
@@ -550,6 +508,25 @@ def verdicts(
     )
 
 
+def rollup(periodic: DataFrame, sound: DataFrame, ck: Sequence[str], fail_on_periodic: bool = False) -> DataFrame:
+    """One verdict from noise and sound shape: (cycle keys, periodic_noise, noise_ok, sound_ok, sound_reason, overall_ok).
+
+    ``periodic`` has a flag per cycle and channel; noise fails a cycle only with ``fail_on_periodic``.
+    """
+    noisy = periodic.groupBy(*ck).agg(F.bool_or(F.coalesce("periodic", F.lit(False))).alias("periodic_noise"))
+    d = with_key(sound, ck).join(with_key(noisy, ck).select(KEY, "periodic_noise"), KEY, "left").drop(KEY)
+    noise = F.coalesce("periodic_noise", F.lit(False))
+    ok = ~(noise & F.lit(fail_on_periodic))
+    return d.select(*ck, noise.alias("periodic_noise"), ok.alias("noise_ok"), "sound_ok", "sound_reason", (ok & F.col("sound_ok")).alias("overall_ok"))
+
+
+def overall_artifact_types(per_channel: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, artifact_types): each type once, in the order of channel and start at which it first occurs."""
+    first = per_channel.groupBy(*keys, "artifact_type").agg(F.min(F.struct("channel", "start")).alias("at"))
+    listed = F.array_sort(F.collect_list(F.struct("at", "artifact_type")))
+    return first.groupBy(*keys).agg(F.transform(listed, lambda x: x["artifact_type"]).alias("artifact_types"))
+
+
 def artifact_record(
     cycles: DataFrame, intervals: DataFrame, ck: Sequence[str], kinds: Sequence[str] = ("dropout", "continuous", "intermittent", "periodic"),
     channels: Sequence[str] = CHANNELS, recorded_at: Column | None = None,

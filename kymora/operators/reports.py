@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,12 +79,12 @@ def summary(
         in_scope(df, *scope).groupBy(*SCOPE).agg(agg.alias("value")).withColumn("metric", F.lit(metric))
         for metric, (df, agg) in parts.items()
     ]
-    long = counted[0]
-    for p in counted[1:]:
-        long = long.unionByName(p)
-    every = long.select(*SCOPE).distinct().withColumn("metric", F.explode(F.array(*[F.lit(m) for m in parts])))
-    out = every.join(long, [*SCOPE, "metric"], "left")
-    return _participant(out, studies).select("participant_id", *SCOPE, "metric", F.coalesce("value", F.lit(0)).alias("value"))
+    # one row a scope with a number for each metric, so every table is read once; absent ones are zero
+    wide = reduce(DataFrame.unionByName, counted).groupBy(*SCOPE).agg(
+        *[F.coalesce(F.max(F.when(F.col("metric") == m, F.col("value"))), F.lit(0)).alias(m) for m in parts]
+    )
+    out = wide.unpivot(list(SCOPE), [F.col(f"`{m}`") for m in parts], "metric", "value")
+    return _participant(out, studies).select("participant_id", *SCOPE, "metric", "value")
 
 
 def knee_summary(counts: DataFrame, keys: Sequence[str], value_columns: Sequence[str], maneuvers: Sequence[str] = sc.MANEUVERS) -> DataFrame:

@@ -33,6 +33,7 @@ def gap_sessions(
     )
 
 
+# Relative tolerances of the rate clusters.
 RATE_LADDER = (0.05, 0.04, 0.03, 0.025)
 RATE_SPLITS = (0.03, 0.02, 0.015)
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kymora.session import durable
 from kymora.plans.blocks import with_sample_index
 
 AUDIO_KEY = ("study_id", "audio_file_name", "knee", "maneuver")
@@ -74,6 +75,7 @@ def upsert(
         F.col(id_column), F.when(hit, F.lit(True)).otherwise(F.col(active)).alias(active),
         *[value(c).alias(c) for c in values],
     )
+    merged = durable(merged)  # read twice below; the join above runs once
     known = merged.filter(F.col(id_column).isNotNull())
     fresh = assign_ids(merged.filter(F.col(id_column).isNull()), current, key, id_column)
     return known.select(*columns).unionByName(fresh.select(*columns))

@@ -180,6 +180,10 @@ def cycles_stage(store: StageStore, recordings: DataFrame, s: Settings) -> None:
     }
     artifacts = store.write("cycle_artifact", cy.cycle_artifacts(trimmed, CYCLE))
     bad = iv.in_bad_interval(iv.overlap_fraction(windows, iv.overall_segments(per_channel, KEYS), KEYS))
+    # the same for each microphone, from its own intervals
+    mic_windows = windows.withColumn("channel", F.explode(F.array(*[F.lit(c) for c in CHANNELS])))
+    mic_bad = iv.merge_intervals(per_channel.select(*KEYS, "channel", "start", "end"), [*KEYS, "channel"], 0.0)
+    bad_mic = iv.in_bad_interval(iv.overlap_fraction(mic_windows, mic_bad, [*KEYS, "channel"]))
     energy = cy.cycle_energy(samples, CYCLE, channels, s.rows)
     shapes, syncs = [], []
     for m in cy.CUT:
@@ -187,7 +191,7 @@ def cycles_stage(store: StageStore, recordings: DataFrame, s: Settings) -> None:
         shapes.append(cy.shape_rules(samples_by[m], CYCLE, s.angle, m, rows=s.rows))
         syncs.append(cy.sync_quality(samples_by[m], CYCLE, s.angle, m, channels, rows=s.rows))
     two = cy.two_stage(energy, reduce(DataFrame.unionByName, shapes), CYCLE, s.energy_threshold)
-    verdict = cy.verdicts(two, artifacts, reduce(DataFrame.unionByName, syncs), CYCLE, bad)
+    verdict = cy.verdicts(two, artifacts, reduce(DataFrame.unionByName, syncs), CYCLE, bad, bad_mic)
     all_kinds = artifacts.filter("kind <> 'all'").unionByName(
         iv.trim_to_windows(drop, windows, KEYS).withColumn("kind", F.lit("dropout")).select(*artifacts.columns)
     )

@@ -89,7 +89,7 @@ def peak_pairs(spark: SparkSession, sf: str) -> DataFrame:
     s = ad.signal_multi(spark, sf)
     e = st.window_energy(s, K, ad.CHANNELS, FS, 0.1)
     every = s.select("recording_id").distinct().withColumn("expected_delta", 0.7 + (F.col("recording_id") % 5) * 0.1)
-    return rounded(sg.peak_pairs(e.filter(F.col("i") % 25 == 0).select("recording_id", "t", "energy"), every, K))
+    return rounded(sg.peak_pairs(e.select("recording_id", "t", "energy"), every, K))
 
 
 def local_extrema(spark: SparkSession, sf: str) -> DataFrame:
@@ -280,7 +280,7 @@ ORACLES = {
       g AS (SELECT recording_id, section, CAST(p AS INTEGER) AS pass_number, min(t) FILTER (WHERE event = 'click') AS s, max(t) FILTER (WHERE event IN ('view', 'purchase')) AS e
         FROM m WHERE event IN ('click', 'view', 'purchase') GROUP BY ALL)
       SELECT recording_id, section, pass_number, {r('s', 'start')}, {r('e', chr(34) + 'end' + chr(34))} FROM g WHERE e > s""",
-    "peak_pairs": f"""WITH {SIG}, {_EN.format(n=10, step=2, half=5)}, pk AS (SELECT recording_id, t, energy FROM en WHERE w % 25 = 0),
+    "peak_pairs": f"""WITH {SIG}, {_EN.format(n=10, step=2, half=5)}, pk AS (SELECT recording_id, t, energy FROM en),
       pr AS (SELECT a.recording_id, a.t AS t1, b.t AS t2, a.energy AS e1, b.energy AS e2, abs(b.t - a.t - (0.7 + (a.recording_id % 5) * 0.1::DOUBLE)) AS gap_error
         FROM pk a JOIN pk b ON a.recording_id = b.recording_id AND b.t > a.t),
       rk AS (SELECT *, CASE WHEN gap_error <= 0.2 THEN 0 WHEN gap_error <= 0.3 THEN 1 END AS tolerance_rank FROM pr WHERE gap_error <= 0.3),

@@ -53,7 +53,7 @@ def overall_qc_table(spark: SparkSession, sf: str) -> DataFrame:
 def stage_record_wide(spark: SparkSession, sf: str) -> DataFrame:
     s = ad.signal_multi(spark, sf)
     long = dt.stage_record({"dropout": dt.detect_dropout(s, FS, **DROP), "spike": dt.detect_spikes(s, FS, sigma=1.7, min_s=0.0)})
-    w = ft.pivot_intervals(long, K, ["dropout", "spike"], ["ch1", "ch2", "overall"])
+    w = ft.pivot_intervals(long, K, ["dropout", "spike"], [*ad.CHANNELS, "overall"])
     arrays = [c for c, t in w.dtypes if t.startswith("array")]
     text = [F.array_join(F.transform(c, lambda x: F.round(x * 100).cast("int").cast("string")), ",").alias(c) for c in arrays]
     return w.select(*[c for c in w.columns if c not in arrays], *text)
@@ -227,7 +227,7 @@ ORACLES = {
       u AS (SELECT *, 'dropout' AS kind FROM dint UNION ALL SELECT *, 'spike' AS kind FROM sint),
       o AS ({merged('u', 'recording_id, kind', 0.5)}),
       al AS (SELECT recording_id, kind, channel, s, e FROM u UNION ALL SELECT recording_id, kind, 'overall' AS channel, s, e FROM o)
-      SELECT recording_id, {', '.join(_pick(k, c) for k in ('dropout', 'spike') for c in ('ch1', 'ch2', 'overall'))} FROM al GROUP BY recording_id""",
+      SELECT recording_id, {', '.join(_pick(k, c) for k in ('dropout', 'spike') for c in ('ch1', 'ch2', 'ch3', 'ch4', 'overall'))} FROM al GROUP BY recording_id""",
     "interval_merge": f"WITH {IRR}, ev AS ({_EV}) SELECT recording_id, {_SE} FROM ({merged('ev', 'recording_id', 600.0)})",
     "interval_classify": f"WITH {IRR}, ev AS ({_EV}) SELECT recording_id, {_SE}, CASE WHEN e - s < 3600 THEN 'Intermittent' ELSE 'Continuous' END AS artifact_type FROM ({merged('ev', 'recording_id', 0.0)}) WHERE e - s BETWEEN 60 AND 86400",
     "overall_segments": f"WITH {_D} SELECT recording_id, {_SE} FROM ({merged('dint', 'recording_id', 0.0)})",

@@ -271,7 +271,7 @@ def report_audio(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report_motion(spark: SparkSession, sf: str) -> DataFrame:
-    return rp.motion_sheet(ad.motion_table(spark, sf), ad.studies(spark, sf), (None, "walk", None)).select("id", "participant_id", "knee", "biomechanics_file")
+    return rp.motion_sheet(ad.motion_table(spark, sf), ad.studies(spark, sf)).select("id", "participant_id", "knee", "maneuver", "biomechanics_file")
 
 
 def report_sync(spark: SparkSession, sf: str) -> DataFrame:

@@ -96,7 +96,7 @@ ORACLES = {
     "report_audio": f"""WITH {MOT} SELECT aud.id, study_id + 1000 AS participant_id, aud.knee, aud.maneuver, replace(audio_file_name, '.bin', '') AS audio_file_name,
       CAST(recording_date + INTERVAL 1 HOUR * CASE WHEN year(recording_date) >= 2000 THEN aud.id % 86400 % 24 ELSE 0 END AS TIMESTAMP) AS recording_datetime, mot.biomechanics_file AS linked_biomechanics_file, mot.biomechanics_type AS linked_biomechanics_type
       FROM aud LEFT JOIN (SELECT id, biomechanics_file, biomechanics_type FROM mot) mot ON mot.id = biomechanics_import_id WHERE aud.is_active""",
-    "report_motion": f"WITH {MOT} SELECT id, study_id + 1000 AS participant_id, knee, biomechanics_file FROM mot WHERE is_active AND maneuver = 'walk'",
+    "report_motion": f"WITH {MOT} SELECT id, study_id + 1000 AS participant_id, knee, maneuver, biomechanics_file FROM mot WHERE is_active",
     "report_sync": f"WITH {AUD}, {SYN} SELECT syn.id, syn.study_id + 1000 AS participant_id, pass_number, speed, audio_file_name FROM syn JOIN aud ON aud.id = audio_processing_id WHERE aud.is_active AND syn.is_active",
     "report_cycles": f"""WITH {AUD}, {SYN}, {CYC} SELECT cyc.id, cyc.study_id + 1000 AS participant_id, pass_number, speed, cycle_index, audio_file_name, {r('start_time_s', 'start_time_s')}, is_outlier
       FROM cyc JOIN aud ON aud.id = cyc.audio_processing_id LEFT JOIN syn ON syn.id = synchronization_id WHERE cyc.is_active AND aud.is_active""",
