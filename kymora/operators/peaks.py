@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kymora.functions import kernels as kn
 from kymora.operators.windows import neighbours
-from kymora.plans.blocks import BLK, BLOCK_ROWS, index_blocks, running
+from kymora.plans.blocks import BLK, BLOCK_ROWS, KEY, index_blocks, running, with_key
 from kymora.plans.grouped import grouped_map
 from kymora.session import durable
 
@@ -48,20 +48,70 @@ def _verdicts(distance: int, prominent: bool, rows: int, halo: int):
         seen_to = np.inf if has_last else (blk + 1) * rows + halo - 1
         top = np.flatnonzero(g["_cand"])
         if distance > 1:
-            final = kn.thin_by_distance(pos[top], val[top], distance, seen_from, seen_to)
+            space = kn.thin_by_distance(pos[top], val[top], distance, seen_from, seen_to)
         else:
-            final = np.full(len(top), kn.KEEP, dtype=np.int8)
+            space = np.full(len(top), kn.KEEP, dtype=np.int8)
+        stand = np.full(len(top), kn.KEEP, dtype=np.int8)
         if prominent:
-            alive = np.flatnonzero(final != kn.DROP)
-            stands = kn.reaches_prominence(pos, val, top[alive], float(g["_need"][0]), has_first, has_last)
-            both = np.where((stands == kn.OPEN) | (final[alive] == kn.OPEN), kn.OPEN, kn.KEEP)
-            final[alive] = np.where(stands == kn.DROP, kn.DROP, both)
+            alive = np.flatnonzero(space != kn.DROP)
+            stand[alive] = kn.reaches_prominence(pos, val, top[alive], float(g["_need"][0]), has_first, has_last)
         own = pos[top] // rows == blk
-        return {"i": pos[top][own], "v": val[top][own], "verdict": final[own].astype("int32")}
+        return {"i": pos[top][own], "v": val[top][own], "space": space[own].astype("int32"), "stand": stand[own].astype("int32")}
 
     return verdict
 
 
+FAN = 64  # entries of a group in the search tree
+
+
+def _tree(extrema: DataFrame) -> list[DataFrame]:
+    """Groups of at most ``FAN`` entries (KEY, g, items of place, lowest, highest), level by level up to one group a key."""
+    top = extrema.agg(F.max("i")).first()[0] or 0
+    item = F.struct(F.col("i").alias("p"), F.col("v").alias("lo"), F.col("v").alias("hi"))
+    level = extrema.groupBy(KEY, F.floor(F.col("i") / FAN).cast("long").alias("g")).agg(F.collect_list(item).alias("items"))
+    levels = [level]
+    while top >= FAN:
+        top //= FAN
+        low, high = F.array_min(F.transform("items", lambda x: x["lo"])), F.array_max(F.transform("items", lambda x: x["hi"]))
+        level = level.select(KEY, "g", F.struct(F.col("g").alias("p"), low.alias("lo"), high.alias("hi")).alias("x"))
+        level = level.groupBy(KEY, F.floor(F.col("g") / FAN).cast("long").alias("g")).agg(F.collect_list("x").alias("items"))
+        levels.append(level)
+    return levels
+
+
+def _settle_sides(peaks: DataFrame, extrema: DataFrame) -> DataFrame:
+    """Of ``peaks`` (KEY, i, v, _need) those that stand out on both sides, however far that has to be looked.
+
+    On each side the nearest extremum counts that is low enough or higher than the peak; low enough decides
+    for the peak, higher or the end of the series against it. It is found by climbing a tree of lowest and
+    highest values until a group has such an entry, and descending into that entry: two joins a level on
+    groups of bounded size, never a look at a whole series.
+    """
+    levels = _tree(extrema)
+    side = F.explode(F.array(F.lit(-1), F.lit(1))).alias("_side")
+    s = peaks.select(KEY, "i", "v", (F.col("v") - F.col("_need")).alias("_low"), F.col("i").alias("_p"), side, F.lit(None).cast("int").alias("_found"), F.lit(None).cast("double").alias("_x"))
+
+    def nearest(within: Column | None) -> Column:
+        hits = F.filter("items", lambda x: ((x["lo"] <= F.col("_low")) | (x["hi"] > F.col("v"))) & (F.lit(True) if within is None else (x["p"] - within) * F.col("_side") > 0))
+        keyed = F.transform(hits, lambda x: F.struct((x["p"] * F.col("_side")).alias("o"), x["p"].alias("p"), x["lo"].alias("lo")))
+        return F.array_min(keyed)
+
+    def step(s: DataFrame, level: DataFrame, g: Column, hit: Column, use: Column, found: Column, missed: Column, first: bool) -> DataFrame:
+        j = s.withColumn("g", g).join(level, [KEY, "g"], "left").withColumn("_hit", F.when(use, hit))
+        got = F.col("_hit").isNotNull()
+        return j.select(
+            KEY, "i", "v", "_low", "_side", F.when(got, F.col("_hit.p")).when(use, missed).otherwise(F.col("_p")).alias("_p"),
+            F.when(got, found).otherwise(F.col("_found")).alias("_found"), F.when(got & F.lit(first), F.col("_hit.lo")).otherwise(F.col("_x")).alias("_x"),
+        )
+
+    up = F.floor(F.col("_p") / FAN).cast("long")
+    for k, level in enumerate(levels):
+        s = step(s, level, up, nearest(F.col("_p")), F.col("_found").isNull(), F.lit(k), up, k == 0)
+    for k in range(len(levels) - 1, 0, -1):
+        s = step(s, levels[k - 1], F.col("_p"), nearest(None), F.col("_found") >= k, F.col("_found"), F.col("_p"), k == 1)
+    return s.groupBy(KEY, "i").agg(F.bool_and(F.coalesce(F.col("_x") <= F.col("_low"), F.lit(False))).alias("_stands")).filter("_stands").drop("_stands")
+
+
 def find_peaks(
     signal: DataFrame,
     keys: Sequence[str],
@@ -77,9 +127,10 @@ def find_peaks(
 
     ``per_key`` may give (keys, height and/or prominence) where the limits differ from key to key.
 
-    Each block judges its own peaks from the extrema it can see. A peak whose verdict would need rows
-    further away stays open, and only the open ones are judged again with four times the view, until
-    none is left; a series that fits the first view never takes a second step.
+    Each block judges its own peaks from the extrema it can see. What stays open is settled in two ways:
+    prominence by a search in a tree of block summaries (``_settle_sides``), spacing by looking again at the
+    open peaks alone with four times the view. A spacing verdict reaches as far as a chain of peaks that
+    each lie closer than ``distance`` to a higher one.
     """
     keys = list(keys)
     gap = max(int(np.ceil(distance)), 1) if distance is not None else 1
@@ -88,7 +139,8 @@ def find_peaks(
     flip = -F.col("v") if negate else F.col("v")
     own_limits = [c for c in ("height", "prominence") if per_key is not None and c in per_key.columns]
     if own_limits:
-        extrema = extrema.join(per_key.select(*keys, *own_limits), keys)
+        limits = with_key(per_key.select(*keys, *own_limits), keys).drop(*keys)
+        extrema = with_key(extrema, keys).join(limits, KEY).drop(KEY)
     floor = F.col("height") if "height" in own_limits else F.lit(height)
     need = F.col("prominence") if "prominence" in own_limits else F.lit(prominence)
     candidate = F.col("kind") == "max"
@@ -101,32 +153,43 @@ def find_peaks(
     prominent = prominence is not None or "prominence" in own_limits
     if gap <= 1 and not prominent:
         return extrema.filter("_cand").select(*keys, "i", flip.alias("v"))
-    view = max(4 * rows, 8 * gap)
-    wanted: DataFrame | None = None
-    settled: DataFrame | None = None
-    while True:
+
+    def look(view: int, prominent: bool, wanted: DataFrame | None) -> DataFrame:
+        """Verdicts of all candidates, or of the wanted ones, with a view of so many samples."""
         halo = view // 8 + 2 * gap
         own = lambda x: F.floor(x / F.lit(view)).cast("long")
         spread = extrema.withColumn(
             BLK, F.explode(F.sequence(F.greatest(own(F.col("i") - halo), F.lit(0)), own(F.col("i") + halo)))
         )
         if wanted is not None:
-            todo = wanted.select(*keys, own(F.col("i")).alias(BLK)).distinct()
-            spread = spread.join(todo, [*keys, BLK], "left_semi")
+            todo = wanted.select(KEY, own(F.col("i")).alias(BLK)).distinct()
+            spread = with_key(spread, keys).join(todo, [KEY, BLK], "left_semi").drop(KEY)
         judged = grouped_map(
             spread.withColumn("_at", F.col(BLK)), [*keys, BLK], ["i"], ["i", "v", "_end", "_cand", "_need", "_at"],
-            "i bigint, v double, verdict int", _verdicts(gap, prominent, view, halo),
+            "i bigint, v double, space int, stand int", _verdicts(gap, prominent, view, halo),
         ).drop(BLK)
-        if wanted is not None:
-            judged = judged.join(wanted.select(*keys, "i"), [*keys, "i"], "left_semi")
-        settled = judged.filter("verdict = 1") if settled is None else settled.unionByName(judged.filter("verdict = 1"))
-        first_look = wanted is None
-        wanted = judged.filter("verdict = -1")
-        if wanted.isEmpty():
-            return settled.select(*keys, "i", flip.alias("v"))
-        if first_look:
-            extrema = durable(extrema)
-        view *= 4
+        judged = with_key(judged, keys)
+        return judged if wanted is None else judged.join(wanted.select(KEY, "i"), [KEY, "i"], "left_semi")
+
+    view = max(4 * rows, 8 * gap)
+    first = look(view, prominent, None)
+    spaced = first.filter("space = 1 AND stand <> 0")
+    wanted = first.filter("space = -1 AND stand <> 0")
+    far = first.filter("(space = -1 AND stand <> 0) OR (space = 1 AND stand = -1)")
+    if not far.isEmpty():
+        extrema = durable(extrema)
+        while not wanted.isEmpty():
+            view *= 4
+            again = durable(look(view, False, wanted).select(KEY, "i", "space"))
+            spaced = spaced.unionByName(wanted.drop("space").join(again.filter("space = 1"), [KEY, "i"]).select(*first.columns))
+            wanted = durable(wanted.drop("space").join(again.filter("space = -1"), [KEY, "i"]).select(*first.columns))
+        unsure = spaced.filter("stand = -1")
+        if prominent and not unsure.isEmpty():
+            keyed = with_key(extrema, keys)
+            limits = keyed.filter("_cand").select(KEY, "i", "_need")
+            good = _settle_sides(unsure.join(limits, [KEY, "i"]), keyed.select(KEY, "i", "v"))
+            spaced = spaced.filter("stand = 1").unionByName(unsure.join(good, [KEY, "i"], "left_semi"))
+    return spaced.select(*keys, "i", flip.alias("v"))
 
 
 def heel_strikes(
@@ -137,7 +200,8 @@ def heel_strikes(
     gap = max(int(hz / max_step_hz) if max_step_hz > 0 else 1, 1)
     s = signal.withColumn("_a", F.abs(F.col(value)))
     found = find_peaks(s, keys, "_a", height, gap, prominence, rows=rows)
-    return found.join(signal.select(*keys, "i", "t"), [*keys, "i"])
+    at = with_key(signal.select(*keys, "i", "t"), keys).drop(*keys)
+    return with_key(found, keys).join(at, [KEY, "i"]).drop(KEY)
 
 
 def peaks_of_arrays(x: Column, height: float | None = None, distance: int | None = None, prominence: float | None = None) -> Column:

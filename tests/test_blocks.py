@@ -268,3 +268,33 @@ def test_cycle_numbers_follow_their_start(spark):
     cuts = spark.createDataFrame([("a", 500, 600), ("a", 20, 90), ("a", 100, 400)], "recording_id string, first_i bigint, last_i bigint")
     got = {r.first_i: r.cycle_index for r in cycles.number_cycles(cuts, K, rows=64).collect()}
     assert got == {20: 0, 100: 1, 500: 2}
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+@pytest.mark.parametrize("distance", [None, 5])
+def test_peaks_far_from_their_bases_need_no_whole_series(spark, seed, distance):
+    """A slow swell with ripples: bases lie many blocks away, the top peak mid-way, keys partly null."""
+    from kymora.functions import kernels
+    from kymora.operators import peaks
+    from kymora.plans import grouped
+
+    rng = np.random.default_rng(seed)
+    n = 6000
+    x = np.sin(np.pi * np.arange(n) / n) * 20 + rng.normal(size=n).cumsum() * 0.05 + rng.normal(size=n) * 0.3
+    x[n // 2] += 10
+    rows = [(None if k else "a", i, float(v)) for k in (0, 1) for i, v in enumerate(x if not k else x[::-1])]
+    df = spark.createDataFrame(rows, "k string, i long, x double")
+    largest, run = [], grouped.grouped_map
+
+    def watched(df, group, order, columns, schema, helper):
+        largest.append(df.groupBy(*group).count().agg({"count": "max"}).first()[0])
+        return run(df, group, order, columns, schema, helper)
+
+    peaks.grouped_map = watched
+    try:
+        got = peaks.find_peaks(df, ["k"], "x", distance=distance, prominence=1.0, rows=16).collect()
+    finally:
+        peaks.grouped_map = run
+    want = {("a", int(i)) for i in kernels.find_peaks(x, None, distance, 1.0)} | {(None, int(i)) for i in kernels.find_peaks(x[::-1], None, distance, 1.0)}
+    assert {(r.k, r.i) for r in got} == want and len(want) > 4
+    assert max(largest) < n // 8
