@@ -89,10 +89,10 @@ def _settle_sides(peaks: DataFrame, extrema: DataFrame) -> DataFrame:
     """
     levels = _tree(extrema)
     side = F.explode(F.array(F.lit(-1), F.lit(1))).alias("_side")
-    s = peaks.select(KEY, "i", "v", (F.col("v") - F.col("_need")).alias("_low"), F.col("i").alias("_p"), side, F.lit(None).cast("int").alias("_found"), F.lit(None).cast("double").alias("_x"))
+    s = peaks.select(KEY, "i", "v", "_need", F.col("i").alias("_p"), side, F.lit(None).cast("int").alias("_found"), F.lit(None).cast("double").alias("_x"))
 
     def nearest(within: Column | None) -> Column:
-        hits = F.filter("items", lambda x: ((x["lo"] <= F.col("_low")) | (x["hi"] > F.col("v"))) & (F.lit(True) if within is None else (x["p"] - within) * F.col("_side") > 0))
+        hits = F.filter("items", lambda x: ((F.col("v") - x["lo"] >= F.col("_need")) | (x["hi"] > F.col("v"))) & (F.lit(True) if within is None else (x["p"] - within) * F.col("_side") > 0))
         keyed = F.transform(hits, lambda x: F.struct((x["p"] * F.col("_side")).alias("o"), x["p"].alias("p"), x["lo"].alias("lo")))
         return F.array_min(keyed)
 
@@ -100,7 +100,7 @@ def _settle_sides(peaks: DataFrame, extrema: DataFrame) -> DataFrame:
         j = s.withColumn("g", g).join(level, [KEY, "g"], "left").withColumn("_hit", F.when(use, hit))
         got = F.col("_hit").isNotNull()
         return j.select(
-            KEY, "i", "v", "_low", "_side", F.when(got, F.col("_hit.p")).when(use, missed).otherwise(F.col("_p")).alias("_p"),
+            KEY, "i", "v", "_need", "_side", F.when(got, F.col("_hit.p")).when(use, missed).otherwise(F.col("_p")).alias("_p"),
             F.when(got, found).otherwise(F.col("_found")).alias("_found"), F.when(got & F.lit(first), F.col("_hit.lo")).otherwise(F.col("_x")).alias("_x"),
         )
 
@@ -109,7 +109,7 @@ def _settle_sides(peaks: DataFrame, extrema: DataFrame) -> DataFrame:
         s = step(s, level, up, nearest(F.col("_p")), F.col("_found").isNull(), F.lit(k), up, k == 0)
     for k in range(len(levels) - 1, 0, -1):
         s = step(s, levels[k - 1], F.col("_p"), nearest(None), F.col("_found") >= k, F.col("_found"), F.col("_p"), k == 1)
-    return s.groupBy(KEY, "i").agg(F.bool_and(F.coalesce(F.col("_x") <= F.col("_low"), F.lit(False))).alias("_stands")).filter("_stands").drop("_stands")
+    return s.groupBy(KEY, "i").agg(F.bool_and(F.coalesce(F.col("v") - F.col("_x") >= F.col("_need"), F.lit(False))).alias("_stands")).filter("_stands").drop("_stands")
 
 
 def find_peaks(

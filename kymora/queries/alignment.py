@@ -11,7 +11,7 @@ from kymora.operators import peaks as pk
 from kymora.operators import segments as sg
 from kymora.operators import spectral as sp
 from kymora.operators import stomp as st
-from kymora.queries.common import IRR, SIG, WAVE, r, rounded
+from kymora.queries.common import IRR, SIG, WAVE, peaks, r, rounded
 from kymora.sources import adapters as ad
 
 K = ["recording_id"]
@@ -286,6 +286,10 @@ ORACLES = {
       rk AS (SELECT *, CASE WHEN gap_error <= 0.2 THEN 0 WHEN gap_error <= 0.3 THEN 1 END AS tolerance_rank FROM pr WHERE gap_error <= 0.3),
       o AS (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY tolerance_rank, e1 + e2 DESC, gap_error, t1, t2) AS rn FROM rk)
       SELECT recording_id, {r('t1', 't1')}, {r('t2', 't2')}, {r('e1', 'e1')}, {r('e2', 'e2')}, {r('gap_error', 'gap_error')}, tolerance_rank FROM o WHERE rn = 1""",
+    "find_peaks_full": f"""WITH RECURSIVE {SIG}, src AS (SELECT recording_id, i, ch2 AS v FROM sig), {peaks('pk', 'src', 'recording_id', 'v >= 0.2', 10, '0.3')}
+      SELECT recording_id, i, {r('v', 'v')} FROM pk""",
+    "heel_strikes": f"""WITH RECURSIVE {SIG}, src AS (SELECT recording_id, i, abs(ch2) AS v FROM sig), {peaks('pk', 'src', 'recording_id', 'v >= 0.02', 33, '0.02')}
+      SELECT pk.recording_id, pk.i, {r('v', 'v')}, {r('t', 't')} FROM pk JOIN sig USING (recording_id, i)""",
     "local_extrema": f"""WITH {SIG}, d AS (SELECT recording_id, i, ch1 AS v, CASE WHEN ch1 = lag(ch1) OVER w THEN 0 ELSE 1 END AS c FROM sig WINDOW w AS (PARTITION BY recording_id ORDER BY i)),
       g AS (SELECT *, sum(c) OVER (PARTITION BY recording_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS g FROM d),
       q AS (SELECT recording_id, g, min(i) AS a, max(i) AS b, min(v) AS v FROM g GROUP BY 1, 2),

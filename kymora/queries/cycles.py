@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kymora.operators import cycles as cy
 from kymora.operators import features as ft
 from kymora.operators import intervals as iv
-from kymora.queries.common import SIG, merged, r, rounded
+from kymora.queries.common import SIG, merged, peaks, r, rounded
 from kymora.session import durable
 from kymora.sources import adapters as ad
 
@@ -92,7 +92,7 @@ def two_stage_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sound_walk(spark: SparkSession, sf: str) -> DataFrame:
-    return cy.sound_rules(_blocks(spark, sf), CK, "walk")
+    return rounded(cy.sound_rules(_blocks(spark, sf), CK, "walk"))
 
 
 def sound_sit_to_stand(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,7 +232,57 @@ def _moments(c: str) -> str:
         r(f"max({c}) - min({c})", f"{c}_peak_to_peak"), r(f"sum({c} * {c})", f"{c}_energy"), r(f"kurtosis({c})", f"{c}_kurtosis"), r(f"skewness({c})", f"{c}_skewness")])
 
 
+_AN = f"{SIG}, an AS (SELECT recording_id, i, ch2 * 90 AS v FROM sig), neg AS (SELECT recording_id, i, -v AS v FROM an)"
+_NUMBER = "CAST(row_number() OVER (PARTITION BY recording_id ORDER BY first_i) - 1 AS INTEGER) AS cycle_index"
+
+
+def _verdict(name: str, rules: list[tuple[str, str, str]], more: str = "") -> str:
+    """Columns of the first rule that fails: (condition, code, judged value)."""
+    code = " ".join(f"WHEN {c} THEN '{k}'" for c, k, _ in rules)
+    value = " ".join(f"WHEN {c} THEN CAST({v} AS DOUBLE)" for c, _, v in rules)
+    return f"recording_id, cycle_index, CASE {code} END IS NULL AS {name}_ok, CASE {code} END AS {name}_reason, {r(f'CASE {value} END', f'{name}_value')}{more}"
+
+
+def _shape(maneuver: str) -> str:
+    """CTEs ending in sh: the numbers of every cycle that its shape is judged by."""
+    share = 0.5 if maneuver == "sit_to_stand" else 0.3
+    sign = "CASE WHEN a0 >= 45 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END" if maneuver == "sit_to_stand" else "1.0::DOUBLE"
+    return f"""{_BL}, rg AS (SELECT recording_id, cycle_index, count(*) AS n, max(angle) - min(angle) AS rom, min_by(angle, i) AS a0, max_by(angle, i) AS a1, min(i) AS i0 FROM bl GROUP BY 1, 2),
+      src AS (SELECT recording_id, cycle_index, i - i0 AS i, angle * {sign} AS v, greatest(rom * {share}::DOUBLE, 5) AS need FROM bl JOIN rg USING (recording_id, cycle_index)),
+      {peaks('pk', 'src', 'recording_id, cycle_index', need='need')},
+      pp AS (SELECT recording_id, cycle_index, count(*) AS n_peaks, min(i) AS first_peak, max(v) AS top, min(i) FILTER (WHERE v = (SELECT max(q.v) FROM pk q WHERE q.recording_id = pk.recording_id AND q.cycle_index = pk.cycle_index)) AS best FROM pk GROUP BY 1, 2),
+      sh AS (SELECT rg.*, coalesce(n_peaks, 0) AS n_peaks, first_peak / n AS first_at, best / n AS best_at, abs(a1 - a0) AS diff, CASE WHEN a0 >= 45 THEN a0 + top ELSE top - a0 END AS depth FROM rg LEFT JOIN pp USING (recording_id, cycle_index))"""
+
+
+_SHORT = [("n < 10", "few_samples", "n")]
+_SHAPE_RULES = {
+    "walk": [*_SHORT, ("rom < 20", "small_range", "rom"), ("diff > 10", "open_ends", "diff"), ("n_peaks = 0", "no_peak", "0"), ("n_peaks > 2", "extra_peaks", "n_peaks"), ("NOT first_at BETWEEN 0.2 AND 0.8", "peak_position", "first_at")],
+    "flexion_extension": [*_SHORT, ("rom < 40", "small_range", "rom"), ("diff > 15", "open_ends", "diff"), ("n_peaks = 0", "no_peak", "0"), ("n_peaks > 3", "extra_peaks", "n_peaks"), ("NOT best_at BETWEEN 0.25 AND 0.75", "peak_position", "best_at")],
+    "sit_to_stand": [*_SHORT, ("rom < 40", "small_range", "rom"), ("diff > 20", "open_ends", "diff"), ("n_peaks = 0", "no_peak", "0"), ("NOT best_at BETWEEN 0.15 AND 0.85", "peak_position", "best_at"), ("depth < rom * 0.5", "small_depth", "depth")],
+}
+_SOUND_RULES = [("hi < 0.001", "quiet", "hi"), ("n < 10", "few_samples", "n"), ("m = 0", "zero_mean", "m"), ("s / m < 0.1", "flat", "s / m"), ("n_peaks = 0", "no_peak", "0"), ("main > 0.8", "peak_position", "main")]
+
 ORACLES = {
+    "cycles_sit_to_stand": f"""WITH RECURSIVE {_AN}, {peaks('lo', 'neg', 'recording_id', gap=50, need='20')},
+      nx AS (SELECT recording_id, i, lead(i) OVER (PARTITION BY recording_id ORDER BY i) AS j, count(*) OVER (PARTITION BY recording_id) AS n FROM lo),
+      cut AS (SELECT recording_id, i AS first_i, j - 1 AS last_i FROM nx WHERE j - i > 10
+        UNION ALL SELECT recording_id, min(i), max(i) FROM an WHERE recording_id NOT IN (SELECT recording_id FROM nx WHERE n > 1) GROUP BY 1 HAVING max(i) > min(i))
+      SELECT recording_id, {_NUMBER}, first_i, last_i FROM cut""",
+    "cycles_flexion_extension": f"""WITH RECURSIVE {_AN}, {peaks('lo', 'neg', 'recording_id', gap=45, need='10')}, {peaks('up', 'an', 'recording_id', need='10')},
+      nx AS (SELECT recording_id, i, lead(i) OVER (PARTITION BY recording_id ORDER BY i) AS j FROM lo),
+      cut AS (SELECT recording_id, i AS first_i, j - 1 AS last_i FROM nx WHERE j - i > 10 AND EXISTS (SELECT 1 FROM up WHERE up.recording_id = nx.recording_id AND up.i >= nx.i AND up.i < nx.j))
+      SELECT recording_id, {_NUMBER}, first_i, last_i FROM cut""",
+    **{f"shape_{m}": f"WITH RECURSIVE {_shape(m)} SELECT {_verdict('shape', rules, ', ' + r('rom', 'rom'))} FROM sh" for m, rules in _SHAPE_RULES.items()},
+    "two_stage_split": f"""WITH RECURSIVE {_shape('walk')}, v AS (SELECT {_verdict('shape', _SHAPE_RULES['walk'], ', rom')} FROM sh),
+      e AS (WITH {_ENERGY} SELECT recording_id, cycle_index, e FROM en)
+      SELECT recording_id, cycle_index, {r('e', 'acoustic_energy')}, {r('rom', 'rom')}, e < 1.1 AS energy_fail, NOT shape_ok AS shape_fail, e < 1.1 OR NOT shape_ok AS is_outlier,
+        CASE WHEN e < 1.1 THEN 'low_acoustic_energy' ELSE shape_reason END AS outlier_reason FROM v JOIN e USING (recording_id, cycle_index)""",
+    "sound_walk": f"""WITH RECURSIVE {_BL}, ev AS (SELECT recording_id, cycle_index, i - min(i) OVER (PARTITION BY recording_id, cycle_index) AS i, sqrt((ch1*ch1 + ch2*ch2 + ch3*ch3 + ch4*ch4) / 4) AS v FROM bl),
+      st AS (SELECT recording_id, cycle_index, count(*) AS n, avg(v) AS m, stddev_pop(v) AS s, min(v) AS lo, max(v) AS hi FROM ev GROUP BY 1, 2),
+      src AS (SELECT ev.*, greatest((hi - lo) * 0.2::DOUBLE, m * 0.5::DOUBLE) AS need FROM ev JOIN st USING (recording_id, cycle_index)), {peaks('pk', 'src', 'recording_id, cycle_index', need='need')},
+      pp AS (SELECT recording_id, cycle_index, count(*) AS n_peaks, arg_max(i, v - i * 1e-12::DOUBLE) AS main_i FROM pk GROUP BY 1, 2),
+      so AS (SELECT st.*, coalesce(n_peaks, 0) AS n_peaks, main_i / n AS main FROM st LEFT JOIN pp USING (recording_id, cycle_index))
+      SELECT {_verdict('sound', _SOUND_RULES)} FROM so""",
     "samples_of_cycles": f"WITH {SIG} SELECT recording_id, CAST(i // 100 AS INTEGER) AS cycle_index, i FROM sig WHERE i % 100 < 50",
     "cycle_energy": f"WITH {_ENERGY} SELECT recording_id, cycle_index, {r('e', 'acoustic_energy')} FROM en",
     "cycle_rom": f"WITH {_BL} SELECT recording_id, cycle_index, {r('max(angle) - min(angle)', 'rom')}, count(*) AS n_rows, count(angle) AS n_valid FROM bl GROUP BY 1, 2",
