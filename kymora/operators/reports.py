@@ -20,7 +20,7 @@ def in_scope(df: DataFrame, study_id: int | None, maneuver: str | None, knee: st
     return df.filter("is_active")
 
 
-def _participant(df: DataFrame, studies: DataFrame) -> DataFrame:
+def with_participant(df: DataFrame, studies: DataFrame) -> DataFrame:
     s = studies.select(F.col("id").alias("study_id"), F.col("study_participant_id").alias("_number"))
     return df.join(s, "study_id", "left").withColumn("participant_id", F.coalesce("_number", "study_id")).drop("_number")
 
@@ -31,7 +31,7 @@ def _lead(df: DataFrame, lead: Sequence[str]) -> DataFrame:
 
 def audio_sheet(audio: DataFrame, motion: DataFrame, studies: DataFrame, scope: tuple = (None, None, None)) -> DataFrame:
     """Audio rows with their motion import, participant number and a recording time from the file name first."""
-    a = _participant(in_scope(audio, *scope), studies)
+    a = with_participant(in_scope(audio, *scope), studies)
     name = F.regexp_replace(F.regexp_replace("audio_file_name", "_with_freq$", ""), r"(?i)\.bin$", "")
     a = a.withColumn("audio_file_name", name)
     parsed = sc.file_name_parts(F.col("audio_file_name"))["recorded_at"]
@@ -44,13 +44,13 @@ def audio_sheet(audio: DataFrame, motion: DataFrame, studies: DataFrame, scope:
 
 
 def motion_sheet(motion: DataFrame, studies: DataFrame, scope: tuple = (None, None, None)) -> DataFrame:
-    return _lead(_participant(in_scope(motion, *scope), studies), ["id", "participant_id", "knee", "maneuver", "biomechanics_file"])
+    return _lead(with_participant(in_scope(motion, *scope), studies), ["id", "participant_id", "knee", "maneuver", "biomechanics_file"])
 
 
 def sync_sheet(sync: DataFrame, audio: DataFrame, studies: DataFrame, scope: tuple = (None, None, None)) -> DataFrame:
     """Synchronisations of active audio, ordered by pass and id."""
     a = audio.filter("is_active").select(F.col("id").alias("audio_processing_id"), "audio_file_name")
-    s = _participant(in_scope(sync, *scope).join(a, "audio_processing_id"), studies)
+    s = with_participant(in_scope(sync, *scope).join(a, "audio_processing_id"), studies)
     return _lead(s, ["id", "participant_id", "pass_number", "speed", "audio_file_name"]).orderBy("pass_number", "id")
 
 
@@ -59,7 +59,7 @@ def cycle_sheet(cycles: DataFrame, audio: DataFrame, sync: DataFrame, studies: D
     a = audio.filter("is_active").select(F.col("id").alias("audio_processing_id"), "audio_file_name")
     s = sync.select(F.col("id").alias("synchronization_id"), F.col("pass_number").alias("_pass"), F.col("speed").alias("_speed"))
     cyc = in_scope(cycles, *scope).join(a, "audio_processing_id").join(s, "synchronization_id", "left")
-    cyc = _participant(cyc, studies).withColumn("pass_number", F.col("_pass")).withColumn("speed", F.col("_speed")).drop("_pass", "_speed")
+    cyc = with_participant(cyc, studies).withColumn("pass_number", F.col("_pass")).withColumn("speed", F.col("_speed")).drop("_pass", "_speed")
     lead = ["id", "participant_id", "pass_number", "speed", "cycle_index", "audio_file_name"]
     return _lead(cyc, lead).orderBy(F.coalesce("pass_number", F.lit(0)), "cycle_index")
 
@@ -84,7 +84,7 @@ def summary(
         *[F.coalesce(F.max(F.when(F.col("metric") == m, F.col("value"))), F.lit(0)).alias(m) for m in parts]
     )
     out = wide.unpivot(list(SCOPE), [F.col(f"`{m}`") for m in parts], "metric", "value")
-    return _participant(out, studies).select("participant_id", *SCOPE, "metric", "value")
+    return with_participant(out, studies).select("participant_id", *SCOPE, "metric", "value")
 
 
 def knee_summary(counts: DataFrame, keys: Sequence[str], value_columns: Sequence[str], maneuvers: Sequence[str] = sc.MANEUVERS) -> DataFrame:

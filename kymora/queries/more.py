@@ -11,6 +11,7 @@ from kymora.operators import cycles as cy
 from kymora.operators import intervals as iv
 from kymora.operators import tables as tb
 from kymora.operators import validate as vd
+from kymora.plans import persist as ps
 from kymora.queries.common import IRR, merged, r, rounded
 from kymora.queries.study_sql import AUD, CYC, MOT
 from kymora.sources import adapters as ad
@@ -158,9 +159,22 @@ def motion_rate(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sh.motion_rate(ad.signal_irregular(spark, sf), ["recording_id"]))
 
 
+def persist_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """Active and inactive records after a run over every second participant is saved in all tables."""
+    key = {"meta_audio": tb.AUDIO_KEY, "meta_motion": tb.MOTION_KEY, "meta_cycle": tb.CYCLE_KEY}
+    tables = {"meta_audio": ad.audio_table(spark, sf), "meta_motion": ad.motion_table(spark, sf), "meta_cycle": ad.cycle_table(spark, sf)}
+    after = {}
+    for name, t in tables.items():
+        rows = tb.latest_per_key(t.select(*key[name], "id", "is_active"), key[name], ["id"])
+        scope = t.filter("study_id % 2 = 0").select(*ps.SCOPE).distinct()
+        run = rows.filter("study_id % 2 = 0 AND id % 3 < 2").select(*key[name])
+        after[name] = ps.save(rows.filter("id % 3 > 0").select(*key[name], "id", "is_active"), run, scope, key[name])
+    return ps.activity(after)
+
+
 QUERIES = {f.__name__: f for f in (
     merge_null_keys, spread_overall, overall_artifact_types, device_names, recording_identity, file_violations, upsert_audio, upsert_motion, upsert_cycles,
-    audio_records, koos_scores, oai_scores, combined_characteristics, unique_ids, motion_rate,
+    audio_records, persist_activity, koos_scores, oai_scores, combined_characteristics, unique_ids, motion_rate,
 )}
 
 
@@ -178,7 +192,15 @@ _MAN = "maneuver <> 'walk'"
 _AK = "study_id, audio_file_name, knee, maneuver"
 _END = f"{r('s', 'start')}, {r('e', chr(34) + 'end' + chr(34))}"
 
+def _activity(name: str, source: str, key: str) -> str:
+    return f"""SELECT '{name}' AS "table", count(*) FILTER (WHERE live) AS n_active, count(*) FILTER (WHERE NOT live) AS n_inactive FROM (
+      SELECT CASE WHEN study_id % 2 = 0 THEN id % 3 < 2 ELSE is_active END AS live FROM (SELECT {key}, max(id) AS id, max_by(is_active, id) AS is_active FROM {source} GROUP BY ALL)
+      WHERE id % 3 > 0 OR study_id % 2 = 0)"""
+
+
 ORACLES = {
+    "persist_activity": f"""WITH {MOT}, {CYC} {_activity('meta_audio', 'aud', _AK)} UNION ALL {_activity('meta_motion', 'mot', 'study_id, biomechanics_file, knee, maneuver')}
+      UNION ALL {_activity('meta_cycle', 'cyc', 'study_id, knee, maneuver, cycle_index')}""",
     "merge_null_keys": f"""WITH {IRR}, ev AS (SELECT recording_id, CASE WHEN event_id % 3 > 0 THEN CAST(event_id % 3 AS INTEGER) END AS pass_number, CASE WHEN event_id % 2 = 0 THEN 'slow' END AS speed, t AS s, t + v * 60 AS e FROM irr)
       SELECT recording_id, pass_number, speed, {_END} FROM ({merged('ev', 'recording_id, pass_number, speed', 600.0)})""",
     "spread_overall": f"""WITH {AUD}, per AS (SELECT study_id, 'ch' || (id % 4 + 1) AS channel, file_size_mb AS s FROM aud WHERE id % 3 = 0 AND study_id % 4 > 0), u AS (SELECT * FROM per

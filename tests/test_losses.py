@@ -131,3 +131,30 @@ def test_a_run_over_some_recordings_leaves_the_others(spark, tmp_path):
     gone.write("signal", both.filter("false"))
     gone.publish()
     assert {r.recording_id for r in store.read("signal").collect()} == {"a", None}
+
+
+def test_a_saved_run_switches_off_what_it_did_not_see(spark, tmp_path):
+    from kymora.plans import persist
+
+    store = pipeline.StageStore(spark, str(tmp_path))
+    recs = [("r1", 1, "f1", "left", "walk", 1, "slow"), ("r2", 1, "f2", "left", "sts", None, None), ("r3", 2, "f3", "left", "walk", 1, "slow")]
+    shape = "recording_id string, study_id long, audio_file_name string, knee string, maneuver string, pass_number int, speed string"
+
+    def run(rows, outlier):
+        store.write("artifact_interval", spark.createDataFrame([(rows[0][0], "spike", "ch1", 0.0, 1.0)], "recording_id string, kind string, channel string, start double, end double"))
+        store.write("sync_record", spark.createDataFrame([(r[0], 1.0, 2.0) for r in rows], "recording_id string, audio_stomp double, motion_stomp double"))
+        store.write("cycle", spark.createDataFrame([(r[0], k, outlier, True) for r in rows for k in range(2)], "recording_id string, cycle_index int, is_outlier boolean, audio_qc_pass boolean"))
+        persist.save_run(store, spark.createDataFrame(rows, shape))
+
+    run(recs, False)
+    first = store.read("meta_cycle")
+    assert first.count() == 6 and first.filter("is_active").count() == 6 and store.read("meta_audio").filter("qc_fail").count() == 1
+    ids = {(r.study_id, r.maneuver, r.cycle_index): r.id for r in first.collect()}
+    run([recs[0], ("r2", 1, "f9", "left", "sts", None, None)], True)
+    audio = {r.audio_file_name: r.is_active for r in store.read("meta_audio").collect()}
+    assert audio == {"f1": True, "f2": False, "f3": True, "f9": True}  # f3 is out of scope, f2 was not seen
+    cycles = store.read("meta_cycle").collect()
+    assert {(r.study_id, r.maneuver, r.cycle_index): r.id for r in cycles} == ids
+    assert {r.study_id for r in cycles if r.is_outlier} == {1}
+    persist.report(store, spark.createDataFrame([(1, 501)], "id long, study_participant_id long"), str(tmp_path / "report"))
+    assert {r.participant_id for r in spark.read.parquet(str(tmp_path / "report" / "audio")).collect()} == {501, 2}
