@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute
@@ -29,17 +31,23 @@ def texts(docs: DataFrame, *more: Column) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="llm-stages-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path below the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Where nothing is named and the master is local, Spark's warehouse folder takes its place; on a
-    cluster that is an error, since a machine's own folder is not seen by the other machines.
+    Where nothing is named, a local session gets a temporary folder; on a cluster that is an error, since
+    a machine's own folder is not seen by the other machines.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/llm-stages"
+        named = _own_folder()
     app = spark.conf.get("spark.app.id", "app")
     return f"{named.rstrip('/')}/llm-{app}/{uuid.uuid4().hex}"
 
