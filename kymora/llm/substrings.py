@@ -166,7 +166,7 @@ def _anchors(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("anchor", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("pack", pa.int64())])
-        for batch in slices(batches, "raw", 4 << 20):
+        for batch in slices(batches, "raw", 1 << 20):
             text, start, windows, anchor, twice = stretches(*word_hashes(batch.column("raw")))
             of = pa.array(text)
             yield batch_of({"anchor": anchor.view(np.int64), "ord": batch.column("ord").take(of), "tie": batch.column("tie").take(of), "pack": start << 5 | windows << 1 | twice}, schema)
@@ -180,13 +180,13 @@ def _marked(docs: DataFrame, found: DataFrame) -> DataFrame:
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("z", pa.binary())])
         press = zstandard.ZstdCompressor(level=1)
-        for batch in slices(batches, "raw"):
+        for batch in slices(batches, "raw", 2 << 20):
             yield batch_of({"doc_id": batch.column("doc_id"), "ord": batch.column("ord"), "tie": batch.column("tie"), "z": [press.compress(x) for x in batch.column("raw").to_pylist()]}, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = pa.list_(pa.struct([("anchor", pa.int64()), ("content", pa.int64()), ("start", pa.int64()), ("windows", pa.int64()), ("twice", pa.bool_())]))
         schema = pa.schema([("doc_id", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("n_words", pa.int64()), ("sha", pa.string()), ("z", pa.binary()), ("parts", part)])
-        for batch in slices(batches, "z", 2 << 20):
+        for batch in slices(batches, "z", 1 << 19):
             out: dict[str, list] = {n: [] for n in schema.names}
             for doc_id, ord_, tie, z, found in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "ord", "tie", "z", "found")]):
                 raw = zstandard.decompress(z)
@@ -220,7 +220,7 @@ def _contents(held: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = ["anchor", "content", "ord", "tie", "start"]
         schema = pa.schema([*[(c, pa.int64()) for c in longs], ("hot", pa.bool_()), ("words", pa.binary())])
-        for batch in slices(batches, "z", 2 << 20):
+        for batch in slices(batches, "z", 1 << 19):
             out: dict[str, list] = {n: [] for n in schema.names}
             for ord_, tie, z, wants in zip(*[batch.column(c).to_pylist() for c in ("ord", "tie", "z", "wants")]):
                 words = zstandard.decompress(z).split()
@@ -379,7 +379,7 @@ def remove_repeats(docs: DataFrame, shard: int = SHARD, with_spans: bool = False
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = [("doc_id", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]
         schema = pa.schema(fields)
-        for batch in slices(batches, "z", 2 << 20):
+        for batch in slices(batches, "z", 1 << 19):
             out: dict[str, list] = {n: [] for n in schema.names}
             for doc_id, ord_, tie, z, found in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "ord", "tie", "z", "spans")]):
                 words = zstandard.decompress(z).split()
