@@ -6,11 +6,16 @@ Two kinds of links join texts:
 * a Jaccard similarity of at least 0.8 over 5-word shingles. At that similarity whole-text fingerprints
   differ in some ten bits of 64, more than any pigeonhole can probe. Candidates therefore come from
   ``SAMPLES`` fingerprints, each the SimHash of the ``DRAWN`` shingles that a hash of its own ranks first:
-  texts at 0.8 agree in one of them with a chance of 1 - (1 - 0.8**3)**16, above 0.9999. Of the texts that
-  share one, each is compared with the first and with the one before it, exactly, on its whole text.
+  texts at 0.8 agree in one of them with a chance of 1 - (1 - 0.8**3)**16, above 0.9999.
 
-Texts count once, whatever the number of their copies. A pair at 0.8 that shares a sample with no common
-first or neighbouring text can stay unlinked unless other texts join it; all links that are made are exact.
+All texts that share a sample are joined as if every pair of them had been compared, exactly, on whole texts.
+First each is compared with the least text of the sample. Where the others are then still in several
+components, a task takes them together and compares across components only, which gives a spanning forest of
+their links (``partners``). Samples whose texts hold more than ``WEIGHT`` shingles are cut by size, since texts
+at 0.8 have sizes within a factor of 1.25, and then into parts of which every two meet in a task.
+
+Texts count once, whatever the number of their copies. A pair at 0.8 that shares no sample at all can stay
+unlinked unless other texts join it; all links that are made are exact.
 
 Defined cases: null texts count as empty; texts shorter than a shingle are one shingle; the document that
 stays is that of least doc_id (null least), then least text hash; of equal rows one stays; all columns are
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kymora.llm.common import batch_of, place_of, plain, slices, stage, texts
@@ -34,6 +39,7 @@ from kymora.llm.simhash import fingerprint, links
 from kymora.llm.substrings import LEAST_ID, word_hashes
 
 SAMPLES, DRAWN, WIDTH = 16, 3, 5
+WEIGHT = 1 << 18  # shingles that a task compares at once
 
 
 def shingle_set(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -66,36 +72,36 @@ def _lower_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(ord, h, fp, samples) of every row; h is the hash of its text."""
+    """(ord, h, fp, size, samples) of every row; h is the hash of its text, size the number of its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("ord", pa.int64()), ("h", pa.int64()), ("fp", pa.int64()), ("samples", pa.list_(pa.int64()))])
+        schema = pa.schema([("ord", pa.int64()), ("h", pa.int64()), ("fp", pa.int64()), ("size", pa.int64()), ("samples", pa.list_(pa.int64()))])
         for batch in slices(batches, "raw", 4 << 20):
             raws = batch.column("raw").to_pylist()
             hashes, at = _lower_hashes(raws)
             fps = np.array([fingerprint(r.lower().split(), 3) for r in raws], np.uint64).view(np.int64)
-            drawn = [sampled(shingle_set(hashes[a:b])).view(np.int64).tolist() for a, b in zip(at[:-1], at[1:])]
-            yield batch_of({"ord": batch.column("doc_id").fill_null(LEAST_ID), "h": batch.column("h"), "fp": fps, "samples": drawn}, schema)
+            sets = [shingle_set(hashes[a:b]) for a, b in zip(at[:-1], at[1:])]
+            drawn = [sampled(x).view(np.int64).tolist() for x in sets]
+            yield batch_of({"ord": batch.column("doc_id").fill_null(LEAST_ID), "h": batch.column("h"), "fp": fps, "size": [len(x) for x in sets], "samples": drawn}, schema)
 
     hashed = texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-    return hashed.mapInArrow(run, "ord long, h long, fp long, samples array<long>")
+    return hashed.mapInArrow(run, "ord long, h long, fp long, size long, samples array<long>")
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b) with a > b: texts that share a sample, each with the least and with the next lesser one."""
-    keyed = nodes.select("h", F.explode("samples").alias("key"))
+def sharing(nodes: DataFrame) -> DataFrame:
+    """(key, h, size, least) of all texts that share a sample with another; least is the least of them."""
+    keyed = nodes.select("h", "size", F.explode(F.array_distinct("samples")).alias("key"))
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least")).filter("n > 1").select("key", "least")
-    shared = stage(keyed.join(several, "key"))
-    # rows of a key are cut into parts by a prefix of h, so that a key which many texts share is no single task
-    part = F.shiftright(F.col("h"), 54).alias("part")
-    order = Window.partitionBy("key", "part").orderBy("h")
-    near = shared.withColumn("part", part).withColumn("before", F.lag("h").over(order))
-    pairs = near.select(F.explode(F.array(F.struct(F.col("h").alias("a"), F.col("least").alias("b")), F.struct(F.col("h").alias("a"), F.col("before").alias("b")))).alias("p")).select("p.*")
-    return pairs.filter("b is not null and a > b").distinct()
+    return keyed.join(several, "key")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) of text hashes whose similarity is at least ``least``."""
+def candidates(shared: DataFrame) -> DataFrame:
+    """(a, b) with a > b: each text with the least of every sample it shares."""
+    return shared.filter("h > least").select(F.col("h").alias("a"), F.col("least").alias("b")).distinct()
+
+
+def squeezed(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(h, z): the compressed text of each wanted ``h``."""
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("h", pa.int64()), ("z", pa.binary())])
@@ -103,6 +109,13 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
         for batch in slices(batches, "raw"):
             yield batch_of({"h": batch.column("h"), "z": [press.compress(x) for x in batch.column("raw").to_pylist()]}, schema)
 
+    hashed = texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).select("h", "raw").mapInArrow(squeeze, "h long, z binary")
+    return stage(hashed.join(wanted, "h", "left_semi").dropDuplicates(["h"]))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of text hashes whose similarity is at least ``least``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in slices(slices(batches, "za", 1 << 20), "zb", 1 << 20):
@@ -117,22 +130,100 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
             yield batch_of({"a": batch.column("a"), "b": batch.column("b")}, schema).filter(pa.array(keep, pa.bool_()))
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    hashed = texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).select("h", "raw").mapInArrow(squeeze, "h long, z binary")
-    held = stage(hashed.join(wanted, "h", "left_semi").dropDuplicates(["h"]))
+    held = squeezed(wanted, docs)
     both = pairs.join(held.select(F.col("h").alias("a"), F.col("z").alias("za")), "a").join(held.select(F.col("h").alias("b"), F.col("z").alias("zb")), "b")
     return both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long")
 
 
-def keep_one(docs: DataFrame, tau: int = 2, least: float = 0.8) -> DataFrame:
+def forest(sets: list[np.ndarray], roots: list[int], least: float) -> list[tuple[int, int]]:
+    """Links that join whatever is joined by pairs of at least ``least``; texts of one root are joined already."""
+    size = np.array([len(x) for x in sets], np.int64)
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    at = np.append(0, np.cumsum(size))
+    of = np.unique(np.array(roots), return_inverse=True)[1]
+    marked = np.zeros(len(ids) + 1, bool)
+    left, out = np.arange(len(sets)), []
+    while len(left):
+        front = left[of[left] == of[left[0]]].tolist()
+        left = left[of[left] != of[left[0]]]
+        held = None
+        while front and len(left):
+            if held is None:
+                held = np.concatenate([ids[at[k] : at[k + 1]] for k in left])
+                ends = np.append(0, np.cumsum(size[left]))
+            x = front.pop()
+            mine = ids[at[x] : at[x + 1]]
+            marked[mine] = True
+            met = np.append(0, np.cumsum(marked[held]))
+            marked[mine] = False
+            both = met[ends[1:]] - met[ends[:-1]]
+            near = left[both >= least * (size[x] + size[left] - both)]
+            if len(near):
+                _, first = np.unique(of[near], return_index=True)
+                out += [(x, k) for k in near[first].tolist()]
+                joined = np.isin(of[left], of[near])
+                front += left[joined].tolist()
+                left, held = left[~joined], None
+    return out
+
+
+def partners(shared: DataFrame, groups: DataFrame, docs: DataFrame, least: float, weight: int = WEIGHT) -> DataFrame | None:
+    """(a, b) links that are missing in ``groups`` among the texts of each sample, None if none can be.
+
+    The least text of a sample has been compared with all others and is left out.
+    """
+    roots = groups.withColumnRenamed("node", "h")
+    rest = shared.filter("h > least").select("key", "h", "size").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    counts = [F.min("root").alias("lo"), F.max("root").alias("hi"), F.sum("size").alias("held")]
+    alike = [F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y")]
+    several = rest.groupBy("key").agg(*counts, *alike).filter("lo < hi")
+    once = several.groupBy("n", "x", "y", "held").agg(F.min("key").alias("key")).select("key", "held")  # samples of the same texts
+    band = F.floor(F.log(F.greatest("size", F.lit(1))) / F.log(F.lit(1.01 / least))).cast("int")
+    bands = F.when(F.col("held") > weight, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))
+    sized = stage(rest.join(once, "key").select("key", "h", "size", "root", F.explode(bands).alias("band")))
+    open_ = sized.groupBy("key", "band").agg(*counts).filter("lo < hi").select("key", "band", F.ceil(F.col("held") / weight).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("key", "h"), F.col("parts")).cast("int")
+    cut = sized.join(open_, ["key", "band"]).withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cut = cut.filter("parts = 1 or part <> other").select("key", "band", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "h", "root")
+    cut = stage(cut)
+    if cut.isEmpty():
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        now, members = None, []
+
+        def work() -> pa.RecordBatch:
+            found = forest([m[2] for m in members], [m[1] for m in members], least) if members else []
+            return batch_of({"a": [members[i][0] for i, _ in found], "b": [members[j][0] for _, j in found]}, schema)
+
+        for batch in slices(batches, "z", 1 << 18):
+            for *group, h, root, z in zip(*[batch.column(c).to_pylist() for c in ("key", "band", "p", "q", "h", "root", "z")]):
+                if group != now:
+                    yield work()
+                    now, members = group, []
+                members.append((h, root, shingle_set(_lower_hashes([zstandard.decompress(z)])[0])))
+        yield work()
+
+    by = ["key", "band", "p", "q"]
+    full = cut.join(squeezed(cut.select("h").distinct(), docs), "h")
+    return full.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long")
+
+
+def keep_one(docs: DataFrame, tau: int = 2, least: float = 0.8, weight: int = WEIGHT) -> DataFrame:
     """One row of ``docs`` of each group of near-duplicates, with all its columns."""
-    nodes = stage(sketches(docs).groupBy("h").agg(F.min("ord").alias("ord"), F.first("fp").alias("fp"), F.first("samples").alias("samples")))
+    nodes = stage(sketches(docs).groupBy("h").agg(F.min("ord").alias("ord"), F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("samples").alias("samples")))
     prints = nodes.groupBy("fp").agg(F.min("h").alias("least"))
     same = nodes.join(prints, "fp").select(F.col("h").alias("a"), F.col("least").alias("b"))
     close = links(prints.select("fp"), tau)
     of = lambda c, to: prints.select(F.col("fp").alias(c), F.col("least").alias(to))
     bits = close.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    alike = verified(stage(candidates(nodes)), docs, least)
+    shared = stage(sharing(nodes))
+    alike = verified(stage(candidates(shared)), docs, least)
     groups = components(same.union(bits).union(alike))
+    more = partners(shared, groups, docs, least, weight)
+    if more is not None:
+        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     named = nodes.select("h", "ord").join(groups.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
     first = named.groupBy("root").agg(F.min(F.struct("ord", "h")).alias("k")).select("k.*")
     renamed, names = plain(docs)
