@@ -125,6 +125,13 @@ def template_correlation(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(cy.template_match(_blocks(spark, sf).join(whole, CK, "left_semi"), t, CK, "ch2", 64, 0.1))
 
 
+def template_correlation_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Every cycle, the short ones too."""
+    w = ad.waveform(spark, sf).select("label", F.posexplode("x").alias("k", "x"))
+    t = w.groupBy("label", "k").agg(F.avg("x").alias("ref")).select(F.col("label").alias("template"), "k", "ref")
+    return rounded(cy.template_match(_blocks(spark, sf), t, CK, "ch2", 64, 0.1))
+
+
 def intermittent_artifacts(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(cy.intermittent_artifacts(_blocks(spark, sf), CK, FS, sigma=0.5, min_s=0.01))
 
@@ -158,11 +165,13 @@ def cycle_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     """Energy, shape, artifacts, sound against motion and bad intervals rolled into one row per cycle."""
     b = _blocks(spark, sf)
     energy, shape = cy.cycle_energy(b, CK), durable(cy.shape_rules(b, CK, "angle", "walk"))
-    artifacts = durable(_cycle_intervals(b).filter("kind <> 'continuous'"))
+    artifacts = durable(_cycle_intervals(b))
     windows = cy.cycle_bounds(b, CK).select(*CK, F.col("start").alias("w_start"), F.col("end").alias("w_end"))
-    bad = artifacts.filter("kind = 'intermittent'").select("recording_id", "start", "end")
+    bad = iv.merge_intervals(artifacts.filter("kind <> 'all'").select("recording_id", "start", "end"), K)
     overlap = iv.in_bad_interval(iv.overlap_fraction(windows, bad, K))
-    return rounded(cy.verdicts(cy.two_stage(energy, shape, CK, 1.1), artifacts, cy.sync_quality(b, CK, "angle", "walk"), CK, overlap))
+    mics = windows.withColumn("channel", F.explode(F.array(*[F.lit(c) for c in _CH])))
+    own = iv.in_bad_interval(iv.overlap_fraction(mics, artifacts.filter("kind = 'all'").select("recording_id", "channel", "start", "end"), [*K, "channel"]))
+    return rounded(cy.verdicts(cy.two_stage(energy, shape, CK, 1.1), artifacts, cy.sync_quality(b, CK, "angle", "walk"), CK, overlap, own))
 
 
 def channel_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -194,7 +203,7 @@ def participant_features(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     cycles_walk, cycles_sit_to_stand, cycles_flexion_extension, samples_of_cycles, cycle_energy, cycle_rom, cycle_stats, cycle_ordinals,
     phase_rms, phase_score, shape_walk, shape_sit_to_stand, shape_flexion_extension, two_stage_split, sound_walk, sound_sit_to_stand,
-    sync_quality_walk, sync_quality_flexion, resampled_cycles, template_match, template_correlation, intermittent_artifacts,
+    sync_quality_walk, sync_quality_flexion, resampled_cycles, template_match, template_correlation, template_correlation_whole, intermittent_artifacts,
     cycle_periodic_noise, cycle_artifact_table, cycle_artifact_record, cycle_verdicts, channel_features, angle_features,
     temporal_features, cycle_features, participant_features,
 )}
@@ -314,6 +323,14 @@ ORACLES = {
       t AS (SELECT label AS template, k - 1 AS k, avg(CAST(embedding[k] AS DOUBLE)) AS ref FROM embeddings, range(1, 65) AS u(k) GROUP BY 1, 2),
       c AS (SELECT recording_id, cycle_index, template, corr(y, ref) AS r FROM y JOIN t USING (k) GROUP BY 1, 2, 3)
       SELECT recording_id, cycle_index, template, {r('r', 'r')}, r >= 0.1 AS match FROM c""",
+    "template_correlation_whole": f"""WITH {_BL}, n AS (SELECT recording_id, cycle_index, count(*) AS n FROM bl GROUP BY 1, 2),
+      g AS (SELECT recording_id, cycle_index, k, k * (n - 1) / 63.0::DOUBLE AS pos FROM n, range(0, 64) AS u(k)),
+      j AS (SELECT g.*, a.ch2 AS lo, b.ch2 AS hi FROM g JOIN bl a ON a.recording_id = g.recording_id AND a.cycle_index = g.cycle_index AND a.i % 100 = CAST(floor(pos) AS BIGINT)
+        LEFT JOIN bl b ON b.recording_id = g.recording_id AND b.cycle_index = g.cycle_index AND b.i % 100 = CAST(floor(pos) AS BIGINT) + 1),
+      y AS (SELECT recording_id, cycle_index, k, lo + (coalesce(hi, lo) - lo) * (pos - floor(pos)) AS y FROM j),
+      t AS (SELECT label AS template, k - 1 AS k, avg(CAST(embedding[k] AS DOUBLE)) AS ref FROM embeddings, range(1, 65) AS u(k) GROUP BY 1, 2),
+      c AS (SELECT recording_id, cycle_index, template, CASE WHEN min(y) < max(y) THEN corr(y, ref) END AS r FROM y JOIN t USING (k) GROUP BY 1, 2, 3)
+      SELECT recording_id, cycle_index, template, {r('r', 'r')}, coalesce(r >= 0.1, false) AS match FROM c""",
     "intermittent_artifacts": f"WITH {_BURST} SELECT recording_id, cycle_index, channel, {r('s', 'start')}, {r('e', chr(34) + 'end' + chr(34))} FROM bi",
     "cycle_artifact_table": f"""WITH {_BURST}, ct AS (SELECT recording_id, cycle_index, 'ch2' AS channel, min(t) AS s, min(t) + 0.25 AS e FROM bl WHERE recording_id % 3 = 0 GROUP BY 1, 2),
       u AS (SELECT * FROM bi UNION ALL SELECT * FROM ct), al AS (SELECT *, 'intermittent' AS kind FROM bi UNION ALL SELECT *, 'continuous' FROM ct
