@@ -134,6 +134,12 @@ def stft_db(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(bins.filter("bin > 0 AND bin < 16").withColumn("db", F.col("db").cast("double")), 2)
 
 
+def stft_db_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """All bins of every frame."""
+    s = sp.spectrogram(ad.signal_multi(spark, sf), K, "ch2", FS, 32, 24)
+    return rounded(s.select("recording_id", "frame", "t", F.posexplode("db").alias("bin", "db")).withColumn("db", F.col("db").cast("double")), 2)
+
+
 def narrowband_intervals(spark: SparkSession, sf: str) -> DataFrame:
     long = ad.unpivot_channels(ad.signal_multi(spark, sf))
     return rounded(sp.continuous_noise(long, [*K, "channel"], "x", FS, ratio=2.5, min_s=2.0))
@@ -207,7 +213,7 @@ def batch_sound_qc(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     asof_nearest, asof_interpolate, resample_uniform, resample_waveform, proximity_score, synchronize_series, synchronize_status,
     validate_synced, gap_sessions, rate_segments, marker_pairs, peak_pairs, local_extrema, find_peaks_full, peaks_of_waveforms,
-    windowed_minima, heel_strikes, welch_psd, bandpower_ratio, spectral_features, stft_db, narrowband_intervals, periodic_flag,
+    windowed_minima, heel_strikes, welch_psd, bandpower_ratio, spectral_features, stft_db, stft_db_whole, narrowband_intervals, periodic_flag,
     periodic_artifacts, movement_frequency, instantaneous_frequency, decimated_signal, stomp_energy, stomp_consensus, stomp_refined,
     walk_passes, walk_speed_groups, periodic_exercise, batch_sound_qc,
 )}
@@ -308,6 +314,11 @@ ORACLES = {
       s AS (SELECT fr.recording_id, frame, c.i - frame * 8 AS i, x * (0.5 - 0.5 * cos(2 * pi() * (c.i - frame * 8) / 32)) AS x FROM fr JOIN c ON c.recording_id = fr.recording_id AND c.i >= frame * 8 AND c.i < frame * 8 + 32),
       ft AS ({_dft('s', 'recording_id, frame', 32)})
       SELECT recording_id, frame, {r('(frame * 8 + 16) / 100.0', 't', 2)}, CAST(f AS INTEGER) AS bin, {r('CAST(20 * log10(sqrt(re * re + im * im) / 16 + 1e-12) AS FLOAT)', 'db', 2)} FROM ft WHERE f > 0 AND f < 16""",
+    "stft_db_whole": f"""WITH {SIG}, c AS (SELECT recording_id, i, (ch2 - avg(ch2) OVER (PARTITION BY recording_id)) AS x FROM sig),
+      n AS (SELECT recording_id, count(*) AS n FROM sig GROUP BY 1), fr AS (SELECT recording_id, frame FROM n, unnest(range(0, (n - 32) // 8 + 1)) AS u(frame) WHERE n >= 32),
+      s AS (SELECT fr.recording_id, frame, c.i - frame * 8 AS i, x * (0.5 - 0.5 * cos(2 * pi() * (c.i - frame * 8) / 32)) AS x FROM fr JOIN c ON c.recording_id = fr.recording_id AND c.i >= frame * 8 AND c.i < frame * 8 + 32),
+      ft AS ({_dft('s', 'recording_id, frame', 32)})
+      SELECT recording_id, frame, {r('(frame * 8 + 16) / 100.0', 't', 2)}, CAST(f AS INTEGER) AS bin, {r('CAST(20 * log10(sqrt(re * re + im * im) / 16 + 1e-12) AS FLOAT)', 'db', 2)} FROM ft""",
     "stomp_energy": f"WITH {_STOMP} SELECT recording_id, {r('rms_time', 'rms_time')}, {r('onset_time', 'onset_time')} FROM a JOIN b USING (recording_id)",
     "stomp_consensus": f"""WITH {_STOMP}, d AS (SELECT recording_id, rms_time, onset_time, rms_time + (recording_id % 4) * 0.2::DOUBLE AS freq_time FROM a JOIN b USING (recording_id)),
       f AS (SELECT *, abs(onset_time - rms_time) <= 0.5 AS o, abs(freq_time - rms_time) <= 0.5 AS q FROM d)

@@ -99,6 +99,11 @@ def sound_sit_to_stand(spark: SparkSession, sf: str) -> DataFrame:
     return cy.sound_rules(_blocks(spark, sf), CK, "sit_to_stand").select(*CK, "sound_ok")
 
 
+def sound_sit_to_stand_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """With code and judged value."""
+    return rounded(cy.sound_rules(_blocks(spark, sf), CK, "sit_to_stand"))
+
+
 def sync_quality_walk(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(cy.sync_quality(_blocks(spark, sf), CK, "angle", "walk"))
 
@@ -178,6 +183,11 @@ def channel_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ft.channel_features(ad.signal_multi(spark, sf), K, ("ch1", "ch2")))
 
 
+def channel_features_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """All four channels and all their correlations."""
+    return rounded(ft.channel_features(ad.signal_multi(spark, sf), K))
+
+
 def angle_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ft.angle_features(_angled(spark, sf), K, "angle"))
 
@@ -200,12 +210,23 @@ def participant_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out)
 
 
+def participant_features_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feature of all four channels."""
+    f = durable(ft.channel_features(_blocks(spark, sf), CK))
+    names = [c for c in f.columns if c not in CK]
+    out = None
+    for stat in ("mean", "median", "max", "min"):
+        p = ft.participant_features(f, K, names, stat).withColumnsRenamed({n: f"{n}_{stat}" for n in names})
+        out = p if out is None else out.join(p, K)
+    return rounded(out)
+
+
 QUERIES = {f.__name__: f for f in (
     cycles_walk, cycles_sit_to_stand, cycles_flexion_extension, samples_of_cycles, cycle_energy, cycle_rom, cycle_stats, cycle_ordinals,
     phase_rms, phase_score, shape_walk, shape_sit_to_stand, shape_flexion_extension, two_stage_split, sound_walk, sound_sit_to_stand,
     sync_quality_walk, sync_quality_flexion, resampled_cycles, template_match, template_correlation, template_correlation_whole, intermittent_artifacts,
     cycle_periodic_noise, cycle_artifact_table, cycle_artifact_record, cycle_verdicts, channel_features, angle_features,
-    temporal_features, cycle_features, participant_features,
+    temporal_features, cycle_features, participant_features, sound_sit_to_stand_whole, channel_features_whole, participant_features_whole,
 )}
 
 _BL = f"{SIG}, bl AS (SELECT *, CAST(i // 100 AS INTEGER) AS cycle_index, ch2 * 90 AS angle FROM sig)"
@@ -241,6 +262,16 @@ def _moments(c: str) -> str:
         r(f"max({c}) - min({c})", f"{c}_peak_to_peak"), r(f"sum({c} * {c})", f"{c}_energy"), r(f"kurtosis({c})", f"{c}_kurtosis"), r(f"skewness({c})", f"{c}_skewness")])
 
 
+def _numbers(c: str) -> dict[str, str]:
+    """Name and unrounded expression of every moment of a channel."""
+    return {f"{c}_mean": f"avg({c})", f"{c}_std": f"stddev_pop({c})", f"{c}_rms": f"sqrt(avg({c} * {c}))", f"{c}_peak": f"max(abs({c}))",
+            f"{c}_peak_to_peak": f"max({c}) - min({c})", f"{c}_energy": f"sum({c} * {c})", f"{c}_kurtosis": f"kurtosis({c})", f"{c}_skewness": f"skewness({c})"}
+
+
+_ALL = {k: v for c in (*_CH, "mid") for k, v in _numbers(c).items()} | {
+    f"corr_{a}_{b}": f"CASE WHEN min({a}) < max({a}) AND min({b}) < max({b}) THEN corr({a}, {b}) END" for k, a in enumerate(_CH) for b in _CH[k + 1 :]}
+_ALL = {k.replace("mid_", "avg_"): v for k, v in _ALL.items()}
+
 _AN = f"{SIG}, an AS (SELECT recording_id, i, ch2 * 90 AS v FROM sig), neg AS (SELECT recording_id, i, -v AS v FROM an)"
 _NUMBER = "CAST(row_number() OVER (PARTITION BY recording_id ORDER BY first_i) - 1 AS INTEGER) AS cycle_index"
 
@@ -336,6 +367,17 @@ ORACLES = {
       u AS (SELECT * FROM bi UNION ALL SELECT * FROM ct), al AS (SELECT *, 'intermittent' AS kind FROM bi UNION ALL SELECT *, 'continuous' FROM ct
         UNION ALL SELECT *, 'all' FROM ({merged('u', 'recording_id, cycle_index, channel', 0.0)}))
       SELECT recording_id, cycle_index, channel, kind, {r('s', 'start')}, {r('e', chr(34) + 'end' + chr(34))} FROM al""",
+    "sound_sit_to_stand_whole": f"""WITH {_BL}, e AS (SELECT recording_id, cycle_index, i, sqrt((ch1*ch1 + ch2*ch2 + ch3*ch3 + ch4*ch4) / 4) AS e FROM bl),
+      n AS (SELECT recording_id, cycle_index, count(*) AS n, max(e) AS hi, avg(e) AS m FROM e GROUP BY 1, 2),
+      th AS (SELECT recording_id, cycle_index, n, hi, m, avg(e) FILTER (WHERE i % 100 < n // 3) AS a, avg(e) FILTER (WHERE i % 100 >= n // 3 AND i % 100 < 2 * (n // 3)) AS b,
+        avg(e) FILTER (WHERE i % 100 >= 2 * (n // 3)) AS c FROM e JOIN n USING (recording_id, cycle_index) GROUP BY ALL)
+      SELECT {_verdict('sound', [*_SOUND_RULES[:3], ('b < a OR b < c', 'no_middle_rise', 'b / greatest(a, c)'), ('b / greatest(a, c) < 1.2', 'small_middle_rise', 'b / greatest(a, c)')])} FROM th""",
+    "channel_features_whole": f"""WITH {SIG}, s AS (SELECT *, (ch1 + ch2 + ch3 + ch4) / 4 AS mid FROM sig)
+      SELECT recording_id, {', '.join(r(v, k) for k, v in _ALL.items())} FROM s GROUP BY 1""",
+    "participant_features_whole": f"""WITH {_BL}, s AS (SELECT *, (ch1 + ch2 + ch3 + ch4) / 4 AS mid FROM bl),
+      f AS (SELECT recording_id, cycle_index, {', '.join(f'{v} AS {k}' for k, v in _ALL.items())} FROM s GROUP BY 1, 2)
+      SELECT recording_id, {', '.join(r(fn.format(x=k), f'{k}_{n}') for n, fn in (('mean', 'avg({x})'), ('median', 'quantile_cont({x}, 0.5)'), ('max', 'max({x})'), ('min', 'min({x})')) for k in _ALL)}
+      FROM f GROUP BY 1""",
     "channel_features": f"""WITH {SIG}, s AS (SELECT *, (ch1 + ch2) / 2 AS avg FROM sig) SELECT recording_id, {_moments('ch1')}, {_moments('ch2')}, {_moments('avg').replace('avg(avg)', 'avg(s.avg)')},
       {r('corr(ch1, ch2)', 'corr_ch1_ch2')} FROM s GROUP BY 1""",
     "angle_features": f"""WITH {_BL} SELECT recording_id, {r('avg(angle)', 'knee_angle_mean')}, {r('stddev_pop(angle)', 'knee_angle_std')}, {r('min(angle)', 'knee_angle_min')},

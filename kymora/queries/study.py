@@ -117,8 +117,8 @@ def mic_positions(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("p_partkey", sc.mic_position(pat, lat).alias("position"), sc.pass_number(F.concat(F.lit("walk_p"), F.col("p_size").cast("string"), F.lit("_slow"))).alias("pass_number"))
 
 
-def legend_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    """Two legends built from parts, their disagreements listed."""
+def _legends(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Two legends built from parts: the chosen rows, and their disagreements."""
     p = ad.table(spark, sf, "part")
     base = p.select(F.floor(F.col("p_partkey") / 4).cast("long").alias("recording_id"), F.when(F.floor(F.col("p_partkey") / 4) % 2 == 0, "left").otherwise("right").alias("knee"),
                     F.lit("walk").alias("maneuver"), (F.col("p_partkey") % 4 + 1).cast("int").alias("mic"), "p_size", "p_brand")
@@ -126,8 +126,17 @@ def legend_reconcile(spark: SparkSession, sf: str) -> DataFrame:
                     F.when(F.col("p_size") % 2 == 0, "Infrapatellar").otherwise("Suprapatellar").alias("patellar"), F.lit("Medial").alias("laterality"))
     b = base.select("recording_id", "knee", "maneuver", "mic", F.concat(F.lit("f"), F.col("recording_id").cast("string")).alias("file_name"),
                     F.when(F.col("p_size") % 3 == 0, "Infrapatellar").otherwise("Suprapatellar").alias("patellar"), F.lit("Medial").alias("laterality"))
-    _, bad = sh.reconcile_legends(a, b, ["recording_id"])
-    return bad
+    return sh.reconcile_legends(a, b, ["recording_id"])
+
+
+def legend_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """The disagreements of two legends."""
+    return _legends(spark, sf)[1]
+
+
+def legend_chosen(spark: SparkSession, sf: str) -> DataFrame:
+    """The legend rows chosen from two legends."""
+    return _legends(spark, sf)[0]
 
 
 def completeness_audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -394,7 +403,7 @@ def classifier_report(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     decode_dump, unwrap_counter, file_name_parse, uid_parse, loose_times, event_lookup, missing_markers, motion_import, fill_down, mic_positions,
-    legend_reconcile, completeness_audit, scope_selection, committed_rows, processed_participants, rule_violations, motion_violations,
+    legend_reconcile, legend_chosen, completeness_audit, scope_selection, committed_rows, processed_participants, rule_violations, motion_violations,
     sync_violations, cycle_violations, domain_violations, key_uniqueness, orphan_records, outdated_records, upsert_snapshot, soft_delete,
     soft_delete_counts, get_or_create, link_motion, filtered_read, parent_lookup, reshaped_history, report_audio, report_motion, report_sync,
     report_cycles, report_summary, knee_summary, motion_statistics, recording_duration, distinct_by_key, demographics, varus_thrust, kl_grades,

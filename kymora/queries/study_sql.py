@@ -50,6 +50,9 @@ ORACLES = {
     "legend_reconcile": """SELECT p_partkey // 4 AS recording_id, CASE WHEN (p_partkey // 4) % 2 = 0 THEN 'left' ELSE 'right' END AS knee, 'walk' AS maneuver,
       'mic_' || (p_partkey % 4 + 1) || '_patellar_position' AS field, CASE WHEN p_size % 2 = 0 THEN 'Infrapatellar' ELSE 'Suprapatellar' END AS primary_value,
       CASE WHEN p_size % 3 = 0 THEN 'Infrapatellar' ELSE 'Suprapatellar' END AS fallback_value FROM part WHERE (p_partkey // 4) % 5 > 0 AND (p_size % 2 = 0) <> (p_size % 3 = 0)""",
+    "legend_chosen": """SELECT p_partkey // 4 AS recording_id, CASE WHEN (p_partkey // 4) % 2 = 0 THEN 'left' ELSE 'right' END AS knee, 'walk' AS maneuver,
+      CAST(p_partkey % 4 + 1 AS INTEGER) AS mic, 'f' || (p_partkey // 4) AS file_name,
+      CASE WHEN p_size % (CASE WHEN (p_partkey // 4) % 5 > 0 THEN 2 ELSE 3 END) = 0 THEN 'Infrapatellar' ELSE 'Suprapatellar' END AS patellar, 'Medial' AS laterality FROM part""",
     "completeness_audit": f"""WITH {AUD} SELECT c_custkey AS participant, k.knee, m.maneuver FROM customer, (VALUES ('left'), ('right')) k(knee), (VALUES ('fe'), ('sts'), ('walk')) m(maneuver)
       WHERE NOT EXISTS (SELECT 1 FROM aud WHERE study_id = c_custkey AND aud.knee = k.knee AND aud.maneuver = m.maneuver)""",
     "scope_selection": f"""WITH {AUD}, f AS (SELECT * FROM aud WHERE knee = 'left' AND maneuver IN ('walk', 'sts'))

@@ -19,3 +19,13 @@ def test_short_cycles_have_a_template_row(spark):
     cycles = entry.queries()["cycle_energy"](spark, SF)
     keys = ["recording_id", "cycle_index"]
     assert cycles.join(got, keys, "left_anti").isEmpty()
+
+
+def test_whole_output_is_registered(spark):
+    q = entry.queries()
+    features = q["channel_features_whole"](spark, SF).columns
+    assert len(features) == 1 + 5 * 8 + 6
+    assert len(q["participant_features_whole"](spark, SF).columns) == 1 + 4 * (5 * 8 + 6)
+    assert {r.bin for r in q["stft_db_whole"](spark, SF).select("bin").distinct().collect()} == set(range(17))
+    assert {"sound_reason", "sound_value"} <= set(q["sound_sit_to_stand_whole"](spark, SF).columns)
+    assert q["legend_chosen"](spark, SF).count() == spark.read.parquet(f"{SF}/part.parquet").count()
