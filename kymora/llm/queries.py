@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kymora.llm import bpe, classlm, packing, phrases, quality, secrets, simhash, substrings, token_blocks, token_counts
+from kymora.llm import audit, bpe, classlm, packing, phrases, quality, runs, secrets, simhash, substrings, token_blocks, token_counts, windows
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -68,5 +68,26 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classlm.score(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_secrets, op4_packing, op5_substrings, op6_quality, op7_simhash, op8_bpe, op9_phrases, op10_class_lm)}
-ORACLES: dict[str, str] = {"op3_secrets": secrets.ORACLE}
+def op11_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of at most 2,048 tokens, packed as they stream past."""
+    return windows.pack_windows(documents(spark, sf_dir), public_tokenizers.path(WORDS), end_id=1, capacity=2048)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of periodic words in every document, some of which get a periodic end first."""
+    return runs.periodic_runs(documents(spark, sf_dir), plant=True)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order of them, for each language."""
+    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_files, op2_token_counts, op3_secrets, op4_packing, op5_substrings, op6_quality, op7_simhash, op8_bpe, op9_phrases, op10_class_lm,
+        op11_windows, op12_periodic_runs, op13_filter_audit,
+    )
+}
+ORACLES: dict[str, str] = {"op3_secrets": secrets.ORACLE, "op13_filter_audit": audit.ORACLE}
