@@ -7,12 +7,13 @@ the final tables leave out every participant with a failed recording.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ from kymora.operators import spectral as sp
 from kymora.operators import stomp as st
 from kymora.operators.validate import stamp_version
 from kymora.plans.blocks import BLOCK_ROWS
+from kymora.session import file_system
 from kymora.sources.adapters import CHANNELS, unpivot_channels
 from kymora.sources.catalog import committed
 
@@ -33,30 +35,63 @@ CYCLE = ["recording_id", "cycle_index"]
 STAGES = ("bin", "sync", "cycles")
 
 
+class PublicationConflict(RuntimeError):
+    """Another run published what this run had read."""
+
+
+@dataclass(frozen=True)
+class Publication:
+    """One version: every table's folder, what this version changed, and for which recordings (None: all)."""
+
+    version: int = 0
+    tables: dict[str, str] = field(default_factory=dict)
+    changed: tuple = ()
+    only: tuple | None = None
+
+
 @dataclass
 class StageStore:
     """Named stage tables below one folder, published all at once.
 
-    A run writes each table to a folder of its own and reads its own tables back. ``publish`` then makes
-    all of them current by one commit to the list of current folders: a run that fails changes nothing. A
-    run over some recordings (``only``) reads and replaces the rows of these; all other rows stay.
+    A run writes each table to a folder of its own and reads its own tables back. ``publish`` makes all of
+    them current by one commit: a manifest is written aside and renamed to the folder of the next version, which
+    fails if another run has taken that version (file systems with an atomic rename: POSIX, HDFS). The run
+    then takes up the newer version and tries again; a run over some recordings (``only``) replaces the rows of
+    these alone, so runs over different recordings all survive. What a run read since ``begin`` must not have
+    been changed for its recordings meanwhile: that is a ``PublicationConflict``, and the run starts anew.
     """
 
     spark: SparkSession
     root: str
     only: tuple | None = None
     fresh: dict[str, str] = field(default_factory=dict)
+    base: Publication | None = None
+    used: set[str] = field(default_factory=set)
 
-    def current(self) -> dict[str, tuple[str, int]]:
-        """Folder and version of each published table."""
-        try:
-            rows = self.spark.read.schema("name string, path string, version long").parquet(f"{self.root}/_current").collect()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return {}
-        latest = max((r["version"] for r in rows), default=0)
-        return {r["name"]: (r["path"], r["version"]) for r in rows if r["version"] == latest}
+    def _manifest(self, version: int) -> dict:
+        store, root = file_system(self.root)
+        with store.open_input_stream(f"{root}/_log/{version:012d}/manifest.json") as f:
+            return json.loads(f.read())
+
+    def publication(self, version: int) -> Publication:
+        told = self._manifest(version)
+        return Publication(version, told["tables"], tuple(told["changed"]), None if told["only"] is None else tuple(told["only"]))
+
+    def latest(self) -> Publication:
+        """The current version; names alone are listed, and one manifest is read."""
+        store, root = file_system(self.root)
+        names = [f.base_name for f in store.get_file_info(fs.FileSelector(f"{root}/_log", allow_not_found=True))]
+        versions = [int(n) for n in names if n.isdigit()]
+        return self.publication(max(versions)) if versions else Publication()
+
+    def begin(self) -> StageStore:
+        """From here on all reads are of one version."""
+        self.base, self.used = self.latest(), set()
+        return self
+
+    def current(self) -> dict[str, str]:
+        """Folder of each published table."""
+        return (self.base or self.latest()).tables
 
     def _new(self, name: str, df: DataFrame) -> str:
         path = f"{self.root}/{name}/{uuid.uuid4().hex}"
@@ -76,21 +111,63 @@ class StageStore:
     def read(self, name: str) -> DataFrame:
         if name in self.fresh:
             return self.spark.read.parquet(self.fresh[name])
-        return self._mine(self.spark.read.parquet(self.current()[name][0]))
-
-    def publish(self) -> None:
-        """Make this run's tables current, together with the rows of recordings that it left alone."""
-        old = self.current()
-        paths = {name: path for name, (path, _) in old.items()}
-        for name, path in self.fresh.items():
-            if self.only is not None and name in old:
-                rest = self._mine(self.spark.read.parquet(old[name][0]), mine=False)
-                path = self._new(name, rest.unionByName(self.spark.read.parquet(path), allowMissingColumns=True))
-            paths[name] = path
-        version = 1 + max((v for _, v in old.values()), default=0)
-        rows = [(name, path, version) for name, path in paths.items()]
-        self.spark.createDataFrame(rows, "name string, path string, version long").coalesce(1).write.mode("append").parquet(f"{self.root}/_current")
-        self.fresh.clear()
+        self.used.add(name)
+        return self._mine(self.spark.read.parquet(self.current()[name]))
+
+    def _commit(self, new: Publication) -> bool:
+        """Take the next version, unless it is taken."""
+        store, root = file_system(self.root)
+        name = uuid.uuid4().hex
+        made, target = f"{root}/_log/new-{name}", f"{root}/_log/{new.version:012d}"
+        store.create_dir(made, recursive=True)
+        with store.open_output_stream(f"{made}/manifest.json") as f:
+            f.write(json.dumps({"name": name, "tables": new.tables, "changed": new.changed, "only": new.only}).encode())
+        try:
+            store.move(made, target)  # a folder that is there already holds a manifest, so it is never replaced
+        except OSError:
+            pass
+        won = self._manifest(new.version)["name"] == name
+        for left in (made, f"{target}/new-{name}"):  # some systems move into the folder that is there
+            if not won and store.get_file_info(left).type == fs.FileType.Directory:
+                store.delete_dir(left)
+        return won
+
+    def _undisturbed(self, now: Publication) -> None:
+        for version in range(self.base.version + 1, now.version + 1) if self.base else ():
+            other = self.publication(version)
+            met = self.only is None or other.only is None or not set(self.only).isdisjoint(other.only)
+            if met and self.used & set(other.changed):
+                raise PublicationConflict(f"version {version} changed {sorted(self.used & set(other.changed))}")
+
+    def publish(self, update: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None, attempts: int = 50) -> int:
+        """Make this run's tables current, together with the rows of recordings that it left alone; the new version.
+
+        ``update`` maps the current tables to the next snapshots of some of them, and is asked again where
+        another run published in between.
+        """
+        kept: dict[tuple, str] = {}
+        for _ in range(attempts):
+            now = self.latest()
+            self._undisturbed(now)
+            tables = dict(now.tables)
+            for name, path in self.fresh.items():
+                old = now.tables.get(name)
+                if self.only is not None and old:
+                    if (name, old) not in kept:
+                        rest = self._mine(self.spark.read.parquet(old), mine=False)
+                        kept[name, old] = self._new(name, rest.unionByName(self.spark.read.parquet(path), allowMissingColumns=True))
+                    path = kept[name, old]
+                tables[name] = path
+            changed = set(self.fresh)
+            if update is not None:
+                found = update({name: self.spark.read.parquet(path) for name, path in now.tables.items()})
+                tables |= {name: self._new(name, df) for name, df in found.items()}
+                changed |= set(found)
+            if self._commit(Publication(now.version + 1, tables, tuple(sorted(changed)), self.only)):
+                self.fresh.clear()
+                self.base, self.used = None, set()
+                return now.version + 1
+        raise PublicationConflict(f"{attempts} attempts failed")
 
 
 @dataclass(frozen=True)
@@ -202,25 +279,33 @@ def cycles_stage(store: StageStore, recordings: DataFrame, s: Settings) -> None:
 
 def run(
     store: StageStore, settings: Settings, recordings: DataFrame, signal: DataFrame | None = None, motion: DataFrame | None = None,
-    start: str = "bin", only: Sequence | None = None,
+    start: str = "bin", only: Sequence | None = None, save: Callable | None = None, attempts: int = 3,
 ) -> DataFrame:
     """Run from ``start`` to the end and publish; ``only`` restricts the run to some recordings.
 
-    Maneuvers may be given by code (fe, sts, walk) or name; any other becomes a failed status row. The
+    Maneuvers may be given by code (fe, sts, walk) or name; any other becomes a failed status row. ``save``
+    (``persist.updates``) maps the run's stage tables to changes of the metadata tables, which become current in the
+    same publication. A run whose inputs another run replaced starts anew, ``attempts`` times at most. The
     result has the cycles of the recordings of this run.
     """
-    store = StageStore(store.spark, store.root, tuple(only) if only is not None else None)
     recordings = recordings.withColumn("maneuver", sc.maneuver_name(F.col("maneuver")))
     if only is not None:
         recordings = recordings.filter(F.col("recording_id").isin(*only))
         signal = signal.filter(F.col("recording_id").isin(*only)) if signal is not None else None
         motion = motion.filter(F.col("recording_id").isin(*only)) if motion is not None else None
     at = STAGES.index(start)
-    if at <= 0:
-        bin_stage(store, signal, settings)
-    if at <= 1:
-        sync_stage(store, motion, recordings, settings)
-    cycles_stage(store, recordings, settings)
-    out = store.read("cycle")
-    store.publish()
-    return out
+    for left in reversed(range(attempts)):
+        mine = StageStore(store.spark, store.root, tuple(only) if only is not None else None).begin()
+        if at <= 0:
+            bin_stage(mine, signal, settings)
+        if at <= 1:
+            sync_stage(mine, motion, recordings, settings)
+        cycles_stage(mine, recordings, settings)
+        out = mine.read("cycle")
+        try:
+            mine.publish(save(mine, recordings) if save else None)
+            return out
+        except PublicationConflict:
+            if not left:
+                raise
+    raise ValueError("attempts must be 1 or more")

@@ -34,7 +34,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not named and not sc.master.startswith("local"):
+    if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="kymora-checkpoint-"))
     return sc.getCheckpointDir()
@@ -57,14 +57,22 @@ def durable(df: DataFrame) -> DataFrame:
 _stages: list[str] = []
 
 
+def file_system(path: str):
+    """The file system of a path, and the path there."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 def drop_stages() -> int:
     """Delete every stage that this process has written; frames that still read one can't be used after."""
     from pyarrow import fs
 
     dropped = 0
     while _stages:
-        path = _stages.pop()
-        store, at = fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else "/" + path.removeprefix("file:").lstrip("/"))
+        store, at = file_system(_stages.pop())
         if store.get_file_info(at).type == fs.FileType.Directory:
             store.delete_dir(at)
             dropped += 1
@@ -75,4 +83,4 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-__all__ = ["build_session", "checkpoint_dir", "drop_stages", "durable", "partitions"]
+__all__ = ["build_session", "checkpoint_dir", "drop_stages", "durable", "file_system", "partitions"]

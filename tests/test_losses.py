@@ -142,6 +142,7 @@ def test_a_saved_run_switches_off_what_it_did_not_see(spark, tmp_path):
 
     def run(rows, outlier):
         store.write("artifact_interval", spark.createDataFrame([(rows[0][0], "spike", "ch1", 0.0, 1.0)], "recording_id string, kind string, channel string, start double, end double"))
+        store.write("sync_status", spark.createDataFrame([(r[0], True) for r in rows], "recording_id string, ok boolean"))
         store.write("sync_record", spark.createDataFrame([(r[0], 1.0, 2.0) for r in rows], "recording_id string, audio_stomp double, motion_stomp double"))
         store.write("cycle", spark.createDataFrame([(r[0], k, outlier, True) for r in rows for k in range(2)], "recording_id string, cycle_index int, is_outlier boolean, audio_qc_pass boolean"))
         persist.save_run(store, spark.createDataFrame(rows, shape))
@@ -157,4 +158,7 @@ def test_a_saved_run_switches_off_what_it_did_not_see(spark, tmp_path):
     assert {(r.study_id, r.maneuver, r.cycle_index): r.id for r in cycles} == ids
     assert {r.study_id for r in cycles if r.is_outlier} == {1}
     persist.report(store, spark.createDataFrame([(1, 501)], "id long, study_participant_id long"), str(tmp_path / "report"))
-    assert {r.participant_id for r in spark.read.parquet(str(tmp_path / "report" / "audio")).collect()} == {501, 2}
+    sheet = lambda n: spark.read.parquet(str(tmp_path / "report" / n))
+    assert {r.participant_id for r in sheet("audio").collect()} == {501, 2}
+    assert {r.id for r in sheet("sync").collect()} == {r.id for r in store.read("meta_sync").collect()} and sheet("cycles").count() == 6 and sheet("motion").isEmpty()
+    assert {(r.participant_id, r.maneuver): r.value for r in sheet("summary").collect() if r.metric == "Movement Cycles"} == {(501, "walk"): 2, (501, "sts"): 2, (2, "walk"): 2}
