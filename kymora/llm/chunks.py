@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 WHOLE, SPACE, LETTER, DIGIT, OTHER = 0, 1, 2, 3, 4
+ENTRY = 170  # bytes that a dictionary entry takes beside its piece and ids
 
 
 def _classes() -> np.ndarray:
@@ -98,14 +99,14 @@ def cut(raw: pa.Array, words: bool) -> Pieces:
 
 
 class PieceEncoder:
-    """Ids of pieces by the tokenizers library; what was encoded is kept, up to ``most`` pieces.
+    """Ids of pieces by the tokenizers library; what was encoded of late is kept, in ``most`` bytes.
 
     ``words`` is read from the tokenizer's own description: white space dropped and word ends marked
     (such as word_bpe_49k), or plain byte-level rules (such as byte_bpe_50k). Other tokenizers get
     whole texts.
     """
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 32 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -123,8 +124,10 @@ class PieceEncoder:
         self.ends = np.zeros(max(self.tokenizer.get_vocab_size(), 1), bool)
         if self.suffix:
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(self.suffix)]] = True
+        # two generations: what the younger one does not meet again goes with the older one
         self.known: dict[bytes, bytes] = {}
-        self.most = most
+        self.older: dict[bytes, bytes] = {}
+        self.held, self.most = 0, most
 
     def _alone(self, pieces: list[bytes]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)
@@ -148,17 +151,24 @@ class PieceEncoder:
 
     def learn(self, pieces: Pieces) -> list[bytes]:
         """The ids of each distinct piece, as little-endian unsigned 32-bit integers."""
-        known = self.known
-        if len(known) + len(pieces.distinct) > self.most:
-            known.clear()
-        new = [k for k, p in enumerate(pieces.distinct) if p not in known]
+        known, older = self.known, self.older
+        fresh = {p: older[p] for p in pieces.distinct if p not in known and p in older}
+        new = [k for k, p in enumerate(pieces.distinct) if p not in known and p not in fresh]
         easy = [pieces.distinct[k] for k in new if pieces.plain[k] and pieces.distinct[k].strip()] if self.words else []
         hard = [pieces.distinct[k] for k in new if not pieces.plain[k] or not pieces.distinct[k].strip()] if self.words else [pieces.distinct[k] for k in new]
         if easy:
-            known.update(zip(easy, self._together([p.strip() for p in easy])))
+            fresh.update(zip(easy, self._together([p.strip() for p in easy])))
         if hard:
-            known.update(zip(hard, self._alone(hard)))
-        return [known[p] for p in pieces.distinct]
+            fresh.update(zip(hard, self._alone(hard)))
+        out = [fresh[p] if p in fresh else known[p] for p in pieces.distinct]
+        for p, ids in fresh.items():
+            size = len(p) + len(ids) + ENTRY
+            if 2 * (self.held + size) > self.most:
+                self.older, self.known, self.held = self.known, {}, 0
+            if 2 * size <= self.most:
+                self.known[p] = ids
+                self.held += size
+        return out
 
     def pieces(self, raw: pa.Array) -> Pieces:
         if self.cuts:

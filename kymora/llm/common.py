@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -75,8 +76,25 @@ def place_of(names: list[str], name: str) -> int:
     return (exact or loose or [-1])[0]
 
 
+def give_back() -> None:
+    """Return to the system what earlier slices and tasks of this worker have freed."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # not the GNU library
+        return None
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str | int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about equal bytes of ``column``; a longer row stands alone."""
+    give_back()
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
         first, held = 0, 0
@@ -87,6 +105,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | int, most: int = SLI
             held += size
         if first < len(sizes):
             yield batch.slice(first)
+    give_back()
 
 
 def with_text(df: DataFrame, names: list[str], text: Column, changed: Column) -> DataFrame:

@@ -14,7 +14,7 @@ components, a task takes them together and compares across components only, whic
 their links (``partners``). Samples whose texts hold more than ``WEIGHT`` shingles are cut by size, since texts
 at 0.8 have sizes within a factor of 1.25, and then into parts of which every two meet in a task.
 
-Texts count once, whatever the number of their copies. A pair at 0.8 that shares no sample at all can stay
+Texts count once, whatever the number of their copies; a text is known by a 128-bit hash. A pair at 0.8 that shares no sample at all can stay
 unlinked unless other texts join it; all links that are made are exact.
 
 Defined cases: null texts count as empty; texts shorter than a shingle are one shingle; the document that
@@ -29,10 +29,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kymora.llm.common import batch_of, place_of, plain, slices, stage, texts
+from kymora.llm.common import batch_of, partitions, place_of, plain, slices, stage, texts
 from kymora.llm.components import components
 from kymora.llm.phrases import _seeds, mix
 from kymora.llm.simhash import fingerprint, links
@@ -40,6 +40,12 @@ from kymora.llm.substrings import LEAST_ID, word_hashes
 
 SAMPLES, DRAWN, WIDTH = 16, 3, 5
 WEIGHT = 1 << 18  # shingles that a task compares at once
+LED = 64  # texts that are compared with one copy of their leader
+
+
+def identity(text: Column) -> Column:
+    """128 bits that stand for a text; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def shingle_set(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -75,8 +81,8 @@ def sketches(docs: DataFrame) -> DataFrame:
     """(ord, h, fp, size, samples) of every row; h is the hash of its text, size the number of its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("ord", pa.int64()), ("h", pa.int64()), ("fp", pa.int64()), ("size", pa.int64()), ("samples", pa.list_(pa.int64()))])
-        for batch in slices(batches, "raw", 4 << 20):
+        schema = pa.schema([("ord", pa.int64()), ("h", pa.binary()), ("fp", pa.int64()), ("size", pa.int64()), ("samples", pa.list_(pa.int64()))])
+        for batch in slices(batches, "raw", 1 << 20):
             raws = batch.column("raw").to_pylist()
             hashes, at = _lower_hashes(raws)
             fps = np.array([fingerprint(r.lower().split(), 3) for r in raws], np.uint64).view(np.int64)
@@ -84,8 +90,8 @@ def sketches(docs: DataFrame) -> DataFrame:
             drawn = [sampled(x).view(np.int64).tolist() for x in sets]
             yield batch_of({"ord": batch.column("doc_id").fill_null(LEAST_ID), "h": batch.column("h"), "fp": fps, "size": [len(x) for x in sets], "samples": drawn}, schema)
 
-    hashed = texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-    return hashed.mapInArrow(run, "ord long, h long, fp long, size long, samples array<long>")
+    hashed = texts(docs, identity(F.col("text")).alias("h"))
+    return hashed.mapInArrow(run, "ord long, h binary, fp long, size long, samples array<long>")
 
 
 def sharing(nodes: DataFrame) -> DataFrame:
@@ -104,35 +110,48 @@ def squeezed(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """(h, z): the compressed text of each wanted ``h``."""
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("h", pa.int64()), ("z", pa.binary())])
+        schema = pa.schema([("h", pa.binary()), ("z", pa.binary())])
         press = zstandard.ZstdCompressor(level=1)
         for batch in slices(batches, "raw"):
             yield batch_of({"h": batch.column("h"), "z": [press.compress(x) for x in batch.column("raw").to_pylist()]}, schema)
 
-    hashed = texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).select("h", "raw").mapInArrow(squeeze, "h long, z binary")
+    hashed = texts(docs, identity(F.col("text")).alias("h")).select("h", "raw").mapInArrow(squeeze, "h binary, z binary")
     return stage(hashed.join(wanted, "h", "left_semi").dropDuplicates(["h"]))
 
 
+def alike(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= least * (len(x) + len(y) - both)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) of text hashes whose similarity is at least ``least``."""
+    """The pairs (a, b) of texts whose similarity is at least ``least``.
+
+    ``b`` leads many pairs: its text comes once for every ``LED`` of them, and then theirs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        for batch in slices(slices(batches, "za", 1 << 20), "zb", 1 << 20):
-            raws = [zstandard.decompress(z) for c in ("za", "zb") for z in batch.column(c).to_pylist()]
-            hashes, at = _lower_hashes(raws)
-            sets = [shingle_set(hashes[i:j]) for i, j in zip(at[:-1], at[1:])]
-            n = len(batch)
-            keep = []
-            for x, y in zip(sets[:n], sets[n:]):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= least * (len(x) + len(y) - both))
-            yield batch_of({"a": batch.column("a"), "b": batch.column("b")}, schema).filter(pa.array(keep, pa.bool_()))
+        schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+        now, leader = None, None
+        for batch in slices(batches, "z", 1 << 18):
+            hashes, at = _lower_hashes([zstandard.decompress(z) for z in batch.column("z").to_pylist()])
+            kept: list[tuple] = []
+            for k, (b, salt, a) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("b", "salt", "a")])):
+                mine = shingle_set(hashes[at[k] : at[k + 1]])
+                if a is None:
+                    now, leader = (b, salt), mine
+                elif now == (b, salt) and alike(leader, mine, least):
+                    kept.append((a, b))
+            yield batch_of({"a": [k[0] for k in kept], "b": [k[1] for k in kept]}, schema)
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     held = squeezed(wanted, docs)
-    both = pairs.join(held.select(F.col("h").alias("a"), F.col("z").alias("za")), "a").join(held.select(F.col("h").alias("b"), F.col("z").alias("zb")), "b")
-    return both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long")
+    parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / LED).cast("long").alias("parts"))
+    dealt = stage(pairs.join(parts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).alias("salt")))
+    led = dealt.join(held.withColumnsRenamed({"h": "a"}), "a").select("b", "salt", "a", "z")
+    leaders = dealt.select("b", "salt").distinct().join(held.withColumnsRenamed({"h": "b"}), "b").select("b", "salt", F.lit(None).cast("binary").alias("a"), "z")
+    # nulls come first, so a leader stands before the texts that it leads
+    return led.union(leaders).repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a")).mapInArrow(run, "a binary, b binary")
 
 
 def forest(sets: list[np.ndarray], roots: list[int], least: float) -> list[tuple[int, int]]:
@@ -175,39 +194,41 @@ def partners(shared: DataFrame, groups: DataFrame, docs: DataFrame, least: float
     roots = groups.withColumnRenamed("node", "h")
     rest = shared.filter("h > least").select("key", "h", "size").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
     counts = [F.min("root").alias("lo"), F.max("root").alias("hi"), F.sum("size").alias("held")]
-    alike = [F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y")]
-    several = rest.groupBy("key").agg(*counts, *alike).filter("lo < hi")
+    members = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y")]
+    several = rest.groupBy("key").agg(*counts, *members).filter("lo < hi")
     once = several.groupBy("n", "x", "y", "held").agg(F.min("key").alias("key")).select("key", "held")  # samples of the same texts
     band = F.floor(F.log(F.greatest("size", F.lit(1))) / F.log(F.lit(1.01 / least))).cast("int")
     bands = F.when(F.col("held") > weight, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))
     sized = stage(rest.join(once, "key").select("key", "h", "size", "root", F.explode(bands).alias("band")))
-    open_ = sized.groupBy("key", "band").agg(*counts).filter("lo < hi").select("key", "band", F.ceil(F.col("held") / weight).cast("int").alias("parts"))
+    open_ = sized.groupBy("key", "band").agg(*counts).filter("lo < hi").select("key", "band", "held", F.ceil(F.col("held") / weight).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("key", "h"), F.col("parts")).cast("int")
-    cut = sized.join(open_, ["key", "band"]).withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cut = sized.join(open_.drop("held"), ["key", "band"]).withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cut = cut.filter("parts = 1 or part <> other").select("key", "band", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "h", "root")
     cut = stage(cut)
-    if cut.isEmpty():
+    work = open_.agg(F.sum(F.col("held") * F.col("parts"))).first()[0]
+    if work is None:
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
         now, members = None, []
 
-        def work() -> pa.RecordBatch:
+        def joined() -> pa.RecordBatch:
             found = forest([m[2] for m in members], [m[1] for m in members], least) if members else []
             return batch_of({"a": [members[i][0] for i, _ in found], "b": [members[j][0] for _, j in found]}, schema)
 
         for batch in slices(batches, "z", 1 << 18):
             for *group, h, root, z in zip(*[batch.column(c).to_pylist() for c in ("key", "band", "p", "q", "h", "root", "z")]):
                 if group != now:
-                    yield work()
+                    yield joined()
                     now, members = group, []
                 members.append((h, root, shingle_set(_lower_hashes([zstandard.decompress(z)])[0])))
-        yield work()
+        yield joined()
 
     by = ["key", "band", "p", "q"]
     full = cut.join(squeezed(cut.select("h").distinct(), docs), "h")
-    return full.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long")
+    # as many tasks as there is work, which is the shingles held times the parts they meet, and not the bytes
+    return full.repartition(max(partitions(docs.sparkSession), int(work // weight)), *by).sortWithinPartitions(*by).mapInArrow(run, "a binary, b binary")
 
 
 def keep_one(docs: DataFrame, tau: int = 2, least: float = 0.8, weight: int = WEIGHT) -> DataFrame:
@@ -219,8 +240,8 @@ def keep_one(docs: DataFrame, tau: int = 2, least: float = 0.8, weight: int = WE
     of = lambda c, to: prints.select(F.col("fp").alias(c), F.col("least").alias(to))
     bits = close.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     shared = stage(sharing(nodes))
-    alike = verified(stage(candidates(shared)), docs, least)
-    groups = components(same.union(bits).union(alike))
+    near = verified(stage(candidates(shared)), docs, least)
+    groups = components(same.union(bits).union(near))
     more = partners(shared, groups, docs, least, weight)
     if more is not None:
         groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
@@ -229,5 +250,5 @@ def keep_one(docs: DataFrame, tau: int = 2, least: float = 0.8, weight: int = WE
     renamed, names = plain(docs)
     text = F.coalesce(F.col(f"c{place_of(names, 'text')}"), F.lit(""))
     ord_ = F.coalesce(F.col(f"c{place_of(names, 'doc_id')}").cast("long"), F.lit(LEAST_ID))
-    kept = renamed.withColumn("h", F.xxhash64(text)).withColumn("ord", ord_).join(first, ["ord", "h"], "left_semi")
+    kept = renamed.withColumn("h", identity(text)).withColumn("ord", ord_).join(first, ["ord", "h"], "left_semi")
     return kept.dropDuplicates(["ord", "h"]).drop("ord", "h").toDF(*names)

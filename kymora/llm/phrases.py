@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from kymora.llm.common import batch_of, partitions, slices, texts
 
 SLOTS, LEVELS = 64, (2, 3, 4)
+TOP = np.uint64(1 << 63)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,7 +71,12 @@ def parse_level(names: np.ndarray, bounds: np.ndarray, level: int) -> tuple[np.n
     x = names[at]
     many = run > 1
     if x.dtype == np.uint32:  # code points leave eleven bits free
-        x[many] += np.minimum(run[many], 2047).astype(np.uint32) << np.uint32(21)
+        long = run > 2047
+        if long.any():  # longer runs are named as on the levels above; other names keep their value
+            x = x.astype(np.uint64)
+            x[long] = mix(x[long] + (run[long].astype(np.uint64) << np.uint64(21))) | TOP
+            many &= ~long
+        x[many] += run[many].astype(x.dtype) << x.dtype.type(21)
     else:
         x[many] = mix(x[many] + run[many].astype(np.uint64))
     bounds = np.searchsorted(at, bounds)

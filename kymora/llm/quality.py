@@ -1,18 +1,16 @@
 """Repetition rules from a suffix array over the words of each text.
 
-All texts of a slice share one suffix array: a word's symbol is its (text, word) pair, so suffixes of
-different texts never compare equal, and a suffix that ends sorts before one that goes on. Ranks are
-doubled only for suffixes that still tie, and the ranks of every length 1, 2, 4 ... are kept: the longest
-common prefix of two neighbours is then a descent over them. The longest repeat that begins at a word is
-the greater of the prefixes shared with its two neighbours, which are the values of the LCP intervals
-that hold it; the union of these spans is what the maximal repeats cover.
+All texts of a slice share one suffix array (``suffixes``). The longest repeat that begins at a word is the
+greater of the prefixes shared with its two neighbours in it, which are the values of the LCP intervals that
+hold it; the union of these spans is what the maximal repeats cover.
 
 Verdict: a text is kept if the base rules hold (at least 20 words; words in 8-word windows found twice
 at most 30 % of all), repeats of ``min_repeat`` words or more cover at most ``max_covered`` of its words,
 and the longest repeat has at most ``max_longest`` words, or ``max_longest_share`` of all if that is more.
 
 Defined cases: null and empty texts have no words and are not kept; repeated rows give repeated results; a
-null doc_id stays null; other columns are ignored; an empty table gives no rows.
+null doc_id stays null; other columns are ignored; an empty table gives no rows. A text is held in one task, with
+some 150 bytes a word however it repeats itself.
 """
 
 from __future__ import annotations
@@ -25,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 
+from kymora.llm import suffixes
 from kymora.llm.common import batch_of, place_of, plain, slices, texts
 from kymora.llm.words import IS_SPACE, Words, per_text, raw_bytes, split_words
 
@@ -48,48 +47,12 @@ def longest_repeats(words: Words) -> np.ndarray:
         return np.zeros(0, np.int64)
     text = words.text
     stop = words.bounds[1:][text]  # first word after the text
-    _, symbol, count = np.unique(text * (int(words.index.max()) + 1) + words.index, return_inverse=True, return_counts=True)
-    first = np.cumsum(count) - count
-    rank = first[symbol].astype(np.int64)  # place of the suffix's group in the sorted order
-    ranks = [rank]
-    active = np.flatnonzero(count[symbol] > 1)
-    step = 1
-    while len(active):
-        nxt = active + step
-        inside = nxt < stop[active]
-        second = np.where(inside, rank[np.minimum(nxt, n - 1)] + 1, 0)
-        key = rank[active] * (n + 1) + second
-        order = np.argsort(key, kind="stable")
-        key, moved = key[order], active[order]
-        group, sub = np.ones(len(key), bool), np.ones(len(key), bool)
-        group[1:] = rank[moved[1:]] != rank[moved[:-1]]
-        sub[1:] = key[1:] != key[:-1]
-        at = np.arange(len(key))
-        group_at = np.maximum.accumulate(np.where(group, at, 0))
-        sub_at = np.maximum.accumulate(np.where(sub, at, 0))
-        new = rank.copy()
-        new[moved] = rank[moved] + sub_at - group_at
-        size = np.diff(np.append(np.flatnonzero(sub), len(key)))
-        active = np.sort(moved[np.repeat(size > 1, size)])
-        rank, step = new, step * 2
-        ranks.append(rank)
-    suffix = np.empty(n, np.int64)
-    suffix[rank] = np.arange(n)
-    a, b = suffix[:-1].copy(), suffix[1:].copy()
-    shared = np.zeros(n - 1, np.int64)
-    live = np.flatnonzero(ranks[0][a] == ranks[0][b]) if n > 1 else np.zeros(0, np.int64)
-    for level in range(len(ranks) - 2, -1, -1):
-        length = 1 << level
-        x, y = a[live], b[live]
-        # a shared prefix that ends a text goes no further
-        ok = (x < stop[a[live] - shared[live]]) & (y < stop[b[live] - shared[live]])
-        same = live[ok][ranks[level][x[ok]] == ranks[level][y[ok]]]
-        shared[same] += length
-        a[same] += length
-        b[same] += length
+    symbol, count = suffixes.symbols(words.index, text)
+    suffix = suffixes.suffix_order(symbol, count, stop)
+    shared = suffixes.shared_prefixes(symbol, suffix, stop)
     longest = np.zeros(n, np.int64)
-    longest[suffix[1:]] = shared
-    longest[suffix[:-1]] = np.maximum(longest[suffix[:-1]], shared)
+    longest[suffix] = shared
+    longest[suffix[:-1]] = np.maximum(longest[suffix[:-1]], shared[1:])
     return longest
 
 
