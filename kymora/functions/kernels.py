@@ -19,23 +19,28 @@ def local_maxima(x: np.ndarray) -> np.ndarray:
     return (first[top] + last[top]) // 2
 
 
-KEEP, DROP, OPEN = 1, 0, -1
+KEEP, DROP, OPEN, WAITING = 1, 0, -1, -2
 
 
-def thin_by_distance(pos: np.ndarray, val: np.ndarray, distance: int, seen_from: float, seen_to: float) -> np.ndarray:
+def thin_by_distance(
+    pos: np.ndarray, val: np.ndarray, distance: int, seen_from: float, seen_to: float, known: np.ndarray | None = None
+) -> np.ndarray:
     """Three-valued verdict per peak of the highest-first spacing rule.
 
     A peak goes when a kept higher peak lies closer than ``distance``. Where the reach of a peak leaves
     the visible span [seen_from, seen_to], or depends on a neighbour that is itself open, it stays open.
+    ``known`` gives peaks whose verdict is settled; the others wait.
     """
-    waiting = -2
-    verdict = np.full(len(pos), waiting, dtype=np.int8)
+    verdict = np.full(len(pos), WAITING, dtype=np.int8) if known is None else known.astype(np.int8)
     shadow = np.zeros(len(pos), dtype=bool)
     low = np.searchsorted(pos, pos - distance, side="right")
     high = np.searchsorted(pos, pos + distance, side="left")
     cut_off = (pos - distance + 1 < seen_from) | (pos + distance - 1 > seen_to)
+    for k in np.flatnonzero(verdict == KEEP):
+        near = verdict[low[k] : high[k]]
+        near[near == WAITING] = DROP
     for k in np.lexsort((pos, val))[::-1]:
-        if verdict[k] != waiting:
+        if verdict[k] != WAITING:
             continue
         reach = slice(low[k], high[k])
         if cut_off[k] or shadow[k]:
@@ -43,7 +48,7 @@ def thin_by_distance(pos: np.ndarray, val: np.ndarray, distance: int, seen_from:
             shadow[reach] = True
         else:
             near = verdict[reach]
-            near[near == waiting] = DROP
+            near[near == WAITING] = DROP
             verdict[k] = KEEP
     return verdict
 
@@ -182,45 +187,46 @@ def butterworth_power(freqs: np.ndarray, fs: float, low: float, high: float, ord
         return 1.0 / (1.0 + s ** (2 * order))
 
 
-def odd_extend(x: np.ndarray, pad: int) -> np.ndarray:
-    pad = min(pad, len(x) - 1)
-    if pad <= 0:
-        return x
-    return np.concatenate((2 * x[0] - x[pad:0:-1], x, 2 * x[-1] - x[-2 : -pad - 2 : -1]))
-
-
-def bandpass_zero_phase(x: np.ndarray, fs: float, low: float, high: float, order: int = 4) -> np.ndarray:
-    """Forward-backward band-pass: the squared magnitude response applied to an odd-extended block."""
-    high = min(high, fs / 2 * 0.999)
-    pad = min(len(x) - 1, int(fs))
-    ext = odd_extend(x, pad)
-    f = np.fft.rfftfreq(len(ext), 1 / fs)
-    y = np.fft.irfft(np.fft.rfft(ext) * butterworth_power(f, fs, low, high, order), len(ext))
-    start = (len(ext) - len(x)) // 2
-    return y[start : start + len(x)]
+def analytic_taps(fs: float, low: float, high: float, order: int, seconds: float) -> np.ndarray:
+    """Complex FIR: the squared Butterworth band-pass as real part, its quadrature as imaginary part.
 
-
-def analytic_phase(x: np.ndarray) -> np.ndarray:
-    """Unwrapped phase of the analytic signal."""
-    n = len(x)
+    Positive frequencies alone, sampled at sixteen times the length, brought back to ``seconds`` to either side
+    under a cosine that falls over the outer half.
+    """
+    half = max(int(fs * seconds), 1)
+    n = 1 << int(np.ceil(np.log2(16 * (2 * half + 1))))
     gain = np.zeros(n)
-    gain[0] = 1
-    gain[1 : (n + 1) // 2] = 2
-    if n % 2 == 0:
-        gain[n // 2] = 1
-    return np.unwrap(np.angle(np.fft.ifft(np.fft.fft(x) * gain)))
+    f = np.arange(1, n // 2) * fs / n
+    gain[1 : n // 2] = 2 * butterworth_power(f, fs, low, min(high, fs / 2 * 0.999), order)
+    taps = np.fft.ifft(gain)[np.arange(-half, half + 1)]
+    far = np.clip((np.abs(np.arange(-half, half + 1)) - half / 2) / (half / 2 + 1), 0, 1)
+    return taps * (0.5 + 0.5 * np.cos(np.pi * far))
 
 
-def instantaneous_frequency(
-    x: np.ndarray, fs: float, low: float = 10.0, high: float = 5000.0, order: int = 4, fade_in: int = 0, fade_out: int = 0
-) -> np.ndarray:
-    """Hz per sample. A side cut out of a longer series fades over its outer samples before the transform."""
-    y = bandpass_zero_phase(x - np.nanmean(x), fs, low, high, order)
-    for n, edge in ((fade_in, slice(0, fade_in)), (fade_out, slice(len(y) - fade_out, len(y)))):
-        if n:
-            ramp = 0.5 - 0.5 * np.cos(np.pi * (np.arange(n) + 0.5) / n)
-            y[edge] *= ramp if edge.start == 0 else ramp[::-1]
-    return np.gradient(analytic_phase(y), 1 / fs) / (2 * np.pi)
+def odd_extend(x: np.ndarray, pad: int) -> np.ndarray:
+    """``pad`` samples mirrored through the first; zeros beyond the length of the series."""
+    m = min(pad, len(x) - 1)
+    return np.concatenate((np.zeros(pad - m), 2 * x[0] - x[m:0:-1], x))
+
+
+def turn_rate(x: np.ndarray, taps: np.ndarray, fs: float, first: bool, last: bool) -> np.ndarray:
+    """Hz per sample of a block with its halo; ``first`` and ``last`` tell where the series itself ends."""
+    half = len(taps) // 2
+    if np.isnan(x).any():
+        return np.full(len(x), np.nan)
+    y = odd_extend(x, half) if first else x
+    y = odd_extend(y[::-1], half)[::-1] if last else y
+    size = 1 << int(np.ceil(np.log2(len(y) + len(taps))))
+    z = np.fft.ifft(np.fft.fft(y, size) * np.fft.fft(taps, size))[half : half + len(y)]
+    z = z[half:] if first else z
+    z = z[: len(x)]
+    turn = np.angle(z[1:] * np.conj(z[:-1]))
+    if not len(turn):
+        return np.zeros(len(x))
+    rate = np.empty(len(x))
+    rate[0], rate[-1] = turn[0], turn[-1]
+    rate[1:-1] = (turn[1:] + turn[:-1]) / 2
+    return rate * fs / (2 * np.pi)
 
 
 def savgol(x: np.ndarray, window: int, poly: int) -> np.ndarray:
@@ -261,31 +267,45 @@ def znorm(x: np.ndarray) -> np.ndarray:
     return np.zeros_like(x) if s == 0 else (x - x.mean()) / s
 
 
-def dtw(a: np.ndarray, b: np.ndarray) -> float:
-    """Dynamic time warping distance over the longer length, one anti-diagonal at a time."""
-    n, m = len(a), len(b)
-    before = np.full(n + 1, np.inf)
-    last = np.full(n + 1, np.inf)
-    before[0] = 0.0
+def znorm_rows(x: np.ndarray) -> np.ndarray:
+    """Each row centred and scaled; a constant row is zero."""
+    spread = x.std(axis=1, keepdims=True)
+    return np.divide(x - x.mean(axis=1, keepdims=True), spread, out=np.zeros_like(x), where=spread > 0)
+
+
+def warped_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What the warped distance of each pair of rows is at least.
+
+    Every point is matched with some point of the other row, so it costs what it lies outside the other's
+    range; first meets first and last meets last.
+    """
+    outside = lambda x, y: (np.maximum(x - y.max(axis=1, keepdims=True), 0) + np.maximum(y.min(axis=1, keepdims=True) - x, 0)).sum(axis=1)
+    ends = np.abs(a[:, 0] - b[:, 0]) + (np.abs(a[:, -1] - b[:, -1]) if max(a.shape[1], b.shape[1]) > 1 else 0)
+    return np.maximum(np.maximum(outside(a, b), outside(b, a)), ends) / max(a.shape[1], b.shape[1])
+
+
+def warped(a: np.ndarray, b: np.ndarray, most: float = np.inf) -> np.ndarray:
+    """Dynamic time warping distance of each pair of rows over the longer length; infinite where it is surely above ``most``.
+
+    One anti-diagonal of all pairs at a time; every path crosses each diagonal or the next, so a pair whose last two
+    are all above the limit is given up.
+    """
+    pairs, n = a.shape
+    m = b.shape[1]
+    out = np.full(pairs, np.inf)
+    live = np.arange(pairs)
+    before, last = np.full((pairs, n + 1), np.inf), np.full((pairs, n + 1), np.inf)
+    before[:, 0] = 0.0
+    limit = most * max(n, m) * (1 + 1e-9)
     for d in range(2, n + m + 1):
         i = np.arange(max(1, d - m), min(n, d - 1) + 1)
-        cost = np.abs(a[i - 1] - b[d - i - 1])
-        now = np.full(n + 1, np.inf)
-        now[i] = cost + np.minimum(np.minimum(last[i - 1], last[i]), before[i - 1])
+        cost = np.abs(a[:, i - 1] - b[:, d - i - 1])
+        now = np.full_like(last, np.inf)
+        now[:, i] = cost + np.minimum(np.minimum(last[:, i - 1], last[:, i]), before[:, i - 1])
         before, last = last, now
-    return float(last[n] / max(n, m))
-
-
-def cluster_times(times: np.ndarray, tolerance: float, least: int) -> list[tuple[float, float]]:
-    """Spans of event times whose rate stays near the first rate of the span."""
-    if len(times) < max(least, 2):
-        return []
-    rate = 1.0 / np.diff(times)
-    found, first = [], 0
-    while first < len(rate):
-        off = np.flatnonzero(np.abs(rate[first:] - rate[first]) / rate[first] > tolerance)
-        stop = first + int(off[0]) if len(off) else len(rate)
-        if stop - first + 1 >= least:
-            found.append((float(times[first]), float(times[stop])))
-        first = stop
-    return found
+        if d % 8 == 0 and np.isfinite(limit):
+            keep = np.minimum(before, last).min(axis=1) <= limit
+            if not keep.all():
+                live, a, b, before, last = live[keep], a[keep], b[keep], before[keep], last[keep]
+    out[live] = last[:, n] / max(n, m)
+    return out

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from kymora.functions import kernels as kn
 from kymora.operators import intervals as iv
 from kymora.operators import spectral as sp
 from kymora.operators.align import proximity_score
-from kymora.operators.features import correlation
 from kymora.operators.peaks import find_peaks
 from kymora.operators.windows import envelope, neighbours, sliding_stats
 from kymora.plans.blocks import BLK, BLOCK_ROWS, KEY, index_blocks, running, with_key
 from kymora.plans.quantiles import quantiles
+from kymora.session import durable
 from kymora.sources.adapters import CHANNELS
 
 # Cutting and shape limits in degrees, seconds and fractions of a cycle.
@@ -424,28 +425,83 @@ def resample_cycles(env: DataFrame, ck: Sequence[str], value: str, length: int)
     return out.select(*ck, "k", y.alias("y"))
 
 
+TEMPLATES = 1024  # templates that are compared at once
+
+
+def _against(y: DataFrame, refs: pa.Array, points: np.ndarray, ck: list[str], kind: str, min_r: float, max_dtw: float | None, work: bool) -> DataFrame:
+    """Cycles (ck, y ARRAY) against a block of templates, a matrix of cycles with a matrix of templates at a time."""
+    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in y.select(*ck).schema)
+    scaled = kn.znorm_rows(points)
+    flat = points.std(axis=1) == 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                x = np.array(part.column("y").to_pylist(), float).reshape(part.num_rows, -1)
+                z = kn.znorm_rows(x)
+                r = z @ scaled.T / scaled.shape[1]
+                r[x.std(axis=1) == 0] = np.nan
+                r[:, flat] = np.nan
+                at, to = np.nonzero(r >= min_r) if max_dtw is not None else (np.repeat(np.arange(len(x)), len(refs)), np.tile(np.arange(len(refs)), len(x)))
+                keys = lambda rows: [part.column(c).take(pa.array(rows)) for c in ck]
+                if max_dtw is None:
+                    told = pa.array(r[at, to], from_pandas=True)
+                    yield pa.RecordBatch.from_arrays([*keys(at), refs.take(pa.array(to)), told, pa.array(np.nan_to_num(r[at, to], nan=-np.inf) >= min_r)], [*ck, "template", "r", "match"])
+                    continue
+                near = np.concatenate([kn.warped_bound(z[at[k : k + 4096]], scaled[to[k : k + 4096]]) <= max_dtw * (1 + 1e-9) for k in range(0, len(at), 4096)] or [np.zeros(0, bool)])
+                correlated, at, to = np.bincount(at, minlength=len(x)), at[near], to[near]
+                if work:
+                    yield pa.RecordBatch.from_arrays([*keys(np.arange(len(x))), pa.array(np.full(len(x), len(refs))), pa.array(correlated), pa.array(np.bincount(at, minlength=len(x)))], [*ck, "n_templates", "n_correlated", "n_warped"])
+                    continue
+                d = np.concatenate([kn.warped(z[at[k : k + 4096]], scaled[to[k : k + 4096]], max_dtw) for k in range(0, len(at), 4096)] or [np.zeros(0)])
+                hit = d <= max_dtw
+                at, to, d = at[hit], to[hit], d[hit]
+                yield pa.RecordBatch.from_arrays([*keys(at), refs.take(pa.array(to)), pa.array(r[at, to]), pa.array(d)], [*ck, "template", "r", "dtw"])
+
+    if work:
+        return y.mapInArrow(run, f"{head}, n_templates bigint, n_correlated bigint, n_warped bigint")
+    last = "match boolean" if max_dtw is None else "dtw double"
+    return y.mapInArrow(run, f"{head}, template {kind}, r double, {last}")
+
+
 def template_match(
-    env: DataFrame, templates: DataFrame, ck: Sequence[str], value: str, length: int, min_r: float = 0.5, max_dtw: float | None = None
+    env: DataFrame, templates: DataFrame, ck: Sequence[str], value: str, length: int, min_r: float = 0.5, max_dtw: float | None = None,
+    work: bool = False, block: int = TEMPLATES,
 ) -> DataFrame:
-    """Pearson r (and optional warped distance) of each cycle against each template.
+    """Cycles against templates (template, k, ref) of ``length`` points each.
 
-    ``templates`` is (template, k, ref) with ``length`` points per template.
+    Without ``max_dtw``: Pearson r of every cycle with every template and whether it reaches ``min_r``. With it: the
+    hits alone (ck, template, r, dtw), whose r reaches ``min_r`` and whose warped distance is at most ``max_dtw``. The
+    distance is computed only where a lower bound leaves it open; ``work`` gives (ck, n_templates, n_correlated,
+    n_warped) instead, which tells for how many. Templates are the query set: they are taken in blocks of about
+    ``block``, each of which meets the cycles of a task as one matrix.
     """
     ck = list(ck)
-    y = resample_cycles(env, ck, value, length).join(templates, "k")
-    g = y.groupBy(*ck, "template").agg(
-        correlation(F.col("y"), F.col("ref")).alias("r"),
-        F.array_sort(F.collect_list(F.struct("k", "y", "ref"))).alias("_s"),
-    )
-    if max_dtw is None:
-        return g.select(*ck, "template", "r", F.coalesce(F.col("r") >= min_r, F.lit(False)).alias("match"))
-
-    @F.pandas_udf("double")
-    def warped(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([kn.dtw(kn.znorm(np.asarray(p, float)), kn.znorm(np.asarray(q, float))) for p, q in zip(a, b)])
-
-    d = g.select(*ck, "template", "r", warped(F.col("_s.y"), F.col("_s.ref")).alias("dtw"))
-    return d.withColumn("match", F.coalesce((F.col("r") >= min_r) & (F.col("dtw") <= max_dtw), F.lit(False)))
+    y = resample_cycles(env, ck, value, length).groupBy(*ck).agg(F.array_sort(F.collect_list(F.struct("k", "y"))).alias("_s"))
+    y = durable(y.select(*ck, F.col("_s.y").alias("y")))
+    kind = templates.schema["template"].dataType
+    t = templates.groupBy("template").agg(F.array_sort(F.collect_list(F.struct("k", F.col("ref").cast("double").alias("ref")))).alias("_s"))
+    t = durable(t.select("template", F.col("_s.ref").alias("ref")))
+    blocks = max(1, -(-t.count() // block))
+    out: DataFrame | None = None
+    for b in range(blocks):
+        held = t.filter(F.pmod(F.xxhash64("template"), F.lit(blocks)) == b).orderBy("template").collect()  # about ``block`` rows of ``length`` points
+        if not held:
+            continue
+        points = np.array([r["ref"] for r in held], float).reshape(len(held), -1)
+        refs = pa.array([r["template"] for r in held], to_arrow_type(kind))
+        got = _against(y, refs, points, ck, kind.simpleString(), min_r, max_dtw, work)
+        out = got if out is None else out.unionByName(got)
+    if out is None:
+        raise ValueError("there are no templates")
+    return out.groupBy(*ck).agg(*[F.sum(c).alias(c) for c in ("n_templates", "n_correlated", "n_warped")]) if work else out
+
+
+def best_template(hits: DataFrame, ck: Sequence[str]) -> DataFrame:
+    """The hit of the least warped distance of each cycle; ties go to the lowest template."""
+    rest = F.struct("template", "r", "dtw")
+    return hits.groupBy(*ck).agg(F.min_by(rest, F.struct("dtw", "template")).alias("_h")).select(*ck, "_h.*")
 
 
 def periodic_noise(samples: DataFrame, ck: Sequence[str], fs: float, channels: Sequence[str] = CHANNELS, threshold: float = 0.3) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kymora.operators import intervals as iv
 from kymora.operators import spectral as sp
+from kymora.plans import transform
 from kymora.plans.quantiles import quantiles
 from kymora.sources.adapters import CHANNELS
 
@@ -67,15 +68,25 @@ def temporal_features(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
     return g.withColumn("sample_rate", F.when(F.col("duration") > 0, F.col("num_samples") / F.col("duration")))
 
 
-def spectral_table(samples: DataFrame, ck: Sequence[str], channels: Sequence[str] = CHANNELS) -> DataFrame:
-    """Spectral features of each cycle's channels; one cycle's channel is one array."""
+def spectral_table(samples: DataFrame, ck: Sequence[str], channels: Sequence[str] = CHANNELS, whole: int = transform.ROWS) -> DataFrame:
+    """Spectral features of each cycle's channels.
+
+    A cycle of at most ``whole`` samples is one array a channel; the spectra of longer ones come from a transform that
+    is split over two shuffles (``plans.transform``) and are summed by cycle and channel.
+    """
     ck = list(ck)
     mean = sum((F.col(c) for c in channels[1:]), F.col(channels[0])) / len(channels)
-    long = samples.withColumn("avg", mean).unpivot([*ck, "i"], [*channels, "avg"], "channel", "x")
-    arrays = long.groupBy(*ck, "channel").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("s"))
-    f = arrays.select(*ck, "channel", sp.spectral_features(F.col("s.x")).alias("f"))
+    long = transform.numbered(samples.select(*ck, "i", *channels), ck).withColumn("avg", mean).unpivot([*ck, "n", "i"], [*channels, "avg"], "channel", "x")
+    arrays = long.filter(F.col("n") <= whole).groupBy(*ck, "channel").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("s"))
+    f = arrays.select(*ck, "channel", sp.spectral_features(F.col("s.x")).alias("f")).select(*ck, "channel", "f.*")
+    large = long.filter(F.col("n") > whole)
+    if not large.isEmpty():
+        bins = transform.spectrum(large, [*ck, "channel"], whole)
+        m = F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im"))
+        f = f.unionByName(bins.groupBy(*ck, "channel").agg(
+            (F.sum(F.col("i") * m) / (F.sum(m) + 1e-10)).alias("centroid"), F.stddev_pop(m).alias("spread"), F.sum(m * m).alias("energy")))
     pick = [
-        F.max(F.when(F.col("channel") == c, F.col(f"f.{k}"))).alias(f"{c}_spectral_{k}")
+        F.max(F.when(F.col("channel") == c, F.col(k))).alias(f"{c}_spectral_{k}")
         for c in [*channels, "avg"] for k in ("centroid", "spread", "energy")
     ]
     return f.groupBy(*ck).agg(*pick)

@@ -61,6 +61,113 @@ def _verdicts(distance: int, prominent: bool, rows: int, halo: int):
     return verdict
 
 
+NONE = -1  # no peak of a zone is kept
+
+
+def _round(gap: int, view: int):
+    """What a block can tell of its open peaks when those kept next to them (``_fact``) are known.
+
+    Rows of kind 0 are verdicts (position, verdict). Where the zone behind the block (closer than ``gap``) still
+    has open peaks, at most one of them will be kept; rows of kind 1 tell for each of them, and for none, which
+    peak of the block's own first zone is then kept. Kind 2 is the same from the zone before the block to the
+    block's last zone. Kinds 3 and 4 are zones, first and last, that are settled whatever lies outside.
+    """
+    halo = view // 8 + 2 * gap
+
+    def verdict(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        pos, val, blk = g["i"], g["v"], int(g["_at"][0])
+        fact = np.where(g["_fact"].astype(bool), kn.KEEP, kn.WAITING)
+        first, last = blk * view, (blk + 1) * view - 1
+        seen = (first - halo, last + halo)
+        plain = kn.thin_by_distance(pos, val, gap, *seen, fact)
+        core = (pos >= first) & (pos <= last)
+        own = core & (fact == kn.WAITING)
+        out: list[tuple[int, int, int, int]] = [(0, p, v, 0) for p, v in zip(pos[own].tolist(), plain[own].tolist())]
+        after, before = (pos > last) & (pos < last + gap), (pos < first) & (pos > first - gap)
+        zones = {1: (after, core & (pos < first + gap - 1), blk), 2: (before, core & (pos > last - gap + 1), blk)}
+        for kind, (outside, inside, at) in zones.items():
+            if not (plain[inside] == kn.OPEN).any():
+                held = pos[inside & (plain == kn.KEEP)]
+                out.append((kind + 2, at, 0, int(held[0]) if len(held) else NONE))
+                continue
+            waiting = outside & (plain == kn.OPEN)
+            if not waiting.any():
+                continue
+            edge = (seen[0], np.inf) if kind == 1 else (-np.inf, seen[1])
+            far = pos > last if kind == 1 else pos < first
+            for state in [NONE, *pos[waiting].tolist()]:
+                known = np.where(far, np.where(plain == kn.KEEP, kn.KEEP, kn.DROP), fact)
+                known[pos == state] = kn.KEEP
+                got = kn.thin_by_distance(pos, val, gap, *edge, known)
+                if not (got[inside] == kn.OPEN).any():
+                    held = pos[inside & (got == kn.KEEP)]
+                    out.append((kind, at, state, int(held[0]) if len(held) else NONE))
+        rows = np.array(out, np.int64).reshape(-1, 4)
+        return {"kind": rows[:, 0].astype(np.int32), "p": rows[:, 1], "s": rows[:, 2], "to": rows[:, 3]}
+
+    return verdict
+
+
+def _settle_spacing(waiting: DataFrame, facts: DataFrame, keys: Sequence[str], gap: int, view: int) -> DataFrame:
+    """(KEY, i) of the peaks of ``waiting`` that the spacing rule keeps; ``facts`` are kept for certain.
+
+    Both have (keys, i, v). Each round judges the open peaks in blocks of a fixed view. What the rule says of a
+    block may hang on the zone next to it, and so on along an ascending chain; but of a zone at most one peak is
+    kept, so a block is a map from the few states of one zone to those of the next. Following these maps by
+    pointer jumping from the zones that are settled settles all zones of a chain in as many steps as its length
+    has bits, after which every block is judged on its own. No view grows, and a round settles the
+    highest open peak at least.
+    """
+    keys, names = list(keys), [*keys, "i", "v"]
+    own = lambda x: F.floor(x / F.lit(view)).cast("long")
+    halo = view // 8 + 2 * gap
+    kept: DataFrame | None = None
+    waiting = durable(waiting.select(*names))
+    while not waiting.isEmpty():
+        marked = waiting.select(*names, F.lit(False).alias("_fact")).unionByName(facts.select(*names, F.lit(True).alias("_fact")))
+        spread = marked.withColumn(BLK, F.explode(F.sequence(F.greatest(own(F.col("i") - halo), F.lit(0)), own(F.col("i") + halo))))
+        todo = with_key(waiting, keys).select(KEY, own(F.col("i")).alias(BLK)).distinct()
+        # a settled zone tells its neighbours, so blocks next to open ones are looked at too
+        todo = todo.select(KEY, F.explode(F.array(F.col(BLK) - 1, F.col(BLK), F.col(BLK) + 1)).alias(BLK)).distinct()
+        spread = with_key(spread, keys).join(todo, [KEY, BLK], "left_semi").drop(KEY)
+        got = grouped_map(spread.withColumn("_at", F.col(BLK)), [*keys, BLK], ["i"], ["i", "v", "_fact", "_at"], "kind int, p bigint, s bigint, to bigint", _round(gap, view)).drop(BLK)
+        got = with_key(got, keys).drop(*keys)
+        told = got.filter("kind = 0").select(KEY, F.col("p").alias("i"), F.col("s").cast("int").alias("_told"))
+        zones = _follow(got)
+        w = with_key(waiting, keys).join(told, [KEY, "i"]).filter("_told <> 0")
+        # the zones that an open peak may lie in: first of its block, last of its block
+        side = F.array(
+            F.struct(F.lit(1).alias("side"), F.when(F.col("i") - own(F.col("i")) * view < gap - 1, own(F.col("i"))).alias("b")),
+            F.struct(F.lit(2).alias("side"), F.when((own(F.col("i")) + 1) * view - F.col("i") < gap, own(F.col("i"))).alias("b")),
+        )
+        in_zone = w.filter("_told = -1").withColumn("_z", F.explode(side)).select(KEY, "i", "_z.*").filter("b IS NOT NULL")
+        by_zone = in_zone.join(zones, [KEY, "side", "b"]).groupBy(KEY, "i").agg(F.max((F.col("state") == F.col("i")).cast("int")).alias("_zone"))
+        w = durable(w.join(by_zone, [KEY, "i"], "left").withColumn("_told", F.when(F.col("_told") == -1, F.coalesce("_zone", F.lit(-1))).otherwise(F.col("_told"))))
+        fresh = w.filter("_told = 1")
+        kept = fresh.select(KEY, "i") if kept is None else kept.unionByName(fresh.select(KEY, "i"))
+        facts, waiting = fresh, w.filter("_told = -1").select(*names)
+    return kept
+
+
+def _follow(got: DataFrame) -> DataFrame:
+    """(KEY, side, b, state) of the zones that are settled, at once or along the maps; side 1 is a block's first zone, 2 its last."""
+    start = got.filter("kind >= 3").select(KEY, (F.col("kind") - 2).alias("side"), F.col("p").alias("b"), F.col("to").alias("state"))
+    # a map leads from the zone outside the block: the first of the next block, or the last of the one before
+    step = F.when(F.col("kind") == 1, 1).otherwise(-1)
+    jump = durable(got.filter("kind IN (1, 2)").select(
+        KEY, F.col("kind").alias("side"), (F.col("p") + step).alias("b"), F.col("s").alias("state"), F.col("p").alias("b2"), F.col("to").alias("state2")))
+    node = [KEY, "side", "b", "state"]
+    known = durable(start)
+    while True:
+        reached = known.join(jump, node).select(KEY, "side", F.col("b2").alias("b"), F.col("state2").alias("state"))
+        new = durable(reached.join(known, node, "left_anti").distinct())
+        if new.isEmpty():
+            return known
+        known = known.unionByName(new)
+        after = jump.select(KEY, "side", F.col("b").alias("b2"), F.col("state").alias("state2"), F.col("b2").alias("b3"), F.col("state2").alias("state3"))
+        jump = durable(jump.join(after, [KEY, "side", "b2", "state2"]).select(KEY, "side", "b", "state", F.col("b3").alias("b2"), F.col("state3").alias("state2")))
+
+
 FAN = 64  # entries of a group in the search tree
 
 
@@ -128,9 +235,9 @@ def find_peaks(
     ``per_key`` may give (keys, height and/or prominence) where the limits differ from key to key.
 
     Each block judges its own peaks from the extrema it can see. What stays open is settled in two ways:
-    prominence by a search in a tree of block summaries (``_settle_sides``), spacing by looking again at the
-    open peaks alone with four times the view. A spacing verdict reaches as far as a chain of peaks that
-    each lie closer than ``distance`` to a higher one.
+    prominence by a search in a tree of block summaries (``_settle_sides``), spacing, which reaches as far as a
+    chain of peaks that each lie closer than ``distance`` to a higher one, by following such chains from block
+    to block (``_settle_spacing``).
     """
     keys = list(keys)
     gap = max(int(np.ceil(distance)), 1) if distance is not None else 1
@@ -154,35 +261,24 @@ def find_peaks(
     if gap <= 1 and not prominent:
         return extrema.filter("_cand").select(*keys, "i", flip.alias("v"))
 
-    def look(view: int, prominent: bool, wanted: DataFrame | None) -> DataFrame:
-        """Verdicts of all candidates, or of the wanted ones, with a view of so many samples."""
-        halo = view // 8 + 2 * gap
-        own = lambda x: F.floor(x / F.lit(view)).cast("long")
-        spread = extrema.withColumn(
-            BLK, F.explode(F.sequence(F.greatest(own(F.col("i") - halo), F.lit(0)), own(F.col("i") + halo)))
-        )
-        if wanted is not None:
-            todo = wanted.select(KEY, own(F.col("i")).alias(BLK)).distinct()
-            spread = with_key(spread, keys).join(todo, [KEY, BLK], "left_semi").drop(KEY)
-        judged = grouped_map(
-            spread.withColumn("_at", F.col(BLK)), [*keys, BLK], ["i"], ["i", "v", "_end", "_cand", "_need", "_at"],
-            "i bigint, v double, space int, stand int", _verdicts(gap, prominent, view, halo),
-        ).drop(BLK)
-        judged = with_key(judged, keys)
-        return judged if wanted is None else judged.join(wanted.select(KEY, "i"), [KEY, "i"], "left_semi")
-
     view = max(4 * rows, 8 * gap)
-    first = look(view, prominent, None)
+    halo = view // 8 + 2 * gap
+    own = lambda x: F.floor(x / F.lit(view)).cast("long")
+    spread = extrema.withColumn(BLK, F.explode(F.sequence(F.greatest(own(F.col("i") - halo), F.lit(0)), own(F.col("i") + halo))))
+    judged = grouped_map(
+        spread.withColumn("_at", F.col(BLK)), [*keys, BLK], ["i"], ["i", "v", "_end", "_cand", "_need", "_at"],
+        "i bigint, v double, space int, stand int", _verdicts(gap, prominent, view, halo),
+    ).drop(BLK)
+    first = with_key(judged, keys)
     spaced = first.filter("space = 1 AND stand <> 0")
-    wanted = first.filter("space = -1 AND stand <> 0")
-    far = first.filter("(space = -1 AND stand <> 0) OR (space = 1 AND stand = -1)")
+    # a peak that does not stand out still keeps others away, so its spacing is settled too
+    wanted = first.filter("space = -1")
+    far = first.filter("space = -1 OR (space = 1 AND stand = -1)")
     if not far.isEmpty():
         extrema = durable(extrema)
-        while not wanted.isEmpty():
-            view *= 4
-            again = durable(look(view, False, wanted).select(KEY, "i", "space"))
-            spaced = spaced.unionByName(wanted.drop("space").join(again.filter("space = 1"), [KEY, "i"]).select(*first.columns))
-            wanted = durable(wanted.drop("space").join(again.filter("space = -1"), [KEY, "i"]).select(*first.columns))
+        if not wanted.isEmpty():
+            kept = _settle_spacing(wanted, first.filter("space = 1"), keys, gap, view)
+            spaced = spaced.unionByName(wanted.filter("stand <> 0").join(kept, [KEY, "i"], "left_semi").select(*first.columns))
         unsure = spaced.filter("stand = -1")
         if prominent and not unsure.isEmpty():
             keyed = with_key(extrema, keys)

@@ -8,8 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kymora.functions import kernels as kn
-from kymora.plans.blocks import BLOCK_ROWS, index_blocks, range_blocks, running
+from kymora.plans import chains
+from kymora.plans.blocks import BLK, BLOCK_ROWS, KEY, index_blocks, range_blocks, running, with_key
 from kymora.plans.grouped import grouped_map
 from kymora.session import durable
 
@@ -38,62 +38,131 @@ RATE_LADDER = (0.05, 0.04, 0.03, 0.025)
 RATE_SPLITS = (0.03, 0.02, 0.015)
 
 
-def rate_segments(events: DataFrame, keys: Sequence[str], least: int = 6, tolerance: float = 0.06) -> DataFrame:
+def _left(rates: np.ndarray, first: float, tolerance: float) -> np.ndarray:
+    """Which rates are too far from the first rate of a span."""
+    with np.errstate(invalid="ignore"):
+        return np.abs(rates - first) / first > tolerance
+
+
+def steady_spans(steps: DataFrame, keys: Sequence[str], least: int, rows: int = BLOCK_ROWS) -> DataFrame:
+    """(keys, start, end) of spans whose rate stays within ``tolerance`` of their first, with ``least`` events or more.
+
+    ``steps`` has (keys, i, t0, t, hz, tolerance), one row a step between two events, i from 0 without gaps. The walk
+    is sequential: a step that leaves the span's first rate begins the next span. A block's map tells from the
+    rate that enters it the rate of the span that is open at its end; only rates outside all before them in the
+    block can end a span that comes from outside, so a map is short, and maps are composed by a parallel
+    prefix. Every block is then walked on its own from the rate that enters it.
+    """
+    keys = list(keys)
+    cut = index_blocks(steps.select(*keys, "i", "t0", "t", "hz", "tolerance"), rows=rows)
+
+    def walk(rate: np.ndarray, first: float, tolerance: float, at: int) -> list[int]:
+        """Where spans begin from ``at`` on, when one of rate ``first`` is open."""
+        found, size = [], 64
+        while at < len(rate):
+            hit = np.flatnonzero(_left(rate[at : at + size], first, tolerance))
+            if not len(hit):
+                at, size = at + size, size * 4
+                continue
+            at = at + int(hit[0])
+            found.append(at)
+            first, at, size = rate[at], at + 1, 64
+        return found
+
+    def ends(g: dict[str, np.ndarray]) -> dict[str, list]:
+        rate, tol = g["hz"], float(g["tolerance"][0])
+        met = chains.outermost(rate)
+        last: dict[int, int] = {}  # the last span begun in the block, by where a span begins
+        for k in met[::-1].tolist():
+            at, seen = k, []
+            while at not in last:
+                seen.append(at)
+                nxt = next(iter(walk_one(rate, at, tol)), None)
+                if nxt is None:
+                    last[at] = at
+                else:
+                    at = nxt
+            for s in seen:
+                last[s] = last[at]
+        return {"met": [rate[met]], "out": [rate[[last[k] for k in met.tolist()]]], "limit": [tol]}
+
+    def walk_one(rate: np.ndarray, at: int, tol: float) -> list[int]:
+        """The next span's first step after a span that begins at ``at``, if there is one."""
+        a, size = at + 1, 64
+        while a < len(rate):
+            hit = np.flatnonzero(_left(rate[a : a + size], rate[at], tol))
+            if len(hit):
+                return [a + int(hit[0])]
+            a, size = a + size, size * 4
+        return []
+
+    maps = grouped_map(cut, [*keys, BLK], ["i"], ["hz", "tolerance"], "met array<double>, out array<double>, limit double", ends)
+    maps = with_key(maps, keys).select(KEY, BLK, F.col("limit").alias("tolerance"), "met", "out")
+    start = with_key(cut.filter("i = 0"), keys).select(KEY, F.col("hz").alias("state"))
+    state = chains.entering(maps, start, _left)
+    entered = with_key(cut, keys).join(state, [KEY, BLK]).select(*keys, BLK, "i", "t0", "t", "hz", "tolerance", "state")
+
+    def begin(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        flags = np.zeros(len(g["i"]), np.int32)
+        flags[walk(g["hz"], float(g["state"][0]), float(g["tolerance"][0]), 0)] = 1
+        return {"i": g["i"], "t0": g["t0"], "t": g["t"], "begins": flags}
+
+    walked = grouped_map(entered, [*keys, BLK], ["i"], ["i", "t0", "t", "hz", "tolerance", "state"], "i bigint, t0 double, t double, begins int", begin)
+    spans = running(walked, keys, ["i"], {"_span": ("sum", F.col("begins"))})
+    got = spans.groupBy(*keys, "_span").agg(F.min("t0").alias("start"), F.max("t").alias("end"), F.count(F.lit(1)).alias("_n"))
+    return got.filter(F.col("_n") + 1 >= least).drop("_n", "_span")
+
+
+def event_steps(events: DataFrame, keys: Sequence[str], rows: int = BLOCK_ROWS) -> DataFrame:
+    """(keys, i, t0, t, hz) of the steps between events (keys, i, t); events of one time have an infinite rate."""
+    e = index_blocks(events.select(*keys, "i", "t"), rows=rows)
+    step = running(e, keys, ["i"], {"t0": ("last", F.col("t"))}, exclusive=True).filter(F.col("t0").isNotNull())
+    gap = F.col("t") - F.col("t0")
+    return step.select(*keys, (F.col("i") - 1).alias("i"), "t0", "t", F.when(gap != 0, 1 / F.nullif(gap, F.lit(0.0))).otherwise(F.lit(float("inf"))).alias("hz"))
+
+
+def rate_segments(events: DataFrame, keys: Sequence[str], least: int = 6, tolerance: float = 0.06, rows: int = BLOCK_ROWS) -> DataFrame:
     """Spans of steady event rate: a new span starts where the rate leaves the span's first rate.
 
     Walks down a ladder of tolerances until a recording has three spans, else takes the tolerance with
     most; of exactly two, the longest is split once more when a finer tolerance can.
-    The clustering is sequential, but a rate that differs from its predecessor by more than any span
-    could tolerate starts a span for certain. Cutting there gives short independent runs of steps, so
-    a recording is never walked as a whole.
     """
     keys = list(keys)
-    ladder = (tolerance, *RATE_LADDER)
-    widest = max(ladder)
-    cut = (1 + widest) / (1 - widest)
-    e = index_blocks(events.select(*keys, "i", "t"))
-    step = running(e, keys, ["i"], {"_t0": ("last", F.col("t"))}, exclusive=True).filter(F.col("_t0").isNotNull())
-    step = step.withColumn("_hz", 1 / (F.col("t") - F.col("_t0")))
-    prev = running(step, keys, ["i"], {"_was": ("last", F.col("_hz"))}, exclusive=True)
-    ratio = F.col("_hz") / F.col("_was")
-    breaks = F.when((ratio > cut) | (ratio < 1 / cut), 1).otherwise(0)
-    runs = running(prev, keys, ["i"], {"_run": ("sum", breaks)}).select(*keys, "_run", "_t0", "t")
-
-    def spans(g: dict[str, np.ndarray]) -> dict[str, list]:
-        times = np.append(g["_t0"], g["t"][-1])
-        out: dict[str, list] = {"rank": [], "start": [], "end": [], "parts": []}
-        if len(times) < least:
-            return out
-        for rank, tol in enumerate(ladder):
-            for a, b in kn.cluster_times(times, tol, least):
-                inner = times[(times >= a) & (times <= b)]
-                parts = next((p for p in (kn.cluster_times(inner, s, least) for s in RATE_SPLITS) if len(p) > 1), [])
-                out["rank"].append(rank)
-                out["start"].append(a)
-                out["end"].append(b)
-                out["parts"].append([{"start": x, "end": y} for x, y in parts])
-        return out
-
-    schema = "rank int, start double, end double, parts array<struct<start:double,end:double>>"
-    found = grouped_map(runs, [*keys, "_run"], ["t"], ["_t0", "t"], schema, spans).drop("_run")
+    rungs = lambda values: F.explode(F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(float(v)).alias("tolerance")) for k, v in enumerate(values)]))
+    steps = durable(event_steps(events, keys, rows))
+    tried = steps.withColumn("_r", rungs((tolerance, *RATE_LADDER))).select(*keys, "_r.*", "i", "t0", "t", "hz")
+    found = durable(steady_spans(tried, [*keys, "rank"], max(least, 2), rows))
     tally = found.groupBy(*keys, "rank").agg(F.count(F.lit(1)).alias("n"))
     enough = F.col("n") >= 3
     choice = F.struct(F.when(enough, 0).otherwise(1).alias("a"), F.when(enough, F.col("rank")).otherwise(-F.col("n")).alias("b"), "rank")
-    chosen = tally.groupBy(*keys).agg(F.min_by("rank", choice).alias("rank"), F.min_by("n", choice).alias("_n"))
-    kept = found.join(chosen, [*keys, "rank"])
-    length = F.struct((F.col("end") - F.col("start")).alias("len"), (-F.col("start")).alias("s"))
-    longest = kept.groupBy(*keys).agg(F.max_by("start", length).alias("_longest"))
-    own = F.array(F.struct("start", "end"))
-    split = (F.col("_n") == 2) & (F.col("start") == F.col("_longest")) & (F.size("parts") > 1)
-    out = kept.join(longest, keys).withColumn("_s", F.explode(F.when(split, F.col("parts")).otherwise(own)))
-    return out.select(*keys, F.col("_s.start").alias("start"), F.col("_s.end").alias("end"))
+    chosen = with_key(tally.groupBy(*keys).agg(F.min_by("rank", choice).alias("_rank"), F.min_by("n", choice).alias("_n")), keys).drop(*keys)
+    kept = with_key(found, keys).join(chosen, KEY).filter(F.col("rank") == F.col("_rank"))
+    length = F.struct((F.col("end") - F.col("start")).alias("len"), (-F.col("start")).alias("s"), "end")
+    longest = kept.filter("_n = 2").groupBy(KEY).agg(F.max(length).alias("_l")).select(KEY, (-F.col("_l.s")).alias("_a"), F.col("_l.end").alias("_b"))
+    out = kept.select(*keys, "start", "end")
+    longest = durable(longest)
+    if longest.isEmpty():
+        return out
+    inner = with_key(steps, keys).join(longest, KEY).filter((F.col("t0") >= F.col("_a")) & (F.col("t") <= F.col("_b")))
+    first = inner.groupBy(KEY).agg(F.min("i").alias("_i0"))
+    inner = inner.join(first, KEY).withColumn("i", F.col("i") - F.col("_i0")).withColumn("_r", rungs(RATE_SPLITS)).select(*keys, "_r.*", "i", "t0", "t", "hz")
+    parts = durable(steady_spans(inner, [*keys, "rank"], max(least, 2), rows))
+    several = parts.groupBy(*keys, "rank").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").groupBy(*keys).agg(F.min("rank").alias("_rank"))
+    several = with_key(several, keys).drop(*keys)
+    split = with_key(parts, keys).join(several, KEY).filter(F.col("rank") == F.col("_rank"))
+    gone = longest.join(several, KEY).select(KEY, F.col("_a").alias("start"))
+    whole = with_key(out, keys).join(gone, [KEY, "start"], "left_anti")
+    return whole.select(*keys, "start", "end").unionByName(split.select(*keys, "start", "end"))
 
 
 def speed_groups(passes: DataFrame, keys: Sequence[str], tolerance: float = 0.06) -> DataFrame:
     """Passes of a recording grouped by cadence: ascending, while within ``tolerance`` of the group mean.
 
-    A cadence above its predecessor by more than the tolerance is beyond any group mean so far and
-    starts a group for certain; only the stretches between such jumps are walked in order.
+    Cadences ascend, so a group ends at the first one that lies above the mean of the group so far by more than
+    the tolerance. That mean is a difference of running sums, which all groups of a round are tested by at
+    once: a minimum per recording, taken before the shuffle. A group begins above the one before it by more
+    than the tolerance, so there are as many rounds as such steps fit between the lowest and the highest
+    cadence, however many passes there are.
     """
     keys = list(keys)
     counted = passes.groupBy(*keys, "gait_cycle_hz").agg(
@@ -102,26 +171,25 @@ def speed_groups(passes: DataFrame, keys: Sequence[str], tolerance: float = 0.06
         F.sum(F.col("passed").cast("int")).alias("ok"),
     )
     order = ["gait_cycle_hz"]
+    hz, total = F.col("gait_cycle_hz"), F.col("gait_cycle_hz") * F.col("n")
     cut = range_blocks(counted, keys, order)
-    prev = running(cut, keys, order, {"_was": ("last", F.col("gait_cycle_hz"))}, exclusive=True)
-    jump = F.when(F.col("gait_cycle_hz") > F.col("_was") * (1 + tolerance), 1).otherwise(0)
-    runs = running(prev, keys, order, {"_run": ("sum", jump)})
-
-    def starts(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        total, count, flags = 0.0, 0, []
-        for hz, n in zip(g["gait_cycle_hz"], g["n"]):
-            begin = count == 0 or abs(hz - total / count) / (total / count) > tolerance
-            total, count = (hz * n, n) if begin else (total + hz * n, count + n)
-            flags.append(int(begin))
-        return {"hz": g["gait_cycle_hz"], "begins": np.array(flags, dtype="int32")}
-
-    flagged = grouped_map(runs, [*keys, "_run"], order, ["gait_cycle_hz", "n"], "hz double, begins int", starts)
-    flagged = flagged.drop("_run").withColumnRenamed("hz", "gait_cycle_hz")
-    marked = runs.join(flagged, [*keys, "gait_cycle_hz"])
-    labelled = running(durable(marked), keys, order, {"speed_group": ("sum", F.col("begins"))})
+    sums = durable(with_key(running(cut, keys, order, {"_s": ("sum", total), "_c": ("sum", F.col("n"))}, exclusive=True), keys))
+    at = F.struct("gait_cycle_hz", "_s", "_c")
+    now = durable(sums.groupBy(KEY).agg(F.min(at).alias("_g")))
+    starts = now
+    while True:
+        mean = (F.col("_s") - F.col("_g._s")) / (F.col("_c") - F.col("_g._c"))
+        after = sums.select(KEY, "gait_cycle_hz", "_s", "_c").join(now, KEY).filter(hz > F.col("_g.gait_cycle_hz"))
+        now = durable(after.filter(F.abs(hz - mean) / mean > tolerance).groupBy(KEY).agg(F.min(at).alias("_g")))
+        if now.isEmpty():
+            break
+        starts = starts.unionByName(now)
+    flags = starts.select(KEY, F.col("_g.gait_cycle_hz").alias("gait_cycle_hz"), F.lit(1).alias("begins"))
+    marked = sums.join(flags, [KEY, "gait_cycle_hz"], "left").drop(KEY)
+    labelled = running(durable(marked), keys, order, {"speed_group": ("sum", F.coalesce("begins", F.lit(0)))})
     n = F.sum("n")
     return labelled.groupBy(*keys, F.col("speed_group").cast("int").alias("speed_group")).agg(
-        (F.sum(F.col("gait_cycle_hz") * F.col("n")) / n).alias("gait_cycle_hz"),
+        (F.sum(total) / n).alias("gait_cycle_hz"),
         (F.sum("cov") / n).alias("coverage_frac"), (F.sum("bp") / n).alias("bandpower_ratio"),
         F.sum("dur").alias("duration_s"), F.sum("heel").alias("heel_strike_count"),
         (F.sum("ok") == n).alias("passed"), n.alias("pass_count"), (F.sum("ok") / n).alias("pass_rate"),

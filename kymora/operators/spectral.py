@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kymora.functions import kernels as kn
 from kymora.operators import intervals as iv
 from kymora.operators.peaks import find_peaks
-from kymora.plans.blocks import BLK, BLOCK_ROWS, CORE, with_halo
+from kymora.plans.blocks import BLK, BLOCK_ROWS, CORE, KEY, with_halo, with_key
 from kymora.plans.grouped import grouped_map
 from kymora.session import durable
 
@@ -150,36 +150,40 @@ def instantaneous_frequency(
     samples: DataFrame, keys: Sequence[str], columns: Sequence[str], fs: float, low: float = 10.0, high: float = 5000.0,
     order: int = 4, halo_s: float = 1.0, rows: int | None = None,
 ) -> DataFrame:
-    """Adds ``f_<column>`` in Hz, per block with ``halo_s`` of neighbouring signal on either side.
+    """Adds ``f_<column>`` in Hz: the turn of the band-passed analytic signal from sample to sample.
 
-    A series that fits one block is exact. Over several blocks the band-pass tail has decayed by
-    e^-24 after the default second, and the outer three quarters of the halo fade out so that the cut
-    does not ring through the analytic signal; a test bounds the difference to the whole series.
+    One filter of fixed length (``kernels.analytic_taps``, ``halo_s`` to either side) gives band-pass and
+    quadrature part at once, so a sample's value depends on the samples within its reach alone and is the
+    same in blocks of any size. The series is centred by its own mean, unknown samples stand for the mean, and
+    its ends are continued by odd reflection. A column with fewer than 4 known samples in a series is null there.
     """
     keys = list(keys)
-    halo = max(int(fs * halo_s), 1)
-    rows = rows or max(int(fs * 8), BLOCK_ROWS)
-    spread = with_halo(samples.select(*keys, "i", *columns), halo, halo, rows=rows)
+    taps = kn.analytic_taps(fs, low, high, order, halo_s)
+    half = len(taps) // 2
+    rows = rows or max(8 * half, BLOCK_ROWS)
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    facts = samples.groupBy(*keys).agg(
+        F.max("i").alias("_last"), *[F.avg(v).alias(f"_m_{c}") for c, v in value.items()], *[F.count(v).alias(f"_k_{c}") for c, v in value.items()]
+    )
+    facts = with_key(facts, keys).drop(*keys)
+    centred = with_key(samples, keys).join(facts, KEY).select(
+        *keys, "i", "_last",
+        *[F.when(F.col(f"_k_{c}") >= 4, F.coalesce(v - F.col(f"_m_{c}"), F.lit(0.0))).alias(c) for c, v in value.items()],
+    )
+    spread = with_halo(centred, half + 1, half + 1, rows=rows)
 
     def kernel(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         core = g[CORE].astype(bool)
+        at = {"first": g["i"][0] == 0, "last": g["i"][-1] == g["_last"][0]}
         out = {"i": g["i"][core]}
-        inner = np.flatnonzero(core)
-        # at the ends of the series itself there is no halo and nothing to fade
-        fades = [max(n - halo // 4, 0) for n in ((inner[0], len(core) - 1 - inner[-1]) if len(inner) else (0, 0))]
         for c in columns:
-            y = g[c].astype(float)
-            known = np.isfinite(y)
-            if known.sum() < 4:
-                out[f"f_{c}"] = np.full(core.sum(), np.nan)
-            else:
-                out[f"f_{c}"] = kn.instantaneous_frequency(np.where(known, y, 0.0), fs, low, high, order, *fades)[core]
+            out[f"f_{c}"] = kn.turn_rate(g[c].astype(float), taps, fs, **at)[core]
         return out
 
     schema = "i bigint, " + ", ".join(f"f_{c} double" for c in columns)
-    done = grouped_map(spread, [*keys, BLK], ["i"], ["i", CORE, *columns], schema, kernel).drop(BLK)
-    done = done.select(*keys, "i", *[F.when(~F.isnan(f"f_{c}"), F.col(f"f_{c}")).alias(f"f_{c}") for c in columns])
-    return samples.join(done, [*keys, "i"])
+    done = grouped_map(spread, [*keys, BLK], ["i"], ["i", "_last", CORE, *columns], schema, kernel).drop(BLK)
+    done = with_key(done, keys).select(KEY, "i", *[F.when(~F.isnan(f"f_{c}"), F.col(f"f_{c}")).alias(f"f_{c}") for c in columns])
+    return with_key(samples, keys).join(done, [KEY, "i"]).drop(KEY).select(*samples.columns, *[f"f_{c}" for c in columns])
 
 
 def savgol(samples: DataFrame, keys: Sequence[str], value: str, out: str, window: int = 51, poly: int = 3, rows: int = BLOCK_ROWS) -> DataFrame:
@@ -216,55 +220,77 @@ def stomp_band_energy(
     return f.select(*keys, "frame", mid.alias("i"), "energy")
 
 
+CORR_ROWS, CORR_PAIRS = 4096, 32  # samples of a block, pairs of blocks of a group
+
+
 def movement_frequency(
-    motion: DataFrame, keys: Sequence[str], angle: str, fs: float, max_fs: float = 50.0, first_lag_s: float = 30.0
+    motion: DataFrame, keys: Sequence[str], angle: str, fs: float, max_fs: float = 50.0, first_lag_s: float = 30.0, rows: int = CORR_ROWS
 ) -> DataFrame:
     """Dominant movement rate (Hz) per recording from the autocorrelation of the thinned angle.
 
-    Lagged products are summed by a shuffle over (block, lag), so no recording is one task. The first
-    lags usually hold the answer; recordings still without a peak are tried with four times as many
-    until their lags cover the whole series. A peak that stands out among fewer lags also does so
-    among all, so the early answer is the final one.
+    The first lags usually hold the answer; recordings still without a peak get four times as many until their
+    lags cover the whole series. A peak that stands out among fewer lags also does so among all, so the early
+    answer is the final one.
     """
     keys = list(keys)
     ds = max(int(fs / max_fs), 1)
     eff = fs / ds
     low = max(int(eff * 0.5), 1)
     x = F.coalesce(F.nanvl(F.col(angle).cast("double"), F.lit(0.0)), F.lit(0.0))
-    thin = motion.filter(F.col("i") % ds == 0).select(*keys, F.floor(F.col("i") / ds).cast("long").alias("i"), x.alias("x"))
-    mean = thin.groupBy(*keys).agg(F.avg("x").alias("_m"), F.count(F.lit(1)).alias("_n"))
-    mean = mean.filter(F.col("_n") * ds >= 100)
-    c = durable(thin.join(mean, keys).select(*keys, "i", (F.col("x") - F.col("_m")).alias("x"), "_n"))
+    kept = F.col("i") % ds == 0
+    mean = motion.groupBy(*keys).agg(F.avg(F.when(kept, x)).alias("_m"), F.count_if(kept).alias("_n"), F.count(F.lit(1)).alias("_all"))
+    mean = with_key(mean.filter("_all >= 100"), keys).drop(*keys)
+    thin = with_key(motion.filter(kept).select(*keys, F.floor(F.col("i") / ds).cast("long").alias("i"), x.alias("x")), keys)
+    c = durable(thin.join(mean, KEY).select(*keys, "i", (F.col("x") - F.col("_m")).alias("x"), "_n"))
     lags = max(int(first_lag_s * eff), low + 2)
-    found: DataFrame | None = None
+    acf, found, done = None, None, 0
     while True:
-        acf = durable(_autocorrelation(c, keys, lags))
-        zero = acf.filter("i = 0").select(*keys, F.col("s").alias("_s0")).filter("_s0 > 0")
-        norm = acf.join(zero, keys).filter(F.col("i") >= low).select(
-            *keys, (F.col("i") - low).alias("i"), (F.col("s") / F.col("_s0")).alias("r")
-        )
+        more = lag_sums(c, keys, done, lags, rows)
+        acf = durable(more if acf is None else acf.unionByName(more))
+        zero = with_key(acf.filter("i = 0 AND s > 0").select(*keys, F.col("s").alias("_s0")), keys).drop(*keys)
+        norm = with_key(acf.filter(F.col("i") >= low), keys).join(zero, KEY).select(*keys, (F.col("i") - low).alias("i"), (F.col("s") / F.col("_s0")).alias("r"))
         first = find_peaks(norm, keys, "r", prominence=0.1).groupBy(*keys).agg(F.min("i").alias("i"))
         got = durable(first.select(*keys, (F.lit(eff) / (F.col("i") + low)).alias("movement_hz")))
         found = got if found is None else found.unionByName(got)
-        c = durable(c.filter(F.col("_n") > lags + 1).join(got, keys, "left_anti"))
+        gone = with_key(got, keys).select(KEY)
+        c = durable(with_key(c.filter(F.col("_n") > lags), keys).join(gone, KEY, "left_anti").drop(KEY))
         if c.isEmpty():
             return found
-        lags *= 4
+        acf = with_key(acf, keys).join(with_key(c.select(*keys).distinct(), keys).select(KEY), KEY, "left_semi").drop(KEY)
+        done, lags = lags, lags * 4
+
+
+def lag_sums(series: DataFrame, keys: Sequence[str], low: int, high: int, rows: int = CORR_ROWS) -> DataFrame:
+    """(keys, _n, i = lag, s) for low <= lag < high: the sum of x[k] * x[k + lag] over the series (keys, _n, i, x) of _n samples.
 
+    A series is cut into blocks of ``rows``. A block meets the blocks that its lags reach, each pair is one
+    product of two spectra of fixed length, and the sums go by key and lag through a shuffle: no group has
+    more than ``CORR_PAIRS`` pairs, however long a series or a lag is.
+    """
+    keys = list(keys)
+    item = F.array_sort(F.collect_list(F.struct("i", "x")))
+    blocks = with_key(series.groupBy(*keys, "_n", F.floor(F.col("i") / rows).cast("long").alias("_b")).agg(item.alias("_s")), keys)
+    blocks = durable(blocks.select(KEY, *keys, "_n", "_b", F.col("_s.i").alias("_i"), F.col("_s.x").alias("_x")))
+    reach = F.sequence(F.lit(low // rows), F.lit((high - 1) // rows + 1)).cast("array<bigint>")
+    left = blocks.withColumn("_d", F.explode(reach)).withColumn("_to", F.col("_b") + F.col("_d"))
+    right = blocks.select(KEY, F.col("_b").alias("_to"), F.col("_i").alias("_j"), F.col("_x").alias("_y"))
+    pairs = left.join(right, [KEY, "_to"]).withColumn("_part", F.floor(F.col("_b") / CORR_PAIRS).cast("long")).drop(KEY)
+    pairs = pairs.withColumn("_at", F.col("_d")).withColumn("_total", F.col("_n"))
+
+    def laid(at: np.ndarray, x: np.ndarray) -> np.ndarray:
+        out = np.zeros(2 * rows)
+        out[np.asarray(at) % rows] = x
+        return np.fft.rfft(out)
 
-def _autocorrelation(c: DataFrame, keys: list[str], lags: int) -> DataFrame:
-    """(keys, i = lag, s): sums of x[k] * x[k + lag]."""
     def partial(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        x = g["x"]
-        start = np.where(g[CORE].astype(bool), x, 0.0)
-        size = 1 << int(np.ceil(np.log2(2 * len(x))))
-        corr = np.fft.irfft(np.fft.rfft(x, size) * np.conj(np.fft.rfft(start, size)), size)
-        top = min(lags, len(x) - 1)
-        return {"i": np.arange(top + 1), "s": corr[: top + 1]}
-
-    spread = with_halo(c.select(*keys, "i", "x"), 0, lags, rows=max(4 * lags, 1024))
-    parts = grouped_map(spread, [*keys, BLK], ["i"], ["i", "x", CORE], "i bigint, s double", partial)
-    return parts.groupBy(*keys, "i").agg(F.sum("s").alias("s"))
+        total = sum(np.conj(laid(i, x)) * laid(j, y) for i, x, j, y in zip(g["_i"], g["_x"], g["_j"], g["_y"]))
+        off = np.arange(1 - rows, rows)
+        lag = int(g["_at"][0]) * rows + off
+        use = (lag >= max(low, 0)) & (lag < min(high, int(g["_total"][0]))) & ((off >= 0) | (g["_at"][0] > 0))
+        return {"i": lag[use], "s": np.fft.irfft(total, 2 * rows)[off[use]]}
+
+    parts = grouped_map(pairs, [*keys, "_n", "_d", "_part"], ["_b"], ["_i", "_x", "_j", "_y", "_at", "_total"], "i bigint, s double", partial)
+    return parts.groupBy(*keys, "_n", "i").agg(F.sum("s").alias("s"))
 
 
 def periodic_artifacts(

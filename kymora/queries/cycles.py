@@ -117,10 +117,10 @@ def resampled_cycles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def template_match(spark: SparkSession, sf: str) -> DataFrame:
-    """Cycles against the mean waveform of each embedding label, warped distance included."""
+    """Cycles and mean waveforms of embedding labels that are close, warped distance included."""
     w = ad.waveform(spark, sf).select("label", F.posexplode("x").alias("k", "x"))
     t = w.groupBy("label", "k").agg(F.avg("x").alias("ref")).select(F.col("label").alias("template"), "k", "ref")
-    return rounded(cy.template_match(_blocks(spark, sf), t, CK, "ch2", 64, 0.1, 1.5))
+    return rounded(cy.template_match(_blocks(spark, sf), t, CK, "ch2", 64, 0.1, 0.8))
 
 
 def template_correlation(spark: SparkSession, sf: str) -> DataFrame:

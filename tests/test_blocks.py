@@ -209,17 +209,6 @@ def test_savgol_reproduces_a_cubic():
     np.testing.assert_allclose(kn.savgol(y, 51, 3), y, atol=1e-9)
 
 
-def test_frequency_of_blocks_stays_near_the_whole(spark):
-    t = np.arange(40000) / 1000.0
-    df = series(spark, {"t": t, "x": np.sin(2 * np.pi * 60 * t + 3 * np.sin(2 * np.pi * 0.3 * t))})
-    whole = spectral.instantaneous_frequency(df, K, ["x"], 1000.0, 10, 400, rows=1 << 20).orderBy("i").toPandas()["f_x"].to_numpy()
-    parts = spectral.instantaneous_frequency(df, K, ["x"], 1000.0, 10, 400, rows=8000).orderBy("i").toPandas()["f_x"].to_numpy()
-    inner = slice(2000, -2000)
-    truth = 60 + 0.9 * np.cos(2 * np.pi * 0.3 * t)
-    assert np.abs(whole[inner] - truth[inner]).max() < 0.1
-    assert np.abs(parts[inner] - truth[inner]).max() < 0.1
-
-
 def test_movement_frequency_of_a_sine(spark):
     t = np.arange(6000) / 100.0
     df = series(spark, {"t": t, "a": 40 + 30 * np.sin(2 * np.pi * 0.25 * t)})
@@ -234,16 +223,6 @@ def test_slow_movement_needs_more_lags(spark):
     assert abs(got - 0.01) < 0.0005
 
 
-def test_rate_segments_match_a_single_walk(spark):
-    rng = np.random.default_rng(5)
-    steps = np.concatenate([rng.uniform(0.49, 0.51, 30), [4.0], rng.uniform(0.69, 0.71, 25), [5.0], rng.uniform(0.99, 1.01, 20)])
-    t = np.cumsum(steps)
-    df = series(spark, {"t": t})
-    got = sorted((round(r.start, 6), round(r.end, 6)) for r in segments.rate_segments(df, K, 6).collect())
-    want = sorted((round(a, 6), round(b, 6)) for a, b in kn.cluster_times(t, 0.06, 6))
-    assert got == want and len(got) == 3
-
-
 def test_dropout_and_spikes_at_known_times(spark):
     rng = np.random.default_rng(2)
     fs = 1000.0
