@@ -4,6 +4,7 @@ import re
 from collections import Counter
 from itertools import permutations
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -72,21 +73,27 @@ def test_empty(spark, empty):
     assert rows(audit.audit(queries.documents(spark, SF).where("doc_id < 20"), labels))
 
 
-@pytest.mark.parametrize("shard_bytes", [500, 20_000, 16 << 20])
-def test_matrix(spark, monkeypatch, shard_bytes):
+@pytest.mark.parametrize("shard_bytes,range_bytes", [(500, 10_000), (20_000, 1000), (16 << 20, 8 << 20)])
+def test_matrix(spark, monkeypatch, shard_bytes, range_bytes):
     monkeypatch.setattr(matrix, "SHARD_BYTES", shard_bytes)
+    monkeypatch.setattr(matrix, "RANGE_BYTES", range_bytes)
     docs = queries.documents(spark, SF).where("doc_id < 60").selectExpr("doc_id", "encode(coalesce(text, ''), 'UTF-8') AS raw").repartition(3, "doc_id")
     shards = matrix.local_shards(docs, lambda batch: {"doc_id": batch.column("doc_id")}, {"doc_id": pa.int64()}, "doc_id array<bigint>")
-    number = {}
-    for r in matrix.numbered(shards).collect():
-        assert number.setdefault(r.word, r.id) == r.id
-    assert sorted(number.values()) == list(range(len(number)))
-    word = {i: bytes(w).decode() for w, i in number.items()}
+    lists = {r.shard: bytes(r.words).split(b" ") if r.words else [] for r in shards.collect()}
+    numbers = matrix.numbered(shards)
+    word = {r.id: r.word for r in matrix.dictionary(numbers).collect()}
+    assert sorted(word) == list(range(len(word))) and len(set(word.values())) == len(word)
+    told = numbers.collect()
+    for r in told:
+        nth = np.frombuffer(r.nth, "<i4")
+        assert [word[r.before + k].encode() for k in nth.tolist()] == lists[r.shard][r.first : r.first + len(nth)]
+    assert sum(len(r.nth) // 4 for r in told) == sum(map(len, lists.values()))
     got = {}
     for r in matrix.csr_shards(shards).collect():
+        indptr, indices, data = (matrix.unpacked(x).tolist() for x in (r.indptr, r.indices, r.data))
         for k, doc_id in enumerate(r.doc_id):
-            a, b = r.indptr[k], r.indptr[k + 1]
-            assert r.indices[a:b] == sorted(set(r.indices[a:b]))
-            got[doc_id] = {word[c]: n for c, n in zip(r.indices[a:b], r.data[a:b])}
+            a, b = indptr[k], indptr[k + 1]
+            assert indices[a:b] == sorted(set(indices[a:b]))
+            got[doc_id] = {word[c]: n for c, n in zip(indices[a:b], data[a:b])}
     want = {r.doc_id: Counter(re.findall(r"[^\x20\x09-\x0D]+", bytes(r.raw).decode())) for r in docs.collect()}
     assert got == want
