@@ -56,7 +56,7 @@ def dft(series: DataFrame, keys: Sequence[str], sign: int = -1, most: int = ROWS
     per = lambda other: F.greatest(F.floor(F.lit(most) / F.col(other)), F.lit(1)).cast("long")
 
     def columns(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        n, n1, n2 = (int(g[c][0]) for c in ("_n", "_n1", "_n2"))
+        n, n1, n2 = (int(g[c][0]) for c in ("_len", "_len1", "_len2"))
         i1, i2 = np.divmod(g["i"], n2)
         at, place = np.unique(i2, return_inverse=True)
         table = np.zeros((n1, len(at)), complex)
@@ -67,7 +67,7 @@ def dft(series: DataFrame, keys: Sequence[str], sign: int = -1, most: int = ROWS
         return {"f1": np.repeat(f1, len(at)), "i2": np.tile(at, n1), "re": out.real.ravel(), "im": out.imag.ravel()}
 
     def rows(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        n1, n2 = int(g["_n1"][0]), int(g["_n2"][0])
+        n1, n2 = int(g["_len1"][0]), int(g["_len2"][0])
         at, place = np.unique(g["f1"], return_inverse=True)
         table = np.zeros((len(at), n2), complex)
         table[place, g["i2"]] = g["re"] + 1j * g["im"]
@@ -75,7 +75,7 @@ def dft(series: DataFrame, keys: Sequence[str], sign: int = -1, most: int = ROWS
         f = at[:, None] + n1 * np.arange(n2)
         return {"i": f.ravel(), "re": out.real.ravel(), "im": out.imag.ravel()}
 
-    own = {"_n": F.col("n"), "_n1": F.col("n1"), "_n2": F.col("n2")}
+    own = {"_len": F.col("n"), "_len1": F.col("n1"), "_len2": F.col("n2")}
     first = work.withColumn("_c", F.floor((F.col("i") % F.col("n2")) / per("n1")).cast("long")).withColumns(own)
     turned = grouped_map(first, group, ["i"], ["i", "re", "im", *own], "f1 bigint, i2 bigint, re double, im double", columns)
     second = turned.withColumn("_c", F.floor(F.col("f1") / per("n2")).cast("long")).withColumns(own)
@@ -104,7 +104,7 @@ def spectrum(series: DataFrame, keys: Sequence[str], most: int = ROWS) -> DataFr
         return dft(base, keys, -1, most).filter(half)
     even = dft(base.join(odd, "n", "left_anti"), keys, -1, most).filter(half)
     long = base.join(odd, "n", "left_semi").withColumn("_n", F.col("n"))
-    m = F.shiftleft(F.lit(1).cast("long"), F.length(F.bin(2 * F.col("_n") - 2)))
+    m = F.expr("shiftleft(1L, length(bin(2 * _n - 2)))")  # as chirp_length
     own = [*keys, "_n"]
     turned = _times(long, (F.col("re"), F.col("im")), _chirp(F.col("i"), F.col("_n"), -1)).withColumn("n", m)
     a = dft(turned.select(*own, "n", "i", "re", "im"), own, -1, most)
