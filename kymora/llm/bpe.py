@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from kymora.llm.chunks import Pieces, cut
-from kymora.llm.common import batch_of, slices, texts
+from kymora.llm.common import batch_of, slices, texts, tidy
 
 NONE = np.int64(1) << 60
 WIDE = 64
@@ -283,4 +283,4 @@ def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = False) ->
             yield batch_of(out, schema)
 
     more = ", ids array<int>" if with_ids else ""
-    return texts(docs).mapInArrow(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+    return texts(docs).mapInArrow(tidy(run), f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")

@@ -203,4 +203,14 @@ class PieceEncoder:
 @lru_cache(maxsize=4)
 def encoder(path: str) -> PieceEncoder:
     """One encoder for each worker process and tokenizer file."""
-    return PieceEncoder(path)
+    _made.append(PieceEncoder(path))
+    return _made[-1]
+
+
+_made: list[PieceEncoder] = []
+
+
+def forget() -> None:
+    """Drop the ids that encoders of this process remember; the tokenizers stay."""
+    for e in _made:
+        e.known, e.older, e.held = {}, {}, 0

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import ctypes
+import sys
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -92,9 +93,26 @@ def _trim():
         return None
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``; when a task ends, its worker gives back what the task held.
+
+    A worker stays for the next task, which may be another stage's, or the JVM's own while the worker waits.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            chunks = sys.modules.get("kymora.llm.chunks")
+            if chunks:
+                chunks.forget()
+            give_back()
+
+    return tidied
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str | int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about equal bytes of ``column``; a longer row stands alone."""
-    give_back()
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
         first, held = 0, 0
@@ -105,7 +123,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | int, most: int = SLI
             held += size
         if first < len(sizes):
             yield batch.slice(first)
-    give_back()
 
 
 def with_text(df: DataFrame, names: list[str], text: Column, changed: Column) -> DataFrame:

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kymora.llm.common import batch_of, partitions, slices, stage
+from kymora.llm.common import batch_of, partitions, slices, stage, tidy
 from kymora.llm.phrases import _seeds, mix
 from kymora.llm.words import raw_bytes, split_words
 
@@ -112,7 +112,7 @@ def local_shards(docs: DataFrame, facts: Callable[[pa.RecordBatch], dict[str, pa
             )
             shard += 1
 
-    return stage(docs.mapInArrow(run, f"shard long, {ddl}, {CSR}, words binary"))
+    return stage(docs.mapInArrow(tidy(run), f"shard long, {ddl}, {CSR}, words binary"))
 
 
 def numbered(shards: DataFrame) -> DataFrame:
@@ -155,9 +155,9 @@ def numbered(shards: DataFrame) -> DataFrame:
         if now is not None:
             yield row(None, None, None, None, None, len(known))
 
-    lists = shards.select("shard", "words").mapInArrow(cut, "range long, shard long, first long, words binary")
+    lists = shards.select("shard", "words").mapInArrow(tidy(cut), "range long, shard long, first long, words binary")
     shape = "range long, shard long, first long, nth binary, fresh long, words binary, size long"
-    told = stage(lists.repartition(max(ranges, partitions(shards.sparkSession)), "range").sortWithinPartitions("range", "shard").mapInArrow(number, shape))
+    told = stage(lists.repartition(max(ranges, partitions(shards.sparkSession)), "range").sortWithinPartitions("range", "shard").mapInArrow(tidy(number), shape))
     sizes = told.filter("size IS NOT NULL").select("range", "size")
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     starts = sizes.select("range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
@@ -200,4 +200,4 @@ def row_totals(csr: DataFrame, kinds: dict[str, pa.DataType], ddl: str) -> DataF
                 total = np.concatenate([[0], np.cumsum(data)])
                 yield batch_of({**{c: batch.column(c)[k].values for c in kinds}, "row_sum": np.diff(total[indptr]), "nonzero": np.diff(indptr).astype(np.int64)}, schema)
 
-    return csr.select(*kinds, "indptr", "data").mapInArrow(run, f"{ddl}, row_sum long, nonzero long".replace("array<", "").replace(">", ""))
+    return csr.select(*kinds, "indptr", "data").mapInArrow(tidy(run), f"{ddl}, row_sum long, nonzero long".replace("array<", "").replace(">", ""))

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kymora.llm.common import batch_of, partitions, place_of, plain, slices, stage, texts
+from kymora.llm.common import batch_of, partitions, place_of, plain, slices, stage, texts, tidy
 from kymora.llm.components import components
 from kymora.llm.phrases import _seeds, mix
 from kymora.llm.simhash import fingerprint, links
@@ -91,7 +91,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             yield batch_of({"ord": batch.column("doc_id").fill_null(LEAST_ID), "h": batch.column("h"), "fp": fps, "size": [len(x) for x in sets], "samples": drawn}, schema)
 
     hashed = texts(docs, identity(F.col("text")).alias("h"))
-    return hashed.mapInArrow(run, "ord long, h binary, fp long, size long, samples array<long>")
+    return hashed.mapInArrow(tidy(run), "ord long, h binary, fp long, size long, samples array<long>")
 
 
 def sharing(nodes: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def squeezed(wanted: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in slices(batches, "raw"):
             yield batch_of({"h": batch.column("h"), "z": [press.compress(x) for x in batch.column("raw").to_pylist()]}, schema)
 
-    hashed = texts(docs, identity(F.col("text")).alias("h")).select("h", "raw").mapInArrow(squeeze, "h binary, z binary")
+    hashed = texts(docs, identity(F.col("text")).alias("h")).select("h", "raw").mapInArrow(tidy(squeeze), "h binary, z binary")
     return stage(hashed.join(wanted, "h", "left_semi").dropDuplicates(["h"]))
 
 
@@ -151,7 +151,7 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     led = dealt.join(held.withColumnsRenamed({"h": "a"}), "a").select("b", "salt", "a", "z")
     leaders = dealt.select("b", "salt").distinct().join(held.withColumnsRenamed({"h": "b"}), "b").select("b", "salt", F.lit(None).cast("binary").alias("a"), "z")
     # nulls come first, so a leader stands before the texts that it leads
-    return led.union(leaders).repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a")).mapInArrow(run, "a binary, b binary")
+    return led.union(leaders).repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a")).mapInArrow(tidy(run), "a binary, b binary")
 
 
 def forest(sets: list[np.ndarray], roots: list[int], least: float) -> list[tuple[int, int]]:
@@ -228,7 +228,7 @@ def partners(shared: DataFrame, groups: DataFrame, docs: DataFrame, least: float
     by = ["key", "band", "p", "q"]
     full = cut.join(squeezed(cut.select("h").distinct(), docs), "h")
     # as many tasks as there is work, which is the shingles held times the parts they meet, and not the bytes
-    return full.repartition(max(partitions(docs.sparkSession), int(work // weight)), *by).sortWithinPartitions(*by).mapInArrow(run, "a binary, b binary")
+    return full.repartition(max(partitions(docs.sparkSession), int(work // weight)), *by).sortWithinPartitions(*by).mapInArrow(tidy(run), "a binary, b binary")
 
 
 def keep_one(docs: DataFrame, tau: int = 2, least: float = 0.8, weight: int = WEIGHT) -> DataFrame:

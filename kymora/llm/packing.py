@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kymora.llm.chunks import encoder
-from kymora.llm.common import batch_of, partitions, slices, stage, texts
+from kymora.llm.common import batch_of, partitions, slices, stage, texts, tidy
 
 Run = tuple[int, int, int, int, int, int]  # length, first rank, pieces, first bin, pieces in a bin, offset
 
@@ -175,7 +175,7 @@ def place(items: DataFrame, capacity: int) -> DataFrame:
                 [*kept, "sequence_id", "offset"],
             )
 
-    return ranked.select(*kept, "rank").mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    return ranked.select(*kept, "rank").mapInArrow(tidy(run), f"{schema}, sequence_id long, offset long")
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False) -> DataFrame:
@@ -209,7 +209,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, wi
             yield batch_of(out, schema)
 
     more = ", ids array<int>" if with_ids else ""
-    return stage(texts(docs).mapInArrow(run, f"uid long, doc_id long, piece int, start long, length long, ids_crc32 long{more}"))
+    return stage(texts(docs).mapInArrow(tidy(run), f"uid long, doc_id long, piece int, start long, length long, ids_crc32 long{more}"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 4096, with_ids: bool = False) -> DataFrame:

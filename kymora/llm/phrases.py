@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kymora.llm.common import batch_of, partitions, slices, texts
+from kymora.llm.common import batch_of, partitions, slices, texts, tidy
 
 SLOTS, LEVELS = 64, (2, 3, 4)
 TOP = np.uint64(1 << 63)
@@ -172,4 +172,4 @@ def phrase_fingerprints(docs: DataFrame) -> DataFrame:
             }, schema)
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return with_next(docs).select("range", "extra", "doc_id", "raw").mapInArrow(run, schema)
+    return with_next(docs).select("range", "extra", "doc_id", "raw").mapInArrow(tidy(run), schema)

@@ -24,7 +24,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 
 from kymora.llm import suffixes
-from kymora.llm.common import batch_of, place_of, plain, slices, texts
+from kymora.llm.common import batch_of, place_of, plain, slices, texts, tidy
 from kymora.llm.words import IS_SPACE, Words, per_text, raw_bytes, split_words
 
 SYMBOLS = np.zeros(256, bool)
@@ -118,7 +118,7 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         for batch in slices(batches, "raw", 4 << 20):
             yield batch_of({"doc_id": batch.column("doc_id"), **judge(batch.column("raw"), limits)}, schema)
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, covered double, longest_repeat long, base_failed boolean, kept boolean")
+    return texts(docs).mapInArrow(tidy(run), "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, covered double, longest_repeat long, base_failed boolean, kept boolean")
 
 
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -131,4 +131,4 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
             raw = pa.compute.fill_null(batch.column(t).cast(pa.large_binary()), b"")
             yield batch.filter(pa.array(judge(raw, limits)["kept"]))
 
-    return named.mapInArrow(run, named.schema).toDF(*names)
+    return named.mapInArrow(tidy(run), named.schema).toDF(*names)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kymora.llm import suffixes
-from kymora.llm.common import batch_of, slices, texts
+from kymora.llm.common import batch_of, slices, texts, tidy
 from kymora.llm.words import split_words
 
 SLICE = 4 << 20
@@ -237,7 +237,7 @@ def run_table(docs: DataFrame, rule: Rule = Rule(), plant: bool = False) -> Data
             got = find_runs(planted(words.index, words.bounds, batch.column("mark").to_numpy()), words.bounds, rule)
             yield batch_of({"doc_id": batch.column("doc_id").take(pa.array(got[:, 0])), "start": got[:, 1], "length": got[:, 2], "period": got[:, 3]}, schema)
 
-    return _marked(docs, plant).mapInArrow(run, "doc_id long, start long, length long, period long")
+    return _marked(docs, plant).mapInArrow(tidy(run), "doc_id long, start long, length long, period long")
 
 
 def periodic_runs(docs: DataFrame, rule: Rule = Rule(), plant: bool = False) -> DataFrame:
@@ -254,5 +254,5 @@ def periodic_runs(docs: DataFrame, rule: Rule = Rule(), plant: bool = False) ->
             yield batch_of({"doc_id": batch.column("doc_id"), **digest(batch.column("raw"), batch.column("mark").to_numpy(), rule)}, schema)
 
     return _marked(docs, plant).mapInArrow(
-        run, "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string"
+        tidy(run), "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string"
     )

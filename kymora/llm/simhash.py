@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kymora.llm.common import batch_of, slices, stage, texts
+from kymora.llm.common import batch_of, slices, stage, texts, tidy
 from kymora.llm.components import components
 
 BITS, BUCKET, SEED = 64, 2048, 42
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
             fps = np.array([fingerprint(raw.lower().split(), width) for raw in batch.column("raw").to_pylist()], np.uint64)
             yield batch_of({"doc_id": batch.column("doc_id"), "fp": fps.view(np.int64)}, schema)
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return texts(docs).mapInArrow(tidy(run), "doc_id long, fp long")
 
 
 def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -83,7 +83,7 @@ def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
         at, to = np.divmod(np.arange(BITS * BITS), BITS)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(to, -1)), pa.array(np.append(total.reshape(-1), n))], ["a", "b", "n"])
 
-    got = nodes.select("fp").mapInArrow(run, "a long, b long, n double").groupBy("a", "b").agg(F.sum("n").alias("n")).collect()  # 4,097 rows
+    got = nodes.select("fp").mapInArrow(tidy(run), "a long, b long, n double").groupBy("a", "b").agg(F.sum("n").alias("n")).collect()  # 4,097 rows
     table = {(r["a"], r["b"]): r["n"] for r in got}
     n = int(table.pop((-1, -1), 0))
     return n, np.array([[table.get((a, b), 0.0) for b in range(BITS)] for a in range(BITS)])
@@ -215,7 +215,7 @@ def compare(keyed: DataFrame, tau: int) -> DataFrame:
         if rest.shape[1]:
             yield work(rest)
 
-    return keyed.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(run, "a long, b long")
+    return keyed.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(tidy(run), "a long, b long")
 
 
 def links(nodes: DataFrame, tau: int, bucket: int = BUCKET) -> DataFrame:

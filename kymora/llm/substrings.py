@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from kymora.llm.common import batch_of, pick, place_of, plain, slices, stage, texts, with_text
+from kymora.llm.common import batch_of, pick, place_of, plain, slices, stage, texts, tidy, with_text
 from kymora.llm.phrases import _seeds, mix
 from kymora.llm.words import IS_SPACE, raw_bytes
 
@@ -171,7 +171,7 @@ def _anchors(docs: DataFrame) -> DataFrame:
             of = pa.array(text)
             yield batch_of({"anchor": anchor.view(np.int64), "ord": batch.column("ord").take(of), "tie": batch.column("tie").take(of), "pack": start << 5 | windows << 1 | twice}, schema)
 
-    return docs.select("ord", "tie", "raw").mapInArrow(run, "anchor long, ord long, tie long, pack long")
+    return docs.select("ord", "tie", "raw").mapInArrow(tidy(run), "anchor long, ord long, tie long, pack long")
 
 
 def _marked(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -208,9 +208,9 @@ def _marked(docs: DataFrame, found: DataFrame) -> DataFrame:
                     out[name].append(x)
             yield batch_of(out, schema)
 
-    squeezed = docs.select("doc_id", "ord", "tie", "raw").mapInArrow(squeeze, "doc_id long, ord long, tie long, z binary")
+    squeezed = docs.select("doc_id", "ord", "tie", "raw").mapInArrow(tidy(squeeze), "doc_id long, ord long, tie long, z binary")
     return squeezed.join(found, ["ord", "tie"], "left").select("doc_id", "ord", "tie", "z", "found").mapInArrow(
-        run, "doc_id long, ord long, tie long, n_words long, sha string, z binary, parts array<struct<anchor:long,content:long,start:long,windows:long,twice:boolean>>"
+        tidy(run), "doc_id long, ord long, tie long, n_words long, sha string, z binary, parts array<struct<anchor:long,content:long,start:long,windows:long,twice:boolean>>"
     )
 
 
@@ -232,7 +232,7 @@ def _contents(held: DataFrame, wanted: DataFrame) -> DataFrame:
 
     by_text = wanted.groupBy("ord", "tie").agg(F.collect_list(F.struct("anchor", "content", "start", "windows", "hot")).alias("wants"))
     return held.select("ord", "tie", "z").dropDuplicates(["ord", "tie"]).join(by_text, ["ord", "tie"]).mapInArrow(
-        run, "anchor long, content long, ord long, tie long, start long, hot boolean, words binary"
+        tidy(run), "anchor long, content long, ord long, tie long, start long, hot boolean, words binary"
     )
 
 
@@ -261,7 +261,7 @@ def _verdicts(contents: DataFrame) -> DataFrame:
             yield judge()
 
     dealt = contents.filter(~F.col("hot")).repartition("anchor").sortWithinPartitions("anchor", "ord", "tie", "start")
-    return dealt.select("anchor", "content", "words").mapInArrow(run, "anchor long, content long, bits long")
+    return dealt.select("anchor", "content", "words").mapInArrow(tidy(run), "anchor long, content long, bits long")
 
 
 def _hot_verdicts(contents: DataFrame) -> DataFrame:
@@ -278,7 +278,7 @@ def _hot_verdicts(contents: DataFrame) -> DataFrame:
                         out[name].append(x)
             yield batch_of(out, schema)
 
-    each = contents.filter("hot").select("anchor", "content", "ord", "tie", "start", "words").mapInArrow(run, "anchor long, content long, ord long, tie long, pos long, nth long, window binary")
+    each = contents.filter("hot").select("anchor", "content", "ord", "tie", "start", "words").mapInArrow(tidy(run), "anchor long, content long, ord long, tie long, pos long, nth long, window binary")
     each = stage(each)
     place = F.struct("ord", "tie", "pos")
     first = each.groupBy("window").agg(F.min(place).alias("first"))
@@ -355,7 +355,7 @@ def cut_out(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     joined = named.withColumn("ord", ord_).withColumn("tie", tie).join(runs, ["ord", "tie"], "left")
     cols = [F.col(f"c{i}") for i in range(len(names))]
     schema = StructType([*named.schema.fields, StructField("text", StringType()), StructField("changed", BooleanType())])
-    edited = joined.select(*cols, F.encode(text, "UTF-8").alias("text"), "removed").mapInArrow(run, schema)
+    edited = joined.select(*cols, F.encode(text, "UTF-8").alias("text"), "removed").mapInArrow(tidy(run), schema)
     return with_text(edited, names, F.col("text"), F.col("changed"))
 
 
@@ -392,7 +392,7 @@ def remove_repeats(docs: DataFrame, shard: int = SHARD, with_spans: bool = False
             yield batch_of(out, schema)
 
     shape = "doc_id long, ord long, tie long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start:long,stop:long>>"
-    held = marked.filter(F.col("z").isNotNull()).select("doc_id", "ord", "tie", "z").join(spans, ["ord", "tie"], "left").select("doc_id", "ord", "tie", "z", "spans").mapInArrow(run, shape)
+    held = marked.filter(F.col("z").isNotNull()).select("doc_id", "ord", "tie", "z").join(spans, ["ord", "tie"], "left").select("doc_id", "ord", "tie", "z", "spans").mapInArrow(tidy(run), shape)
     done = marked.filter(F.col("z").isNull()).select("doc_id", "ord", "tie", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"), F.array().cast("array<struct<start:long,stop:long>>").alias("removed"))
     both = done.union(held)
     return both if with_spans else both.select("doc_id", "n_words", "n_removed", "kept_sha256")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kymora.llm.chunks import encoder
-from kymora.llm.common import batch_of, pick, shared_folder, slices, stage, texts
+from kymora.llm.common import batch_of, pick, shared_folder, slices, stage, texts, tidy
 
 MAGIC, VERSION, BLOCK = b"KPFR", 1, 1024
 HEADER = "<4sIQQQQ"
@@ -192,7 +192,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
             yield close()
 
     ordered = texts(docs, F.xxhash64("text").alias("tie")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    files = stage(ordered.select("doc_id", "raw").mapInArrow(run, "file string, part int, nth int, n_docs long, n_ids long"))
+    files = stage(ordered.select("doc_id", "raw").mapInArrow(tidy(run), "file string, part int, nth int, n_docs long, n_ids long"))
     # one row a file, so this window is as small as the list of files
     before = Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
@@ -215,7 +215,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
 
     n = max(1, files.count())
     spread = pick(files, "file", "start").repartition(n, "file")
-    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_folder(spark: SparkSession) -> str:

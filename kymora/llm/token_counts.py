@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from kymora.llm.chunks import encoder
-from kymora.llm.common import batch_of, slices, texts
+from kymora.llm.common import batch_of, slices, texts, tidy
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame:
@@ -30,4 +30,4 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame
             n = encoder(tokenizer).counts(raw).astype(np.int64)
             yield batch_of({"doc_id": batch.column("doc_id"), "n_bytes": pc.binary_length(raw).cast(pa.int64()), "n_tokens": n, "over_limit": n > limit}, schema)
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return texts(docs).mapInArrow(tidy(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kymora.llm.chunks import encoder
-from kymora.llm.common import batch_of, slices, stage, texts
+from kymora.llm.common import batch_of, slices, stage, texts, tidy
 
 COLUMNS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 SCHEMA = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])
@@ -171,7 +171,7 @@ def first_round(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, ope
         packer.leave()
         yield from packer.take()
 
-    return texts(docs).mapInArrow(run, f"{COLUMNS}, ids binary").withColumn("task", F.spark_partition_id())
+    return texts(docs).mapInArrow(tidy(run), f"{COLUMNS}, ids binary").withColumn("task", F.spark_partition_id())
 
 
 def next_round(leftovers: DataFrame, nth: int, capacity: int, open_windows: int, slack: int, last: bool) -> DataFrame:
