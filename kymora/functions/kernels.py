@@ -109,33 +109,43 @@ def hamming(n: int) -> np.ndarray:
     return 0.54 - 0.46 * np.cos(2 * np.pi * np.arange(n) / n)
 
 
-def segments(x: np.ndarray, nperseg: int, step: int) -> np.ndarray:
-    return np.lib.stride_tricks.sliding_window_view(x, nperseg)[::step]
-
-
-def welch(x: np.ndarray, fs: float, nperseg: int, noverlap: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Averaged one-sided power spectral density of mean-removed Hann segments."""
-    nperseg = min(nperseg, len(x))
+def welch_rows(x: np.ndarray, fs: float, nperseg: int, noverlap: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Averaged one-sided power spectral density of mean-removed Hann segments, of each row."""
+    nperseg = min(nperseg, x.shape[1])
     noverlap = nperseg // 2 if noverlap is None else noverlap
-    seg = segments(np.asarray(x, dtype=float), nperseg, nperseg - noverlap)
-    seg = seg - seg.mean(axis=1, keepdims=True)
     w = hann(nperseg)
-    p = np.abs(np.fft.rfft(seg * w, axis=1)) ** 2 / (fs * (w * w).sum())
+    starts = range(0, x.shape[1] - nperseg + 1, nperseg - noverlap)
+    total = np.zeros((len(x), nperseg // 2 + 1))
+    for a in starts:
+        seg = x[:, a : a + nperseg]
+        total += np.abs(np.fft.rfft((seg - seg.mean(axis=1, keepdims=True)) * w, axis=1)) ** 2
+    p = total / len(starts) / (fs * (w * w).sum())
     p[:, 1 : (-1 if nperseg % 2 == 0 else None)] *= 2
-    return np.fft.rfftfreq(nperseg, 1 / fs), p.mean(axis=0)
+    return np.fft.rfftfreq(nperseg, 1 / fs), p
 
 
-def peak_to_median(freqs: np.ndarray, psd: np.ndarray, above_hz: float = 5.0) -> tuple[float, float]:
-    """(peak power over median power, peak frequency) above ``above_hz``; (0, nan) when undefined."""
+def welch(x: np.ndarray, fs: float, nperseg: int, noverlap: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    freqs, p = welch_rows(np.asarray(x, dtype=float)[None], fs, nperseg, noverlap)
+    return freqs, p[0]
+
+
+def peak_to_median_rows(freqs: np.ndarray, psd: np.ndarray, above_hz: float = 5.0) -> tuple[np.ndarray, np.ndarray]:
+    """(peak power over median power, peak frequency) above ``above_hz`` of each row; (0, nan) where undefined."""
     use = freqs > above_hz
-    if not use.any():
-        return 0.0, float("nan")
-    p = psd[use]
-    mid = np.median(p)
-    if not mid > 0:
-        return 0.0, float("nan")
-    at = int(np.argmax(p))
-    return float(p[at] / mid), float(freqs[use][at])
+    ratio, hz = np.zeros(len(psd)), np.full(len(psd), np.nan)
+    if use.any() and len(psd):
+        p = psd[:, use]
+        mid = np.median(p, axis=1)
+        ok = mid > 0
+        at = np.argmax(p, axis=1)
+        ratio[ok] = p[ok, at[ok]] / mid[ok]
+        hz[ok] = freqs[use][at[ok]]
+    return ratio, hz
+
+
+def peak_to_median(freqs: np.ndarray, psd: np.ndarray, above_hz: float = 5.0) -> tuple[float, float]:
+    ratio, hz = peak_to_median_rows(freqs, psd[None], above_hz)
+    return float(ratio[0]), float(hz[0])
 
 
 def band_fraction(freqs: np.ndarray, psd: np.ndarray, lo: float, hi: float) -> float:
@@ -155,20 +165,21 @@ def bandpower_ratio(x: np.ndarray, fs: float, target_hz: float, rel_width: float
     return band_fraction(f, p, max(0.0, target_hz * (1 - rel_width)), target_hz * (1 + rel_width))
 
 
-def stft_db(x: np.ndarray) -> np.ndarray:
-    """Decibel magnitude spectrum of one Hann frame, scaled by the window sum."""
-    w = hann(len(x))
-    return 20 * np.log10(np.abs(np.fft.rfft(x * w)) / w.sum() + 1e-12)
+def stft_db_rows(x: np.ndarray) -> np.ndarray:
+    """Decibel magnitude spectrum of one Hann frame a row, scaled by the window sum."""
+    w = hann(x.shape[1])
+    return 20 * np.log10(np.abs(np.fft.rfft(x * w, axis=1)) / w.sum() + 1e-12)
 
 
-def band_energy(x: np.ndarray, fs: float, lo: float, hi: float) -> float:
-    """Power spectrum summed over [lo, hi] of one mean-removed Hamming frame (all bins if none fall in)."""
-    w = hamming(len(x))
-    p = np.abs(np.fft.rfft((x - x.mean()) * w)) ** 2 / w.sum() ** 2
-    p[1 : (-1 if len(x) % 2 == 0 else None)] *= 2
-    f = np.fft.rfftfreq(len(x), 1 / fs)
+def band_energy_rows(x: np.ndarray, fs: float, lo: float, hi: float) -> np.ndarray:
+    """Power spectrum summed over [lo, hi] of one mean-removed Hamming frame a row (all bins if none fall in)."""
+    n = x.shape[1]
+    w = hamming(n)
+    p = np.abs(np.fft.rfft((x - x.mean(axis=1, keepdims=True)) * w, axis=1)) ** 2 / w.sum() ** 2
+    p[:, 1 : (-1 if n % 2 == 0 else None)] *= 2
+    f = np.fft.rfftfreq(n, 1 / fs)
     use = (f >= lo) & (f <= hi)
-    return float(p[use].sum() if use.any() else p.sum())
+    return p[:, use].sum(axis=1) if use.any() else p.sum(axis=1)
 
 
 def spectral_features(x: np.ndarray) -> tuple[float, float, float]:

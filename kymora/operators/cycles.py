@@ -515,8 +515,8 @@ def periodic_noise(samples: DataFrame, ck: Sequence[str], fs: float, channels: S
     rel = samples.join(size, ck).withColumn("i", F.col("i") - F.col("_f"))
     short = size.filter(F.col("_n") < nper)
     long = rel.filter(F.col("_n") >= nper).unpivot([*ck, "i"], list(channels), "channel", "x")
-    f = sp.frames(long, [*ck, "channel"], "x", nper, nper - nper // 2, None)
-    bins = f.select(*ck, "channel", F.posexplode(sp.psd(F.col("x"), fs, nper)).alias("bin", "p"))
+    f = sp.frame_map(long, [*ck, "channel"], "x", nper, nper - nper // 2, "p array<double>", lambda x: {"p": list(kn.welch_rows(x, fs, nper)[1])}, None)
+    bins = f.select(*ck, "channel", F.posexplode("p").alias("bin", "p"))
     avg = bins.groupBy(*ck, "channel", "bin").agg(F.avg("p").alias("p")).filter(F.col("bin") * fs / nper > 5.0)
     spec = avg.groupBy(*ck, "channel").agg(F.max("p").alias("peak"), F.median("p").alias("mid"))
     flags = spec.select(*ck, "channel", F.coalesce((F.col("mid") > 0) & (F.col("peak") / F.col("mid") > 1 / threshold), F.lit(False)).alias("periodic"))

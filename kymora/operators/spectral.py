@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,28 +13,48 @@ from kymora.functions import kernels as kn
 from kymora.operators import intervals as iv
 from kymora.operators.peaks import find_peaks
 from kymora.plans.blocks import BLK, BLOCK_ROWS, CORE, KEY, with_halo, with_key
-from kymora.plans.grouped import grouped_map
+from kymora.plans.grouped import _split_top, grouped_map
 from kymora.session import durable
 
 
-def frames(
-    samples: DataFrame, keys: Sequence[str], value: str, length: int, step: int, t: str | None = "t"
+FRAME_VALUES = 1 << 20  # values of frames that a helper sees at once
+
+
+def frame_map(
+    samples: DataFrame, keys: Sequence[str], value: str, length: int, step: int, schema: str,
+    helper: Callable[[np.ndarray], dict[str, np.ndarray]], t: str | None = "t", rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Full frames only: (keys, frame, x ARRAY<DOUBLE>, t0, t1), each built from ``length`` samples.
+    """(keys, frame, ``schema``) and with ``t`` (t0, t1): what ``helper`` makes of each full frame of ``length`` samples.
 
-    A sample is copied into the frames that cover it; a frame is the unit of the shuffle, so long
-    recordings spread evenly.
+    Frame f begins at sample f * ``step``. A block travels once with the samples its last frames reach into, a
+    quarter of its rows at most; the frames are cut inside the task and handed over as a matrix, a
+    bounded number at a time. A frame with a missing position is left out.
     """
-    first = F.greatest(F.floor((F.col("i") - F.lit(length)) / step).cast("long") + 1, F.lit(0))
-    last = F.floor(F.col("i") / F.lit(step)).cast("long")
-    cols = ["i", F.col(value).cast("double").alias("v")] + ([F.col(t).alias("t")] if t else [])
-    covered = first <= last  # a step longer than the frame leaves samples in no frame
-    spread = samples.filter(covered).select(*keys, *cols, F.explode(F.sequence(first, last)).alias("frame"))
-    aggs = [F.array_sort(F.collect_list(F.struct("i", "v"))).alias("s"), F.count(F.lit(1)).alias("n")]
-    if t:
-        aggs += [F.min("t").alias("t0"), F.max("t").alias("t1")]
-    full = spread.groupBy(*keys, "frame").agg(*aggs).filter(F.col("n") == length)
-    return full.select(*keys, "frame", F.col("s.v").alias("x"), *(["t0", "t1"] if t else []))
+    keys = list(keys)
+    more = [F.col(t).cast("double").alias("_t")] if t else []
+    spread = with_halo(samples.select(*keys, "i", F.col(value).cast("double").alias("_v"), *more), 0, length - 1, rows=rows)
+    names = [part.strip().split(" ")[0] for part in _split_top(schema)]
+    most = max(FRAME_VALUES // length, 1)
+
+    def run(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        i, v = g["i"], g["_v"].astype(float)
+        at = np.flatnonzero(g[CORE].astype(bool) & (i % step == 0))
+        at = at[at + length <= len(i)]
+        at = at[i[at + length - 1] - i[at] == length - 1]
+        view = np.lib.stride_tricks.sliding_window_view(v, length) if len(at) else np.zeros((0, length))
+        parts = [helper(view[at[k : k + most]]) for k in range(0, max(len(at), 1), most)]
+        out = {n: [x for p in parts for x in p[n]] if isinstance(parts[0][n], list) else np.concatenate([p[n] for p in parts]) for n in names}
+        if t:
+            out |= {"t0": g["_t"][at], "t1": g["_t"][at + length - 1]}
+        return {"frame": i[at] // step, **out}
+
+    told = f"frame bigint, {schema}" + (", t0 double, t1 double" if t else "")
+    return grouped_map(spread, [*keys, BLK], ["i"], ["i", "_v", CORE, *(["_t"] if t else [])], told, run).drop(BLK)
+
+
+def frames(samples: DataFrame, keys: Sequence[str], value: str, length: int, step: int, t: str | None = "t", rows: int = BLOCK_ROWS) -> DataFrame:
+    """Full frames only: (keys, frame, x ARRAY<DOUBLE>, t0, t1)."""
+    return frame_map(samples, keys, value, length, step, "x array<double>", lambda x: {"x": list(x)}, t, rows)
 
 
 def _as_rows(col: pd.Series):
@@ -51,6 +71,16 @@ def psd(x: Column, fs: float, nperseg: int, noverlap: int | None = None) -> Colu
     return kernel(x)
 
 
+def peaks_of_spectra(fs: float, nperseg: int, above_hz: float = 5.0) -> Callable[[np.ndarray], dict[str, np.ndarray]]:
+    """For ``frame_map``: strongest PSD bin over the median bin, above ``above_hz``, and its frequency."""
+
+    def helper(x: np.ndarray) -> dict[str, np.ndarray]:
+        ratio, hz = kn.peak_to_median_rows(*kn.welch_rows(x, fs, nperseg), above_hz)
+        return {"ratio": ratio, "peak_hz": hz}
+
+    return helper
+
+
 def narrowband(x: Column, fs: float, nperseg: int, above_hz: float = 5.0) -> Column:
     """STRUCT<ratio, peak_hz>: strongest PSD bin over the median bin, above ``above_hz``."""
 
@@ -86,14 +116,9 @@ def spectrogram(
     """Decibel spectrogram rows (keys, frame, t, db ARRAY<FLOAT>) of the mean-removed series."""
     mean = samples.groupBy(*keys).agg(F.avg(value).alias("_mean"))
     centred = samples.join(mean, list(keys)).withColumn("_y", F.col(value) - F.col("_mean"))
-    f = frames(centred, keys, "_y", nperseg, nperseg - noverlap, None)
-
-    @F.pandas_udf("array<float>")
-    def kernel(col: pd.Series) -> pd.Series:
-        return pd.Series([kn.stft_db(v).astype("float32") for v in _as_rows(col)])
-
+    f = frame_map(centred, keys, "_y", nperseg, nperseg - noverlap, "db array<float>", lambda x: {"db": list(kn.stft_db_rows(x).astype("float32"))}, None)
     t = (F.col("frame") * (nperseg - noverlap) + nperseg / 2) / F.lit(fs)
-    return f.select(*keys, "frame", t.alias("t"), kernel("x").alias("db"))
+    return f.select(*keys, "frame", t.alias("t"), "db")
 
 
 def psd_window(fs: float, seconds: float) -> tuple[int, int]:
@@ -108,8 +133,7 @@ def continuous_noise(
 ) -> DataFrame:
     """Spans of at least ``min_s`` covered by frames with a narrowband peak."""
     w, nper = psd_window(fs, window_s)
-    f = frames(samples, keys, value, w, w // 2)
-    hot = f.withColumn("_nb", narrowband(F.col("x"), fs, nper)).filter(F.col("_nb.ratio") >= ratio)
+    hot = frame_map(samples, keys, value, w, w // 2, "ratio double, peak_hz double", peaks_of_spectra(fs, nper)).filter(F.col("ratio") >= ratio)
     spans = hot.select(*keys, F.col("t0").alias("start"), F.col("t1").alias("end"))
     # adjacent frames meet at consecutive samples, which the mask form of the rule counts as one run
     merged = iv.merge_intervals(spans, keys, 1.5 / fs)
@@ -211,11 +235,7 @@ def stomp_band_energy(
     mean_abs = sum((F.abs(F.col(c)) for c in channels[1:]), F.abs(F.col(channels[0]))) / len(channels)
     s = signal.filter(F.col("t") <= search_s).select(*keys, "i", "t", mean_abs.alias("v"))
 
-    @F.pandas_udf("double")
-    def energy(col: pd.Series) -> pd.Series:
-        return pd.Series([kn.band_energy(v, fs, lo, hi) for v in _as_rows(col)])
-
-    f = frames(s, keys, "v", w, hop).withColumn("energy", energy("x"))
+    f = frame_map(s, keys, "v", w, hop, "energy double", lambda x: {"energy": kn.band_energy_rows(x, fs, lo, hi)}, None)
     mid = F.col("frame") * hop + w // 2
     return f.select(*keys, "frame", mid.alias("i"), "energy")
 
@@ -310,12 +330,11 @@ def periodic_artifacts(
     slim = decimate(inside, keys, channels, factor, rows)
     long = slim.unpivot([*keys, "i", "t"], list(channels), "channel", "x")
     w, nper = psd_window(fs / factor, window_s)
-    f = frames(long, [*keys, "channel"], "x", w, w // 2)
-    hot = f.withColumn("_nb", narrowband(F.col("x"), fs / factor, nper)).filter(F.col("_nb.ratio") >= ratio)
-    hot = hot.join(motion_hz, keys, "left")
+    hot = frame_map(long, [*keys, "channel"], "x", w, w // 2, "ratio double, peak_hz double", peaks_of_spectra(fs / factor, nper), rows=rows).filter(F.col("ratio") >= ratio)
+    hot = with_key(hot, keys).join(with_key(motion_hz, keys).drop(*keys), KEY, "left").drop(KEY)
     moving = F.exists(
         F.array(*[F.lit(h) for h in range(1, 6)]),
-        lambda h: F.abs(F.col("_nb.peak_hz") - h * F.col("movement_hz")) < tolerance_hz,
+        lambda h: F.abs(F.col("peak_hz") - h * F.col("movement_hz")) < tolerance_hz,
     )
     hot = hot.filter(F.coalesce(~moving, F.lit(True)))
     return iv.merge_intervals(hot.select(*keys, "channel", F.col("t0").alias("start"), F.col("t1").alias("end")), [*keys, "channel"])

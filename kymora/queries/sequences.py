@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +14,8 @@ from kymora.operators import segments as sg
 from kymora.operators import tables as tb
 from kymora.plans import persist as ps
 from kymora.plans.pipeline import StageStore
-from kymora.queries import alignment, cycles
-from kymora.queries.common import IRR, SIG, peaks, r, rounded
+from kymora.queries import alignment, cycles, samples
+from kymora.queries.common import IRR, SIG, merged, peaks, r, rounded
 from kymora.queries.study_sql import AUD
 from kymora.session import checkpoint_dir
 from kymora.sources import adapters as ad
@@ -241,13 +242,68 @@ _DFT = f"""WITH {SIG}, bl AS (SELECT *, CAST(i // 100 AS INTEGER) AS cycle_index
     min(angle) AS knee_angle_min, max(angle) AS knee_angle_max FROM s GROUP BY 1, 2)"""
 _FEATURES = [*cycles._ALL, "duration", *[f"{c}_spectral_{k}" for c in ("ch1", "ch2", "ch3", "ch4", "avg") for k in ("centroid", "spread", "energy")], "knee_angle_mean", "knee_angle_std", "knee_angle_min", "knee_angle_max"]
 
+def _spectra(source: str, key: str, n: int, seg: int, hop: int, fs: float, above: float) -> str:
+    """CTEs pk (key, ratio, hz): strongest Welch bin over the median bin of frames ``source`` (key, j, x) of n samples."""
+    first = int(above * seg / fs) + 1
+    return f"""sg AS (SELECT {key}, s, j - s * {hop} AS j, x FROM {source}, range(0, {(n - seg) // hop + 1}) q(s) WHERE j >= s * {hop} AND j < s * {hop} + {seg}),
+      ce AS (SELECT {key}, s, j, (x - avg(x) OVER (PARTITION BY {key}, s)) * (0.5 - 0.5 * cos(2 * pi() * j / {seg})) AS x FROM sg),
+      fq AS (SELECT {key}, s, f, (sum(x * cos(2 * pi() * f * j / {seg})) ** 2 + sum(x * sin(2 * pi() * f * j / {seg})) ** 2) * CASE WHEN f = {seg / 2} THEN 1 ELSE 2 END AS p FROM ce, range({first}, {seg // 2 + 1}) q(f) GROUP BY {key}, s, f),
+      av AS (SELECT {key}, f, avg(p) AS p FROM fq GROUP BY {key}, f),
+      pk AS (SELECT {key}, CASE WHEN median(p) > 0 THEN max(p) / median(p) ELSE 0 END AS ratio, max_by(f, p) * {fs}::DOUBLE / {seg} AS hz FROM av GROUP BY {key})"""
+
+
+_SLIDE = """fr AS (SELECT {key}, frame, i - frame * {step} AS j, t, x FROM {source}, range(0, 10000) q(frame) WHERE i >= frame * {step} AND i < frame * {step} + {n}),
+  fu AS (SELECT * FROM fr QUALIFY count(*) OVER (PARTITION BY {key}, frame) = {n}),
+  tm AS (SELECT {key}, frame, min(t) AS s, max(t) AS e FROM fu GROUP BY {key}, frame)"""
+_LONG = "lo AS (SELECT recording_id, c.channel, i, t, CASE c.channel WHEN 'ch1' THEN ch1 WHEN 'ch2' THEN ch2 WHEN 'ch3' THEN ch3 ELSE ch4 END AS x FROM sig, (VALUES ('ch1'), ('ch2'), ('ch3'), ('ch4')) c(channel))"
+_CHK = "recording_id, channel"
+_NARROW = f"""WITH {SIG}, {_LONG}, {_SLIDE.format(key=_CHK, source='lo', step=128, n=256)}, {_spectra('fu', _CHK + ', frame', 256, 64, 32, 100.0, 5.0)},
+  ho AS (SELECT {_CHK}, s, e FROM pk JOIN tm USING (recording_id, channel, frame) WHERE ratio >= 2.5), me AS ({merged('ho', _CHK, 0.015)})
+  SELECT {_CHK}, {r('s', 'start')}, {r('e', chr(34) + 'end' + chr(34))} FROM me WHERE e - s >= 2.0"""
+_FLAG = f"""WITH {SIG}, so AS (SELECT recording_id, i, t, ch1 AS x FROM sig), {_SLIDE.format(key='recording_id', source='so', step=256, n=256)}, {_spectra('fu', 'recording_id, frame', 256, 200, 100, 100.0, 5.0)}
+  SELECT recording_id, frame, ratio > 5.0 AS periodic FROM pk"""
+_PERIODIC = f"""{_MOVE[: _MOVE.rindex('SELECT')]}, mh AS (SELECT recording_id, 50.0::DOUBLE / (min(i) + 25) AS hz FROM pk GROUP BY 1),
+  sa AS (SELECT recording_id, max(t) - 0.5 AS b FROM sig GROUP BY 1), ins AS (SELECT sig.* FROM sig JOIN sa USING (recording_id) WHERE t >= 0.5 AND t <= b),
+  big2 AS (SELECT recording_id, min(i) AS i0 FROM ins GROUP BY 1 HAVING count(*) >= 256), {_LONG.replace('FROM sig,', 'FROM (SELECT ins.* REPLACE (i - i0 AS i) FROM ins JOIN big2 USING (recording_id)),')},
+  {_SLIDE.format(key=_CHK, source='lo', step=128, n=256)}, {_spectra('fu', _CHK + ', frame', 256, 64, 32, 100.0, 5.0).replace('pk AS', 'pz AS')},
+  ho AS (SELECT {_CHK}, s, e FROM pz JOIN tm USING (recording_id, channel, frame) LEFT JOIN mh USING (recording_id)
+    WHERE ratio >= 2.5 AND coalesce(NOT ({' OR '.join(f'abs(pz.hz - {h} * mh.hz) < 0.1' for h in range(1, 6))}), true)), me AS ({merged('ho', _CHK, 0.0)})
+  SELECT {_CHK}, {r('s', 'start')}, {r('e', chr(34) + 'end' + chr(34))} FROM me"""
+
+
+def _weights(name: str, rows) -> str:
+    return f"{name}(k, w) AS (VALUES {', '.join(f'({k}, {float(w)!r}::DOUBLE)' for k, w in rows)})"
+
+
+def _decimated() -> str:
+    taps = kn.decimation_taps(4)
+    return f"""WITH {SIG}, {_weights('tp', enumerate(taps.tolist(), -(len(taps) // 2)))}, y AS (SELECT recording_id, i + k AS i, sum(ch1 * w) AS ch1, sum(ch2 * w) AS ch2 FROM sig, tp WHERE (i + k) % 4 = 0 GROUP BY 1, 2)
+      SELECT recording_id, sig.i // 4 AS i, {r('sig.t', 't')}, {r('y.ch1', 'ch1')}, {r('y.ch2', 'ch2')} FROM y JOIN sig USING (recording_id, i)"""
+
+
+def _smoothed(window: int = 11, poly: int = 2) -> str:
+    """Weights of the middle, and of each place near an end, where the polynomial of the outermost window counts."""
+    h = window // 2
+    basis = np.vander(np.arange(-h, h + 1), poly + 1, increasing=True)
+    hat = basis @ np.linalg.pinv(basis)
+    rows = ", ".join(f"({p - h}, {k - h}, {w!r}::DOUBLE)" for p, line in enumerate(hat.tolist()) for k, w in enumerate(line))
+    return f"""WITH {SIG}, hat(p, k, w) AS (VALUES {rows}), n AS (SELECT recording_id, count(*) AS n FROM sig GROUP BY 1),
+      pl AS (SELECT recording_id, i, n, least(greatest(i, {h}), n - 1 - {h}) AS mid FROM sig JOIN n USING (recording_id))
+      SELECT recording_id, i, {r(f'CASE WHEN any_value(n) <= {window} THEN max(x) FILTER (WHERE j = i) ELSE sum(x * w) END', 'smooth')} FROM (
+        SELECT pl.recording_id, pl.i, n, s.i AS j, s.ch2 AS x, w FROM pl JOIN sig s ON s.recording_id = pl.recording_id AND (s.i BETWEEN mid - {h} AND mid + {h} OR s.i = pl.i) LEFT JOIN hat ON p = pl.i - mid AND k = s.i - mid) GROUP BY 1, 2"""
+
+
 ORACLES = {
     "published_runs": _published(),
     "cadence_groups": _CADENCE,
     "template_best": f"""{_hits(0.8)} SELECT recording_id, cycle_index, template, {r('r', 'r')}, {r('dtw', 'dtw')} FROM h QUALIFY row_number() OVER (PARTITION BY recording_id, cycle_index ORDER BY dtw, template) = 1""",
 }
 # twins of queries that stand elsewhere
-alignment.ORACLES |= {"movement_frequency": _MOVE, "rate_segments": _RATES, "instantaneous_frequency": _frequency()}
+alignment.ORACLES |= {
+    "movement_frequency": _MOVE, "rate_segments": _RATES, "instantaneous_frequency": _frequency(), "narrowband_intervals": _NARROW, "periodic_flag": _FLAG,
+    "periodic_artifacts": _PERIODIC, "decimated_signal": _decimated(),
+}
+samples.ORACLES |= {"savgol_smooth": _smoothed()}
 cycles.ORACLES |= {
     "template_match": f"{_hits(0.8)} SELECT recording_id, cycle_index, template, {r('r', 'r')}, {r('dtw', 'dtw')} FROM h",
     "cycle_features": f"""{_DFT} SELECT recording_id, cycle_index, num_samples, {', '.join(r(k, k) for k in _FEATURES)}, {r('CASE WHEN duration > 0 THEN num_samples / duration END', 'sample_rate')},
