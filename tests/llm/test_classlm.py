@@ -25,7 +25,7 @@ def brute(rows):
     return Counter(out)
 
 
-@pytest.mark.parametrize("size", [{}, {"held": 300, "clustered": 100, "classes": 8, "rounds": 2}, {"held": 0}])
+@pytest.mark.parametrize("size", [{}, {"held": 300, "clustered": 100, "classes": 8, "rounds": 2}, {"held": 0}, {"held": 50, "min_count": 1}])
 @pytest.mark.parametrize("which", ["odd", "small"])
 def test_base(spark, odd, which, size):
     docs = odd if which == "odd" else queries.documents(spark, SF)
@@ -69,3 +69,46 @@ def test_nothing_to_train_on(spark, empty):
     held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
     (r,) = classlm.score(spark.createDataFrame([(held, "a b a")], "doc_id long, text string")).collect()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (4, 0, 0, 0.0)
+
+
+def test_the_lexicon_is_filled_whatever_the_counts(spark):
+    """A first step of equally frequent words that is larger than what may be held."""
+    docs = spark.range(8000).selectExpr("id AS doc_id", "encode(concat('w', id), 'UTF-8') AS raw")
+    counts = classlm.count_words(docs)
+    for held in (0, 1, 1000, 7999, 8000, 10_000):
+        lexicon = classlm.make_lexicon(counts, held, 100)
+        assert len(lexicon.counts) == min(held, 8000) and lexicon.clustered == min(100, len(lexicon.counts))
+    many = spark.range(9000).selectExpr("id AS doc_id", "encode(concat('w', id % 300, ' ', IF(id % 2 = 0, 'even', 'odd')), 'UTF-8') AS raw")
+    lexicon = classlm.make_lexicon(classlm.count_words(many), 100, 10, 30)
+    assert len(lexicon.counts) == 100 and sorted(lexicon.counts)[-2:] == [4500, 4500] and lexicon.clustered == len(lexicon.counts)
+
+
+@pytest.mark.parametrize("size", [(1 << 18, 1 << 13, 64, 3, 64), (300, 50, 6, 2, 20)])
+def test_score_is_the_plain_sum_over_class_bigrams(spark, size):
+    docs = queries.documents(spark, SF)
+    held, clustered, classes, rounds, least = size
+    rows = classlm.texts(docs).withColumn("held_out", classlm.is_held_out(classlm.F.col("doc_id")))
+    model, _ = classlm.train(rows.filter("NOT held_out"), held, clustered, classes, rounds, least)
+    number = model.lexicon.numbers()
+    rare, end = model.lexicon.clustered, model.lexicon.clustered + 1
+    all_words = {r.doc_id: bytes(r.raw).lower().split() for r in rows.collect()}
+    train = [all_words[r.doc_id] for r in rows.filter("NOT held_out").collect()]
+    count = Counter(w for text in train for w in text)
+    symbol = lambda w: min(number.get(w, rare), rare)
+    table, own = np.zeros_like(model.transition), Counter()
+    for text in train:
+        of = [int(model.of[end]), *[int(model.of[symbol(w)]) for w in text], int(model.of[end])]
+        for a, b in zip(of, of[1:]):
+            table[a, b] += 1
+        for w in text:
+            own[int(model.of[symbol(w)])] += 1
+    k = len(table)
+    rare_words = sum(symbol(w) == rare for w in count)
+    got = {r.doc_id: r.score for r in classlm.score(docs, *size).collect()}
+    for doc_id, text in all_words.items():
+        of = [int(model.of[end]), *[int(model.of[symbol(w)]) for w in text], int(model.of[end])]
+        want = sum(math.log10((table[a, b] + classlm.ALPHA) / (table[a].sum() + classlm.ALPHA * k)) for a, b in zip(of, of[1:]))
+        for w in text:
+            c = int(model.of[symbol(w)])
+            want += math.log10((count[w] + 1) / (own[c] + rare_words + 1)) if symbol(w) == rare else math.log10(count[w] / own[c])
+        assert got[doc_id] == pytest.approx(want, rel=1e-9), doc_id

@@ -63,3 +63,86 @@ def test_one_row_and_none(spark, empty):
     (r,) = phrases.phrase_fingerprints(spark.createDataFrame([(4, "abcdef")], "doc_id long, text string")).collect()
     assert r.edited_sha256 == hashlib.sha256(b"abcabc").hexdigest() and r.near_next == 1
     assert phrases.phrase_fingerprints(empty).count() == 0
+
+
+M = (1 << 64) - 1
+
+
+def plain_mix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & M
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & M
+    return x ^ x >> 31
+
+
+def plain_seed(k, of):
+    return plain_mix((k * 0x9E3779B97F4A7C15 + of) & M) | 1
+
+
+def plain_level(names, level):
+    """One level of one text, symbol after symbol."""
+    runs = []
+    for x in names:
+        if runs and runs[-1][0] == x:
+            runs[-1][1] += 1
+        else:
+            runs.append([x, 1])
+    if level == 1:
+        x = [c + (n << 21) if 1 < n <= 2047 else plain_mix(c + (n << 21)) | 1 << 63 if n > 2047 else c for c, n in runs]
+    else:
+        x = [plain_mix((c + n) & M) if n > 1 else c for c, n in runs]
+    label = x
+    for _ in range(4):
+        new = []
+        for k, v in enumerate(label):
+            if not k:
+                new.append(v & 1)
+                continue
+            differ = v ^ label[k - 1]
+            low = (differ & -differ).bit_length() - 1
+            new.append(2 * low + (v >> low & 1))
+        label = new
+    cuts = [k for k in range(len(x)) if not k or label[k] > label[k - 1] and (k + 1 == len(x) or label[k] > label[k + 1])]
+    out = []
+    for a, b in zip(cuts, [*cuts[1:], len(x)]):
+        total = sum(plain_mix((v + level) & M) * plain_seed(j + 1, 77) for j, v in enumerate(x[a:b]))
+        out.append(plain_mix((total + (b - a) * 0x9E3779B97F4A7C15 + level) & M))
+    return out
+
+
+def plain_print(text):
+    names, kept = [ord(c) for c in text], []
+    for level in range(1, max(phrases.LEVELS) + 1):
+        names = plain_level(names, level)
+        kept += names if level in phrases.LEVELS else []
+    return [min(n * plain_seed(k + 1, 5) & M for n in kept) & 0xFFFF for k in range(phrases.SLOTS)] if text else [0] * phrases.SLOTS
+
+
+TEXTS = ["", "a", "aa", "abcabc", "x" * 2047, "x" * 2048, "x" * 3000, "x" * 9000, "y" + "x" * 3000 + "z", "日本語テキスト、" * 5, "one two  three\n" * 30, "🙂é" * 40]
+
+
+def test_fingerprints_by_a_plain_version(spark):
+    texts = TEXTS + [r.text for r in queries.documents(spark, SF).where("text IS NOT NULL AND length(text) < 1500").orderBy("doc_id").limit(25).collect()]
+    got = phrases.fingerprints_of(*phrases._codes(texts))
+    for text, fingerprint in zip(texts, got.tolist()):
+        assert fingerprint == plain_print(text), text[:40]
+
+
+def test_likeness_by_a_plain_version(spark):
+    docs = queries.documents(spark, SF).where("length(text) < 600")
+    rows = dict(rows_of(docs))
+    order = sorted(rows, reverse=True)
+    prints = {d: plain_print(t) for d, t in rows.items()}
+    like = lambda a, b: sum(x == y for x, y in zip(a, b)) / phrases.SLOTS
+    for r in phrases.phrase_fingerprints(docs).collect():
+        nxt = order[(order.index(r.doc_id) + 1) % len(order)]
+        half = len(rows[r.doc_id]) // 2
+        edited = plain_print(rows[r.doc_id][: len(rows[r.doc_id]) - half] + rows[nxt][:half])
+        show = lambda p: np.array(p, ">u2").tobytes().hex()
+        assert (r.fingerprint, r.edited_fingerprint) == (show(prints[r.doc_id]), show(edited))
+        if rows[r.doc_id] and rows[nxt]:
+            assert r.near_edited == pytest.approx(like(prints[r.doc_id], edited)) and r.near_next == pytest.approx(like(prints[r.doc_id], prints[nxt]))
+
+
+def test_long_runs_differ():
+    a, b = phrases.fingerprints_of(*phrases._codes(["x" * 3000, "x" * 9000]))
+    assert (a == b).mean() < 0.1
