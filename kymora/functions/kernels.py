@@ -254,11 +254,6 @@ def savgol(x: np.ndarray, window: int, poly: int) -> np.ndarray:
     return out
 
 
-def savgol_weights(window: int, poly: int) -> list[float]:
-    k = np.arange(-(window // 2), window // 2 + 1)
-    return np.linalg.pinv(np.vander(k, poly + 1, increasing=True))[0].tolist()
-
-
 def decimation_taps(factor: int) -> np.ndarray:
     """Low-pass FIR for keeping every ``factor``-th sample: Kaiser (beta 5), half length 10 * factor."""
     half = 10 * factor
@@ -267,21 +262,11 @@ def decimation_taps(factor: int) -> np.ndarray:
     return taps / taps.sum()
 
 
-def resample_index(x: np.ndarray, length: int) -> np.ndarray:
-    if len(x) == length:
-        return x
-    return np.interp(np.linspace(0, len(x) - 1, length), np.arange(len(x)), x)
-
-
-def znorm(x: np.ndarray) -> np.ndarray:
-    s = x.std()
-    return np.zeros_like(x) if s == 0 else (x - x.mean()) / s
-
-
 def znorm_rows(x: np.ndarray) -> np.ndarray:
     """Each row centred and scaled; a constant row is zero."""
     spread = x.std(axis=1, keepdims=True)
-    return np.divide(x - x.mean(axis=1, keepdims=True), spread, out=np.zeros_like(x), where=spread > 0)
+    varies = x.max(axis=1, keepdims=True) > x.min(axis=1, keepdims=True)
+    return np.divide(x - x.mean(axis=1, keepdims=True), spread, out=np.zeros_like(x), where=varies & (spread > 0))
 
 
 def warped_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:

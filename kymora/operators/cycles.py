@@ -432,7 +432,7 @@ def _against(y: DataFrame, refs: pa.Array, points: np.ndarray, ck: list[str], ki
     """Cycles (ck, y ARRAY) against a block of templates, a matrix of cycles with a matrix of templates at a time."""
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in y.select(*ck).schema)
     scaled = kn.znorm_rows(points)
-    flat = points.std(axis=1) == 0
+    flat = points.max(axis=1) == points.min(axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -441,7 +441,7 @@ def _against(y: DataFrame, refs: pa.Array, points: np.ndarray, ck: list[str], ki
                 x = np.array(part.column("y").to_pylist(), float).reshape(part.num_rows, -1)
                 z = kn.znorm_rows(x)
                 r = z @ scaled.T / scaled.shape[1]
-                r[x.std(axis=1) == 0] = np.nan
+                r[x.max(axis=1) == x.min(axis=1)] = np.nan
                 r[:, flat] = np.nan
                 at, to = np.nonzero(r >= min_r) if max_dtw is not None else (np.repeat(np.arange(len(x)), len(refs)), np.tile(np.arange(len(refs)), len(x)))
                 keys = lambda rows: [part.column(c).take(pa.array(rows)) for c in ck]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kymora.operators import intervals as iv
 from kymora.operators.windows import sliding_stats, window_length
 from kymora.plans.blocks import BLOCK_ROWS
-from kymora.plans.quantiles import quantiles
+from kymora.plans.quantiles import quantiles_of
 from kymora.sources.adapters import CHANNELS
 
 # Detector defaults (volts, volts squared, seconds).
@@ -127,8 +127,4 @@ def calibrate_thresholds(
     frames = long.groupBy("recording_id", "channel", F.floor(F.col("i") / window).alias("frame")).agg(
         F.sqrt(F.avg(F.col("x") * F.col("x"))).alias("rms"), F.var_pop("x").alias("var")
     )
-    by = [*keys, "channel"]
-    p = {"p01": 0.01, "p05": 0.05}
-    rms = quantiles(frames, by, "rms", p).withColumnsRenamed({"p01": "rms_p01", "p05": "rms_p05"})
-    var = quantiles(frames, by, "var", p).withColumnsRenamed({"p01": "var_p01", "p05": "var_p05"})
-    return rms.join(var, by)
+    return quantiles_of(frames, [*keys, "channel"], {c: {f"{c}_p01": 0.01, f"{c}_p05": 0.05} for c in ("rms", "var")})

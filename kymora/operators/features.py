@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kymora.operators import intervals as iv
 from kymora.operators import spectral as sp
 from kymora.plans import transform
-from kymora.plans.quantiles import quantiles
+from kymora.plans.quantiles import quantiles_of
 from kymora.sources.adapters import CHANNELS
 
 
@@ -113,9 +113,7 @@ def participant_features(features: DataFrame, by: Sequence[str], names: Sequence
     if statistic != "median":
         f = {"mean": F.avg, "max": F.max, "min": F.min}[statistic]
         return features.groupBy(*by).agg(*[f(n).alias(n) for n in names])
-    long = features.unpivot(by, list(names), "feature", "value")
-    q = quantiles(long, [*by, "feature"], "value", {"median": 0.5})
-    return q.groupBy(*by).agg(*[F.max(F.when(F.col("feature") == n, F.col("median"))).alias(n) for n in names])
+    return quantiles_of(features, by, {n: {f"_q_{n}": 0.5} for n in names}).withColumnsRenamed({f"_q_{n}": n for n in names})
 
 
 def pivot_intervals(

@@ -129,12 +129,6 @@ def spectral_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stft_db(spark: SparkSession, sf: str) -> DataFrame:
-    s = sp.spectrogram(ad.signal_multi(spark, sf), K, "ch2", FS, 32, 24)
-    bins = s.select("recording_id", "frame", "t", F.posexplode("db").alias("bin", "db"))
-    return rounded(bins.filter("bin > 0 AND bin < 16").withColumn("db", F.col("db").cast("double")), 2)
-
-
-def stft_db_whole(spark: SparkSession, sf: str) -> DataFrame:
     """All bins of every frame."""
     s = sp.spectrogram(ad.signal_multi(spark, sf), K, "ch2", FS, 32, 24)
     return rounded(s.select("recording_id", "frame", "t", F.posexplode("db").alias("bin", "db")).withColumn("db", F.col("db").cast("double")), 2)
@@ -213,10 +207,11 @@ def batch_sound_qc(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     asof_nearest, asof_interpolate, resample_uniform, resample_waveform, proximity_score, synchronize_series, synchronize_status,
     validate_synced, gap_sessions, rate_segments, marker_pairs, peak_pairs, local_extrema, find_peaks_full, peaks_of_waveforms,
-    windowed_minima, heel_strikes, welch_psd, bandpower_ratio, spectral_features, stft_db, stft_db_whole, narrowband_intervals, periodic_flag,
+    windowed_minima, heel_strikes, welch_psd, bandpower_ratio, spectral_features, stft_db, narrowband_intervals, periodic_flag,
     periodic_artifacts, movement_frequency, instantaneous_frequency, decimated_signal, stomp_energy, stomp_consensus, stomp_refined,
     walk_passes, walk_speed_groups, periodic_exercise, batch_sound_qc,
 )}
+QUERIES["stft_db_whole"] = stft_db  # a name of an earlier time
 
 _AB = f"{IRR}, a AS (SELECT * FROM irr WHERE event = 'click'), b AS (SELECT * FROM irr WHERE event = 'view')"
 _NEAR = f"""{_AB},
@@ -327,3 +322,4 @@ ORACLES = {
       'rms' || CASE WHEN o THEN ',onset' ELSE '' END || CASE WHEN q THEN ',freq' ELSE '' END AS consensus_methods,
       {r('greatest(rms_time, onset_time, freq_time) - least(rms_time, onset_time, freq_time)', 'agreement_span')} FROM f""",
 }
+ORACLES["stft_db"] = ORACLES["stft_db_whole"]

@@ -96,11 +96,7 @@ def sound_walk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sound_sit_to_stand(spark: SparkSession, sf: str) -> DataFrame:
-    return cy.sound_rules(_blocks(spark, sf), CK, "sit_to_stand").select(*CK, "sound_ok")
-
-
-def sound_sit_to_stand_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """With code and judged value."""
+    """Verdict, code and judged value."""
     return rounded(cy.sound_rules(_blocks(spark, sf), CK, "sit_to_stand"))
 
 
@@ -116,25 +112,20 @@ def resampled_cycles(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(cy.resample_cycles(_blocks(spark, sf), CK, "ch2", 33))
 
 
-def template_match(spark: SparkSession, sf: str) -> DataFrame:
-    """Cycles and mean waveforms of embedding labels that are close, warped distance included."""
+def _templates(spark: SparkSession, sf: str) -> DataFrame:
+    """The mean waveform of each embedding label."""
     w = ad.waveform(spark, sf).select("label", F.posexplode("x").alias("k", "x"))
-    t = w.groupBy("label", "k").agg(F.avg("x").alias("ref")).select(F.col("label").alias("template"), "k", "ref")
-    return rounded(cy.template_match(_blocks(spark, sf), t, CK, "ch2", 64, 0.1, 0.8))
+    return w.groupBy("label", "k").agg(F.avg("x").alias("ref")).select(F.col("label").alias("template"), "k", "ref")
 
 
-def template_correlation(spark: SparkSession, sf: str) -> DataFrame:
-    w = ad.waveform(spark, sf).select("label", F.posexplode("x").alias("k", "x"))
-    t = w.groupBy("label", "k").agg(F.avg("x").alias("ref")).select(F.col("label").alias("template"), "k", "ref")
-    whole = _blocks(spark, sf).groupBy(*CK).agg(F.count(F.lit(1)).alias("n")).filter("n = 100").select(*CK)
-    return rounded(cy.template_match(_blocks(spark, sf).join(whole, CK, "left_semi"), t, CK, "ch2", 64, 0.1))
+def template_match(spark: SparkSession, sf: str) -> DataFrame:
+    """Cycles and mean waveforms of embedding labels that are close, warped distance included."""
+    return rounded(cy.template_match(_blocks(spark, sf), _templates(spark, sf), CK, "ch2", 64, 0.1, 0.8))
 
 
-def template_correlation_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """Every cycle, the short ones too."""
-    w = ad.waveform(spark, sf).select("label", F.posexplode("x").alias("k", "x"))
-    t = w.groupBy("label", "k").agg(F.avg("x").alias("ref")).select(F.col("label").alias("template"), "k", "ref")
-    return rounded(cy.template_match(_blocks(spark, sf), t, CK, "ch2", 64, 0.1))
+def template_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    """Every cycle with every template, short cycles too."""
+    return rounded(cy.template_match(_blocks(spark, sf), _templates(spark, sf), CK, "ch2", 64, 0.1))
 
 
 def intermittent_artifacts(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,10 +171,6 @@ def cycle_verdicts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def channel_features(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(ft.channel_features(ad.signal_multi(spark, sf), K, ("ch1", "ch2")))
-
-
-def channel_features_whole(spark: SparkSession, sf: str) -> DataFrame:
     """All four channels and all their correlations."""
     return rounded(ft.channel_features(ad.signal_multi(spark, sf), K))
 
@@ -201,16 +188,6 @@ def cycle_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def participant_features(spark: SparkSession, sf: str) -> DataFrame:
-    f = ft.channel_features(_blocks(spark, sf), CK, ("ch1", "ch2"))
-    names = ["ch1_rms", "ch2_std", "corr_ch1_ch2"]
-    out = None
-    for stat in ("mean", "median", "max", "min"):
-        p = ft.participant_features(f, K, names, stat).withColumnsRenamed({n: f"{n}_{stat}" for n in names})
-        out = p if out is None else out.join(p, K)
-    return rounded(out)
-
-
-def participant_features_whole(spark: SparkSession, sf: str) -> DataFrame:
     """Every feature of all four channels."""
     f = durable(ft.channel_features(_blocks(spark, sf), CK))
     names = [c for c in f.columns if c not in CK]
@@ -224,10 +201,12 @@ def participant_features_whole(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     cycles_walk, cycles_sit_to_stand, cycles_flexion_extension, samples_of_cycles, cycle_energy, cycle_rom, cycle_stats, cycle_ordinals,
     phase_rms, phase_score, shape_walk, shape_sit_to_stand, shape_flexion_extension, two_stage_split, sound_walk, sound_sit_to_stand,
-    sync_quality_walk, sync_quality_flexion, resampled_cycles, template_match, template_correlation, template_correlation_whole, intermittent_artifacts,
+    sync_quality_walk, sync_quality_flexion, resampled_cycles, template_match, template_correlation, intermittent_artifacts,
     cycle_periodic_noise, cycle_artifact_table, cycle_artifact_record, cycle_verdicts, channel_features, angle_features,
-    temporal_features, cycle_features, participant_features, sound_sit_to_stand_whole, channel_features_whole, participant_features_whole,
+    temporal_features, cycle_features, participant_features,
 )}
+WHOLE = ("sound_sit_to_stand", "template_correlation", "channel_features", "participant_features")
+QUERIES |= {f"{name}_whole": QUERIES[name] for name in WHOLE}  # names of an earlier time
 
 _BL = f"{SIG}, bl AS (SELECT *, CAST(i // 100 AS INTEGER) AS cycle_index, ch2 * 90 AS angle FROM sig)"
 _CH = ("ch1", "ch2", "ch3", "ch4")
@@ -388,3 +367,4 @@ ORACLES = {
       SELECT recording_id, {', '.join(r(fn.format(x=x), f'{n}_{s}') for s, fn in (('mean', 'avg({x})'), ('median', 'quantile_cont({x}, 0.5)'), ('max', 'max({x})'), ('min', 'min({x})'))
         for n, x in (('ch1_rms', 'a'), ('ch2_std', 'b'), ('corr_ch1_ch2', 'c')))} FROM f GROUP BY 1""",
 }
+ORACLES |= {name: ORACLES[f"{name}_whole"] for name in WHOLE}

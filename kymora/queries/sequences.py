@@ -19,6 +19,7 @@ from kymora.queries.common import IRR, SIG, merged, peaks, r, rounded
 from kymora.queries.study_sql import AUD
 from kymora.session import checkpoint_dir
 from kymora.sources import adapters as ad
+from kymora.sources import frames as fr
 
 K = ["recording_id"]
 CK = ["recording_id", "cycle_index"]
@@ -34,20 +35,36 @@ def cadence_groups(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sg.speed_groups(passes, K))
 
 
-def _templates(spark: SparkSession, sf: str) -> DataFrame:
-    w = ad.waveform(spark, sf).select("label", F.posexplode("x").alias("k", "x"))
-    return w.groupBy("label", "k").agg(F.avg("x").alias("ref")).select(F.col("label").alias("template"), "k", "ref")
-
-
 def template_best(spark: SparkSession, sf: str) -> DataFrame:
     """The template of the least warped distance of each cycle that has a hit."""
-    hits = cy.template_match(cycles._blocks(spark, sf), _templates(spark, sf), CK, "ch2", 64, 0.1, 0.8)
+    hits = cy.template_match(cycles._blocks(spark, sf), cycles._templates(spark, sf), CK, "ch2", 64, 0.1, 0.8)
     return rounded(cy.best_template(hits, CK))
 
 
 def template_work(spark: SparkSession, sf: str) -> DataFrame:
     """For how many templates of each cycle r suffices, and for how many the warped distance is computed."""
-    return cy.template_match(cycles._blocks(spark, sf), _templates(spark, sf), CK, "ch2", 64, 0.1, 0.8, work=True)
+    return cy.template_match(cycles._blocks(spark, sf), cycles._templates(spark, sf), CK, "ch2", 64, 0.1, 0.8, work=True)
+
+
+def stored_frames(spark: SparkSession, sf: str) -> DataFrame:
+    """The signal stored in many files and read back, summed by recording; every fifth recording by a pruned read."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/frames-{uuid.uuid4().hex}"
+    s = ad.signal_multi(spark, sf)
+    held = fr.write_frames(s, path, rows_per_file=2000)
+    fifth = [r[0] for r in s.select("recording_id").distinct().filter("recording_id % 5 = 0").collect()]
+    n_files = held.count()
+    def told(df: DataFrame, how: str) -> DataFrame:
+        return df.groupBy("recording_id").agg(F.lit(how).alias("read"), F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ad.CHANNELS], F.max("t").alias("t"))
+    both = told(fr.read_frames(spark, path), "all").unionByName(told(fr.read_frames(spark, path, fifth), "some"))
+    return rounded(both.withColumn("many_files", F.lit(n_files > 1)))
+
+
+def stored_spectrogram(spark: SparkSession, sf: str) -> DataFrame:
+    """Spectrograms of one channel written to stored frames and read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/spectra-{uuid.uuid4().hex}"
+    fr.write_spectrograms(ad.signal_multi(spark, sf), path, ["ch2"], K, ad.SIGNAL_FS, 32, 24, rows_per_file=2000)
+    bins = fr.read_frames(spark, path).select("recording_id", "frame", "t", F.posexplode("db").alias("bin", "db"))
+    return rounded(bins.withColumn("db", F.col("db").cast("double")), 2)
 
 
 # ---- publication of runs --------------------------------------------------------------------------
@@ -106,7 +123,7 @@ SHOWN = {
     "meta_sync": ("sync_file_name", "audio_stomp", "audio_processing_id"), "meta_cycle": ("is_outlier", "is_outlier", "synchronization_id"),
 }
 
-QUERIES = {f.__name__: f for f in (cadence_groups, template_best, template_work, published_runs)}
+QUERIES = {f.__name__: f for f in (cadence_groups, template_best, template_work, stored_frames, stored_spectrogram, published_runs)}
 
 
 def _same(a: str, b: str, key: tuple) -> str:
@@ -222,7 +239,7 @@ _CADENCE = f"""WITH RECURSIVE c AS (SELECT l_suppkey AS recording_id, 0.5::DOUBL
 
 def _hits(most: float) -> str:
     """Cycles, templates, r where it suffices, and the whole warped distance of these, a diagonal at a time."""
-    base = cycles.ORACLES["template_correlation_whole"]
+    base = cycles.ORACLES["template_correlation"]
     head = base[: base.index("c AS (SELECT recording_id, cycle_index, template")].replace("WITH ", "WITH RECURSIVE ", 1)
     cells = "[CASE WHEN i BETWEEN greatest(1, d + 1 - 64) AND least(64, d) THEN abs(a[i] - b[d + 1 - i]) + least(last[i], last[i + 1], prev[i]) ELSE 'inf'::DOUBLE END FOR i IN range(1, 65)]"
     return f"""{head} c AS (SELECT recording_id, cycle_index, template, CASE WHEN min(y) < max(y) THEN corr(y, ref) END AS r, list(y ORDER BY k) AS y, list(ref ORDER BY k) AS ref FROM y JOIN t USING (k) GROUP BY 1, 2, 3),
@@ -232,6 +249,10 @@ def _hits(most: float) -> str:
       h AS (SELECT recording_id, cycle_index, template, r, last[65] / 64 AS dtw FROM w WHERE d = 128 AND last[65] / 64 <= {most})"""
 
 
+_OUT = "coalesce(list_sum([greatest(v - list_max({y}), 0) + greatest(list_min({y}) - v, 0) FOR v IN {x}]), 0)"
+_BOUND = f"bo AS (SELECT recording_id, cycle_index, template, greatest({_OUT.format(x='a', y='b')}, {_OUT.format(x='b', y='a')}, abs(a[1] - b[1]) + abs(a[64] - b[64])) / 64 AS least FROM q)"
+
+
 _DFT = f"""WITH {SIG}, bl AS (SELECT *, CAST(i // 100 AS INTEGER) AS cycle_index, ch2 * 90 AS angle FROM sig),
   lg AS (SELECT recording_id, cycle_index, c.ch, i % 100 AS i, count(*) OVER (PARTITION BY recording_id, cycle_index, c.ch) AS n, CASE c.ch WHEN 'ch1' THEN ch1 WHEN 'ch2' THEN ch2 WHEN 'ch3' THEN ch3 WHEN 'ch4' THEN ch4 ELSE (ch1 + ch2 + ch3 + ch4) / 4 END AS x
     FROM bl, (VALUES ('ch1'), ('ch2'), ('ch3'), ('ch4'), ('avg')) c(ch)),
@@ -244,8 +265,14 @@ _FEATURES = [*cycles._ALL, "duration", *[f"{c}_spectral_{k}" for c in ("ch1", "c
 
 def _spectra(source: str, key: str, n: int, seg: int, hop: int, fs: float, above: float) -> str:
     """CTEs pk (key, ratio, hz): strongest Welch bin over the median bin of frames ``source`` (key, j, x) of n samples."""
+    cut = f"SELECT {key}, s, j - s * {hop} AS j, x FROM {source}, range(0, {(n - seg) // hop + 1}) q(s) WHERE j >= s * {hop} AND j < s * {hop} + {seg}"
+    return _welch(cut, key, seg, fs, above)
+
+
+def _welch(segments: str, key: str, seg: int, fs: float, above: float) -> str:
+    """The same from the segments (key, s, j, x) themselves."""
     first = int(above * seg / fs) + 1
-    return f"""sg AS (SELECT {key}, s, j - s * {hop} AS j, x FROM {source}, range(0, {(n - seg) // hop + 1}) q(s) WHERE j >= s * {hop} AND j < s * {hop} + {seg}),
+    return f"""sg AS ({segments}),
       ce AS (SELECT {key}, s, j, (x - avg(x) OVER (PARTITION BY {key}, s)) * (0.5 - 0.5 * cos(2 * pi() * j / {seg})) AS x FROM sg),
       fq AS (SELECT {key}, s, f, (sum(x * cos(2 * pi() * f * j / {seg})) ** 2 + sum(x * sin(2 * pi() * f * j / {seg})) ** 2) * CASE WHEN f = {seg / 2} THEN 1 ELSE 2 END AS p FROM ce, range({first}, {seg // 2 + 1}) q(f) GROUP BY {key}, s, f),
       av AS (SELECT {key}, f, avg(p) AS p FROM fq GROUP BY {key}, f),
@@ -269,6 +296,12 @@ _PERIODIC = f"""{_MOVE[: _MOVE.rindex('SELECT')]}, mh AS (SELECT recording_id, 5
   ho AS (SELECT {_CHK}, s, e FROM pz JOIN tm USING (recording_id, channel, frame) LEFT JOIN mh USING (recording_id)
     WHERE ratio >= 2.5 AND coalesce(NOT ({' OR '.join(f'abs(pz.hz - {h} * mh.hz) < 0.1' for h in range(1, 6))}), true)), me AS ({merged('ho', _CHK, 0.0)})
   SELECT {_CHK}, {r('s', 'start')}, {r('e', chr(34) + 'end' + chr(34))} FROM me"""
+_NOISE_KEY = "recording_id, cycle_index, channel"
+_NOISE = f"""WITH {SIG}, ha AS (SELECT *, CAST(i // 300 AS INTEGER) AS cycle_index FROM sig), en AS (SELECT recording_id, cycle_index, min(i) AS i0 FROM ha GROUP BY 1, 2 HAVING count(*) >= 256),
+  lo AS (SELECT recording_id, cycle_index, c.channel, i - i0 AS i, t, CASE c.channel WHEN 'ch1' THEN ch1 WHEN 'ch2' THEN ch2 WHEN 'ch3' THEN ch3 ELSE ch4 END AS x
+    FROM ha JOIN en USING (recording_id, cycle_index), (VALUES ('ch1'), ('ch2'), ('ch3'), ('ch4')) c(channel)),
+  {_SLIDE.format(key=_NOISE_KEY, source='lo', step=100, n=200)}, {_welch(f'SELECT {_NOISE_KEY}, frame AS s, j, x FROM fu', _NOISE_KEY, 200, 100.0, 5.0)}
+  SELECT {_NOISE_KEY}, ratio > 5.0 AS periodic FROM pk"""
 
 
 def _weights(name: str, rows) -> str:
@@ -294,8 +327,13 @@ def _smoothed(window: int = 11, poly: int = 2) -> str:
 
 
 ORACLES = {
+    "stored_frames": f"""WITH {SIG} SELECT recording_id, u.how AS "read", count(*) AS n, {', '.join(r(f'sum({c})', c) for c in ad.CHANNELS)}, {r('max(t)', 't')}, (SELECT count(*) > 2000 FROM sig) AS many_files
+      FROM sig, (VALUES ('all'), ('some')) u(how) WHERE u.how = 'all' OR recording_id % 5 = 0 GROUP BY 1, 2""",
+    "stored_spectrogram": alignment.ORACLES["stft_db_whole"],
     "published_runs": _published(),
     "cadence_groups": _CADENCE,
+    "template_work": f"""{_hits(0.8)}, {_BOUND} SELECT recording_id, cycle_index, (SELECT count(DISTINCT template) FROM t) AS n_templates, count(*) FILTER (WHERE c.r >= 0.1) AS n_correlated,
+      count(*) FILTER (WHERE bo.least <= 0.8) AS n_warped FROM c LEFT JOIN bo USING (recording_id, cycle_index, template) GROUP BY 1, 2""",
     "template_best": f"""{_hits(0.8)} SELECT recording_id, cycle_index, template, {r('r', 'r')}, {r('dtw', 'dtw')} FROM h QUALIFY row_number() OVER (PARTITION BY recording_id, cycle_index ORDER BY dtw, template) = 1""",
 }
 # twins of queries that stand elsewhere
@@ -305,6 +343,7 @@ alignment.ORACLES |= {
 }
 samples.ORACLES |= {"savgol_smooth": _smoothed()}
 cycles.ORACLES |= {
+    "cycle_periodic_noise": _NOISE,
     "template_match": f"{_hits(0.8)} SELECT recording_id, cycle_index, template, {r('r', 'r')}, {r('dtw', 'dtw')} FROM h",
     "cycle_features": f"""{_DFT} SELECT recording_id, cycle_index, num_samples, {', '.join(r(k, k) for k in _FEATURES)}, {r('CASE WHEN duration > 0 THEN num_samples / duration END', 'sample_rate')},
       {r('knee_angle_max - knee_angle_min', 'knee_angle_range')} FROM cf JOIN sf USING (recording_id, cycle_index)""",

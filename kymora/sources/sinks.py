@@ -1,10 +1,10 @@
-"""Stored frames, CSV exports and report folders."""
+"""CSV exports and report folders."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,15 +13,6 @@ from kymora.functions import scalars as sc
 SIGNAL_COLUMNS = ("ch1", "ch2", "ch3", "ch4")
 
 
-def write_frames(df: DataFrame, path: str, by: Sequence[str] = ("recording_id",), mode: str = "overwrite") -> None:
-    """A stage's frames, one folder per recording for pruned reads."""
-    df.write.mode(mode).partitionBy(*by).parquet(path)
-
-
-def read_frames(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def export_channels(
     df: DataFrame, keys: Sequence[str] = ("recording_id",), start: Column | None = None, stop: Column | None = None,
     fs: Column | None = None,
