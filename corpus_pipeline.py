@@ -32,9 +32,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return substrings.cut_out(docs)
 
 
-def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with secrets replaced by a mark; all rows stay."""
-    return secrets.redact_documents(docs)
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """Documents with secrets replaced by a mark; all rows stay. A ledger of an earlier run spares what it has seen."""
+    return secrets.redact_documents(docs, secrets.Ledger(spark, ledger))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ unlinked unless other texts join it; all links that are made are exact.
 
 Defined cases: null texts count as empty; texts shorter than a shingle are one shingle; the document that
 stays is that of least doc_id (null least), then least text hash; of equal rows one stays; all columns are
-kept; an empty table gives no rows.
+kept; an empty table gives no rows. A text is held in one task, with some 60 bytes a byte where its words are hashed.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ doc_id, and the first row of each range also goes to the range before it.
 Defined cases: null texts count as empty; an empty text has a fingerprint of zeros, like 1 to another empty
 one and 0 to any other; null doc_ids come last in descending order and rows of equal doc_id are ordered by
 the hash of their text; the only row of a table is its own next document; other columns are ignored; an
-empty table gives no rows.
+empty table gives no rows. A text is held in one task beside the next one, with some 60 bytes a character.
 """
 
 from __future__ import annotations

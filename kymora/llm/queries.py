@@ -26,9 +26,9 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(BYTES), limit=512)
 
 
-def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document, by way of a ledger of blobs."""
-    return secrets.span_digest(secrets.scan(documents(spark, sf_dir)))
+def op3_secrets(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """Secrets of every document, by way of a ledger of blobs; one that an earlier run left spares its blobs."""
+    return secrets.span_digest(secrets.scan(documents(spark, sf_dir), secrets.Ledger(spark, ledger)))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ spans count code points. Copies of a text collapse before the shuffle and are sc
 carries ids and hashes, never texts, and its hot blobs are split by AQE.
 
 Defined cases: null texts count as empty; empty texts have no findings; repeated rows each get their
-blob's findings; a null doc_id stays null; other columns are ignored; an empty table gives no rows.
+blob's findings; a null doc_id stays null; other columns are ignored; an empty table gives no rows. A text is held
+in one task; time grows faster than the number of matches in one text (16,000 of them took 17 seconds).
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ Word and content hashes are 64 bits; texts that an automaton compares are compar
 
 Defined cases: null texts have no words; texts shorter than a window are left whole; a null doc_id is
 smaller than all others; rows of equal doc_id are ordered by the hash of their text, and equal rows are one
-text whose result each of them gets; other columns are ignored; an empty table gives no rows.
+text whose result each of them gets; other columns are ignored; an empty table gives no rows. A text is held in one
+task, with some 60 bytes a byte where its words are hashed.
 """
 
 from __future__ import annotations

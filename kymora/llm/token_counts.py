@@ -4,7 +4,8 @@ A boundary is safe where the tokenizer starts a new word whatever stands on eith
 each piece between two boundaries is encoded once, and a text's count is the sum over its pieces.
 
 Defined cases: null and empty texts have 0 bytes and 0 tokens; repeated rows give repeated results; a null
-doc_id stays null; other columns are ignored; an empty table gives no rows.
+doc_id stays null; other columns are ignored; an empty table gives no rows. A text is held in one task, with some 40
+bytes a byte; a stretch without a safe boundary is one piece, and what is remembered of pieces is bounded by bytes.
 """
 
 from __future__ import annotations

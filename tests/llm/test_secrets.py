@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from kymora.llm import queries, secrets
 from tests.conftest import SF
 
@@ -72,3 +73,14 @@ def test_redaction(spark, few):
 
 def test_empty(spark, empty):
     assert secrets.scan(empty).count() == 0
+
+
+def test_a_second_run_of_the_query_scans_nothing(spark, tmp_path):
+    folder = str(tmp_path / "ledger")
+    first = sorted(map(tuple, queries.op3_secrets(spark, SF, folder).collect()))
+    n = spark.read.parquet(folder).count()
+    again = sorted(map(tuple, queries.op3_secrets(spark, SF, folder).collect()))
+    assert again == first == sorted(map(tuple, queries.op3_secrets(spark, SF).collect())) and spark.read.parquet(folder).count() == n
+    docs = queries.documents(spark, SF)
+    corpus_pipeline.secret_scans(spark, docs.unionByName(docs.limit(1).selectExpr("doc_id", "'password = hunter2x' AS text", "lang", "source", "n_chars")), SF, folder).count()
+    assert spark.read.parquet(folder).count() == n + 1

@@ -142,3 +142,20 @@ def test_empty_tables(spark, empty):
     assert packing.pack_documents(empty, WORDS).count() == 0
     files = token_blocks.write_token_files(empty, token_blocks.token_folder(spark), WORDS, 2)
     assert token_blocks.read_token_files(files).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 3000, 1 << 20])
+def test_what_an_encoder_remembers_is_bounded_by_bytes(most):
+    """A Japanese text is one piece; ids do not depend on what is remembered."""
+    import pyarrow as pa
+
+    from kymora.llm import chunks
+
+    t = Tokenizer.from_file(WORDS)
+    texts = ["日本語のテキスト" * 50, "one two three one two", "four five " * 30, "日本語のテキスト" * 50, "six seven one two", ""] * 3
+    e = chunks.PieceEncoder(WORDS, most)
+    for a in range(0, len(texts), 4):
+        part = texts[a : a + 4]
+        ids, at = e.encode(pa.array([x.encode() for x in part], pa.binary()))
+        assert [ids[i:j].tolist() for i, j in zip(at, at[1:])] == [t.encode(x, add_special_tokens=False).ids for x in part]
+        assert sum(len(k) + len(v) + chunks.ENTRY for d in (e.known, e.older) for k, v in d.items()) <= most
