@@ -14,10 +14,14 @@ one summary row per block, then a window inside the block that starts from the c
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from kymora.session import durable, partitions
 
@@ -25,6 +29,7 @@ BLK = "_blk"
 CORE = "_core"
 KEY = "_key"
 BLOCK_ROWS = 16384
+_PLACE, _FIRST, _EDGE = "_place", "_first", "_edge"
 
 
 def index_blocks(df: DataFrame, i: str = "i", rows: int = BLOCK_ROWS) -> DataFrame:
@@ -55,23 +60,84 @@ def block_window(keys: Sequence[str], order: Sequence[str | Column]) -> WindowSp
     return Window.partitionBy(*keys, BLK).orderBy(*order)
 
 
+def _changes(column: pa.Array) -> np.ndarray:
+    """Where a value differs from the one before it; nulls are equal to each other, and so are NaNs."""
+    if pa.types.is_nested(column.type):
+        values = column.to_pylist()
+        return np.array([x != y for x, y in zip(values[1:], values[:-1])], bool)
+    here, before = column.slice(1), column.slice(0, len(column) - 1)
+    differ = pc.fill_null(pc.not_equal(here, before), False)
+    if pa.types.is_floating(column.type):
+        both = pc.and_(pc.is_nan(here), pc.is_nan(before))
+        differ = pc.and_not(differ, pc.fill_null(both, False))
+    return pc.or_(differ, pc.xor(here.is_null(), before.is_null())).to_numpy(zero_copy_only=False)
+
+
+def _numbered(keys: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds to sorted rows their partition, their place in their key's stretch there, whether that stretch is the
+    partition's first, and whether the row is the partition's first or last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        def marked(batch: pa.RecordBatch, first: np.ndarray, place: np.ndarray, edge: np.ndarray) -> pa.RecordBatch:
+            more = [pa.array(np.full(batch.num_rows, block, np.int64)), pa.array(place.astype(np.int64)), pa.array(first), pa.array(edge)]
+            return pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, BLK, _PLACE, _FIRST, _EDGE])
+
+        block, last, first, place, held = TaskContext.get().partitionId(), None, True, 0, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            new = np.zeros(n, bool)
+            for c, name in enumerate(keys):
+                column = batch.column(name)
+                new[0 if last else 1 :] |= _changes(pa.concat_arrays([last[c], column]) if last else column)
+            last = [batch.column(name).slice(n - 1) for name in keys]
+            rows = np.arange(n)
+            start = np.maximum.accumulate(np.where(new, rows, -1))
+            places, firsts, edges = np.where(start < 0, place + rows, rows - start), (start < 0) & first, np.zeros(n, bool)
+            place, first = int(places[-1]) + 1, bool(firsts[-1])
+            edges[0] = held is None
+            if held is not None:
+                yield marked(*held)
+            held = batch, firsts, places, edges  # until it is known whether it is the last
+        if held is not None:
+            held[3][-1] = True
+            yield marked(*held)
+
+    return run
+
+
 def with_sample_index(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "i"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "i", kept: Sequence[str] | None = None, parts: int | None = None
 ) -> DataFrame:
-    """Zero-based position of every row within ``keys``, without a window over the whole key."""
-    cut = with_key(range_blocks(df, keys, order), keys)
-    before = Window.partitionBy(KEY).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(KEY, BLK)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    return (
-        cut.join(offsets, [KEY, BLK])
-        .withColumn(out, F.row_number().over(block_window([KEY], order)) - 1 + F.col("_off"))
-        .drop("_off", BLK, KEY)
-    )
+    """Zero-based position of every row within ``keys``, without a window over the whole key.
+
+    One range shuffle puts all rows in order; each partition numbers the stretch of every key in it, and is
+    written. A key goes on from one partition to the next at most at its first stretch there, so one
+    number for each partition, which the driver holds, completes the positions. Columns other than ``kept`` (and the
+    keys) only order the rows and are not written. ``parts``: partitions of the shuffle.
+    """
+    keys = list(keys)
+    kept = df.columns if kept is None else list(kept)
+    names = [*kept, *[k for k in keys if k not in kept]]
+    cut = df.repartitionByRange(parts or partitions(df.sparkSession), *keys, *order).sortWithinPartitions(*keys, *order).select(*names)
+    marks = [StructField(BLK, LongType()), StructField(_PLACE, LongType()), StructField(_FIRST, BooleanType()), StructField(_EDGE, BooleanType())]
+    rows = durable(cut.mapInArrow(_numbered(keys), StructType([*cut.schema.fields, *marks])))
+    ahead, before, carried = [], None, 0  # rows of a partition's first key before that partition
+    edges = rows.filter(_EDGE).select(BLK, _PLACE, _FIRST, F.struct(*keys).alias(KEY)).collect()  # two a partition
+    for e in sorted(edges, key=lambda e: (e[BLK], not e[_FIRST], e[_PLACE])):
+        if e[BLK] >= len(ahead):
+            ahead += [0] * (e[BLK] - len(ahead)) + [carried if before is not None and _same_key(before, e[KEY]) else 0]
+        before, carried = e[KEY], e[_PLACE] + 1 + (ahead[e[BLK]] if e[_FIRST] else 0)
+    offsets = F.array(*[F.lit(n).cast("long") for n in ahead or [0]])
+    place = F.col(_PLACE) + F.when(F.col(_FIRST), F.get(offsets, F.col(BLK).cast("int"))).otherwise(F.lit(0))
+    return rows.select(*kept, place.alias(out))
+
+
+def _same_key(a: Sequence, b: Sequence) -> bool:
+    return all(x == y or (x != x and y != y) for x, y in zip(a, b))
 
 
 def with_halo(

@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kymora.plans.blocks import with_sample_index
-from kymora.session import durable
+from kymora.session import partitions
 
 SIGNAL_FS = 100.0
 EVENTS_ORIGIN = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"  # zero of the event clock
 CHANNELS = ("ch1", "ch2", "ch3", "ch4")
 
+ROWS_PER_TASK = 1 << 19
+
 _built: dict[tuple, DataFrame] = {}
 
 
@@ -26,13 +28,18 @@ def _signature(spark: SparkSession, path: str) -> tuple:
 
 
 def _stage(spark: SparkSession, sf_dir: str, name: str, source: str, build) -> DataFrame:
-    """A stage table written once per application and read by every later job."""
+    """A stage table written once per application (by ``with_sample_index``) and read by every later job."""
     key = (spark.sparkContext.applicationId, name, _signature(spark, f"{sf_dir}/{source}.parquet"))
     if key not in _built:
-        _built[key] = durable(build())
+        _built[key] = build()
     return _built[key]
 
 
+def _parts(rows: DataFrame) -> int:
+    """Partitions for ordering a source: more than the session's where a task would get too many rows."""
+    return max(partitions(rows.sparkSession), -(-rows.count() // ROWS_PER_TASK))
+
+
 def signal_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-channel series per supplier: (recording_id, i, t, ch1..ch4)."""
 
@@ -46,7 +53,7 @@ def signal_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_tax").alias("ch4"),
         )
         order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "ch1", "ch2", "ch3", "ch4"]
-        indexed = with_sample_index(li, ["recording_id"], order)
+        indexed = with_sample_index(li, ["recording_id"], order, kept=["recording_id", *CHANNELS], parts=_parts(li))
         return indexed.select("recording_id", "i", (F.col("i") / SIGNAL_FS).alias("t"), *CHANNELS)
 
     return _stage(spark, sf_dir, "signal_multi", "lineitem", build)
@@ -61,7 +68,7 @@ def signal_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.expr(f"timestampdiff(MICROSECOND, {EVENTS_ORIGIN}, ts)") / F.lit(1e6)).alias("t"),
             F.col("value").alias("v"), F.col("event_type").alias("event"), "event_id",
         )
-        return with_sample_index(ev, ["recording_id"], ["t", "event_id"])
+        return with_sample_index(ev, ["recording_id"], ["t", "event_id"], parts=_parts(ev))
 
     return _stage(spark, sf_dir, "signal_irregular", "events", build)
 

@@ -277,3 +277,20 @@ def test_peaks_far_from_their_bases_need_no_whole_series(spark, seed, distance):
     want = {("a", int(i)) for i in kernels.find_peaks(x, None, distance, 1.0)} | {(None, int(i)) for i in kernels.find_peaks(x[::-1], None, distance, 1.0)}
     assert {(r.k, r.i) for r in got} == want and len(want) > 4
     assert max(largest) < n // 8
+
+
+@pytest.mark.parametrize("parts", [1, 7, 60])
+def test_sample_index_takes_one_shuffle(spark, parts):
+    """Positions over many partitions, keys null, rows twice; what is read later needs no shuffle and holds no ordering columns."""
+    rng = np.random.default_rng(8)
+    rows = [(k, s, int(x), float(x % 3)) for k, s, n in [(None, "a", 40), (1, None, 500), (1, "a", 3), (2, "b", 90), (3, "b", 1)] for x in rng.integers(0, n, n)]
+    df = spark.createDataFrame(rows, "k long, s string, x long, y double").repartition(5)
+    got = with_sample_index(df, ["k", "s"], ["x"], kept=["k", "s", "y"], parts=parts)
+    assert got.columns == ["k", "s", "y", "i"] and "Exchange" not in got._jdf.queryExecution().toString()
+    found = sorted(map(repr, map(tuple, got.collect())))
+    want = []
+    for key in {r[:2] for r in rows}:
+        own = sorted(r[2:] for r in rows if r[:2] == key)
+        want += [(*key, y, i) for i, (_, y) in enumerate(own)]
+    assert found == sorted(map(repr, want))
+    assert with_sample_index(df.filter("false"), ["k", "s"], ["x"]).count() == 0
