@@ -51,7 +51,7 @@ def stored_frames(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/frames-{uuid.uuid4().hex}"
     s = ad.signal_multi(spark, sf)
     held = fr.write_frames(s, path, rows_per_file=2000)
-    fifth = [r[0] for r in s.select("recording_id").distinct().filter("recording_id % 5 = 0").collect()]
+    fifth = s.select("recording_id").filter("recording_id % 5 = 0")
     n_files = held.count()
     def told(df: DataFrame, how: str) -> DataFrame:
         return df.groupBy("recording_id").agg(F.lit(how).alias("read"), F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ad.CHANNELS], F.max("t").alias("t"))

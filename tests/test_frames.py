@@ -71,3 +71,16 @@ def test_quantiles_of_several_columns(spark, small):
     one = qt.quantiles(df, K, "x", {"m": 0.5}).collect()
     assert {r.recording_id for r in one} == {"a", "b", None}
     assert qt.quantiles(df, [], "x", {"m": 0.5}).count() == 1
+
+
+def test_a_read_of_many_recordings(spark, tmp_path):
+    """Two thousand keys, as a list and as a table with repeats and nulls, from more files than tasks."""
+    df = spark.range(9000).select(F.when(F.col("id") % 3000 != 5, F.col("id") % 3000).alias("recording_id"), F.col("id").alias("i"))
+    path = str(tmp_path / "f")
+    manifest = frames.write_frames(df, path, rows_per_file=5).collect()
+    assert len(manifest) >= 1800 and max(r.n_rows for r in manifest) <= 5 and sum(r.n_rows for r in manifest) == 9000
+    wanted = df.filter("recording_id < 2000 OR recording_id IS NULL").select("recording_id")
+    want = sorted(map(repr, df.filter("recording_id < 2000 OR recording_id IS NULL").collect()))
+    assert len(want) == 6000
+    assert sorted(map(repr, frames.read_frames(spark, path, wanted).collect())) == want
+    assert sorted(map(repr, frames.read_frames(spark, path, [None, *(k for k in range(2000) if k != 5)]).collect())) == want
