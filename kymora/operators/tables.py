@@ -43,16 +43,18 @@ def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) ->
 
 def upsert(
     current: DataFrame, incoming: DataFrame, key: Sequence[str], id_column: str = "id", active: str = "is_active",
-    mutable: Sequence[str] | None = None, keep_if_null: Sequence[str] = (),
+    mutable: Sequence[str] | None = None, keep_if_null: Sequence[str] = (), seen: str | None = None,
 ) -> DataFrame:
     """Next snapshot after saving ``incoming`` (one row per key) into ``current``.
 
     A known key takes the incoming values of the mutable columns (those in ``keep_if_null`` only when
-    given) and becomes active again; a new key gets the next id. Untouched rows pass through.
+    given) and becomes active again; a new key gets the next id. Untouched rows pass through. ``seen`` names one
+    more column that tells which rows ``incoming`` has.
     """
     key = list(key)
-    columns = current.columns
-    values = [c for c in columns if c not in (*key, id_column, active)]
+    columns = [*current.columns, *([seen] if seen else [])]
+    values_of = current.columns
+    values = [c for c in values_of if c not in (*key, id_column, active)]
     writable = set(values if mutable is None else mutable)
     given = [c for c in values if c in incoming.columns]
     inc = incoming.select(*[F.col(c).alias(f"_k_{c}") for c in key], *[F.col(c).alias(f"_n_{c}") for c in given], F.lit(True).alias("_hit"))
@@ -73,7 +75,7 @@ def upsert(
     merged = both.select(
         *[F.when(old, F.col(k)).otherwise(F.col(f"_k_{k}")).alias(k) for k in key],
         F.col(id_column), F.when(hit, F.lit(True)).otherwise(F.col(active)).alias(active),
-        *[value(c).alias(c) for c in values],
+        *[value(c).alias(c) for c in values], *([hit.alias(seen)] if seen else []),
     )
     merged = durable(merged)  # read twice below; the join above runs once
     known = merged.filter(F.col(id_column).isNotNull())
@@ -115,6 +117,17 @@ def soft_delete(current: DataFrame, seen: DataFrame, scope: DataFrame, on: Seque
     return j.select(*[F.when(gone, F.lit(False)).otherwise(F.col(active)).alias(active) if c == active else F.col(c) for c in current.columns])
 
 
+def drop_unseen(current: DataFrame, seen: str, scope: DataFrame, on: Sequence[str], active: str = "is_active") -> DataFrame:
+    """``soft_delete`` where column ``seen`` tells what the run saw: only active rows that it did not see meet the scopes."""
+    s = scope.select(*[F.col(c).alias(f"_s_{c}") for c in on]).distinct().withColumn("_in", F.lit(True))
+    columns = [c for c in current.columns if c != seen]
+    safe = F.col(seen) | F.coalesce(~F.col(active), F.lit(False))
+    rest = current.filter(~safe)
+    j = rest.join(s, null_safe(rest, s, [(c, f"_s_{c}") for c in on]), "left")
+    gone = F.col("_in").isNotNull()
+    return current.filter(safe).select(*columns).unionByName(j.select(*[F.when(gone, F.lit(False)).otherwise(F.col(active)).alias(active) if c == active else F.col(c) for c in columns]))
+
+
 def deactivated_counts(before: dict[str, DataFrame], after: dict[str, DataFrame], id_column: str = "id", active: str = "is_active") -> DataFrame:
     """(table, n): rows that turned inactive."""
     parts = []

@@ -31,10 +31,7 @@ KINDS = ("dropout", "spike", "continuous")
 
 def save(current: DataFrame, incoming: DataFrame, scope: DataFrame, key: Sequence[str], on: Sequence[str] = SCOPE) -> DataFrame:
     """Next snapshot of one table: ``incoming`` (one row a key) upserted, other active rows of ``scope`` switched off."""
-    after = durable(tb.upsert(current, incoming, key))
-    keys = incoming.select(*[F.col(k).alias(f"_k_{k}") for k in key])
-    seen = after.join(keys, tb.null_safe(after, keys, [(k, f"_k_{k}") for k in key]), "left_semi")
-    return tb.soft_delete(after, seen, scope, list(on))
+    return tb.drop_unseen(tb.upsert(current, incoming, key, seen="_seen"), "_seen", scope, list(on))
 
 
 def whole(recordings: DataFrame, status: DataFrame, owner: Sequence[str] = ("study_id",)) -> DataFrame:
@@ -93,14 +90,15 @@ def updates(store: StageStore, recordings: DataFrame) -> Callable[[dict[str, Dat
     def update(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         done: dict[str, DataFrame] = {}
 
-        def put(name: str, rows: DataFrame, links: dict[str, str]) -> DataFrame:
+        def put(name: str, rows: DataFrame, links: dict[str, str], again: bool = True) -> DataFrame:
             rows = rows.drop("recording_id")
             empty = rows.filter("false").withColumn("id", F.lit(None).cast("long")).withColumn("is_active", F.lit(None).cast("boolean"))
             old = tables.get(name)
             for column, kind in links.items():
                 empty = empty if column in empty.columns else empty.withColumn(column, F.lit(None).cast(kind))
             current = empty if old is None else old.unionByName(empty, allowMissingColumns=True)
-            done[name] = durable(save(current, rows, scope, KEYS[name]))
+            saved = save(current, rows, scope, KEYS[name])
+            done[name] = durable(saved) if again else saved  # what others link to is read again
             return done[name]
 
         def parent(rows: DataFrame) -> DataFrame:
@@ -112,7 +110,7 @@ def updates(store: StageStore, recordings: DataFrame) -> Callable[[dict[str, Dat
             motion = put("meta_motion", parent(incoming["meta_motion"]), {})
             done["meta_audio"] = tb.link_motion(audio, motion)
         sync = put("meta_sync", parent(incoming["meta_sync"]), {})
-        put("meta_cycle", _linked(parent(incoming["meta_cycle"]), sync, tb.SYNC_KEY, "synchronization_id"), {})
+        put("meta_cycle", _linked(parent(incoming["meta_cycle"]), sync, tb.SYNC_KEY, "synchronization_id"), {}, again=False)
         return done
 
     return update

@@ -144,3 +144,18 @@ def test_a_failure_before_the_commit_changes_nothing(spark, tmp_path):
     with pytest.raises(RuntimeError):
         store.publish(broken)
     assert StageStore(spark, str(tmp_path)).latest() == before
+
+
+def test_saving_takes_one_join_of_the_records(spark):
+    key = ["study_id", "knee", "maneuver", "pass_number"]
+    shape = "study_id long, knee string, maneuver string, pass_number int, id long, is_active boolean, size int"
+    current = spark.createDataFrame([
+        (1, "left", "walk", None, 4, True, 1), (1, "left", "walk", 2, 5, True, 1), (1, "left", None, 1, 6, True, 1),
+        (2, "left", "walk", 1, 7, True, 1), (1, "left", "walk", 3, 8, False, 1), (1, "left", "walk", 4, 9, None, 1)], shape)
+    incoming = spark.createDataFrame([(1, "left", "walk", None, 2), (1, "left", "walk", 3, 2), (1, "left", None, 9, 2), (None, "left", "walk", 1, 2)], "study_id long, knee string, maneuver string, pass_number int, size int")
+    scope = spark.createDataFrame([(1, "left", "walk"), (1, "left", None), (1, "left", "walk")], "study_id long, knee string, maneuver string")
+    after = persist.save(current, incoming, scope, key)
+    assert after.columns == current.columns and "LeftSemi" not in after._jdf.queryExecution().toString()
+    assert {tuple(r) for r in after.collect()} == {
+        (1, "left", "walk", None, 4, True, 2), (1, "left", "walk", 2, 5, False, 1), (1, "left", None, 1, 6, False, 1), (2, "left", "walk", 1, 7, True, 1),
+        (1, "left", "walk", 3, 8, True, 2), (1, "left", "walk", 4, 9, False, 1), (None, "left", "walk", 1, 10, True, 2), (1, "left", None, 9, 11, True, 2)}
