@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from kymora.session import durable, partitions
 
@@ -73,6 +73,37 @@ def _changes(column: pa.Array) -> np.ndarray:
     return pc.or_(differ, pc.xor(here.is_null(), before.is_null())).to_numpy(zero_copy_only=False)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], group: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows cut between groups: a stretch of whole groups and, for each of its rows, which of them it is in."""
+    rest: list[tuple[pa.RecordBatch, np.ndarray]] = []  # the group that is still open
+    last: list[pa.Array] | None = None
+
+    def told(parts: list[tuple[pa.RecordBatch, np.ndarray]]) -> tuple[pa.Table, np.ndarray]:
+        at = np.cumsum(np.concatenate([new for _, new in parts]))
+        return pa.Table.from_batches([batch for batch, _ in parts]), at - at[0]
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        new = np.zeros(n, bool)
+        for c, name in enumerate(group):
+            column = batch.column(name)
+            new[0 if last else 1 :] |= _changes(pa.concat_arrays([last[c], column]) if last else column)
+        last = [batch.column(name).slice(n - 1) for name in group]
+        starts = np.flatnonzero(new)
+        if not len(starts):
+            rest.append((batch, new))
+            continue
+        cut = int(starts[-1])
+        done = [(b, m) for b, m in [*rest, (batch.slice(0, cut), new[:cut])] if b.num_rows]
+        rest = [(batch.slice(cut), new[cut:])]
+        if done:
+            yield told(done)
+    if rest:
+        yield told(rest)
+
+
 def _numbered(keys: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds to sorted rows their partition, their place in their key's stretch there, whether that stretch is the
     partition's first, and whether the row is the partition's first or last."""
@@ -216,38 +247,70 @@ def running(
     return joined.select(*df.columns, *[inside(n).alias(n) for n in names])
 
 
-def true_runs(
-    df: DataFrame, keys: Sequence[str], mask: Column, i: str = "i", t: str = "t", rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Maximal runs of TRUE over consecutive ``i``: (keys, first_i, last_i, start, end).
+def local_runs(df: DataFrame, keys: Sequence[str], flags: dict[str, str], out: str, i: str = "i", t: str = "t", rows: int = BLOCK_ROWS) -> DataFrame:
+    """Runs of TRUE among rows that arrive one after the other: (keys, ``out``, first_i, last_i, start, end).
 
-    Runs are closed inside their block; only the at most two runs per block that touch a block edge
+    ``flags`` gives the value of ``out`` for each flag column. Rows in order make long runs, rows in no order short ones;
+    ``join_runs`` makes the same of both. A run ends at a block edge, and at a sample without a time.
+    """
+    keys, names = list(keys), list(flags)
+    src = df.select(*keys, F.col(i).cast("long").alias("_i"), F.col(t).cast("double").alias("_t"), *names).filter(F.col("_i").isNotNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            at, known = batch.column("_i").to_numpy(), batch.column("_t").is_valid().to_numpy(zero_copy_only=False)
+            time = batch.column("_t").to_numpy(zero_copy_only=False)
+            known = known & ~np.isnan(time)
+            follows = np.zeros(n, bool)
+            follows[1:] = (at[1:] == at[:-1] + 1) & (at[1:] % rows != 0) & known[1:] & known[:-1]
+            for k in keys:
+                follows[1:] &= ~_changes(batch.column(k))
+            for name, value in flags.items():
+                bad = pc.fill_null(batch.column(name), False).to_numpy(zero_copy_only=False)
+                on = np.flatnonzero(bad)
+                if not len(on):
+                    continue
+                begins = np.append(True, ~follows[on[1:]] | (on[1:] != on[:-1] + 1))
+                first = np.flatnonzero(begins)
+                last = np.append(first[1:], len(on)) - 1
+                valued = batch.column("_t").take(pa.array(on[first])).is_valid().to_numpy(zero_copy_only=False)
+                ends = [pa.array(f.reduceat(time[on], first), mask=~valued) for f in (np.minimum, np.maximum)]
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(k).take(pa.array(on[first])) for k in keys], pa.array([value] * len(first), pa.string()), pa.array(at[on[first]]), pa.array(at[on[last]]), *ends],
+                    [*keys, out, "first_i", "last_i", "start", "end"],
+                )
+
+    more = [StructField(out, StringType()), *[StructField(c, LongType()) for c in ("first_i", "last_i")], *[StructField(c, DoubleType()) for c in ("start", "end")]]
+    return src.mapInArrow(run, StructType([*[src.schema[k] for k in keys], *more]))
+
+
+def join_runs(runs: DataFrame, keys: Sequence[str], rows: int = BLOCK_ROWS) -> DataFrame:
+    """Maximal runs (keys, first_i, last_i, start, end) from parts that end at block edges.
+
+    Parts are joined inside their block; only the at most two runs per block that touch a block edge
     are looked at again to be joined with their neighbours.
     """
-    hits = index_blocks(df.filter(mask).select(*keys, i, t), i, rows)
-    w = block_window(keys, [i])
-    local = (
-        hits.withColumn("_g", F.col(i) - F.row_number().over(w))
-        .groupBy(*keys, BLK, "_g")
-        .agg(
-            F.min(i).alias("first_i"), F.max(i).alias("last_i"), F.min(t).alias("start"), F.max(t).alias("end")
+
+    def joined(parts: DataFrame, within: str) -> DataFrame:
+        w = Window.partitionBy(*keys, within).orderBy("first_i")
+        opens = F.coalesce((F.col("first_i") != F.lag("last_i").over(w) + 1).cast("int"), F.lit(1))
+        return parts.withColumn("_new", opens).withColumn("_g", F.sum("_new").over(w)).groupBy(*keys, within, "_g").agg(
+            F.min("first_i").alias("first_i"), F.max("last_i").alias("last_i"), F.min("start").alias("start"), F.max("end").alias("end"),
         )
-        .drop("_g")
-    )
+
+    local = joined(index_blocks(runs, "first_i", rows), BLK).drop("_g")
     # runs touching a block edge share one window per key, every other run stays in its own block's
     touches = (F.col("first_i") == F.col(BLK) * rows) | (F.col("last_i") == (F.col(BLK) + 1) * rows - 1)
     local = local.withColumn("_home", F.when(touches, F.lit(-1)).otherwise(F.col(BLK)))
-    wh = Window.partitionBy(*keys, "_home").orderBy("first_i")
-    opens = F.coalesce((F.col("first_i") != F.lag("last_i").over(wh) + 1).cast("int"), F.lit(1))
-    marked = local.withColumn("_new", opens)
-    return (
-        marked.withColumn("_g", F.sum("_new").over(wh))
-        .groupBy(*keys, "_home", "_g")
-        .agg(
-            F.min("first_i").alias("first_i"),
-            F.max("last_i").alias("last_i"),
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
-        )
-        .drop("_home", "_g")
-    )
+    return joined(local, "_home").drop("_home", "_g")
+
+
+def true_runs(
+    df: DataFrame, keys: Sequence[str], mask: Column, i: str = "i", t: str = "t", rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Maximal runs of TRUE over consecutive ``i``: (keys, first_i, last_i, start, end)."""
+    hits = df.select(*keys, i, t, mask.alias("_bad")).filter("_bad")
+    return join_runs(local_runs(hits, keys, {"_bad": ""}, "_flag", i, t, rows).drop("_flag"), keys, rows)

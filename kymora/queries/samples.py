@@ -113,7 +113,7 @@ def clip_bad_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sliding_stats(spark: SparkSession, sf: str) -> DataFrame:
-    s = wn.sliding_stats(ad.signal_multi(spark, sf), K, ["ch1", "ch2"], 21)
+    s = wn.sliding_stats(ad.signal_multi(spark, sf).select("recording_id", "i", "ch1", "ch2"), K, ["ch1", "ch2"], 21)
     return rounded(s.select("recording_id", "i", *[f"{c}_{k}" for c in ("ch1", "ch2") for k in ("rms", "var", "mean", "std")]))
 
 
