@@ -391,8 +391,7 @@ def intermittent_artifacts(
     quick = sliding_stats(base, ck, channels, fast, ("rms",), rows).withColumnsRenamed({f"{c}_rms": f"{c}_fast" for c in channels})
     both = sliding_stats(quick, ck, channels, slow, ("rms", "std"), rows)
     flags = [(F.col(f"{c}_fast") > F.col(f"{c}_rms") + sigma * F.col(f"{c}_std")).alias(c) for c in channels]
-    long = both.select(*ck, "i", "t", *flags).unpivot([*ck, "i", "t"], list(channels), "channel", "bad").filter("bad")
-    runs = iv.mask_to_intervals(long, [*ck, "channel"], F.col("bad"), 0.0, rows)
+    runs = iv.flags_to_intervals(both.select(*ck, "i", "t", *flags), ck, {c: c for c in channels}, 0.0, rows)
     return iv.duration_band(runs, min_s, max_s)
 
 

@@ -31,9 +31,7 @@ RECORDING = ("recording_id",)
 
 
 def _per_channel(masked: DataFrame, flags: Sequence[str], keys: Sequence[str], min_s: float, rows: int) -> DataFrame:
-    long = masked.unpivot([*keys, "i", "t"], list(flags), "channel", "bad").filter("bad")
-    long = long.withColumn("channel", F.regexp_replace("channel", "^_bad_", ""))
-    return iv.mask_to_intervals(long, [*keys, "channel"], F.col("bad"), min_s, rows)
+    return iv.flags_to_intervals(masked, keys, {f: f.removeprefix("_bad_") for f in flags}, min_s, rows)
 
 
 def _flagged(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kymora.plans.blocks import BLOCK_ROWS, range_blocks, running, true_runs
+from kymora.plans.blocks import BLOCK_ROWS, join_runs, local_runs, range_blocks, running, true_runs
 
 TIME_BUCKET_S = 4.0
 
@@ -16,7 +16,19 @@ def mask_to_intervals(
     df: DataFrame, keys: Sequence[str], mask: Column, min_duration_s: float = 0.0, rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Runs of TRUE samples as [first, last] times that last at least ``min_duration_s``."""
-    runs = true_runs(df, keys, mask, rows=rows)
+    return _lasting(true_runs(df, keys, mask, rows=rows), keys, min_duration_s)
+
+
+def flags_to_intervals(df: DataFrame, keys: Sequence[str], flags: dict[str, str], min_duration_s: float = 0.0, rows: int = BLOCK_ROWS) -> DataFrame:
+    """The same for several flag columns at once: (keys, channel, start, end), ``flags`` names each column's channel.
+
+    Runs are closed where the samples are, so what is shuffled are runs.
+    """
+    by = [*keys, "channel"]
+    return _lasting(join_runs(local_runs(df, keys, flags, "channel", rows=rows), by, rows), by, min_duration_s)
+
+
+def _lasting(runs: DataFrame, keys: Sequence[str], min_duration_s: float) -> DataFrame:
     return runs.filter(F.col("end") - F.col("start") >= min_duration_s).select(*keys, "start", "end")
 
 
