@@ -2,41 +2,104 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from kymora.functions import kernels as kn
-from kymora.operators.windows import neighbours
-from kymora.plans.blocks import BLK, BLOCK_ROWS, KEY, index_blocks, running, with_key
+from kymora.plans.blocks import BLK, BLOCK_ROWS, CORE, KEY, index_blocks, running, whole_groups, with_halo, with_key
 from kymora.plans.grouped import grouped_map
 from kymora.session import durable
 
 
+MAX, MIN, ONLY, FIRST, LAST, OPENS, STOPS = range(7)
+KINDS = ["max", "min", "only", "first", "last", "opens", "stops"]
+
+
+def _turns(group: Sequence[str]):
+    """Extrema and ends of the blocks that sorted rows make, and what a block leaves to the blocks around it.
+
+    ``opens`` is the last place in a block where a plateau began, with the value before it, ``stops`` the end of a
+    plateau that began in an earlier block, with the value after it. A null is like the end of the series to the
+    samples next to it, and neither above nor below anything; NaN is above all else.
+    """
+
+    def above(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (a > b) | (np.isnan(a) & ~np.isnan(b))
+
+    def work(rows: pa.Table, at: np.ndarray) -> pa.RecordBatch:
+        n, no = len(at), rows.column("v").is_null().to_numpy()
+        i, v = rows.column("i").to_numpy(), pc.fill_null(rows.column("v"), 0.0).to_numpy()
+        core = rows.column(CORE).to_numpy()
+        edge = at[1:] != at[:-1]
+        # no sample before, or a null one; the value before
+        none_p, none_n = np.append(True, edge | no[:-1]), np.append(edge | no[1:], True)
+        prev, after = np.append(0.0, v[:-1]), np.append(v[1:], 0.0)
+        starts = none_p | (~no & (above(prev, v) | above(v, prev)))
+        stops = none_n | (~no & (above(after, v) | above(v, after)))
+        place = np.arange(n)
+        opened = np.maximum.accumulate(np.where(starts & core, place, -1))
+        here = (opened >= 0) & (at[opened] == at)
+        stop = core & stops & ~no & ~none_n
+        begun = opened[stop & here]
+        ends = place[stop & here]
+        high = ~none_p[begun] & above(v[ends], prev[begun]) & above(v[ends], after[ends])
+        low = ~none_p[begun] & above(prev[begun], v[ends]) & above(after[ends], v[ends])
+        out = [(ends[m], (i[begun[m]] + i[ends[m]]) // 2, np.full(int(m.sum()), kind), np.zeros(int(m.sum())), np.zeros(int(m.sum()), bool)) for m, kind in ((high, MAX), (low, MIN))]
+        e = np.flatnonzero(core & (none_p | none_n))
+        out.append((e, i[e], np.where(none_p[e] & none_n[e], ONLY, np.where(none_p[e], FIRST, LAST)), np.zeros(len(e)), np.zeros(len(e), bool)))
+        w = np.flatnonzero(stop & ~here)
+        out.append((w, i[w], np.full(len(w), STOPS), after[w], np.zeros(len(w), bool)))
+        final = np.flatnonzero(np.append(edge, True))  # a block that another follows ends with a row of it
+        last = final[~core[final] & here[final]]
+        o = opened[last]
+        out.append((o, i[o], np.full(len(o), OPENS), prev[o], none_p[o]))
+        spot, where, kind, side, gone = (np.concatenate(x) for x in zip(*out))
+        return pa.RecordBatch.from_arrays(
+            [*[rows.column(g).take(pa.array(spot)).combine_chunks() for g in group if g != BLK], pa.array(where.astype(np.int64)),
+             rows.column("v").take(pa.array(spot)).combine_chunks(), pa.array(KINDS).take(pa.array(kind)), pa.array(side.astype(float), mask=gone)],
+            [*[g for g in group if g != BLK], "i", "v", "kind", "side"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, at in whole_groups(batches, group):
+            yield work(rows, at)
+
+    return run
+
+
 def local_extrema(signal: DataFrame, keys: Sequence[str], value: str, rows: int = BLOCK_ROWS) -> DataFrame:
-    """(keys, i, v, kind): ``max``/``min`` per plateau (at its middle sample) and the two ``end`` samples."""
-    s = neighbours(signal.select(*keys, "i", F.col(value).alias("v")), keys, ["v"], rows)
-    starts = F.col("v_prev").isNull() | (F.col("v_prev") != F.col("v"))
-    stops = F.col("v_next").isNull() | (F.col("v_next") != F.col("v"))
-    edges = index_blocks(s.filter(starts | stops), rows=rows)
-    opened = F.when(starts, F.struct("i", F.col("v_prev").alias("before")))
-    run = running(edges, keys, ["i"], {"_open": ("last", opened)}).filter(stops)
-    before, after = F.col("_open.before"), F.col("v_next")
+    """(keys, i, v, kind): ``max``/``min`` per plateau (at its middle sample) and the two ``end`` samples.
+
+    Blocks are judged from their sorted samples in one shuffle; plateaus that pass a block edge are put together
+    from a row or two a block.
+    """
+    keys = list(keys)
+    group = [*keys, BLK]
+    src = with_halo(signal.select(*keys, F.col("i").cast("long").alias("i"), F.col(value).cast("double").alias("v")), 1, 1, rows=rows)
+    src = src.select(*group, "i", "v", CORE).repartition(*group).sortWithinPartitions(*group, "i")
+    told = StructType([*[src.schema[k] for k in keys], StructField("i", LongType()), StructField("v", DoubleType()), StructField("kind", StringType()), StructField("side", DoubleType())])
+    found = durable(src.mapInArrow(_turns(group), told))
+    whole = found.filter("kind NOT IN ('opens', 'stops')").select(*keys, "i", "v", "kind")
+    parts = found.filter("kind IN ('opens', 'stops')")
+    if parts.isEmpty():
+        return whole
+    opened = F.when(F.col("kind") == "opens", F.struct("i", F.col("side").alias("before")))
+    run = running(index_blocks(parts, rows=rows), keys, ["i"], {"_open": ("last", opened)}).filter("kind = 'stops'")
+    before, after = F.col("_open.before"), F.col("side")
     kind = (
         F.when((before < F.col("v")) & (after < F.col("v")), F.lit("max"))
         .when((before > F.col("v")) & (after > F.col("v")), F.lit("min"))
     )
     middle = F.floor((F.col("_open.i") + F.col("i")) / 2).cast("long")
     turning = run.select(*keys, middle.alias("i"), "v", kind.alias("kind")).filter(F.col("kind").isNotNull())
-    ends = s.filter(F.col("v_prev").isNull() | F.col("v_next").isNull()).select(
-        *keys, "i", "v",
-        F.when(F.col("v_prev").isNull() & F.col("v_next").isNull(), F.lit("only"))
-        .when(F.col("v_prev").isNull(), F.lit("first")).otherwise(F.lit("last")).alias("kind"),
-    )
-    return turning.unionByName(ends)
+    return whole.unionByName(turning)
 
 
 def _verdicts(distance: int, prominent: bool, rows: int, halo: int):
