@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kymora.plans import chains
 from kymora.plans.blocks import BLK, BLOCK_ROWS, KEY, index_blocks, range_blocks, running, with_key
 from kymora.plans.grouped import grouped_map
-from kymora.session import durable
+from kymora.session import durable, partitions
 
 
 def gap_sessions(
@@ -121,6 +121,31 @@ def event_steps(events: DataFrame, keys: Sequence[str], rows: int = BLOCK_ROWS)
     return step.select(*keys, (F.col("i") - 1).alias("i"), "t0", "t", F.when(gap != 0, 1 / F.nullif(gap, F.lit(0.0))).otherwise(F.lit(float("inf"))).alias("hz"))
 
 
+LADDER_ROWS = 1 << 20  # steps that a task sees at once, over all tolerances that are tried together
+
+
+def _ladder(steps: DataFrame, keys: Sequence[str], tolerances: Sequence[float], enough: int, least: int, rows: int) -> DataFrame:
+    """(keys, rank, start, end): the steady spans at each tolerance, down to the first with ``enough`` spans at least.
+
+    As many tolerances are tried together as leave a task ``LADDER_ROWS`` steps, one at least; recordings that have
+    enough spans are left out of those after.
+    """
+    keys = list(keys)
+    together = max(1, min(len(tolerances), partitions(steps.sparkSession) * LADDER_ROWS // max(steps.count(), 1)))
+    found: DataFrame | None = None
+    for a in range(0, len(tolerances), together):
+        some = [F.struct(F.lit(k).alias("rank"), F.lit(float(v)).alias("tolerance")) for k, v in enumerate(tolerances)][a : a + together]
+        tried = steps.withColumn("_r", F.explode(F.array(*some))).select(*keys, "_r.*", "i", "t0", "t", "hz")
+        got = durable(steady_spans(tried, [*keys, "rank"], least, rows))
+        found = got if found is None else found.unionByName(got)
+        if a + together < len(tolerances):
+            done = got.groupBy(*keys, "rank").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= enough).select(*keys).distinct()
+            steps = durable(with_key(steps, keys).join(with_key(done, keys).select(KEY), KEY, "left_anti").select(*steps.columns))
+            if steps.isEmpty():
+                break
+    return found
+
+
 def rate_segments(events: DataFrame, keys: Sequence[str], least: int = 6, tolerance: float = 0.06, rows: int = BLOCK_ROWS) -> DataFrame:
     """Spans of steady event rate: a new span starts where the rate leaves the span's first rate.
 
@@ -128,10 +153,8 @@ def rate_segments(events: DataFrame, keys: Sequence[str], least: int = 6, tolera
     most; of exactly two, the longest is split once more when a finer tolerance can.
     """
     keys = list(keys)
-    rungs = lambda values: F.explode(F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(float(v)).alias("tolerance")) for k, v in enumerate(values)]))
     steps = durable(event_steps(events, keys, rows))
-    tried = steps.withColumn("_r", rungs((tolerance, *RATE_LADDER))).select(*keys, "_r.*", "i", "t0", "t", "hz")
-    found = durable(steady_spans(tried, [*keys, "rank"], max(least, 2), rows))
+    found = _ladder(steps, keys, (tolerance, *RATE_LADDER), 3, max(least, 2), rows)
     tally = found.groupBy(*keys, "rank").agg(F.count(F.lit(1)).alias("n"))
     enough = F.col("n") >= 3
     choice = F.struct(F.when(enough, 0).otherwise(1).alias("a"), F.when(enough, F.col("rank")).otherwise(-F.col("n")).alias("b"), "rank")
@@ -145,8 +168,8 @@ def rate_segments(events: DataFrame, keys: Sequence[str], least: int = 6, tolera
         return out
     inner = with_key(steps, keys).join(longest, KEY).filter((F.col("t0") >= F.col("_a")) & (F.col("t") <= F.col("_b")))
     first = inner.groupBy(KEY).agg(F.min("i").alias("_i0"))
-    inner = inner.join(first, KEY).withColumn("i", F.col("i") - F.col("_i0")).withColumn("_r", rungs(RATE_SPLITS)).select(*keys, "_r.*", "i", "t0", "t", "hz")
-    parts = durable(steady_spans(inner, [*keys, "rank"], max(least, 2), rows))
+    inner = durable(inner.join(first, KEY).withColumn("i", F.col("i") - F.col("_i0")).select(*keys, "i", "t0", "t", "hz"))
+    parts = _ladder(inner, keys, RATE_SPLITS, 2, max(least, 2), rows)
     several = parts.groupBy(*keys, "rank").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").groupBy(*keys).agg(F.min("rank").alias("_rank"))
     several = with_key(several, keys).drop(*keys)
     split = with_key(parts, keys).join(several, KEY).filter(F.col("rank") == F.col("_rank"))
