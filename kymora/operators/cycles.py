@@ -15,7 +15,7 @@ from kymora.functions import kernels as kn
 from kymora.operators import intervals as iv
 from kymora.operators import spectral as sp
 from kymora.operators.align import proximity_score
-from kymora.operators.peaks import find_peaks
+from kymora.operators.peaks import find_peaks, local_extrema
 from kymora.operators.windows import envelope, neighbours, sliding_stats
 from kymora.plans.blocks import BLK, BLOCK_ROWS, KEY, index_blocks, running, with_key
 from kymora.plans.quantiles import quantiles
@@ -182,7 +182,8 @@ def shape_rules(samples: DataFrame, ck: Sequence[str], angle: str, maneuver: str
     seated = F.col("a0") >= 45.0
     sign = F.when(F.lit(maneuver == "sit_to_stand") & seated, F.lit(-1.0)).otherwise(F.lit(1.0))
     need = info.select(*ck, F.greatest(rom * share, F.lit(5.0)).alias("prominence"), sign.alias("_sign"))
-    signed = v.join(need, ck).select(*ck, "i", (F.col("a") * F.col("_sign")).alias("a"))
+    # only where a cycle may start seated is its sign looked up for every sample
+    signed = v.join(need, ck).select(*ck, "i", (F.col("a") * F.col("_sign")).alias("a")) if maneuver == "sit_to_stand" else v
     tops = find_peaks(signed, ck, "a", per_key=need, rows=rows)
     p = tops.groupBy(*ck).agg(
         F.count(F.lit(1)).alias("n_peaks"), F.min("i").alias("first_peak"),
@@ -239,13 +240,21 @@ def _envelope(samples: DataFrame, ck: Sequence[str], channels: Sequence[str]) ->
     return samples.select(*ck, "i", "t", envelope(list(channels)).alias("env"))
 
 
-def _envelope_stats(env: DataFrame, ck: Sequence[str]) -> DataFrame:
-    """Length, moments and mean of each third of the envelope."""
+def _known(df: DataFrame, ck: Sequence[str]) -> DataFrame:
+    """Rows of cycles whose key has no null part."""
+    return df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ck]))
+
+
+def _envelope_stats(env: DataFrame, ck: Sequence[str], thirds: bool) -> DataFrame:
+    """Length and moments of the envelope of each cycle with a key, with ``thirds`` the mean of each third too."""
     ck = list(ck)
+    env = _known(env, ck)
     base = env.groupBy(*ck).agg(
         F.min("i").alias("first_i"), F.count(F.lit(1)).alias("n"), F.avg("env").alias("m"), F.stddev_pop("env").alias("s"),
         F.min("env").alias("lo"), F.max("env").alias("hi"),
     )
+    if not thirds:
+        return base
     third = F.floor(F.col("n") / 3)
     pos = F.col("i") - F.col("first_i")
     part = F.when(pos < third, 1).when(pos < 2 * third, 2).otherwise(3)
@@ -257,14 +266,19 @@ def _envelope_stats(env: DataFrame, ck: Sequence[str]) -> DataFrame:
 
 def sound_rules(samples: DataFrame, ck: Sequence[str], maneuver: str, channels: Sequence[str] = CHANNELS, min_rms: float = 0.001, rows: int = BLOCK_ROWS) -> DataFrame:
     """Verdict on the acoustic envelope per cycle: (cycle keys, sound_ok, sound_reason, sound_value)."""
-    ck = list(ck)
     env = _envelope(samples, ck, channels)
-    st = _envelope_stats(env, ck)
+    extrema = local_extrema(env, ck, "env", rows) if maneuver in ("walk", "flexion_extension") else None
+    return _sound_rules(env, _envelope_stats(env, ck, maneuver == "sit_to_stand"), extrema, ck, maneuver, min_rms, rows)
+
+
+def _sound_rules(env: DataFrame, st: DataFrame, extrema: DataFrame | None, ck: Sequence[str], maneuver: str, min_rms: float = 0.001, rows: int = BLOCK_ROWS) -> DataFrame:
+    """``sound_rules`` from the envelope, its statistics and (walk, flexion) its extrema."""
+    ck = list(ck)
     cv = F.col("s") / F.col("m")
     rule: list[Rule] = [(F.col("hi") < min_rms, "quiet", F.col("hi"))]
     if maneuver in ("walk", "flexion_extension"):
         need = st.select(*ck, F.greatest((F.col("hi") - F.col("lo")) * 0.2, F.col("m") * 0.5).alias("prominence"))
-        tops = find_peaks(env.select(*ck, "i", "env"), ck, "env", per_key=need, rows=rows)
+        tops = find_peaks(env.select(*ck, "i", "env"), ck, "env", per_key=need, rows=rows, extrema=extrema)
         tops = tops.join(st.select(*ck, "first_i", "n"), ck).withColumn("pos", (F.col("i") - F.col("first_i")) / F.col("n"))
         p = tops.groupBy(*ck).agg(
             F.count(F.lit(1)).alias("n_peaks"), F.max_by("pos", F.struct("v", (-F.col("i")).alias("o"))).alias("main"),
@@ -300,14 +314,16 @@ def sync_quality(
 ) -> DataFrame:
     """Cross-check of sound against motion: (cycle keys, sync_qc_pass, sync_quality_score)."""
     ck = list(ck)
-    sound = sound_rules(samples, ck, maneuver, channels, rows=rows)
     env = _envelope(samples, ck, channels)
-    st = _envelope_stats(env, ck)
+    # statistics and extrema of the envelope serve both the sound rules and the check against motion
+    st = durable(_envelope_stats(env, ck, maneuver == "sit_to_stand"))
+    extrema = local_extrema(env, ck, "env", rows)
+    sound = _sound_rules(env, st, extrema, ck, maneuver, rows=rows)
     a = F.expr(f"try_cast(`{angle}` AS double)")
     a = F.when(~F.isnan(a), a)
     ang = samples.groupBy(*ck).agg(F.count(a).alias("n_valid"), F.min(a).alias("a_lo"), F.max(a).alias("a_hi"))
     need = st.select(*ck, ((F.col("hi") - F.col("lo")) * 0.2).alias("prominence"))
-    tops = find_peaks(env.select(*ck, "i", "env"), ck, "env", per_key=need, rows=rows)
+    tops = find_peaks(env.select(*ck, "i", "env"), ck, "env", per_key=need, rows=rows, extrema=extrema)
     n_tops = tops.groupBy(*ck).agg(F.count(F.lit(1)).alias("n_peaks"))
     d = sound.join(st, ck).join(ang, ck, "left").join(n_tops, ck, "left")
     flat = (F.col("n_valid") < 10) | (F.col("hi") - F.col("lo") <= 0) | F.coalesce(F.col("n_peaks") == 0, F.lit(True))
@@ -506,18 +522,28 @@ def best_template(hits: DataFrame, ck: Sequence[str]) -> DataFrame:
 def periodic_noise(samples: DataFrame, ck: Sequence[str], fs: float, channels: Sequence[str] = CHANNELS, threshold: float = 0.3) -> DataFrame:
     """Whole-cycle periodic noise per channel: averaged Welch spectrum, peak over median above 5 Hz.
 
-    The Welch segments are the unit of work; their spectra are averaged by a shuffle per cycle.
+    A block of a cycle travels once with all channels and adds up the spectra of its Welch segments; the sums of a
+    cycle of several blocks are put together by a shuffle.
     """
     ck = list(ck)
     size = samples.groupBy(*ck).agg(F.min("i").alias("_f"), F.count(F.lit(1)).alias("_n")).filter("_n >= 256")
     nper = int(fs * 2)
-    rel = samples.join(size, ck).withColumn("i", F.col("i") - F.col("_f"))
+    rel = samples.join(size, ck).select(*ck, (F.col("i") - F.col("_f")).alias("i"), "_n", *channels)
     short = size.filter(F.col("_n") < nper)
-    long = rel.filter(F.col("_n") >= nper).unpivot([*ck, "i"], list(channels), "channel", "x")
-    f = sp.frame_map(long, [*ck, "channel"], "x", nper, nper - nper // 2, "p array<double>", lambda x: {"p": list(kn.welch_rows(x, fs, nper)[1])}, None)
-    bins = f.select(*ck, "channel", F.posexplode("p").alias("bin", "p"))
-    avg = bins.groupBy(*ck, "channel", "bin").agg(F.avg("p").alias("p")).filter(F.col("bin") * fs / nper > 5.0)
-    spec = avg.groupBy(*ck, "channel").agg(F.max("p").alias("peak"), F.median("p").alias("mid"))
+    sums = sp.spectrum_sums(rel.filter(F.col("_n") >= nper), ck, channels, fs, nper, nper - nper // 2)
+    by = [*ck, "channel"]
+    many = durable(sums.filter(F.col(BLK) > 0).select(*by).distinct())
+    mean = sums.select(*by, F.transform("p", lambda x: x / F.col("n")).alias("p"))
+    if not many.isEmpty():
+        bins = sums.join(many, by, "left_semi").select(*by, "n", F.posexplode("p").alias("bin", "p"))
+        avg = bins.groupBy(*by, "bin").agg((F.sum("p") / F.sum("n")).alias("p"))
+        far = avg.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("bin", "p"))), lambda x: x["p"]).alias("p"))
+        mean = mean.join(many, by, "left_anti").unionByName(far)
+    low = sum(k * fs / nper <= 5.0 for k in range(nper // 2 + 1))  # bins up to 5 Hz don't count
+    ranked = mean.select(*by, F.array_sort(F.slice("p", low + 1, max(nper // 2 + 1 - low, 0))).alias("p")).filter(F.size("p") > 0)
+    half = (F.size("p") - 1) / F.lit(2)
+    mid = F.get("p", F.floor(half).cast("int")) * 0.5 + F.get("p", F.ceil(half).cast("int")) * 0.5
+    spec = ranked.select(*by, F.element_at("p", -1).alias("peak"), mid.alias("mid"))
     flags = spec.select(*ck, "channel", F.coalesce((F.col("mid") > 0) & (F.col("peak") / F.col("mid") > 1 / threshold), F.lit(False)).alias("periodic"))
     # cycles shorter than one segment are a single frame of their own length
     small = rel.join(short.select(*ck), ck, "left_semi").unpivot([*ck, "i"], list(channels), "channel", "x")

@@ -57,6 +57,32 @@ def frames(samples: DataFrame, keys: Sequence[str], value: str, length: int, ste
     return frame_map(samples, keys, value, length, step, "x array<double>", lambda x: {"x": list(x)}, t, rows)
 
 
+def spectrum_sums(
+    samples: DataFrame, keys: Sequence[str], columns: Sequence[str], fs: float, length: int, step: int, rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(keys, _blk, channel, p ARRAY<DOUBLE>, n): per block and column the sum of the spectra of its full frames, and their number.
+
+    Frame f begins at sample f * ``step``; a frame with a missing position is left out, a block without frames too.
+    """
+    keys, columns = list(keys), list(columns)
+    spread = with_halo(samples.select(*keys, "i", *[F.col(c).cast("double").alias(c) for c in columns]), 0, length - 1, rows=rows)
+    most = max(FRAME_VALUES // length, 1)
+
+    def run(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        i = g["i"]
+        at = np.flatnonzero(g[CORE].astype(bool) & (i % step == 0))
+        at = at[at + length <= len(i)]
+        at = at[i[at + length - 1] - i[at] == length - 1]
+        told = columns if len(at) else []
+        sums = []
+        for c in told:
+            view = np.lib.stride_tricks.sliding_window_view(g[c].astype(float), length)
+            sums.append(sum(kn.welch_rows(view[at[k : k + most]], fs, length)[1].sum(axis=0) for k in range(0, len(at), most)))
+        return {"channel": list(told), "p": sums, "n": np.full(len(told), len(at), np.int64)}
+
+    return grouped_map(spread, [*keys, BLK], ["i"], ["i", CORE, *columns], "channel string, p array<double>, n bigint", run)
+
+
 def _as_rows(col: pd.Series):
     return (np.asarray(v, dtype=float) for v in col)
 

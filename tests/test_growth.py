@@ -98,3 +98,32 @@ def test_stats_of_two_columns_do_not_shuffle_the_samples(spark):
     assert "SortMergeJoin" not in plan_of(got)
     rows = got.toPandas()
     assert len(rows) == 53 and pd.isna(rows).sum().sum() == 0
+
+
+def test_whole_cycle_spectra_are_means_over_all_blocks(spark):
+    from kymora.functions import kernels as kn
+    from kymora.operators import cycles
+
+    rng = np.random.default_rng(2)
+    sizes = {0: 300, 1: 40000, 2: 255}  # one block, several, too short
+    data = {k: {c: rng.normal(0, 1, n) + (3 * np.sin(np.arange(n) * 0.8) if c == "ch2" else 0) for c in ("ch1", "ch2")} for k, n in sizes.items()}
+    pdf = pd.concat([pd.DataFrame({"recording_id": "a", "cycle_index": k, "i": np.arange(len(x["ch1"])) + 7, "t": 0.0, **x}) for k, x in data.items()])
+    got = cycles.periodic_noise(spark.createDataFrame(pdf), ["recording_id", "cycle_index"], 100.0, ["ch1", "ch2"], 0.2).collect()
+    assert {(r.cycle_index, r.channel): r.periodic for r in got} == {
+        (k, c): bool(kn.peak_to_median(*kn.welch(data[k][c], 100.0, 200), 5.0)[0] > 5) for k in (0, 1) for c in ("ch1", "ch2")}
+
+
+def test_tolerances_may_be_tried_one_by_one(spark, monkeypatch):
+    from kymora.operators import segments
+
+    rng = np.random.default_rng(4)
+    parts = [pd.DataFrame({"recording_id": k, "i": np.arange(n), "t": np.cumsum(s * (1 + rng.normal(0, 0.02, n)))}) for k, n, s in (("a", 60, 1.0), ("b", 40, np.repeat([1.0, 2.0], 20)), ("c", 30, 0.5))]
+    events = spark.createDataFrame(pd.concat(parts))
+    at_once = []
+    plain = segments.steady_spans
+    monkeypatch.setattr(segments, "steady_spans", lambda steps, *a: at_once.append(steps.select("tolerance").distinct().count()) or plain(steps, *a))
+    together = {tuple(r) for r in segments.rate_segments(events, K, 3).collect()}
+    monkeypatch.setattr(segments, "LADDER_ROWS", 1)
+    at_once.clear()
+    assert {tuple(r) for r in segments.rate_segments(events, K, 3).collect()} == together and together
+    assert set(at_once) == {1}
