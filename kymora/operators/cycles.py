@@ -533,10 +533,10 @@ def periodic_noise(samples: DataFrame, ck: Sequence[str], fs: float, channels: S
     sums = sp.spectrum_sums(rel.filter(F.col("_n") >= nper), ck, channels, fs, nper, nper - nper // 2)
     by = [*ck, "channel"]
     many = durable(sums.filter(F.col(BLK) > 0).select(*by).distinct())
-    mean = sums.select(*by, F.transform("p", lambda x: x / F.col("n")).alias("p"))
+    mean = sums.select(*by, F.transform("p", lambda x: x / F.nullif(F.col("n"), F.lit(0))).alias("p"))
     if not many.isEmpty():
         bins = sums.join(many, by, "left_semi").select(*by, "n", F.posexplode("p").alias("bin", "p"))
-        avg = bins.groupBy(*by, "bin").agg((F.sum("p") / F.sum("n")).alias("p"))
+        avg = bins.groupBy(*by, "bin").agg((F.sum("p") / F.nullif(F.sum("n"), F.lit(0))).alias("p"))
         far = avg.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("bin", "p"))), lambda x: x["p"]).alias("p"))
         mean = mean.join(many, by, "left_anti").unionByName(far)
     low = sum(k * fs / nper <= 5.0 for k in range(nper // 2 + 1))  # bins up to 5 Hz don't count

@@ -292,10 +292,12 @@ def find_peaks(
     negate: bool = False,
     rows: int = BLOCK_ROWS,
     per_key: DataFrame | None = None,
+    extrema: DataFrame | None = None,
 ) -> DataFrame:
     """Peaks (keys, i, v) by height, then highest-first spacing, then prominence.
 
-    ``per_key`` may give (keys, height and/or prominence) where the limits differ from key to key.
+    ``per_key`` may give (keys, height and/or prominence) where the limits differ from key to key, ``extrema`` the
+    ``local_extrema`` of the same values where they are known already.
 
     Each block judges its own peaks from the extrema it can see. What stays open is settled in two ways:
     prominence by a search in a tree of block summaries (``_settle_sides``), spacing, which reaches as far as a
@@ -305,7 +307,7 @@ def find_peaks(
     keys = list(keys)
     gap = max(int(np.ceil(distance)), 1) if distance is not None else 1
     src = signal.withColumn(value, -F.col(value)) if negate else signal
-    extrema = local_extrema(src, keys, value, rows)
+    extrema = local_extrema(src, keys, value, rows) if extrema is None else extrema
     flip = -F.col("v") if negate else F.col("v")
     own_limits = [c for c in ("height", "prominence") if per_key is not None and c in per_key.columns]
     if own_limits:

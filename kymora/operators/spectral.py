@@ -63,6 +63,7 @@ def spectrum_sums(
     """(keys, _blk, channel, p ARRAY<DOUBLE>, n): per block and column the sum of the spectra of its full frames, and their number.
 
     Frame f begins at sample f * ``step``; a frame with a missing position is left out, a block without frames too.
+    A frame with an unknown value has no spectrum and does not count in its column.
     """
     keys, columns = list(keys), list(columns)
     spread = with_halo(samples.select(*keys, "i", *[F.col(c).cast("double").alias(c) for c in columns]), 0, length - 1, rows=rows)
@@ -74,11 +75,17 @@ def spectrum_sums(
         at = at[at + length <= len(i)]
         at = at[i[at + length - 1] - i[at] == length - 1]
         told = columns if len(at) else []
-        sums = []
+        sums, counts = [], []
         for c in told:
             view = np.lib.stride_tricks.sliding_window_view(g[c].astype(float), length)
-            sums.append(sum(kn.welch_rows(view[at[k : k + most]], fs, length)[1].sum(axis=0) for k in range(0, len(at), most)))
-        return {"channel": list(told), "p": sums, "n": np.full(len(told), len(at), np.int64)}
+            total, count = np.zeros(length // 2 + 1), 0
+            for k in range(0, len(at), most):
+                p = kn.welch_rows(view[at[k : k + most]], fs, length)[1]
+                known = ~np.isnan(p).any(axis=1)
+                total, count = total + p[known].sum(axis=0), count + int(known.sum())
+            sums.append(total)
+            counts.append(count)
+        return {"channel": list(told), "p": sums, "n": np.array(counts, np.int64)}
 
     return grouped_map(spread, [*keys, BLK], ["i"], ["i", CORE, *columns], "channel string, p array<double>, n bigint", run)
 

@@ -108,6 +108,8 @@ def test_whole_cycle_spectra_are_means_over_all_blocks(spark):
     sizes = {0: 300, 1: 40000, 2: 255}  # one block, several, too short
     data = {k: {c: rng.normal(0, 1, n) + (3 * np.sin(np.arange(n) * 0.8) if c == "ch2" else 0) for c in ("ch1", "ch2")} for k, n in sizes.items()}
     pdf = pd.concat([pd.DataFrame({"recording_id": "a", "cycle_index": k, "i": np.arange(len(x["ch1"])) + 7, "t": 0.0, **x}) for k, x in data.items()])
+    pdf.loc[(pdf.cycle_index == 0) & (pdf.i == 290), "ch2"] = None  # the second frame of two is unknown
+    data[0]["ch2"] = data[0]["ch2"][:200]
     got = cycles.periodic_noise(spark.createDataFrame(pdf), ["recording_id", "cycle_index"], 100.0, ["ch1", "ch2"], 0.2).collect()
     assert {(r.cycle_index, r.channel): r.periodic for r in got} == {
         (k, c): bool(kn.peak_to_median(*kn.welch(data[k][c], 100.0, 200), 5.0)[0] > 5) for k in (0, 1) for c in ("ch1", "ch2")}
