@@ -415,7 +415,7 @@ def cycle_artifacts(parts: dict[str, DataFrame], ck: Sequence[str]) -> DataFrame
     """Long table (cycle keys, channel, kind, start, end): each kind plus ``all`` merged per channel."""
     cols = [*ck, "channel", "kind", "start", "end"]
     tagged = [p.withColumn("kind", F.lit(k)).select(*cols) for k, p in parts.items()]
-    long = reduce(DataFrame.unionByName, tagged)
+    long = durable(reduce(DataFrame.unionByName, tagged))  # read again by every pass of the merge
     merged = iv.merge_intervals(long.select(*ck, "channel", "start", "end"), [*ck, "channel"])
     return long.unionByName(merged.withColumn("kind", F.lit("all")).select(*cols))
 

@@ -7,21 +7,35 @@ changes and calls the helper on array slices. Only the group at the end of a bat
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from kymora.plans.blocks import whole_groups
 from kymora.session import durable, partitions
 
 
+@dataclass
+class Together:
+    """A helper for ``grouped_map`` that takes all whole groups of a batch at once.
+
+    It gets their arrays (unknown numbers are NaN) and for each row which group it is in, and gives for each row of
+    its result a row of the group it belongs to, and the arrays of the result.
+    """
+
+    helper: Callable[[dict[str, np.ndarray], np.ndarray], tuple[np.ndarray, dict[str, np.ndarray]]]
+
+
 def grouped_map(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[str],
     columns: Sequence[str],
     schema: str,
-    helper: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]],
+    helper: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]] | Together,
 ) -> DataFrame:
     """Rows (group columns, ``schema``): ``helper`` turns one group's arrays into equal-length arrays.
 
@@ -77,6 +91,14 @@ def grouped_map(
         if rest:
             yield work(pd.concat(rest, ignore_index=True), np.array([0]))
 
+    def run_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in whole_groups(batches, group):
+            spot, got = helper.helper({c: table.column(c).to_numpy() for c in columns}, at)
+            taken = pa.array(spot, pa.int64())
+            yield pa.RecordBatch.from_arrays([*[table.column(g).take(taken).combine_chunks() for g in group], *[pa.array(got[n]) for n in names]], [*group, *names])
+
+    if isinstance(helper, Together):
+        return durable(src.mapInArrow(run_together, f"{head}, {schema}"))
     # written before anything is joined to it, so the helper runs once and its rows are final
     return durable(src.mapInPandas(run, f"{head}, {schema}"))
 
