@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from kymora.operators.windows import steps
-from kymora.plans.blocks import BLOCK_ROWS, index_blocks, range_blocks, running
+from kymora.plans.blocks import BLK, BLOCK_ROWS, KEY, index_blocks, range_blocks, running, whole_groups, with_key
 from kymora.plans.quantiles import quantiles
+from kymora.session import durable
 
 MARGIN_S = 0.5
 MIN_TOLERANCE_S = 0.02
@@ -96,14 +101,91 @@ def uniform_grid(series: DataFrame, keys: Sequence[str], fs: float, t: str = "t"
     return b.select(*keys, "i", at.alias(t))
 
 
-def resample_uniform(series: DataFrame, keys: Sequence[str], value: str, fs: float, t: str = "t", right_id: str = "i") -> DataFrame:
-    """Linear interpolation by time onto the uniform grid: (keys, i, t, value)."""
-    known = series.filter(F.col(value).isNotNull()).select(*keys, right_id, t, value)
-    near = time_neighbours(uniform_grid(known, keys, fs, t), known, keys, t, "i", right_id)
-    p, n = F.col("prev"), F.col("next")
-    w = (F.col(t) - p[t]) / (n[t] - p[t])
-    v = F.when(n.isNull(), p[value]).otherwise(p[value] + (n[value] - p[value]) * w)
-    return near.select(*keys, "i", t, v.alias(value))
+def _onto_grid(group: Sequence[str], rows: int):
+    """Values on the grid points of sorted blocks; a block begins with a row of its grid (``_t`` first time, ``_v`` last, ``_k`` points)."""
+
+    def work(table: pa.Table, at: np.ndarray) -> pa.RecordBatch:
+        blk, t, k, v = (table.column(c).to_numpy() for c in (BLK, "_t", "_k", "_v"))
+        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        spots, points, times, values = [], [], [], []
+        for a, b in zip(starts.tolist(), np.append(starts[1:], len(at)).tolist()):
+            n, seen, x = int(k[a]), t[a + 1 : b], v[a + 1 : b]
+            i = np.arange(int(blk[a]) * rows, min((int(blk[a]) + 1) * rows, n))
+            g = t[a] + i * ((v[a] - t[a]) / (n - 1) if n > 1 else 0.0)
+            if n > 1 and i[-1] == n - 1:
+                g[-1] = v[a]
+            before = np.searchsorted(seen, g, side="right") - 1
+            after = np.minimum(before + 1, len(seen) - 1)
+            w = (g - seen[before]) / (seen[after] - seen[before])
+            spots.append(np.full(len(i), a))
+            points.append(i)
+            times.append(g)
+            values.append(np.where(after == before, x[before], x[before] + (x[after] - x[before]) * w))
+        spot = pa.array(np.concatenate(spots))
+        return pa.RecordBatch.from_arrays(
+            [*[table.column(c).take(spot).combine_chunks() for c in group if c != BLK], *[pa.array(np.concatenate(p)) for p in (points, times, values)]],
+            [*[c for c in group if c != BLK], "_i", "_t", "_v"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(invalid="ignore", divide="ignore"):
+            for table, at in whole_groups(batches, group):
+                yield work(table, at)
+
+    return run
+
+
+def resample_uniform(series: DataFrame, keys: Sequence[str], value: str, fs: float, t: str = "t", right_id: str = "i", rows: int = BLOCK_ROWS) -> DataFrame:
+    """Linear interpolation by time onto the uniform grid: (keys, i, t, value).
+
+    A sample travels once, to the block of ``rows`` grid points its time falls in, and the grid is made there. Of a
+    recording that is long or densely sampled, only the samples next to a grid point travel, and a block gets the
+    last sample before it and the first one after it.
+    """
+    keys = list(keys)
+    known = with_key(series.filter(F.col(value).isNotNull() & F.col(t).isNotNull()).select(
+        *keys, F.col(t).cast("double").alias("_t"), F.col(right_id).cast("long").alias("_k"), F.col(value).cast("double").alias("_v")), keys).drop(*keys)
+    grid = known.groupBy(KEY).agg(F.min("_t").alias("_t0"), F.max("_t").alias("_t1"), F.count(F.lit(1)).alias("_c")).filter("_t1 > _t0")
+    grid = grid.withColumn("_n", F.floor((F.col("_t1") - F.col("_t0")) * F.lit(fs)).cast("long") + 1)
+    grid = durable(grid.withColumn("_big", (F.col("_n") > rows) | (F.col("_c") > 4 * rows)))
+    sample = [KEY, BLK, F.lit(1).alias("_side"), "_t", "_k", "_v"]
+    parts = [known.join(grid.filter("NOT _big").select(KEY), KEY).withColumn(BLK, F.lit(0).cast("long")).select(*sample)]
+    ends = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / rows).cast("long"))
+    blocks = grid.withColumn(BLK, F.explode(ends))
+    parts.append(blocks.select(KEY, BLK, F.lit(0).alias("_side"), F.col("_t0").alias("_t"), F.col("_n").alias("_k"), F.col("_t1").alias("_v")))
+    if not grid.filter("_big").isEmpty():
+        near = durable(_beside_grid(known.join(grid.filter("_big"), KEY)).withColumn(BLK, F.floor(F.col("_cell") / rows).cast("long")))
+        s = F.struct("_t", "_k", "_v")
+        outer = blocks.filter("_big").select(KEY, BLK).join(near.groupBy(KEY, BLK).agg(F.min(s).alias("_a"), F.max(s).alias("_z")), [KEY, BLK], "left")
+        ahead = Window.partitionBy(KEY).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+        behind = Window.partitionBy(KEY).orderBy(F.col(BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        carried = F.array_compact(F.array(F.last("_z", ignorenulls=True).over(ahead), F.last("_a", ignorenulls=True).over(behind)))
+        carried = outer.select(KEY, BLK, carried.alias("_s")).select(KEY, BLK, F.explode("_s").alias("_s")).select(KEY, BLK, "_s.*")
+        parts += [near.select(*sample), carried.select(*sample)]
+    group = [*keys, BLK]
+    src = reduce(DataFrame.unionByName, parts).select(*[F.col(f"{KEY}.{k}").alias(k) for k in keys], BLK, "_side", "_t", "_k", "_v")
+    src = src.repartition(*group).sortWithinPartitions(*group, "_side", "_t", "_k").drop("_side")
+    told = StructType([*[src.schema[k] for k in keys], StructField("_i", LongType()), StructField("_t", DoubleType()), StructField("_v", DoubleType())])
+    return src.mapInArrow(_onto_grid(group, rows), told).select(*keys, F.col("_i").alias("i"), F.col("_t").alias(t), F.col("_v").alias(value))
+
+
+def _beside_grid(samples: DataFrame) -> DataFrame:
+    """(KEY, _cell, _t, _k, _v): of the samples from a grid point up to the next those that interpolation can ask for.
+
+    They are the first and the last of them, the last at the grid point itself and the first after it.
+    """
+    n = F.col("_n")
+    step = F.when(n > 1, (F.col("_t1") - F.col("_t0")) / (n - 1)).otherwise(F.lit(0.0))
+    time = lambda c: F.when((n > 1) & (c == n - 1), F.col("_t1")).otherwise(F.col("_t0") + c * step)
+    cell = F.least(F.when(step > 0, F.floor((F.col("_t") - F.col("_t0")) / step).cast("long")).otherwise(F.lit(0).cast("long")), n - 1)
+    s = samples.withColumn("_cell", cell)
+    c = F.col("_cell")
+    s = s.withColumn("_cell", F.when(F.col("_t") < time(c), c - 1).when((c < n - 1) & (F.col("_t") >= time(c + 1)), c + 1).otherwise(c))
+    x, at = F.struct("_t", "_k", "_v"), time(F.col("_cell"))
+    picks = [F.max(F.when(F.col("_t") == at, x)), F.min(F.when(F.col("_t") > at, x)), F.max(x), F.min(x)]
+    few = s.groupBy(KEY, "_cell").agg(*[p.alias(f"_{j}") for j, p in enumerate(picks)])
+    some = F.array_distinct(F.array_compact(F.array(*[f"_{j}" for j in range(len(picks))])))
+    return few.select(KEY, "_cell", F.explode(some).alias("_s")).select(KEY, "_cell", "_s.*")
 
 
 def resample_array(x: Column, length: int) -> Column:
