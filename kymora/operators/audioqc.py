@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from kymora.functions import kernels as kn
 from kymora.functions import scalars as sc
 from kymora.operators import spectral as sp
 from kymora.operators.align import resample_uniform
@@ -15,7 +19,7 @@ from kymora.operators.intervals import by_bucket
 from kymora.operators.peaks import find_peaks, heel_strikes
 from kymora.operators.segments import gap_sessions, rate_segments
 from kymora.operators.windows import moving_average
-from kymora.plans.blocks import BLOCK_ROWS, KEY, index_blocks, running, time_blocks, with_key
+from kymora.plans.blocks import BLOCK_ROWS, KEY, index_blocks, running, time_blocks, whole_groups, with_key
 from kymora.plans.quantiles import quantiles
 from kymora.session import durable
 from kymora.sources.adapters import CHANNELS
@@ -37,9 +41,10 @@ PERIODIC = {
 
 def mono(signal: DataFrame, keys: Sequence[str], channels: Sequence[str] = CHANNELS) -> DataFrame:
     """Mean of the channels that have a value, finite samples only."""
-    known = F.filter(F.array(*channels), lambda x: x.isNotNull() & ~F.isnan(x))
-    mean = F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.size(known)
-    return signal.select(*keys, "i", "t", F.when(F.size(known) > 0, mean).alias("v")).filter("v IS NOT NULL AND t IS NOT NULL")
+    known = [F.col(c).isNotNull() & ~F.isnan(c) for c in channels]
+    total = sum((F.when(k, F.col(c)).otherwise(F.lit(0.0)) for k, c in zip(known, channels)), F.lit(0.0))
+    n = sum((F.when(k, 1).otherwise(0) for k in known), F.lit(0))
+    return signal.select(*keys, "i", "t", F.when(n > 0, total / n).alias("v")).filter("v IS NOT NULL AND t IS NOT NULL")
 
 
 def numbered(events: DataFrame, keys: Sequence[str], rows: int = BLOCK_ROWS) -> DataFrame:
@@ -86,36 +91,73 @@ def evaluate_passes(
     )
 
 
+def _band_shares(group: Sequence[str], hz: float, rel_width: float, full: int):
+    """Share of power near the target of each sorted span of four samples or more."""
+
+    def work(table: pa.Table, at: np.ndarray) -> pa.RecordBatch:
+        v, target = table.column("v").to_numpy(), table.column("target_hz").to_numpy()
+        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        spots, shares = [], []
+        for a, b in zip(starts.tolist(), np.append(starts[1:], len(at)).tolist()):
+            if b - a < 4:
+                continue
+            p = kn.welch(v[a:b] - v[a:b].mean(), hz, full)[1]
+            f = np.arange(len(p)) * hz / (b - a)
+            near = p[(f >= max(target[a] * (1 - rel_width), 0.0)) & (f <= target[a] * (1 + rel_width))]
+            total = p.sum() - (p[0] + p[-1]) / 2
+            spots.append(a)
+            shares.append((near.sum() - (near[0] + near[-1]) / 2) / total if total > 0 and len(near) else 0.0)
+        spot = pa.array(spots, pa.int64())
+        return pa.RecordBatch.from_arrays([*[table.column(c).take(spot).combine_chunks() for c in group], pa.array(shares, pa.float64())], [*group, "bandpower_ratio"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in whole_groups(batches, group):
+            yield work(table, at)
+
+    return run
+
+
 def segment_bandpower(
     uniform: DataFrame, spans: DataFrame, keys: Sequence[str], hz: float, rel_width: float, seconds: float = 8.0
 ) -> DataFrame:
     """Share of power near ``target_hz`` per span: Welch segments spread by a shuffle, then averaged.
 
-    ``spans`` has (keys, span_id, start, end, target_hz); a span shorter than one segment is one frame.
+    ``spans`` has (keys, span_id, start, end, target_hz); a span shorter than one segment is one frame. The samples of a
+    span whose length holds less than a segment travel once and give one row; blocks of longer spans give one
+    spectrum each.
     """
-    keys = [*keys, "span_id"]
-    base_keys = keys[:-1]
+    base_keys, keys = list(keys), [*keys, "span_id"]
     full = max(int(hz * seconds), 256)
-    marks = spans.select(*base_keys, F.col("span_id").cast("long").alias("span_id"), "start", "end")
-    inside = points_in_spans(uniform.select(*base_keys, "t", "i", "v"), marks, base_keys).select(*keys, "i", "v")
-    size = inside.groupBy(*keys).agg(F.min("i").alias("_f"), F.count(F.lit(1)).alias("_n"), F.avg("v").alias("_m")).filter("_n >= 4")
-    rel = inside.join(size, keys).select(*keys, (F.col("i") - F.col("_f")).alias("i"), (F.col("v") - F.col("_m")).alias("v"), "_n")
-    long = sp.frames(rel.filter(F.col("_n") >= full), keys, "v", full, full - full // 2, None).select(*keys, "x")
-    short = rel.filter(F.col("_n") < full).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("s"))
-    arrays = long.unionByName(short.select(*keys, F.col("s.v").alias("x")))
-    bins = arrays.select(*keys, F.size("x").alias("len"), F.posexplode(sp.psd(F.col("x"), hz, full)).alias("bin", "p"))
-    psd = bins.groupBy(*keys, "len", "bin").agg(F.avg("p").alias("p"))
-    f = psd.join(spans.select(*base_keys, F.col("span_id").cast("long").alias("span_id"), "target_hz"), keys)
-    at = F.col("bin") * F.lit(hz) / F.col("len")
+    marks = spans.select(*base_keys, F.col("span_id").cast("long").alias("span_id"), "start", "end", F.col("target_hz").cast("double").alias("target_hz"))
+    marks = reduce(lambda d, k: d.filter(F.col(k).isNotNull()), base_keys, marks)
+    points = uniform.select(*base_keys, "t", "i", "v")
+
+    def of_short(rows: DataFrame) -> DataFrame:
+        src = rows.select(*keys, "i", "v", "target_hz").repartition(*keys).sortWithinPartitions(*keys, "i").drop("i")
+        return src.mapInArrow(_band_shares(keys, hz, rel_width, full), StructType([*[src.schema[k] for k in keys], StructField("bandpower_ratio", DoubleType())]))
+
+    # the grid is no denser than ``hz``
+    short = F.coalesce((F.col("end") - F.col("start")) * F.lit(hz) + 2 < full, F.lit(True))
+    out = of_short(points_in_spans(points, marks.filter(short), base_keys))
+    marks = marks.filter(~short)
+    if marks.isEmpty():
+        return out
+    inside = points_in_spans(points, marks, base_keys).select(*keys, "i", "v", "target_hz")
+    size = durable(inside.groupBy(*keys).agg(F.min("i").alias("_f"), F.count(F.lit(1)).alias("_n"), F.avg("v").alias("_m")).filter("_n >= 4"))
+    rel = inside.join(size, keys).select(*keys, (F.col("i") - F.col("_f")).alias("i"), (F.col("v") - F.col("_m")).alias("v"), "_n", "target_hz")
+    out = out.unionByName(of_short(rel.filter(F.col("_n") < full)))
+    sums = sp.spectrum_sums(rel.filter(F.col("_n") >= full), keys, ["v"], hz, full, full - full // 2)
+    psd = sums.select(*keys, "n", F.posexplode("p").alias("bin", "p")).groupBy(*keys, "bin").agg((F.sum("p") / F.sum("n")).alias("p"))
+    f = psd.join(marks.select(*keys, "target_hz"), keys)
+    at = F.col("bin") * F.lit(hz) / F.lit(full)
     lo, hi = F.col("target_hz") * (1 - rel_width), F.col("target_hz") * (1 + rel_width)
-    step = F.lit(hz) / F.col("len")
     total = F.sum("p") - (F.max_by("p", "bin") + F.min_by("p", "bin")) / 2
     band_p = F.when(at.between(F.greatest(lo, F.lit(0.0)), hi), F.col("p"))
     band_k = F.when(band_p.isNotNull(), F.col("bin"))
     band = F.sum(band_p) - (F.max_by(band_p, band_k) + F.min_by(band_p, band_k)) / 2
-    g = f.groupBy(*keys).agg(F.max(step).alias("_df"), total.alias("_total"), band.alias("_band"))
+    g = f.groupBy(*keys).agg(total.alias("_total"), band.alias("_band"))
     ratio = F.when(F.col("_total") > 0, F.coalesce("_band", F.lit(0.0)) / F.col("_total")).otherwise(F.lit(0.0))
-    return g.select(*keys, ratio.alias("bandpower_ratio"))
+    return out.unionByName(g.select(*keys, ratio.alias("bandpower_ratio")))
 
 
 def walk_qc(
@@ -170,10 +212,10 @@ def periodic_qc(
     keys = list(keys)
     d = PERIODIC[maneuver]
     hz, tol = d["hz"], d["period_tolerance"]
-    m = mono(signal, keys, channels)
+    m = durable(mono(signal, keys, channels))
     stop = m.groupBy(*keys).agg((F.max("t") - tail_s).alias("_stop"))
     body = m.join(stop, keys).filter(F.col("t") <= F.col("_stop")).drop("_stop")
-    span = body.groupBy(*keys).agg((F.max("t") - F.min("t")).alias("_total"), F.min("t").alias("start"), F.max("t").alias("end"))
+    span = durable(body.groupBy(*keys).agg((F.max("t") - F.min("t")).alias("_total"), F.min("t").alias("start"), F.max("t").alias("end")))
     uni = durable(resample_uniform(body, keys, "v", hz))
     period = 1.0 / target_hz
     m_len = max(int(hz * min(period * 0.05, 0.25)), 3)
@@ -203,7 +245,7 @@ def batch_qc(signal: DataFrame, maneuvers: DataFrame, keys: Sequence[str], targe
     Short codes and long names of maneuvers count alike; a recording with any other name fails.
     """
     keys = list(keys)
-    maneuvers = maneuvers.withColumn("maneuver", sc.maneuver_name(F.col("maneuver")))
+    maneuvers = durable(maneuvers.withColumn("maneuver", sc.maneuver_name(F.col("maneuver"))))
     odd = maneuvers.filter(F.col("maneuver").isNull()).select(*keys)
     parts = [odd.select(*keys, F.lit(False).alias("passed"), F.lit(0.0).alias("coverage_frac"), F.lit(0.0).alias("bandpower_ratio"), F.lit(None).cast("string").alias("maneuver"))]
     for name in ("walk", "sit_to_stand", "flexion_extension"):
