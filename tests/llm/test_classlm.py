@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from kymora.llm import classlm, queries
+from kymora.llm import classlm, exchange, queries
 from tests.conftest import SF
 from tests.llm.test_tokens import rows_of
 
@@ -112,3 +112,77 @@ def test_score_is_the_plain_sum_over_class_bigrams(spark, size):
             c = int(model.of[symbol(w)])
             want += math.log10((count[w] + 1) / (own[c] + rare_words + 1)) if symbol(w) == rare else math.log10(count[w] / own[c])
         assert got[doc_id] == pytest.approx(want, rel=1e-9), doc_id
+
+
+def plain_exchange(train, number, classes, rounds):
+    """Every word of one half in turn goes where the likelihood of the whole is highest."""
+    pairs = Counter((a, b) for text in train for a, b in zip(["", *text], [*text, ""]))
+
+    def table(of):
+        t = np.zeros((classes + 2, classes + 2))
+        for (a, b), n in pairs.items():
+            t[of[a], of[b]] += n
+        return t
+
+    of = {w: i % classes for w, i in number.items()} | {"": classes + 1}
+    best = classlm.likelihood(table(of)), of
+    for turn in range(rounds):
+        t, new = table(of), dict(of)
+        for w, i in number.items():
+            if (i // classes + i + turn) % 2:
+                continue
+            values = []
+            for c in range(classes):
+                moved = t.copy()
+                for (a, b), n in pairs.items():
+                    if w in (a, b):
+                        moved[of[a], of[b]] -= n
+                        moved[c if a == w else of[a], c if b == w else of[b]] += n
+                values.append(classlm.likelihood(moved))
+            if max(values) > values[of[w]] + 1e-7:
+                new[w] = int(np.argmax(values))
+        of = new
+        best = max(best, (classlm.likelihood(table(of)), of), key=lambda x: x[0])
+    return best[1], table(best[1])
+
+
+@pytest.mark.parametrize("held", [0, 30, 1 << 18])
+def test_every_word_is_clustered(spark, monkeypatch, held):
+    """Also those that no task holds: classes, table and scores are those of a plain exchange of all words."""
+    for name, value in (("SHARE", 500), ("SPLIT", 40), ("CHUNK", 400), ("BATCH", 7)):
+        monkeypatch.setattr(exchange, name, value)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"W{x}" for x in np.minimum(rng.zipf(1.5, rng.integers(0, 60)) + 40 * (k % 2), 120) for _ in range(1 + (x % 7 == 0))) for k in range(120)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
+    rows = classlm.texts(docs).filter(~classlm.is_held_out(classlm.F.col("doc_id")))
+    model, _ = classlm.train(rows, held, None, 5, 3)
+    train = [t.lower().split() for k, t in enumerate(texts) if zlib.crc32(str(k).encode()) % 7 != 2]
+    count = Counter(w for t in train for w in t)
+    number = {w.decode(): i for w, i in model.lexicon.numbers().items()}
+    assert len(number) == min(held, len(count))
+    beyond = sorted(set(count) - set(number))
+    number |= dict(zip(beyond, exchange.hashed(classlm.pa.array([w.encode() for w in beyond], classlm.pa.binary())).tolist()))
+    assert len(set(number.values())) == len(count)
+    want, table = plain_exchange(train, number, 5, 3)
+    loose = {r["number"]: r["class"] for r in model.loose.collect()}
+    of = {w: int(model.of[i]) if i < exchange.LOOSE else loose.pop(i) for w, i in number.items()}
+    assert not loose and of | {"": 6} == want and len(set(of.values())) > 1
+    np.testing.assert_allclose(model.transition, np.log10((table + classlm.ALPHA) / (table.sum(1, keepdims=True) + classlm.ALPHA * 7)))
+    got = {r.doc_id: r.score for r in classlm.score(docs, held, classes=5, rounds=3).collect()}
+    own = Counter()
+    for w, n in count.items():
+        own[of[w]] += n
+    of |= {"": 6}
+    for k, t in enumerate(texts):
+        cls = [6, *[of.get(w, 5) for w in t.lower().split()], 6]
+        score = sum(model.transition[a, b] for a, b in zip(cls, cls[1:])) + sum(math.log10(count[w] / own[of[w]]) for w in t.lower().split() if w in count)
+        assert got[k] == pytest.approx(score, rel=1e-9), k
+
+
+def test_the_query_clusters_every_word(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(classlm, "train", lambda *a, real=classlm.train: seen.append(real(*a)) or seen[-1])
+    rows = queries.op10_class_lm(spark, SF).count()
+    (model, counts), words = seen[0], seen[0][1].count()
+    assert rows == queries.documents(spark, SF).count()
+    assert model.lexicon.whole and model.lexicon.clustered + model.loose.count() == words > 1 << 13 and model.rare_words == 0
